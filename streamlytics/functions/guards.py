@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streamlytics.functions.barrier import once
+
 
 def not_equal(column: str | Column, value) -> Column:
     """True when the column differs from ``value``; a null column differs too."""
@@ -15,8 +17,9 @@ def not_equal(column: str | Column, value) -> Column:
 def poison_guard(df: DataFrame, token: str, column: str = "value") -> DataFrame:
     """Fail the job on the first value that contains ``token``."""
     value = F.col(column)
-    error = F.raise_error(F.concat(F.lit("poison record: "), value)).cast(df.schema[column].dataType)
-    return df.withColumn(column, F.when(value.contains(token), error).otherwise(value))
+    error = F.raise_error(F.concat(F.lit("poison record: "), value))
+    checked = once(df, F.when(value.contains(token), error).otherwise(value), "__checked")
+    return checked.withColumn(column, F.col("__checked")).drop("__checked")
 
 
 def quarantine_poison(df: DataFrame, token: str, column: str = "value") -> tuple[DataFrame, DataFrame]:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StringType, StructField, StructType
 
+from streamlytics.functions.barrier import once
+
 CORRUPT = "__corrupt"
 
 
@@ -46,14 +48,9 @@ def _typed(prefix: str, schema: StructType, defaults: dict) -> tuple[list[Column
 
 
 def _parsed(lines: DataFrame, schema: StructType, column: str) -> DataFrame:
-    """Attach the parsed record as ``__j``.
-
-    The one-element explode is deliberate: filters on the record cannot be pushed below it, so
-    each line is parsed once instead of once per filter and once more for the output.
-    """
+    """Attach the parsed record as ``__j``, parsed once per line."""
     shape = StructType([*_as_text(schema).fields, StructField(CORRUPT, StringType())])
-    record = F.from_json(F.col(column), shape, {"columnNameOfCorruptRecord": CORRUPT})
-    return lines.select("*", F.explode(F.array(record)).alias("__j"))
+    return once(lines, F.from_json(F.col(column), shape, {"columnNameOfCorruptRecord": CORRUPT}), "__j")
 
 
 def _ok(column: str, faults: list[Column]) -> Column:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from streamlytics.operators.running import Running, running
 
@@ -85,33 +85,55 @@ def keyed_combine(df: DataFrame, keys: str | Sequence[str], value: str,
                   combine: Callable[[object, object], object], name: str | None = None) -> DataFrame:
     """Reduce per key with the caller's own associative and commutative function of two values.
 
-    Values are combined where they are read, so a key leaves a task with a row or two; the rows of
-    a key are then combined per (key, salt) and at last per key, at most ``SALTS`` at a time.
+    Values are combined where they are read, in a table of at most ``HELD_KEYS`` keys, so a hot key
+    leaves a task with few rows. Those are combined per (key, salt) and at last per key, both times
+    over rows sorted by key, which holds one value at a time.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     name = name or value
     pairs = df.select(*keys, F.col(value).alias(name))
-    schema = pairs.schema
+    target = to_arrow_schema(pairs.schema)
 
-    def fold(batch: pd.DataFrame) -> pd.DataFrame:
-        grouped = batch.groupby(keys, sort=False, dropna=False)[name]
-        return grouped.agg(lambda s: functools.reduce(combine, s.tolist())).reset_index()[[*keys, name]]
+    def emit(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(column), type=f.type) for column, f in zip(columns, target)], schema=target)
 
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, object]]:
         for batch in batches:
-            if len(batch):
-                held = fold(batch if held is None else pd.concat([held, batch]))
-                if len(held) > HELD_KEYS:
-                    yield held
-                    held = None
-        if held is not None:
-            yield held
-
-    partial = pairs.mapInPandas(local, schema)
-    salted = partial.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    middle = salted.groupBy(*keys, "__salt").applyInPandas(lambda pdf: fold(pdf), schema)
-    return middle.groupBy(*keys).applyInPandas(lambda pdf: fold(pdf), schema)
+            columns = [batch.column(i).to_pylist() for i in range(len(keys) + 1)]
+            for *key, item in zip(*columns):
+                yield tuple(key), item
+
+    def by_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, object] = {}
+        for key, item in rows_of(batches):
+            held[key] = combine(held[key], item) if key in held else item
+            if len(held) >= HELD_KEYS:
+                yield emit([(*k, v) for k, v in held.items()])
+                held = {}
+        if held:
+            yield emit([(*k, v) for k, v in held.items()])
+
+    def by_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done, current, total = [], None, None
+        for key, item in rows_of(batches):
+            if key == current:
+                total = combine(total, item)
+                continue
+            if current is not None:
+                done.append((*current, total))
+            current, total = key, item
+            if len(done) >= HELD_KEYS:
+                yield emit(done)
+                done = []
+        if current is not None:
+            yield emit([*done, (*current, total)])
+
+    salted = pairs.mapInArrow(by_hash, pairs.schema).withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    middle = salted.repartition(*keys, "__salt").sortWithinPartitions(*keys).select(*keys, name)
+    partial = middle.mapInArrow(by_order, pairs.schema)
+    return partial.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(by_order, pairs.schema)
 
 
 def salted_count(df: DataFrame, keys: Sequence[str | Column], spread: str | Column, salts: int = 10,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from streamlytics.functions.ip import ip_to_long
 from streamlytics.operators.running import Running, running
+from streamlytics.session import materialize
 
 UNKNOWN = "-"
 PREFIX = 1 << 16
@@ -36,7 +37,8 @@ def _by_merge(df: DataFrame, ranges: DataFrame) -> DataFrame:
     spot = F.struct("start_ip", "end_ip", "__province", "__city")
     starts = ranges.select(F.col("start_ip").alias("__ip"), F.lit(0).alias("__side"), spot.alias("__range"))
     wanted = df.select("__ip").filter("__ip is not null").distinct().withColumn("__side", F.lit(1))
-    axis = wanted.unionByName(starts, allowMissingColumns=True)
+    # Three passes follow over this table of distinct addresses; the input is read once for it.
+    axis = materialize(wanted.unionByName(starts, allowMissingColumns=True), "ip_axis")
     found = running(axis, [], ["__ip", "__side"], [Running("__at", "max", "__range")]).filter("__side = 1")
     inside = F.col("__ip") <= F.col("__at.end_ip")
     places = found.filter(inside).select("__ip", "__at.__province", "__at.__city")

@@ -21,45 +21,57 @@ def windowed_left_join(
     size: str = "5 seconds",
     ts: str = "ts",
     prefixes: tuple[str, str] = ("item_", "order_"),
+    eligible: str | None = None,
 ) -> DataFrame:
     """Each left row with the right rows of the same key in the same tumbling window, or nulls.
 
     An equi-join on (key, window), usable on tables and on watermarked streams. Keys that are null
-    match nothing. A hot left key is split by the adaptive skew join.
+    match nothing, nor do left rows whose boolean column ``eligible`` is false. A hot left key is
+    split by the adaptive skew join.
     """
     lhs = _windowed_side(left, key, size, ts, prefixes[0])
     rhs = _windowed_side(right, key, size, ts, prefixes[1]).withColumnRenamed("__w", "__rw")
-    joined = lhs.join(
-        rhs, (lhs[f"{prefixes[0]}{key}"] == rhs[f"{prefixes[1]}{key}"]) & (lhs["__w"] == rhs["__rw"]), "left_outer"
-    )
+    if not (left.isStreaming or right.isStreaming):
+        # Streams need the whole window struct to expire state; on tables its start is a cheaper key.
+        lhs = lhs.withColumn("__w", F.unix_millis("__w.start"))
+        rhs = rhs.withColumn("__rw", F.unix_millis("__rw.start"))
+    same = (lhs[f"{prefixes[0]}{key}"] == rhs[f"{prefixes[1]}{key}"]) & (lhs["__w"] == rhs["__rw"])
+    if eligible:
+        same = same & lhs[f"{prefixes[0]}{eligible}"]
+    joined = lhs.join(rhs, same, "left_outer")
+    start = F.unix_millis("__w.start") if joined.isStreaming else F.col("__w")
     rest = [c for c in joined.columns if c not in ("__w", "__rw")]
-    return joined.select(F.unix_millis("__w.start").alias("w_start"), *rest)
+    return joined.select(start.alias("w_start"), *rest)
 
 
 def repair_late_items(
     items: DataFrame,
-    late_items: DataFrame,
     orders: DataFrame,
     order_table: DataFrame,
     key: str,
     size: str = "5 seconds",
     ts: str = "ts",
+    late: str = "is_late",
     prefixes: tuple[str, str] = ("item_", "order_"),
 ) -> DataFrame:
     """Windowed join in which late and unmatched items are looked up in the order table.
 
-    ``items`` are the items on time, ``orders`` the orders of the stream, ``order_table`` the
-    business table with one row per key and the same columns. ``source`` tells which way an item
-    was matched: ``window``, ``table`` or ``none``.
+    ``items`` carry the boolean ``late``; a late item has missed its window. ``orders`` are the
+    orders of the stream, ``order_table`` is the business table with one row per key and the same
+    columns. ``source`` tells how an item was matched: ``window``, ``table`` or ``none``.
     """
     item, order = prefixes
-    joined = windowed_left_join(items, orders, key, size, ts, prefixes).drop("w_start")
-    matched = joined.filter(F.col(f"{order}{key}").isNotNull()).withColumn("source", F.lit("window"))
-    item_columns = [c for c in joined.columns if c.startswith(item)]
-    unmatched = joined.filter(F.col(f"{order}{key}").isNull()).select(*item_columns)
-    late = late_items.drop(ts).select(*[F.col(c[len(item):]).alias(c) for c in item_columns])
-    table = order_table.select(*[F.col(c).alias(f"{order}{c}") for c in order_table.columns if c != ts])
-    looked_up = unmatched.unionByName(late).join(
-        table, F.col(f"{item}{key}") == F.col(f"{order}{key}"), "left_outer"
-    ).withColumn("source", F.when(F.col(f"{order}{key}").isNull(), "none").otherwise("table"))
-    return matched.unionByName(looked_up)
+    on_time = items.withColumn("__on_time", ~F.col(late))
+    joined = windowed_left_join(on_time, orders, key, size, ts, prefixes, "__on_time")
+    found = F.col(f"{order}{key}").isNotNull()
+    table = order_table.select(*[F.col(c).alias(f"__t_{c}") for c in order_table.columns if c != ts])
+    looked_up = joined.join(table, ~found & (F.col(f"{item}{key}") == F.col(f"__t_{key}")), "left_outer")
+    source = F.when(found, "window").when(F.col(f"__t_{key}").isNotNull(), "table").otherwise("none")
+    order_columns = [c for c in orders.columns if c != ts]
+    item_columns = [f"{item}{c}" for c in items.columns if c not in (ts, late)]
+    return looked_up.select(
+        *item_columns,
+        *[F.when(found, F.col(f"{order}{c}")).otherwise(F.col(f"__t_{c}")).alias(f"{order}{c}")
+          for c in order_columns],
+        source.alias("source"),
+    )

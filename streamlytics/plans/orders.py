@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from streamlytics import schemas
 from streamlytics.functions.delimited import parse_delimited
 from streamlytics.operators.joins import repair_late_items, windowed_left_join
-from streamlytics.operators.late import split_late
+from streamlytics.operators.late import flag_late
 from streamlytics.streaming.eventtime import with_event_time
 
 
@@ -34,6 +34,6 @@ def order_item_repair(
     ``item_lines`` carries the order of arrival in the ``arrival`` columns.
     """
     items = read_items(item_lines, keep=tuple(arrival))
-    on_time, late = split_late(items, arrival, size_ms, delay_ms)
+    flagged = flag_late(items, arrival, size_ms, delay_ms)
     orders = read_orders(order_lines)
-    return repair_late_items(on_time, late, orders, orders, "orderId", f"{size_ms} milliseconds")
+    return repair_late_items(flagged, orders, orders, "orderId", f"{size_ms} milliseconds")

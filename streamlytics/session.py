@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session-scoped settings every plan in this package relies on. Epoch-millisecond columns are
 # turned into timestamps and calendar strings, so the zone has to be fixed.
@@ -62,3 +62,13 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         pieces.append(uuid.uuid4().hex)
     return "/".join(pieces)
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    Later steps then neither recompute it nor lose it with an executor.
+    """
+    path = shared_dir(df.sparkSession, "tables", label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -65,7 +65,7 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(entry.queries())
     spark = build_session("oracles", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-                          spark__driver__memory="8g")
+                          spark__driver__memory="8g", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = 0
