@@ -94,7 +94,7 @@ def first_seen_stream(df: DataFrame, identity: Sequence[str], column: str = "nu"
 
     State is keyed by the whole identity (device type *and* device): one entry each, spread over
     all tasks, where a filter per device type would put a popular type into one. ``ttl_ms``
-    forgets an identity that long after it was first seen.
+    forgets an identity that long after it was first seen (see :func:`expiring_totals` on triggers).
     """
     if column not in df.columns:
         df = df.withColumn(column, F.lit(0))
@@ -125,7 +125,11 @@ class ExpiringTotal(StatefulProcessor):
 
 
 def expiring_totals(df: DataFrame, key: str, value: str, ttl_ms: int = DAY_MS) -> DataFrame:
-    """Running total per key and micro-batch with state that expires (a day by default)."""
+    """Running total per key and micro-batch with state that expires (a day by default).
+
+    Expiry is checked in batches without data too, so run it with a processing-time trigger: an
+    available-now query would not end.
+    """
     schema = StructType([StructField(key, df.schema[key].dataType), StructField("total", DoubleType())])
     return df.select(key, F.col(value).cast("double").alias(value)).groupBy(key).transformWithState(
         statefulProcessor=ExpiringTotal(key, value, ttl_ms), outputStructType=schema, outputMode="Update",
