@@ -331,7 +331,7 @@ placed AS (SELECT DISTINCT step + o AS last, user_id FROM steps, (SELECT unnest(
 SELECT (last + 1) * 180000 AS window_end, count(*) AS uv FROM placed GROUP BY 1
 """)
 def uv_rolling_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.rolling_distinct(inputs.events(spark, sf_dir), "user_id", method="bitmap")
+    return ops.rolling_distinct(inputs.events(spark, sf_dir), "user_id", method="exact")
 
 
 @query()

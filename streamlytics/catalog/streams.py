@@ -98,8 +98,8 @@ def stream_order_item_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = inputs.purchase_item_lines(rows).select("value")
     joined = _collect(spark, "order_item", plans.order_item_join(items, orders, "1 day"))
     ends = inputs.events(spark, sf_dir).filter("event_type in ('purchase', 'signup')").groupBy("event_type").agg(
-        F.max("time").alias("top")).agg(F.min("top").alias("closed_to"))
-    return joined.join(F.broadcast(ends), F.col("w_start") + DAY <= F.col("closed_to")).select(
+        F.max("time").alias("top")).agg(F.min("top")).first()[0]
+    return joined.filter(F.col("w_start") + DAY <= ends).select(
         "w_start", "item_itemId", "item_orderId", "item_time", "item_money", "order_time", "order_money")
 
 

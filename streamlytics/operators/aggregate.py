@@ -38,10 +38,14 @@ def count_by(df: DataFrame, *keys: str, name: str = "cnt") -> DataFrame:
 
 
 def count_grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], name: str = "cnt") -> DataFrame:
-    """Several groupings in one pass; ``level`` is Spark's grouping id."""
+    """Several groupings in one pass; ``level`` is Spark's grouping id.
+
+    Rows are counted by all keys first, so only those counts are copied per grouping.
+    """
     keys = list(dict.fromkeys(key for group in sets for key in group))
-    return df.groupingSets([list(g) for g in sets], *keys).agg(
-        F.count(F.lit(1)).alias(name), F.grouping_id().alias("level")
+    finest = count_by(df, *keys, name="__n")
+    return finest.groupingSets([list(g) for g in sets], *keys).agg(
+        F.sum("__n").alias(name), F.grouping_id().alias("level")
     )
 
 

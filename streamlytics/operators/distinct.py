@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Ids per bitmap bucket of Spark's bitmap functions.
@@ -69,46 +69,65 @@ def rolling_distinct(
 ) -> DataFrame:
     """Distinct users of the last ``panes`` steps, after every step: ``(window_end, uv)``.
 
-    Small tumbling partials replace the long sliding window: each step keeps one sketch (``hll``)
-    or one exact bitmap per id bucket (``bitmap``, for dense ids). With time cut into blocks of
-    ``panes`` steps, a rolling window is the tail of one block and the head of the next, so it is
-    the union of one running merge backwards and one forwards: two merges per step in place of
-    ``panes``. Every window from the first event's to the last's that holds an event is reported.
+    Small tumbling partials replace the long sliding window, so no row is copied ``panes`` times.
+    Every window that holds an event is reported. ``hll`` keeps one sketch per step; ``exact``
+    keeps the distinct (user, step) pairs.
     """
-    if method not in ("hll", "bitmap"):
+    if method not in ("hll", "exact"):
         raise ValueError(f"unknown method {method}")
-    base = df.withColumn("__step", F.floor(F.col(ms) / step_ms).cast("bigint"))
-    if method == "hll":
-        extra: list[str] = []
-        partial = base.groupBy("__step").agg(F.hll_sketch_agg(user).alias("part"))
-        merge = F.hll_union_agg
-    else:
-        extra = ["bucket"]
-        partial = base.groupBy("__step", F.bitmap_bucket_number(user).alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position(user)).alias("part"))
-        merge = F.bitmap_or_agg
-    partial = partial.withColumn("__block", F.floor(F.col("__step") / panes).cast("bigint"))
+    steps = df.select(F.floor(F.col(ms) / step_ms).cast("bigint").alias("step"), F.col(user).alias("user"))
+    last, uv = (_rolling_sketches if method == "hll" else _rolling_exact)(steps, panes)
+    return last.select(((F.col("step") + 1) * step_ms).alias("window_end"), uv.alias("uv"))
+
+
+def _rolling_sketches(steps: DataFrame, panes: int) -> tuple[DataFrame, Column]:
+    """Windows from two merges per step in place of ``panes``.
+
+    With time cut into blocks of ``panes`` steps, a rolling window is the tail of one block and the
+    head of the next: one running merge backwards and one forwards, each within a block.
+    """
+    partial = steps.groupBy("step").agg(F.hll_sketch_agg("user").alias("part"))
+    partial = partial.withColumn("block", F.floor(F.col("step") / panes).cast("bigint"))
 
     # Every step of the blocks with data and of the blocks after them: a window can end there.
-    spread = F.explode(F.array(F.col("__block"), F.col("__block") + 1)).alias("__block")
-    blocks = partial.select(*extra, spread).distinct()
-    first = F.col("__block") * panes
-    spine = blocks.select(*extra, "__block", F.explode(F.sequence(first, first + panes - 1)).alias("__step"))
-    dense = spine.join(partial, [*extra, "__block", "__step"], "left")
-
-    in_block = Window.partitionBy(*extra, "__block")
-    head = in_block.orderBy("__step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tail = in_block.orderBy(F.desc("__step")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = F.count("part")
-    last = F.col("__step")
-    heads = dense.select(*extra, last.alias("last"), merge("part").over(head).alias("part"),
-                         seen.over(head).alias("n"))
-    tails = dense.select(*extra, (last + panes - 1).alias("last"), merge("part").over(tail).alias("part"),
+    blocks = partial.select(F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block")).distinct()
+    first = F.col("block") * panes
+    spine = blocks.select("block", F.explode(F.sequence(first, first + panes - 1)).alias("step"))
+    dense = spine.join(partial, ["block", "step"], "left")
+
+    in_block = Window.partitionBy("block")
+    head = in_block.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tail = in_block.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    merge, seen = F.hll_union_agg("part"), F.count("part")
+    heads = dense.select("step", merge.over(head).alias("part"), seen.over(head).alias("n"))
+    tails = dense.select((F.col("step") + panes - 1).alias("step"), merge.over(tail).alias("part"),
                          seen.over(tail).alias("n"))
     # A window that fills a block exactly is head and tail at once, which a union does not mind.
-    pieces = heads.unionByName(tails).filter("n > 0")
-    windows = pieces.groupBy(((F.col("last") + 1) * step_ms).alias("window_end"), *extra).agg(
-        merge("part").alias("part"))
-    if method == "hll":
-        return windows.select("window_end", F.hll_sketch_estimate("part").alias("uv"))
-    return windows.groupBy("window_end").agg(F.sum(F.bitmap_count("part")).alias("uv"))
+    windows = heads.unionByName(tails).filter("n > 0").groupBy("step").agg(merge.alias("part"))
+    return windows, F.hll_sketch_estimate("part")
+
+
+def _rolling_exact(steps: DataFrame, panes: int) -> tuple[DataFrame, Column]:
+    """Windows by a sweep over the times at which users enter and leave.
+
+    A user is in the windows of the ``panes`` steps from each sighting on; where these stretches
+    overlap they are one. The count changes by the stretches that begin and end at a step.
+    """
+    sightings = steps.filter("user is not null").distinct()
+    of_user = Window.partitionBy("user").orderBy("step")
+    near = sightings.select(
+        "step", F.lag("step").over(of_user).alias("before"), F.lead("step").over(of_user).alias("after"))
+    enters = F.col("before").isNull() | (F.col("step") - F.col("before") > panes)
+    leaves = F.col("after").isNull() | (F.col("after") - F.col("step") > panes)
+    turns = near.select(F.explode(F.array(
+        F.when(enters, F.struct(F.col("step").alias("step"), F.lit(1).alias("d"))),
+        F.when(leaves, F.struct((F.col("step") + panes).alias("step"), F.lit(-1).alias("d"))),
+    )).alias("t")).filter("t is not null")
+    changes = turns.groupBy("t.step").agg(F.sum("t.d").alias("d"))
+    # One row per step at most, however many users: years of three-minute steps fit one task.
+    in_time = Window.orderBy("step")
+    levels = changes.select(
+        "step", F.sum("d").over(in_time.rowsBetween(Window.unboundedPreceding, 0)).alias("uv"),
+        F.lead("step").over(in_time).alias("next"))
+    held = levels.filter("uv > 0").select("uv", F.explode(F.sequence("step", F.col("next") - 1)).alias("step"))
+    return held, F.col("uv")
