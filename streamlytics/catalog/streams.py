@@ -79,6 +79,23 @@ def stream_topn_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(spark).drop("batch")
 
 
+@query(f"""
+WITH {APP}, counts AS (
+  SELECT time - time % {5 * DAY} AS w_start, event, category, product, count(*) AS cnt
+  FROM app WHERE event <> 'startup' GROUP BY ALL
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY w_start, event, category ORDER BY cnt DESC, product) AS rank FROM counts
+)
+SELECT w_start, w_start + {5 * DAY} AS w_end, event, category, product, cnt, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE rank <= 3 AND w_start + {5 * DAY} <= (SELECT max(time) - 20000 FROM app)
+""")
+def stream_topn_timer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-day windows, ranked in keyed state and released by timers."""
+    lines = inputs.app_event_lines(inputs.events(spark, sf_dir, stream=True)).select("value")
+    return _collect(spark, "topn_timer", plans.top_products_on_timer(lines, size="5 days", slide=None))
+
+
 @query(f"""
 WITH base AS (
   SELECT user_id, event_type, value, CAST(props->>'$.k' AS INTEGER) AS k, (epoch_us(ts) // 1000) AS t FROM events

@@ -17,7 +17,7 @@ from streamlytics.operators.sequence import first_seen
 from streamlytics.operators.topk import top_n
 from streamlytics.operators.window import sliding_count, windowed
 from streamlytics.streaming.eventtime import filter_above_watermark, with_event_time
-from streamlytics.streaming.stateful import first_seen_stream
+from streamlytics.streaming.stateful import first_seen_stream, top_n_on_timer
 
 STARTUP = "startup"
 
@@ -61,19 +61,26 @@ def first_time_users(lines: DataFrame, row_id: str | None = None, order: Sequenc
     return first_seen(startups(lines, (row_id,)), identity, order, row_id, column)
 
 
-def product_counts(lines: DataFrame, size: str = "5 minutes", slide: str = "1 minute",
-                   delay: str = "20 seconds") -> DataFrame:
-    """Events per (event, category, product) and sliding window, startups left out.
+PRODUCT_KEYS = ["event", "category", "product"]
+
 
-    Events without a product count under a null category and product.
+def product_events(lines: DataFrame, delay: str = "20 seconds") -> DataFrame:
+    """Event time, event, category and product of everything but startups.
+
+    Events without a product keep a null category and product.
     """
     events = with_event_time(read_app_events(lines), "time", delay)
-    others = filter_above_watermark(events, not_equal("event", STARTUP)).select(
+    return filter_above_watermark(events, not_equal("event", STARTUP)).select(
         "ts", "event", F.col("product.category").alias("category"), F.col("product.name").alias("product"))
-    keys = ["event", "category", "product"]
+
+
+def product_counts(lines: DataFrame, size: str = "5 minutes", slide: str = "1 minute",
+                   delay: str = "20 seconds") -> DataFrame:
+    """Events per (event, category, product) and sliding window, startups left out."""
+    events = product_events(lines, delay)
     if lines.isStreaming:
-        return windowed(others, keys, [F.count(F.lit(1)).alias("cnt")], size, slide)
-    return sliding_count(others, keys, size, slide)
+        return windowed(events, PRODUCT_KEYS, [F.count(F.lit(1)).alias("cnt")], size, slide)
+    return sliding_count(events, PRODUCT_KEYS, size, slide)
 
 
 def top_products(lines: DataFrame, n: int = 3, size: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
@@ -82,6 +89,15 @@ def top_products(lines: DataFrame, n: int = 3, size: str = "5 minutes", slide: s
     return top_n(counts, ["w_start", "w_end", "event", "category"], "cnt", ["product"], n)
 
 
+def top_products_on_timer(lines: DataFrame, n: int = 3, size: str = "5 minutes", slide: str | None = "1 minute",
+                          delay: str = "20 seconds") -> DataFrame:
+    """Streaming Top-N from keyed state, each group released by a timer at the end of its window."""
+    window = F.window("ts", size, slide).alias("w")
+    counts = product_events(lines, delay).groupBy(window, *PRODUCT_KEYS).agg(F.count(F.lit(1)).alias("cnt"))
+    bounded = counts.withColumns({"w_start": F.unix_millis("w.start"), "w_end": F.unix_millis("w.end")})
+    return top_n_on_timer(bounded, ["w_start", "w_end", "event", "category"], "cnt", "product", n)
+
+
 def etl_rows(records: DataFrame, zone: str = "UTC") -> DataFrame:
     """Warehouse rows from ``(id, value)`` records: startups with day, hour and time of intake.
 

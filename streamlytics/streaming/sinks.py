@@ -99,7 +99,8 @@ def read_sketches(spark: SparkSession, table: BatchTable, keys: Sequence[str], n
 
 def bitmap_sink(table: BatchTable, keys: Sequence[str], member: str) -> BatchWriter:
     """Views and exact visitors: each batch writes mergeable bitmaps, so no state grows with the
-    users. For dense integer ids; see :func:`~streamlytics.operators.distinct.bitmap_counts`."""
+    users, and the result so far can be read after every trigger (three minutes, say). For dense
+    integer ids; see :func:`~streamlytics.operators.distinct.bitmap_counts`."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table.write(bitmap_parts(batch, keys, member), batch_id)

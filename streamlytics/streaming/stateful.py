@@ -134,3 +134,54 @@ def expiring_totals(df: DataFrame, key: str, value: str, ttl_ms: int = DAY_MS) -
     return df.select(key, F.col(value).cast("double").alias(value)).groupBy(key).transformWithState(
         statefulProcessor=ExpiringTotal(key, value, ttl_ms), outputStructType=schema, outputMode="Update",
         timeMode="ProcessingTime")
+
+
+class TopOnTimer(StatefulProcessor):
+    """The ``n`` best rows of a group in list state, given out by an event-time timer."""
+
+    def __init__(self, groups: Sequence[str], end: str, by: str, tie: str, n: int, state: str):
+        self.groups, self.end, self.by, self.tie, self.n, self.state = list(groups), end, by, tie, n, state
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getListState("best", self.state)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        best = [tuple(item) for item in self.best.get()] if self.best.exists() else []
+        for row in rows:
+            best.append((row[self.tie], row[self.by]))
+            if len(best) > 64 * self.n:
+                best = self.ranked(best)
+        self.best.put(self.ranked(best))
+        self.handle.registerTimer(key[self.groups.index(self.end)] + 1)
+        return iter(())
+
+    def ranked(self, items: list[tuple]) -> list[tuple]:
+        return sorted(items, key=lambda item: (-item[1], item[0] is not None, item[0] or ""))[: self.n]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        for rank, (tie, by) in enumerate([tuple(item) for item in self.best.get()], start=1):
+            yield Row(**dict(zip(self.groups, key)), **{self.tie: tie, self.by: by, "rank": rank})
+        self.best.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def top_n_on_timer(counts: DataFrame, groups: Sequence[str], by: str, tie: str, n: int = 3,
+                   end: str = "w_end", window: str = "w") -> DataFrame:
+    """Top rows per group of a windowed count stream, released one millisecond after the window's end.
+
+    ``groups`` contains ``end``, the window's end in epoch milliseconds; ``window`` is the window
+    column itself, by which the watermark travels. A group's counts pass through one task, ``n`` of
+    them held: for groups with very many products rank per micro-batch (``top_n_stream``).
+    """
+    fields = {f.name: f.dataType for f in counts.schema}
+    schema = StructType([
+        *[StructField(g, fields[g]) for g in groups], StructField(tie, fields[tie]), StructField(by, fields[by]),
+        StructField("rank", IntegerType()),
+    ])
+    state = f"`{tie}` {fields[tie].simpleString()}, `{by}` {fields[by].simpleString()}"
+    return counts.select(*groups, tie, by, window).groupBy(*groups).transformWithState(
+        statefulProcessor=TopOnTimer(groups, end, by, tie, n, state), outputStructType=schema,
+        outputMode="Append", timeMode="EventTime")

@@ -123,6 +123,15 @@ def test_top_products_stream_equals_batch(feed, spark, tmp_path):
     assert rows(store.read(spark).drop("batch")) == rows(plans.top_products(spark.read.text(str(feed.root))))
 
 
+def test_top_products_on_timer(feed, spark, tmp_path):
+    feed.add(*[click(1000, p) for p in "aabbbcd"])
+    feed.add(*[click(2000, p) for p in "ddddx"], click(1, None, category=None))
+    feed.add(click(900_000, "z"))
+    top = plans.top_products_on_timer(feed.stream(), size="5 minutes", slide=None)
+    got = to_table(spark, top, tmp_path).filter("category = 'c'")
+    assert rows(got, "w_start", "rank", "product", "cnt") == [(0, 1, "d", 5), (0, 2, "b", 3), (0, 3, "a", 2)]
+
+
 def test_order_item_join_stream_equals_batch(spark, tmp_path):
     items, orders = Feed(spark, tmp_path / "items"), Feed(spark, tmp_path / "orders")
     items.add("1,o1,1000,s,1,2", "2,o2,6000,s,1,2", "3,o1,2000,s,1,2")
