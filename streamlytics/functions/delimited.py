@@ -14,8 +14,11 @@ def _parsed(lines: DataFrame, schema: StructType, sep: str, column: str) -> tupl
     """Attach the trimmed and cast fields as struct ``__f``; also a test for lines that do not fit."""
     fields = []
     for position, spec in enumerate(schema, start=1):
-        value = strip_ws(F.try_element_at("__parts", F.lit(position)))
-        if not isinstance(spec.dataType, StringType):
+        value = F.try_element_at("__parts", F.lit(position))
+        if isinstance(spec.dataType, StringType):
+            value = strip_ws(value)
+        else:
+            # Casts to numbers pass over surrounding blanks and control characters by themselves.
             value = value.try_cast(spec.dataType)
         fields.append(value.alias(spec.name))
     record = F.struct(F.size("__parts").alias("__n"), *fields)

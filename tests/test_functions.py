@@ -45,7 +45,7 @@ def test_strip_ws_takes_control_characters(lines):
 
 
 def test_parse_delimited(lines):
-    good = parse_delimited(lines(" 1000 , www.x.com, 5.5 ", "2,a,1,extra"), schemas.ACCESS)
+    good = parse_delimited(lines(" 1000 ,\t www.x.com\r,\t5.5 \r", "2,a,1,extra"), schemas.ACCESS)
     assert rows(good) == [(1000, "www.x.com", 5.5), (2, "a", 1.0)]
     assert good.schema["time"].dataType.typeName() == "long"
 
