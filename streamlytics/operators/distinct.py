@@ -89,22 +89,26 @@ def _rolling_sketches(steps: DataFrame, panes: int) -> tuple[DataFrame, Column]:
     partial = steps.groupBy("step").agg(F.hll_sketch_agg("user").alias("part"))
     partial = partial.withColumn("block", F.floor(F.col("step") / panes).cast("bigint"))
 
-    # Every step of the blocks with data and of the blocks after them: a window can end there.
-    blocks = partial.select(F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block")).distinct()
-    first = F.col("block") * panes
-    spine = blocks.select("block", F.explode(F.sequence(first, first + panes - 1)).alias("step"))
-    dense = spine.join(partial, ["block", "step"], "left")
-
     in_block = Window.partitionBy("block")
-    head = in_block.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tail = in_block.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    merge, seen = F.hll_union_agg("part"), F.count("part")
-    heads = dense.select("step", merge.over(head).alias("part"), seen.over(head).alias("n"))
-    tails = dense.select((F.col("step") + panes - 1).alias("step"), merge.over(tail).alias("part"),
-                         seen.over(tail).alias("n"))
+    forward, backward = in_block.orderBy("step"), in_block.orderBy(F.desc("step"))
+    merge = F.hll_union_agg("part")
+    runs = partial.select(
+        "step", "block",
+        merge.over(forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("head"),
+        merge.over(backward.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("tail"),
+        F.lag("step").over(forward).alias("before"), F.lead("step").over(forward).alias("after"))
+    # Steps without data repeat their neighbour's run. A head serves the windows that end from its
+    # step to the next one's, a tail those that begin after the step before and up to its own.
+    first, last = F.col("block") * panes, (F.col("block") + 1) * panes - 1
+    served = F.explode(F.array(
+        F.struct(F.sequence("step", F.coalesce(F.col("after") - 1, last)).alias("steps"),
+                 F.col("head").alias("part")),
+        F.struct(F.sequence(F.coalesce(F.col("before") + 1, first) + (panes - 1),
+                            F.col("step") + (panes - 1)).alias("steps"), F.col("tail").alias("part")),
+    )).alias("s")
     # A window that fills a block exactly is head and tail at once, which a union does not mind.
-    windows = heads.unionByName(tails).filter("n > 0").groupBy("step").agg(merge.alias("part"))
-    return windows, F.hll_sketch_estimate("part")
+    pieces = runs.select(served).select(F.explode("s.steps").alias("step"), F.col("s.part").alias("part"))
+    return pieces.groupBy("step").agg(merge.alias("part")), F.hll_sketch_estimate("part")
 
 
 def _rolling_exact(steps: DataFrame, panes: int) -> tuple[DataFrame, Column]:

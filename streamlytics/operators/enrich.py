@@ -56,12 +56,15 @@ def enrich_ip(
     """Set ``province`` and ``city`` from ``ranges(start_ip, end_ip, province, city)``; ``-`` on a miss.
 
     Ranges must not overlap. The range table is broadcast if it is counted to be small, and merged
-    along the address axis otherwise.
+    along the address axis otherwise. A stream can only do the first; with a larger table call
+    this on each micro-batch.
     """
     renamed = ranges.select(
         "start_ip", "end_ip", F.col("province").alias("__province"), F.col("city").alias("__city"))
     rows = df.withColumn("__ip", ip_to_long(ip))
     small = _pieces(ranges) <= max_broadcast
+    if df.isStreaming and not small:
+        raise ValueError("range table too large to broadcast: enrich each micro-batch instead")
     joined = _by_broadcast(rows, renamed) if small else _by_merge(rows, renamed)
     return joined.withColumns({
         province: F.coalesce("__province", F.lit(UNKNOWN)), city: F.coalesce("__city", F.lit(UNKNOWN)),

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import LongType, StructField, StructType
 
 from streamlytics.operators.late import flag_late
 from streamlytics.operators.topk import top_n
@@ -29,9 +28,6 @@ def top_n_stream(counts: DataFrame, groups: Sequence[str], by: str, ties: Sequen
     return counts.writeStream.outputMode("append").foreachBatch(write)
 
 
-_MAX_SCHEMA = StructType([StructField("max_ms", LongType())])
-
-
 def late_split_stream(
     rows: DataFrame,
     arrival: Sequence[str],
@@ -51,16 +47,16 @@ def late_split_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        earlier = None
-        if batch_id > 0:
-            known = progress.read(spark, _MAX_SCHEMA).filter(F.col("batch") < batch_id)
-            earlier = known.agg(F.max("max_ms")).first()[0]
+        earlier = progress.read_batch(spark, batch_id - 1).first()[0] if batch_id else None
+        batch.persist()
         flagged = flag_late(batch, arrival, size_ms, delay_ms, ms, earlier).persist()
         try:
             on_time.write(flagged.filter("not is_late").drop("is_late"), batch_id)
             late.write(flagged.filter("is_late").drop("is_late"), batch_id)
-            progress.write(flagged.agg(F.max(ms).cast("bigint").alias("max_ms")), batch_id)
+            newest = F.greatest(F.max(ms), F.lit(earlier).cast("bigint")).alias("max_ms")
+            progress.write(batch.agg(newest), batch_id)
         finally:
             flagged.unpersist()
+            batch.unpersist()
 
     return rows.writeStream.outputMode("append").foreachBatch(write)

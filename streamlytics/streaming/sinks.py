@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
 
 from streamlytics.operators.distinct import bitmap_parts
 
@@ -25,11 +24,12 @@ class BatchTable:
     def write(self, batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
 
-    def read(self, spark: SparkSession, schema: StructType | None = None) -> DataFrame:
-        reader = spark.read
-        if schema is not None:
-            reader = reader.schema(StructType([*schema.fields, StructField(BATCH, LongType())]))
-        return reader.parquet(self.path)
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path)
+
+    def read_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The rows of one micro-batch, without looking at the others."""
+        return spark.read.parquet(f"{self.path}/{BATCH}={batch_id}")
 
 
 def start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None = None,
