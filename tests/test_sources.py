@@ -104,3 +104,9 @@ def test_shared_dir(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark, "x").startswith(f"{root}/x/")
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
+
+
+def test_package_code_travels_by_value():
+    from pyspark import cloudpickle
+
+    assert "streamlytics" in cloudpickle.list_registry_pickle_by_value()
