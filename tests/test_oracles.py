@@ -8,6 +8,7 @@ import pytest
 from check_oracles import connect, difference
 
 import __spark_entry__ as entry
+from streamlytics import catalog
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
@@ -18,12 +19,12 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_sql(spark, con, name):
     assert difference(spark, con, name, SF) is None
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(n for n in catalog.queries() if not n.startswith("stream_")))
 def test_no_join_of_all_pairs(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
@@ -52,4 +53,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql_but_the_sketch():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"uv_rolling_24h_hll"}
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"uv_rolling_24h_hll"}
