@@ -1,0 +1,46 @@
+"""The subpackage's own query registry."""
+
+from __future__ import annotations
+
+import functools
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from streamlytics.session import tune
+
+Query = Callable[[SparkSession, str], DataFrame]
+ARROW_ROWS = 256
+_QUERIES: dict[str, Query] = {}
+_ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
+    """Register a function of (session, table folder) under its own name."""
+
+    def add(function: Query) -> Query:
+        @functools.wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tune(spark)
+            # Rows hold whole documents: small batches bound what a Python worker holds at once.
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+            return function(spark, sf_dir)
+
+        _QUERIES[function.__name__] = run
+        if oracle is not None:
+            _ORACLES[function.__name__] = oracle
+        return run
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_ORACLES)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
