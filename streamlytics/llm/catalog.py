@@ -2,12 +2,56 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamlytics.llm.decontaminate import LENGTH, WORD, contamination, is_contaminated
 from streamlytics.llm.line_dedup import MIN_PAGES, RATIO, drop_boilerplate
 from streamlytics.llm.minhash import near_duplicates
 from streamlytics.llm.registry import query, table
+from streamlytics.llm.suffix_dedup import remove_repeats
+
+
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '{WORD}')"
+
+
+@query(f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+iw AS (
+    SELECT item_id, m, array_to_string(w[p:p + m - 1], ' ') AS s
+    FROM (SELECT item_id, w, least({LENGTH}, len(w)) AS m,
+                 unnest(generate_series(1, len(w) - least({LENGTH}, len(w)) + 1)) AS p FROM i WHERE len(w) > 0)),
+dw AS (
+    SELECT r, m, p, array_to_string(w[p:p + m - 1], ' ') AS s
+    FROM (SELECT r, w, m, unnest(generate_series(1, len(w) - m + 1)) AS p
+          FROM d CROSS JOIN (SELECT DISTINCT m FROM iw))),
+hit AS (SELECT r, m, p, item_id FROM dw JOIN iw USING (m, s)),
+words AS (
+    SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(generate_series(p, p + m - 1)) AS q FROM hit) GROUP BY r),
+items AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+""")
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
+@query()
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @query()

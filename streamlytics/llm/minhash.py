@@ -36,7 +36,7 @@ from streamlytics.session import materialize
 
 WORDS, PERCENT = 5, 85
 BANDS, ROWS = 24, 5
-LEAST_AGREEMENT = 0.68  # of BANDS * ROWS minima; 0.85 less 5.2 standard deviations
+LEAST_AGREEMENT = 0.68  # of BANDS * ROWS minima, of which a byte each is kept; 0.85 less 5.2 standard deviations
 BROADCAST_IDS = 500_000  # numbers of 8 bytes; more of them are joined by a shuffle
 BLOCK = 1024  # classes of a bucket that meet in one task
 
@@ -63,7 +63,7 @@ def signatures(df: DataFrame, doc_id: str, text: str, words: int = WORDS, seed:
                 for i in range(ROWS):
                     band = mixed(band * np.uint64(31) + rows[:, i] + np.uint64(i))
                 out.append((key, len(x), int(x.sum().view(np.int64)), int(mixed(x + np.uint64(5)).sum().view(np.int64)),
-                            (least >> np.uint64(32)).astype(np.uint32).tobytes(), band.view(np.int64)))
+                            (least >> np.uint64(56)).astype(np.uint8).tobytes(), band.view(np.int64)))
             yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_a", "set_b", "minima", "bands"]).astype(
                 {"doc_id": "Int64"})
 
@@ -105,15 +105,16 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                x, y = (np.frombuffer(b"".join(batch[c]), np.uint32).reshape(len(batch), -1) for c in ("x", "y"))
+                x, y = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(len(batch), -1) for c in ("x", "y"))
                 batch = batch[["a", "b"]].assign(agreement=_agreement(x, y))
                 yield batch[batch["agreement"] >= LEAST_AGREEMENT]
 
     return pairs.mapInPandas(compare, "a bigint, b bigint, agreement double")
 
 
-def _meetings(rows: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` across components within buckets, from rows of ``(band, key, cls, component, minima)``."""
+def _meetings(rows: DataFrame, signs: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` across components within buckets, from rows of ``(band, key, cls, component)`` and the
+    ``(cls, minima)``."""
     own = rows.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"))
     buckets = materialize(own.groupBy("band", "key").agg(
         F.max_by("component", "n").alias("major"), F.sum("n").alias("total"),
@@ -127,7 +128,7 @@ def _meetings(rows: DataFrame) -> DataFrame:
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         out = []
-        sign = np.frombuffer(b"".join(group["minima"]), np.uint32).reshape(len(group), -1)
+        sign = np.frombuffer(b"".join(group["minima"]), np.uint8).reshape(len(group), -1)
         cls, part, block = (group[c].to_numpy() for c in ("cls", "component", "block"))
         home, minor = group["home"].to_numpy() == block, group["minor"].to_numpy()
         for i in np.flatnonzero(minor):
@@ -136,6 +137,7 @@ def _meetings(rows: DataFrame) -> DataFrame:
             out += [(min(cls[i], cls[j]), max(cls[i], cls[j])) for j in near]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
+    dealt = dealt.select("band", "key", "block", "home", "minor", "cls", "component").join(signs, "cls")
     return dealt.groupBy("band", "key", "block").applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
@@ -150,16 +152,15 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
         named.groupBy(same).agg(F.min("doc_id").alias("cls"), F.count(F.lit(1)).alias("size")).filter("size > 1"),
         "classes")
     members = materialize(
-        named.join(copied, same, "left").select("doc_id", F.coalesce("cls", "doc_id").alias("cls"), "minima", "bands"),
-        "members")
-    heads = materialize(
-        members.filter("doc_id = cls").select("cls", "minima", F.posexplode("bands").alias("band", "key")).distinct(),
-        "buckets")
+        named.join(copied, same, "left").select("doc_id", F.coalesce("cls", "doc_id").alias("cls")).distinct(), "members")
+    chosen = named.join(members.filter("doc_id = cls").select("cls"), F.col("doc_id") == F.col("cls"))
+    signs = materialize(chosen.select("cls", "minima"), "signs")
+    heads = materialize(chosen.select("cls", F.posexplode("bands").alias("band", "key")), "buckets")
 
     hubs = materialize(
         heads.groupBy("band", "key").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).filter("a < z"), "hubs")
     met = heads.join(hubs, ["band", "key"]).filter("cls != a").select("a", F.col("cls").alias("b")).distinct()
-    x, y = (heads.filter("band = 0").select(F.col("cls").alias(c), F.col("minima").alias(d)) for c, d in ("ax", "by"))
+    x, y = (signs.select(F.col("cls").alias(c), F.col("minima").alias(d)) for c, d in ("ax", "by"))
     best = _agreeing(met.join(x, "a").join(y, "b").select("a", "b", "x", "y"))
     best = materialize(best.groupBy("b").agg(F.max_by("a", "agreement").alias("a")), "met")
     first = materialize(_confirmed(best, docs, words, percent), "links")
@@ -170,10 +171,10 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     so_far = components(first)
     placed = materialize(heads.join(so_far.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls")), "placed")
-    met = materialize(_meetings(placed), "met")
+    met = materialize(_meetings(placed, signs), "met")
     second = materialize(_confirmed(met, docs, words, percent), "links")
     found = components(tied.union(first).union(second))
-    named_by = members.select("doc_id", "cls").distinct().join(found, F.col("cls") == F.col("node"), "left").groupBy(
+    named_by = members.join(found, F.col("cls") == F.col("node"), "left").groupBy(
         "doc_id").agg(F.min(F.coalesce("component", "cls")).alias("component"))
     return (
         signed.select("doc_id", "n_shingles").join(named_by, "doc_id", "left")
