@@ -54,12 +54,16 @@ def _hash(a: Column, b: Column) -> Column:
     return F.xxhash64(a, b)
 
 
+def _lesser(a: Column, b: Column) -> Column:
+    return F.least(a, b)
+
+
 def with_windows(df: DataFrame, lengths: list[int], length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Adds, for every window length n, the array ``at_<n>`` of the windows' fingerprints; needs ``words``."""
     df = df.withColumn("at_1", F.transform("words", lambda w: F.xxhash64(w)))
     for n in sorted(lengths, reverse=True):
         if n == length:
-            df = _spread(_spread(df, "at_1", gram, _hash, "grams"), "grams", length - gram + 1, F.least, f"at_{n}")
+            df = _spread(_spread(df, "at_1", gram, _hash, "grams"), "grams", length - gram + 1, _lesser, f"at_{n}")
             df = df.drop("grams")
         elif n > 1:
             df = _spread(df, "at_1", n, _hash, f"at_{n}")
