@@ -7,11 +7,14 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamlytics.llm.ann import nearest, usable
+from streamlytics.llm.bpe import read_ranks, round_trip
 from streamlytics.llm.decontaminate import LENGTH, WORD, contamination, is_contaminated
 from streamlytics.llm.line_dedup import MIN_PAGES, RATIO, drop_boilerplate
 from streamlytics.llm.minhash import near_duplicates
 from streamlytics.llm.registry import query, table
 from streamlytics.llm.suffix_dedup import remove_repeats
+from streamlytics.llm.warc import read_archives, with_revisits, write_archives
 
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '{WORD}')"
@@ -47,6 +50,24 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
+def tokenizer() -> tuple[dict[bytes, int], str]:
+    """Ranks and word pattern of the installed public tokenizer."""
+    import public_tokenizers
+
+    return read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+@query()
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), *tokenizer())
+
+
+@query()
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = usable(table(spark, sf_dir, "embeddings"))
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 @query()
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
@@ -54,6 +75,21 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS n, sha256(body) AS digest FROM p),
+f AS (SELECT digest, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d LEFT JOIN f USING (digest)
+""")
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = write_archives(with_revisits(table(spark, sf_dir, "pages")))
+    return read_archives(archives, payload=False).filter("gap IS NULL").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query()
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

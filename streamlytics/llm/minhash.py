@@ -64,11 +64,12 @@ def signatures(df: DataFrame, doc_id: str, text: str, words: int = WORDS, seed:
                     band = mixed(band * np.uint64(31) + rows[:, i] + np.uint64(i))
                 out.append((key, len(x), int(x.sum().view(np.int64)), int(mixed(x + np.uint64(5)).sum().view(np.int64)),
                             (least >> np.uint64(56)).astype(np.uint8).tobytes(), band.view(np.int64)))
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_a", "set_b", "minima", "bands"]).astype(
-                {"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_a", "set_b", "minima", "bands"])
 
-    return df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInPandas(
-        sign, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, minima binary, bands array<bigint>")
+    # Ids pass through pandas as strings: numbers with nulls among them would become floats.
+    return df.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text")).mapInPandas(
+        sign, "doc_id string, n_shingles bigint, set_a bigint, set_b bigint, minima binary, bands array<bigint>"
+    ).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:

@@ -99,7 +99,7 @@ def _runs(df: DataFrame, length: int) -> DataFrame:
                     "name": names[least[first]].view(np.int64), "content": content.view(np.int64), "doc_id": key,
                     "text_hash": mark, "s": first.astype(np.int32), "e": (last + length).astype(np.int32)}))
             if out:
-                found = pd.concat([x.astype({"doc_id": "Int64"}) for x in out], ignore_index=True)
+                found = pd.concat(out, ignore_index=True)
                 for i in range(0, len(found), 50_000):
                     yield found[i:i + 50_000]
 
@@ -130,7 +130,7 @@ def _contents(reps: DataFrame, docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["name", "content", "bytes"])
 
     return docs.alias("d").join(
-        wanted.alias("w"), F.expr("d.doc_id <=> w.doc_id AND d.text_hash = w.text_hash")
+        wanted.alias("w"), ["doc_id", "text_hash"]
     ).select("d.text", "w.runs").mapInPandas(cut, "name bigint, content bigint, bytes binary")
 
 
@@ -171,8 +171,8 @@ def _repeated_windows(contents: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(doc_id, text_hash, spans array<struct<s, e>>)`` for texts with repeated strings, from rows of
-    ``(doc_id, text_hash, text)``; spans may overlap."""
-    runs = materialize(_runs(docs, length), "runs")
+    ``(doc_id, text_hash, text)`` without null ids; spans may overlap."""
+    runs = materialize(_runs(docs.select("doc_id", "text_hash", "text"), length), "runs")
     shared = materialize(runs.groupBy("name").agg(
         F.count(F.lit(1)).alias("n"), (F.min("content") < F.max("content")).alias("open")).filter("n > 1").drop("n"),
         "shared-names")
@@ -192,14 +192,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``(doc_id, n_bytes, spans array<struct<s, e>>, kept binary)`` for each row: the maximal removed runs of bytes
     and what is left of the text."""
-    docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-                     F.col(text).alias("text"))
+    # A key without nulls; the id itself passes through pandas as a string, as nulls would make floats of numbers.
+    given = F.col(doc_id).cast("bigint")
+    docs = df.select(F.coalesce(given, F.lit(0)).alias("doc_id"), F.xxhash64(text, given.isNull()).alias("text_hash"),
+                     F.col(text).alias("text"), given.cast("string").alias("given"))
     found = materialize(repeated_spans(docs, length), "spans")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for key, text, spans in zip(batch["doc_id"], batch["text"], batch["spans"], strict=True):
+            for key, text, spans in zip(batch["given"], batch["text"], batch["spans"], strict=True):
                 raw, merged = (text or "").encode("utf-8", "surrogatepass"), []
                 for s, e in sorted((x["s"], x["e"]) for x in (spans if spans is not None else ())):
                     if merged and s <= merged[-1][1]:
@@ -209,9 +211,8 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
                 edges = [0, *(x for pair in merged for x in pair), len(raw)]
                 kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 out.append((key, len(raw), [{"s": s, "e": e} for s, e in merged], kept))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "spans", "kept"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "spans", "kept"])
 
-    return docs.alias("d").join(
-        found.alias("f"), F.expr("d.doc_id <=> f.doc_id AND d.text_hash = f.text_hash"), "left"
-    ).select("d.doc_id", "d.text", "f.spans").mapInPandas(
-        cut, "doc_id bigint, n_bytes bigint, spans array<struct<s: int, e: int>>, kept binary")
+    return docs.join(found, ["doc_id", "text_hash"], "left").select("given", "text", "spans").mapInPandas(
+        cut, "doc_id string, n_bytes bigint, spans array<struct<s: int, e: int>>, kept binary"
+    ).withColumn("doc_id", F.col("doc_id").cast("bigint"))
