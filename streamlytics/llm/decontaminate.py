@@ -2,8 +2,9 @@
 
 A window is ``length`` consecutive words of a benchmark item (the whole item where it is shorter). Each window is
 represented by the least hash of its ``gram``-word grams, so equal windows have equal representatives: documents and
-items are joined on these fingerprints, of which neighbouring windows share most, and every hit is then compared on all
-its words (by SHA-256) and extended to the union of the windows that occur. No shared window is missed.
+items are joined on these fingerprints, of which neighbouring windows share most. In the documents that share one, the
+windows it stands for are compared on all their words (by SHA-256), and hits are extended to the union of the windows
+that occur. No shared window is missed.
 
 The benchmark's windows have a fixed width (two hashes, a number, an id). They are broadcast in blocks of at most
 about ``BLOCK`` rows; a larger benchmark takes more passes over the documents, with the same result.
@@ -26,6 +27,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LENGTH = 13
 GRAM = 8
 BLOCK = 100_000
+BROADCAST_DOCS = 20_000  # texts that share a fingerprint; more of them are joined by a shuffle
 
 
 def words(text: str) -> Column:
@@ -87,7 +89,9 @@ def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "te
     items = items.withColumn("n", F.least(F.size("words"), F.lit(length)))
     lengths = sorted(r["n"] for r in items.select("n").distinct().collect()) or [length]
     items = with_windows(items, lengths, length, gram).withColumn("at", _at(F.col("n"), lengths))
-    spots = items.select("item_id", "n", "words", F.posexplode("at").alias("i", "fp"))
+    # Outer: a plain explode would infer a filter on the size of the array and push the whole computation, many
+    # times over, into it.
+    spots = items.select("item_id", "n", "words", F.posexplode_outer("at").alias("i", "fp")).filter("fp IS NOT NULL")
     return spots.select("item_id", "n", "fp", _sha(F.col("i"), F.col("n")).alias("sha")).distinct(), lengths
 
 
@@ -97,42 +101,52 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     windows, lengths = item_windows(benchmark, length=length, gram=gram)
     windows = materialize(windows, "benchmark-windows")
     blocks = max(1, -(-windows.count() // block))
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), words(text).alias("words"))
-    marked = with_windows(base, lengths, length, gram).withColumn("n_words", F.size("words"))
-    ats = [f"at_{k}" for k in lengths]
-    # One null fingerprint per row stands for the row itself.
-    own = F.array(F.lit(None).cast("bigint"))
-
-    def pass_over(k: int) -> DataFrame:
-        marks = F.array_distinct(F.concat(*ats))
-        spots = marked.select("*", F.explode(F.concat(own, marks) if k == 0 else marks).alias("mark"))
-        part = windows.filter(F.pmod(F.xxhash64("item_id", "sha"), F.lit(blocks)) == k)
-        met = spots.join(F.broadcast(part), spots["mark"] == part["fp"], "left" if k == 0 else "inner")
-        if k == 0:
-            met = met.filter("fp IS NOT NULL OR mark IS NULL")
-        starts = F.filter(
-            F.transform(_at(F.col("n"), lengths), lambda x, i: F.when(x == F.col("fp"), i)), lambda i: i.isNotNull())
-        met = met.select("doc_id", "text_hash", "n_words", "words", "item_id", "n", "sha", starts.alias("starts"))
-        same = F.filter("starts", lambda i: _sha(i, F.col("n")) == F.col("sha"))
-        return met.select("doc_id", "text_hash", "n_words", "item_id", F.transform(
-            same, lambda i: F.struct(i.alias("s"), (i + F.col("n")).alias("e"))).alias("spans")
-        ).filter("item_id IS NULL OR size(spans) > 0")
-
-    hits = functools.reduce(DataFrame.union, [pass_over(k) for k in range(blocks)])
+    parts = [F.broadcast(windows.filter(F.pmod(F.xxhash64("item_id", "sha"), F.lit(blocks)) == k)) for k in range(blocks)]
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+
+    # Fingerprints alone meet the benchmark; a null one per row stands for the row itself.
+    marked = with_windows(texts.select("doc_id", "text_hash", words("text").alias("words")), lengths, length, gram)
+    marks = F.concat(F.array(F.lit(None).cast("bigint")), F.array_distinct(F.concat(*[f"at_{n}" for n in lengths])))
+    spots = marked.select("doc_id", "text_hash", F.size("words").alias("n_words"), F.explode_outer(marks).alias("mark"))
+    met = functools.reduce(DataFrame.union, [
+        spots.join(F.broadcast(part.select("fp").distinct()), F.col("mark") == F.col("fp"), "left" if k == 0 else "inner")
+        .filter("fp IS NOT NULL OR mark IS NULL").drop("fp") for k, part in enumerate(parts)])
+    base = materialize(met.groupBy("doc_id", "text_hash", "n_words").agg(
+        F.count_if(F.col("mark").isNull()).alias("rows"), F.collect_set("mark").alias("marks")), "fingerprints")
+
+    # Only texts that share a fingerprint are looked at again, and only at the windows it stands for.
+    near = base.filter(F.size("marks") > 0).select("doc_id", "text_hash", "marks")
+    if near.count() <= BROADCAST_DOCS:
+        near = F.broadcast(near)
+    same = F.expr("t.doc_id <=> m.doc_id AND t.text_hash = m.text_hash")
+    again = texts.alias("t").join(near.alias("m"), same).select(
+        "t.doc_id", "t.text_hash", "m.marks", words("t.text").alias("words"))
+    again = with_windows(again, lengths, length, gram)
+
+    def starts(n: int) -> Column:
+        return F.filter(F.transform(f"at_{n}", lambda x, i: F.when(F.array_contains("marks", x), F.struct(
+            i.alias("s"), F.lit(n).alias("n"), x.alias("fp")))), lambda x: x.isNotNull())
+
+    found = F.concat(*[starts(n) for n in lengths])
+    spans = F.transform(found, lambda x: F.struct(
+        x["s"].alias("s"), (x["s"] + x["n"]).alias("e"), x["fp"].alias("mark"), _sha(x["s"], x["n"]).alias("window")))
+    spans = again.select("doc_id", "text_hash", spans.alias("spans")).select(
+        "doc_id", "text_hash", F.explode_outer("spans").alias("span")).select("doc_id", "text_hash", "span.*")
+    hits = functools.reduce(DataFrame.union, [
+        spans.join(part, (F.col("mark") == F.col("fp")) & (F.col("window") == F.col("sha"))) for part in parts])
+    hits = hits.groupBy("doc_id", "text_hash").agg(
+        F.collect_set(F.struct("s", "e")).alias("spans"), F.collect_set(F.col("item_id").cast("string")).alias("items"))
     merged = F.aggregate(
-        F.array_sort(F.array_distinct(F.flatten("spans"))), F.struct(F.lit(0).alias("end"), F.lit(0).alias("hit")),
+        F.array_sort("spans"), F.struct(F.lit(0).alias("end"), F.lit(0).alias("hit")),
         lambda acc, x: F.struct(
             F.greatest(acc["end"], x["e"]).alias("end"),
             (acc["hit"] + F.greatest(F.lit(0), x["e"] - F.greatest(acc["end"], x["s"]))).alias("hit")),
         lambda acc: acc["hit"])
-    return (
-        hits.groupBy("doc_id", "text_hash", "n_words").agg(
-            F.count_if(F.col("item_id").isNull()).alias("rows"), F.collect_list("spans").alias("spans"),
-            F.collect_set(F.col("item_id").cast("string")).alias("items"))
-        .select("doc_id", "text_hash", F.col("n_words").cast("bigint").alias("n_words"),
-                merged.cast("bigint").alias("n_hit"), F.array_sort("items").alias("items"),
-                F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("row")).drop("row")
-    )
+    return base.alias("t").join(hits.alias("m"), same, "left").select(
+        "t.doc_id", "t.text_hash", F.col("n_words").cast("bigint").alias("n_words"),
+        F.coalesce(merged, F.lit(0)).cast("bigint").alias("n_hit"),
+        F.coalesce(F.array_sort("items"), F.array().cast("array<string>")).alias("items"),
+        F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("row")).drop("row")
 
 
 def is_contaminated(n_hit: Column, n_words: Column) -> Column:
