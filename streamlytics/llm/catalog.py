@@ -7,6 +7,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamlytics.llm import toxicity
 from streamlytics.llm.ann import nearest, usable
 from streamlytics.llm.bpe import read_ranks, round_trip
 from streamlytics.llm.decontaminate import LENGTH, WORD, contamination, is_contaminated
@@ -17,6 +18,18 @@ from streamlytics.llm.suffix_dedup import remove_repeats
 from streamlytics.llm.warc import read_archives, with_revisits, write_archives
 
 
+TOXIC_FROM = 0.3
+
+
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '{WORD}')"
 
 
