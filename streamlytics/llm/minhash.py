@@ -8,8 +8,9 @@ Documents are sets of word shingles; two are linked when 100 * |A & B| >= percen
 3. A class meets, in each band, the smallest class of its bucket; the meeting whose signatures agree most is checked on
    the full sets. The links found give first components.
 4. Within buckets that still hold several components, classes outside the bucket's largest component meet all classes
-   of other components. Hot buckets are split into blocks, the meetings are made inside tasks, and only pairs whose
-   signatures agree enough leave them. They too are checked on the full sets.
+   of other components, each pair in the first band it shares, and are checked on the full sets where their signatures
+   agree enough. Large buckets are met block by block in many tasks. Only links leave the tasks, and none between
+   components that the task has already joined.
 5. Components over all confirmed links, by large-star and small-star.
 
 So every pair that shares a bucket is either compared or already connected. A pair at the threshold of 0.85 shares no
@@ -38,7 +39,7 @@ WORDS, PERCENT = 5, 85
 BANDS, ROWS = 24, 5
 LEAST_AGREEMENT = 0.68  # of BANDS * ROWS minima, of which a byte each is kept; 0.85 less 5.2 standard deviations
 BROADCAST_IDS = 500_000  # numbers of 8 bytes; more of them are joined by a shuffle
-BLOCK = 1024  # classes of a bucket that meet in one task
+BLOCK = 500_000  # shingles of the classes of a bucket that one task holds, twice
 
 
 def signatures(df: DataFrame, doc_id: str, text: str, words: int = WORDS, seed: int = 1) -> DataFrame:
@@ -72,6 +73,19 @@ def signatures(df: DataFrame, doc_id: str, text: str, words: int = WORDS, seed:
     ).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents of some ids."""
+    ids = materialize(ids.distinct(), "compared")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The ``(a, b)`` pairs whose full shingle sets reach the threshold."""
 
@@ -83,15 +97,11 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
                 if a != last:
                     last, x = a, shingle_numbers(text_a, words, powers)
                 y = shingle_numbers(text_b, words, powers)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
+                if _linked(x, y, percent):
                     keep.append((a, b))
             yield pd.DataFrame(keep, columns=["a", "b"], dtype="int64")
 
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "compared")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    docs = docs.join(ids, "doc_id", "left_semi")
+    docs = _only(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
     a, b = (docs.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
     return pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInPandas(check, "a bigint, b bigint")
 
@@ -113,33 +123,57 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
     return pairs.mapInPandas(compare, "a bigint, b bigint, agreement double")
 
 
-def _meetings(rows: DataFrame, signs: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` across components within buckets, from rows of ``(band, key, cls, component)`` and the
-    ``(cls, minima)``."""
-    own = rows.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"))
+def _met_in_buckets(rows: DataFrame, signed: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` across components, one at least for each two components that share a bucket and are linked
+    within it; from rows of ``(band, key, cls, n, component)`` and ``(cls, minima, bands, text)``."""
+    own = rows.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"))
     buckets = materialize(own.groupBy("band", "key").agg(
-        F.max_by("component", "n").alias("major"), F.sum("n").alias("total"),
+        F.max_by("component", "rows").alias("major"), F.ceil(F.sum("n") / F.lit(BLOCK)).cast("int").alias("blocks"),
         F.count(F.lit(1)).alias("parts")).filter("parts > 1"), "shared")
-    blocks = F.ceil(F.col("total") / F.lit(BLOCK)).cast("int")
     held = rows.join(buckets, ["band", "key"]).withColumn("minor", F.col("component") != F.col("major"))
-    # Each class lies in one block; a class outside the largest component also visits all other blocks.
-    at = F.pmod(F.xxhash64("cls"), blocks).cast("int")
-    dealt = held.withColumn("home", at).withColumn(
-        "block", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array("home"))))
+    held = held.withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    # Block a of the classes outside the largest component visits block b of all classes; each task holds two blocks.
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    at_home = F.transform(every, lambda i: F.struct(
+        i.alias("a"), F.col("own").alias("b"), (F.col("minor") & (i == F.col("own"))).alias("visits"), F.lit(True).alias("home")))
+    away = F.transform(F.filter(every, lambda i: F.col("minor") & (i != F.col("own"))), lambda i: F.struct(
+        F.col("own").alias("a"), i.alias("b"), F.lit(True).alias("visits"), F.lit(False).alias("home")))
+    dealt = held.select("band", "key", "cls", "component", "minor", F.inline(F.concat(at_home, away))).join(signed, "cls")
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        powers, out = Powers(), []
         sign = np.frombuffer(b"".join(group["minima"]), np.uint8).reshape(len(group), -1)
-        cls, part, block = (group[c].to_numpy() for c in ("cls", "component", "block"))
-        home, minor = group["home"].to_numpy() == block, group["minor"].to_numpy()
-        for i in np.flatnonzero(minor):
-            other = np.flatnonzero(home & (part != part[i]) & (~minor | (cls > cls[i])))
-            near = other[_agreement(sign[other], sign[i]) >= LEAST_AGREEMENT] if len(other) else other
-            out += [(min(cls[i], cls[j]), max(cls[i], cls[j])) for j in near]
+        bands, band = np.stack(group["bands"]), int(group["band"].iloc[0])
+        cls, minor, home, visits = (group[c].to_numpy() for c in ("cls", "minor", "home", "visits"))
+        part = {c: c for c in group["component"]}  # components joined here need no second link
+
+        def find(c: int) -> int:
+            while part[c] != c:
+                part[c] = c = part[part[c]]
+            return c
+
+        sets: dict[int, np.ndarray] = {}
+
+        def shingles(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingle_numbers(group["text"].iloc[i], words, powers)
+            return sets[i]
+
+        component = group["component"].to_numpy()
+        for i in np.flatnonzero(visits):
+            other = np.flatnonzero(home & (component != component[i]) & (~minor | (cls > cls[i])))
+            # A pair meets in the first band it shares.
+            other = other[~(bands[other, :band] == bands[i, :band]).any(1)] if band else other
+            agreement = _agreement(sign[other], sign[i])
+            near = other[agreement >= LEAST_AGREEMENT]
+            for j in near[np.argsort(-agreement[agreement >= LEAST_AGREEMENT], kind="stable")]:
+                x, y = find(component[i]), find(component[j])
+                if x != y and _linked(shingles(i), shingles(j), percent):
+                    part[x] = y
+                    out.append((min(cls[i], cls[j]), max(cls[i], cls[j])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    dealt = dealt.select("band", "key", "block", "home", "minor", "cls", "component").join(signs, "cls")
-    return dealt.groupBy("band", "key", "block").applyInPandas(meet, "a bigint, b bigint").distinct()
+    return dealt.groupBy("band", "key", "a", "b").applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
@@ -155,8 +189,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     members = materialize(
         named.join(copied, same, "left").select("doc_id", F.coalesce("cls", "doc_id").alias("cls")).distinct(), "members")
     chosen = named.join(members.filter("doc_id = cls").select("cls"), F.col("doc_id") == F.col("cls"))
-    signs = materialize(chosen.select("cls", "minima"), "signs")
-    heads = materialize(chosen.select("cls", F.posexplode("bands").alias("band", "key")), "buckets")
+    signs = materialize(chosen.select("cls", "minima", "bands", F.col("n_shingles").alias("n")), "signs")
+    heads = materialize(signs.select("cls", "n", F.posexplode("bands").alias("band", "key")), "buckets")
 
     hubs = materialize(
         heads.groupBy("band", "key").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).filter("a < z"), "hubs")
@@ -172,8 +206,12 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     so_far = components(first)
     placed = materialize(heads.join(so_far.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls")), "placed")
-    met = materialize(_meetings(placed, signs), "met")
-    second = materialize(_confirmed(met, docs, words, percent), "links")
+    shared = placed.join(
+        placed.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("z")).filter("x < z"),
+        ["band", "key"], "left_semi")
+    texts = _only(docs, shared.select(F.col("cls").alias("doc_id"))).select(F.col("doc_id").alias("cls"), "text")
+    second = _met_in_buckets(placed, signs.select("cls", "minima", "bands").join(texts, "cls"), words, percent)
+    second = materialize(second, "links")
     found = components(tied.union(first).union(second))
     named_by = members.join(found, F.col("cls") == F.col("node"), "left").groupBy(
         "doc_id").agg(F.min(F.coalesce("component", "cls")).alias("component"))

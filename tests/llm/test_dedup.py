@@ -64,7 +64,7 @@ def test_near_duplicates_equal_brute_force(spark):
 def test_near_duplicates_over_a_hot_bucket_in_blocks(spark, monkeypatch):
     from streamlytics.llm import minhash
 
-    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "BLOCK", 2000)
     rng = random.Random(6)
     words = [f"w{i}" for i in range(120)]
     rows = [(i, varied(rng, words, rng.randrange(0, 9))) for i in range(150)]
