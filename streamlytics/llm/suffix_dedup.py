@@ -11,7 +11,8 @@ no exchange and run within a text. From there on Spark ranks, and positions whos
 2. Whole runs: runs of one name with equal content are repeated in all their windows. Where all runs of a name are
    equal, nothing is left to do.
 3. The last doubling, half the length to the whole: one run of each content left is ranked window by window against
-   the other contents of its name. Names with more than ``GROUP`` contents are ranked by a distributed count.
+   the other contents of its name, many names in a call. Names with more than ``GROUP`` contents are ranked by a
+   distributed count of their windows.
 
 Ranking all positions by plain rounds would sort every byte of the input as a row of two ranks and a position, some
 fifteen times the input in each round; see the README for figures.
@@ -33,7 +34,8 @@ from pyspark.sql import functions as F
 from streamlytics.session import materialize
 
 LENGTH = 200
-GROUP = 512
+GROUP = 10_000  # runs of a name, of some 300 bytes each, that one task ranks
+TOGETHER = 2_000  # runs ranked in one call, of as many names as it takes
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -95,11 +97,11 @@ def _runs(df: DataFrame, length: int) -> DataFrame:
                 np.cumsum(names * powers[:len(names)], out=total[1:])
                 end = last + length - half + 1
                 content = _pair((total[end] - total[first]) * inverse[first], (last - first).astype(np.uint64))
-                out.append(pd.DataFrame({
-                    "name": names[least[first]].view(np.int64), "content": content.view(np.int64), "doc_id": key,
-                    "text_hash": mark, "s": first.astype(np.int32), "e": (last + length).astype(np.int32)}))
+                out.append((names[least[first]].view(np.int64), content.view(np.int64), np.full(len(first), key),
+                            np.full(len(first), mark), first.astype(np.int32), (last + length).astype(np.int32)))
             if out:
-                found = pd.concat(out, ignore_index=True)
+                found = pd.DataFrame(dict(zip(
+                    ("name", "content", "doc_id", "text_hash", "s", "e"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
                 for i in range(0, len(found), 50_000):
                     yield found[i:i + 50_000]
 
@@ -138,9 +140,10 @@ def _repeated_windows(contents: DataFrame, length: int) -> DataFrame:
     """``(name, content, s, e)``: windows (relative spans) that occur in two contents of a name."""
 
     def within(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("content").reset_index(drop=True)
+        group = group.drop_duplicates(["name", "content"]).reset_index(drop=True)
         row, at, names = _windows(group, length)
-        _, number, count = np.unique(names, return_inverse=True, return_counts=True)
+        _, number, count = np.unique(
+            _pair(group["name"].to_numpy().view(np.uint64)[row], names), return_inverse=True, return_counts=True)
         hit = count[number] > 1
         row, at = row[hit], at[hit]
         new = np.flatnonzero(np.concatenate(([True], (np.diff(row) != 0) | (np.diff(at) != 1)))) if len(at) else at
@@ -159,7 +162,9 @@ def _repeated_windows(contents: DataFrame, length: int) -> DataFrame:
 
     sizes = materialize(contents.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "contents-of-names")
     held = contents.join(sizes, "name")
-    few = held.filter(F.col("n") <= GROUP).select("name", "content", "bytes").groupBy("name").applyInPandas(
+    calls = max(1, contents.count() // TOGETHER)
+    few = held.filter(F.col("n") <= GROUP).select("name", "content", "bytes").groupBy(
+        F.pmod(F.xxhash64("name"), F.lit(calls)).alias("call")).applyInPandas(
         within, "name bigint, content bigint, s int, e int")
     many = held.filter(F.col("n") > GROUP).select("name", "content", "bytes").dropDuplicates(["name", "content"]).mapInPandas(
         spread, "name bigint, content bigint, window bigint, s int")
