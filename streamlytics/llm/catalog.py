@@ -7,7 +7,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlytics.llm import toxicity
+from streamlytics.llm import html_text, pii, toxicity
 from streamlytics.llm.ann import nearest, usable
 from streamlytics.llm.bpe import read_ranks, round_trip
 from streamlytics.llm.decontaminate import LENGTH, WORD, contamination, is_contaminated
@@ -81,6 +81,13 @@ def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
 
 
+@query()
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, html_text.train()).select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query()
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
@@ -108,6 +115,13 @@ def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.train(docs)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @query(f"""
 WITH lines AS (
     SELECT DISTINCT source, text, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL),

@@ -15,16 +15,21 @@ _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings that operators on whole documents need."""
+    tune(spark)
+    # Rows hold whole documents: small batches bound what a Python worker holds at once.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    return spark
+
+
 def query(oracle: str | None = None) -> Callable[[Query], Query]:
     """Register a function of (session, table folder) under its own name."""
 
     def add(function: Query) -> Query:
         @functools.wraps(function)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            tune(spark)
-            # Rows hold whole documents: small batches bound what a Python worker holds at once.
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
-            return function(spark, sf_dir)
+            return function(prepared(spark), sf_dir)
 
         _QUERIES[function.__name__] = run
         if oracle is not None:

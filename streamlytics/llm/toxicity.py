@@ -365,4 +365,4 @@ def score(docs: DataFrame, scorer: Scorer | None) -> DataFrame:
         for batch in batches:
             yield pd.Series(own([t if isinstance(t, str) else None for t in batch]))
 
-    return rows.withColumn("score", F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)(F.col("text")))
+    return rows.withColumn("score", F.pandas_udf(run, "double")(F.col("text")))
