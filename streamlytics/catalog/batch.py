@@ -141,9 +141,9 @@ SELECT event_id, ip, coalesce(province, '-') AS province, coalesce(city, '-') AS
 FROM app LEFT JOIN dim ON ip_num BETWEEN start_ip AND end_ip
 """)
 def ip_enrich_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The way taken when the range table is too large to broadcast."""
+    """The same by one sorted axis of addresses and ranges."""
     rows = users.read_app_events(inputs.app_event_lines(inputs.events(spark, sf_dir)), ("event_id",))
-    return ops.enrich_ip(rows.select("event_id", "ip"), inputs.ip_ranges(spark, sf_dir), max_broadcast=0)
+    return ops.enrich_ip(rows.select("event_id", "ip"), inputs.ip_ranges(spark, sf_dir), way="merge")
 
 
 @query(f"""

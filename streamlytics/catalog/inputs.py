@@ -101,12 +101,13 @@ def arrival() -> Column:
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One address range per nation, with gaps between them."""
+    """One address range per nation with gaps between them, and another within each."""
     start = F.lit(10 << 24) + F.col("n_nationkey").cast("bigint") * (1 << 16)
+    outer = F.struct(start.alias("start_ip"), (start + 239 * 256 + 255).alias("end_ip"),
+                     F.concat(F.lit("city_"), "n_regionkey").alias("city"))
+    inner = F.struct((start + 100 * 256).alias("start_ip"), (start + 120 * 256 + 255).alias("end_ip"), F.lit("inner").alias("city"))
     return table(spark, sf_dir, "nation").select(
-        start.alias("start_ip"), (start + 239 * 256 + 255).alias("end_ip"),
-        F.col("n_name").alias("province"), F.concat(F.lit("city_"), "n_regionkey").alias("city"),
-    )
+        F.col("n_name").alias("province"), F.inline(F.array(outer, inner))).select("start_ip", "end_ip", "province", "city")
 
 
 def kafka_rows(rows: DataFrame) -> DataFrame:
@@ -143,9 +144,9 @@ shop AS (
 """
 DIM = """
 dim AS (
-  SELECT (10 * 16777216) + n_nationkey * 65536 AS start_ip,
-         (10 * 16777216) + n_nationkey * 65536 + 239 * 256 + 255 AS end_ip,
-         n_name AS province, 'city_' || n_regionkey AS city
-  FROM nation
+  SELECT (10 * 16777216) + n_nationkey * 65536 + s * 256 AS start_ip,
+         (10 * 16777216) + n_nationkey * 65536 + e * 256 + 255 AS end_ip,
+         n_name AS province, CASE WHEN s = 100 THEN 'inner' ELSE 'city_' || n_regionkey END AS city
+  FROM nation, (VALUES (0, 99), (100, 120), (121, 239)) AS part(s, e)
 )
 """

@@ -9,6 +9,7 @@ from pyspark.sql.types import IntegralType, StringType, StructField, StructType
 from streamlytics.functions.barrier import once
 
 CORRUPT = "__corrupt"
+END = "__end"
 
 
 def _as_text(schema: StructType) -> StructType:
@@ -48,18 +49,20 @@ def _typed(prefix: str, schema: StructType, defaults: dict) -> tuple[list[Column
 
 
 def _parsed(lines: DataFrame, schema: StructType, column: str) -> DataFrame:
-    """Attach the parsed record as ``__j``, parsed once per line."""
+    """Attach the parsed record as ``__j.r``, and as ``__j.w`` whether it is the whole line; both once per line."""
     shape = StructType([*_as_text(schema).fields, StructField(CORRUPT, StringType())])
-    return once(lines, F.from_json(F.col(column), shape, {"columnNameOfCorruptRecord": CORRUPT}), "__j")
-
-
-def _ok(column: str, faults: list[Column]) -> Column:
-    ok = (
-        F.col("__j").isNotNull()
-        & F.col(f"__j.{CORRUPT}").isNull()
-        # The parser stops at the closing brace; anything behind it makes the line malformed.
-        & F.col(column).rlike(r"\}\s*$")
-    )
+    record = F.from_json(F.col(column), shape, {"columnNameOfCorruptRecord": CORRUPT})
+    # The parser stops at the record's closing brace. Read as an array, the line and an end mark are two elements only if
+    # nothing but blanks follows the record; the mark is a hash of the line, which no line can hold itself.
+    mark = F.xxhash64(F.lit(END), F.col(column)).cast("string")
+    listed = F.from_json(
+        F.concat(F.lit("["), F.col(column), F.lit(f',{{"{END}":"'), mark, F.lit('"}]')), f"array<struct<{END}: string>>")
+    whole = F.transform(listed, lambda x: F.coalesce(x[END], F.lit(""))) == F.array(F.lit(""), mark)
+    return once(lines, F.struct(record.alias("r"), whole.alias("w")), "__j")
+
+
+def _ok(faults: list[Column]) -> Column:
+    ok = F.col("__j.r").isNotNull() & F.col(f"__j.r.{CORRUPT}").isNull() & F.col("__j.w")
     for fault in faults:
         ok = ok & ~fault
     return F.coalesce(ok, F.lit(False))
@@ -70,8 +73,8 @@ def split_json(
     keep: tuple[str, ...] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """``(records, rejected lines)``; missing fields are null, or their default."""
-    values, faults = _typed("__j", schema, defaults or {})
-    parsed, ok = _parsed(lines, schema, column), _ok(column, faults)
+    values, faults = _typed("__j.r", schema, defaults or {})
+    parsed, ok = _parsed(lines, schema, column), _ok(faults)
     return parsed.filter(ok).select(*keep, *values), parsed.filter(~ok).drop("__j")
 
 

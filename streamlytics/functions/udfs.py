@@ -7,44 +7,37 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# Largest IP dimension the scalar function may carry to the Python workers (about 10 MB).
-MAX_UDF_RANGES = 200_000
+from streamlytics.functions.ip import IPV4
+from streamlytics.operators.enrich import prefix_table
+from streamlytics.session import materialize
 
 
-def register_ip_parser(spark: SparkSession, ranges: DataFrame, name: str = "ip_parser",
-                       limit: int = MAX_UDF_RANGES) -> None:
+
+def register_ip_parser(spark: SparkSession, ranges: DataFrame, name: str = "ip_parser") -> None:
     """Register ``ip_parser(ip)`` giving ``province-city`` (``---`` when unknown) for use in SQL.
 
-    The dimension travels to the workers, so its size is checked; beyond the limit use
-    ``enrich_ip``, which joins and has no such bound.
+    A SQL function over a view of the ranges, which plans as the join of ``enrich_ip`` on the /16: the ranges stay
+    a table of any size, and nothing of them passes through the driver.
     """
-    columns = ("start_ip", "end_ip", "province", "city")
-    table = ranges.select(*columns).limit(limit + 1).toPandas()
-    if len(table) > limit:
-        raise ValueError(f"more than {limit} IP ranges: join with enrich_ip instead")
-    table = table.sort_values("start_ip")
-    starts = table["start_ip"].to_numpy(dtype="int64")
-    ends = table["end_ip"].to_numpy(dtype="int64")
-    labels = (table["province"].fillna("-") + "-" + table["city"].fillna("-")).to_numpy(dtype=object)
-
-    @F.pandas_udf("string")
-    def ip_label(ip: pd.Series) -> pd.Series:
-        octets = ip.str.extract(r"^(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})$").astype("float64")
-        valid = (octets.notna() & (octets <= 255)).all(axis=1).to_numpy()
-        number = (octets.fillna(0).to_numpy() @ np.array([1 << 24, 1 << 16, 1 << 8, 1])).astype("int64")
-        at = np.searchsorted(starts, number, side="right") - 1
-        found = valid & (at >= 0)
-        found[found] = number[found] <= ends[at[found]]
-        out = np.full(len(ip), "---", dtype=object)
-        out[found] = labels[at[found]]
-        return pd.Series(out)
-
-    spark.udf.register(name, ip_label)
+    view = f"{name}_ranges"
+    materialize(prefix_table(ranges), "ip_prefixes").createOrReplaceTempView(view)
+    steps = ", ".join(str(1 << k) for k in range(16, -1, -1))
+    number = " + ".join(f"try_cast(split_part(ip, '.', {i + 1}) AS BIGINT) * {1 << (24 - 8 * i)}" for i in range(4))
+    number = f"CASE WHEN ip RLIKE r'{IPV4}' THEN {number} END"
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}_in(segments ARRAY<STRUCT<
+            start_ip: BIGINT, end_ip: BIGINT, province: STRING, city: STRING>>, number BIGINT) RETURNS STRING
+        RETURN coalesce(element_at(transform(array(get(segments, aggregate(array({steps}), 0, (n, step) ->
+            IF(n + step <= size(segments) AND get(segments, n + step - 1).start_ip <= number, n + step, n)) - 1)),
+            s -> IF(s.end_ip >= number, coalesce(s.province, '-') || '-' || coalesce(s.city, '-'), NULL)), 1), '---')""")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(ip STRING) RETURNS STRING
+        RETURN {name}_in(
+            (SELECT first(r.segments) FROM {view} r WHERE r.prefix = floor(({number}) / {1 << 16})), {number})""")
 
 
 def map_with_lifecycle(
@@ -85,7 +78,7 @@ def register_split_words(spark: SparkSession, name: str = "split_words") -> None
     spark.udtf.register(name, SplitWords)
 
 
-def counted(df: DataFrame, name: str = "myCounter") -> tuple[DataFrame, Observation]:
+def counted(df: DataFrame, name: str = "rows_passed") -> tuple[DataFrame, Observation]:
     """Count rows as they pass; read ``observation.get[name]`` after the action."""
     observation = Observation(name)
     return df.observe(observation, F.count(F.lit(1)).alias(name)), observation

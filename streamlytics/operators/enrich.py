@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import heapq
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlytics.functions.ip import ip_to_long
@@ -11,38 +14,85 @@ from streamlytics.session import materialize
 
 UNKNOWN = "-"
 PREFIX = 1 << 16
-# Bound on the broadcast side: rows of the range table after it is cut at /16 borders.
-MAX_BROADCAST_PIECES = 500_000
+PLACES = ("province", "city")
+
 
+def _flat(piece: pd.DataFrame) -> pd.DataFrame:
+    """Disjoint segments of the ranges within one /16: at each address the range with the largest start rules, the
+    shortest of those, and the first place by name of those."""
+    rows = piece.sort_values(["start_ip", "whole_start"]).reset_index(drop=True)
+    edges = sorted({*rows["start_ip"], *(rows["end_ip"] + 1)})
+    out, held, at = [], [], 0
+    for low, high in zip(edges, edges[1:]):
+        while at < len(rows) and rows["start_ip"][at] <= low:
+            r = rows.loc[at]
+            heapq.heappush(held, (-r["whole_start"], r["whole_end"], str(r["province"]), str(r["city"]), at))
+            at += 1
+        while held and rows["end_ip"][held[0][-1]] < low:
+            heapq.heappop(held)
+        if held:
+            r = rows.loc[held[0][-1]]
+            if out and out[-1][2] == low - 1 and out[-1][3] == held[0][-1]:
+                out[-1][2] = high - 1
+            else:
+                out.append([int(r["prefix"]), low, high - 1, held[0][-1], r["province"], r["city"]])
+    return pd.DataFrame([(p, s, e, a, b) for p, s, e, _, a, b in out], columns=["prefix", "start_ip", "end_ip", *PLACES])
 
-def _pieces(ranges: DataFrame) -> int:
-    """Rows the range table has once cut at /16 borders."""
-    count = F.sum(F.floor(F.col("end_ip") / PREFIX) - F.floor(F.col("start_ip") / PREFIX) + 1)
-    return int(ranges.agg(count.alias("n")).first()["n"] or 0)
 
+def flat_ranges(ranges: DataFrame) -> DataFrame:
+    """``(prefix, start_ip, end_ip, province, city)``: the ranges cut at /16 borders and made disjoint.
 
-def _by_broadcast(df: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Hash join on the /16 prefix with the range test on top; ``df`` stays where it is."""
+    Where ranges overlap, the one with the largest start that covers an address rules, then the shortest. A /16 has
+    65,536 addresses, which bounds its segments; equal ranges are one.
+    """
     first, last = F.floor(F.col("start_ip") / PREFIX), F.floor(F.col("end_ip") / PREFIX)
-    pieces = ranges.select("*", F.explode(F.sequence(first, last)).alias("__prefix"))
+    pieces = ranges.filter("start_ip <= end_ip").select("start_ip", "end_ip", *PLACES).distinct().select(
+        F.explode(F.sequence(first, last)).alias("prefix"), F.col("start_ip").alias("whole_start"),
+        F.col("end_ip").alias("whole_end"), *PLACES)
+    pieces = pieces.select(
+        "*", F.greatest("whole_start", F.col("prefix") * PREFIX).alias("start_ip"),
+        F.least("whole_end", F.col("prefix") * PREFIX + (PREFIX - 1)).alias("end_ip"))
+    return pieces.groupBy("prefix").applyInPandas(
+        _flat, "prefix bigint, start_ip bigint, end_ip bigint, province string, city string")
+
+
+def prefix_table(ranges: DataFrame) -> DataFrame:
+    """``(prefix, segments)``: one row per /16, its disjoint segments sorted by start."""
+    spot = F.struct("start_ip", "end_ip", *PLACES)
+    return flat_ranges(ranges).groupBy("prefix").agg(F.array_sort(F.collect_list(spot)).alias("segments"))
+
+
+def segment_at(segments: Column, ip: Column) -> Column:
+    """The segment that holds an address, by binary search; null if none does."""
+    steps = F.array(*[F.lit(1 << k) for k in range(16, -1, -1)])
+    started = F.aggregate(steps, F.lit(0), lambda n, step: F.when(
+        (n + step <= F.size(segments)) & (F.get(segments, n + step - 1)["start_ip"] <= ip), n + step).otherwise(n))
+    found = F.get(segments, started - 1)
+    return F.when(found["end_ip"] >= ip, found)
+
+
+def _by_prefix(df: DataFrame, ranges: DataFrame) -> DataFrame:
+    """An equality join on the /16 and a binary search in its segments; Spark picks how to join by the table's size."""
+    table = prefix_table(ranges)
+    if not ranges.isStreaming:
+        table = materialize(table, "ip_prefixes")
     keyed = df.withColumn("__prefix", F.floor(F.col("__ip") / PREFIX))
-    inside = (keyed["__prefix"] == pieces["__prefix"]) & F.col("__ip").between(
-        F.col("start_ip"), F.col("end_ip"))
-    return keyed.join(F.broadcast(pieces), inside, "left").drop("__prefix", "start_ip", "end_ip")
+    joined = keyed.join(table, keyed["__prefix"] == table["prefix"], "left")
+    return joined.withColumn("__at", segment_at(F.col("segments"), F.col("__ip"))).drop("__prefix", "prefix", "segments")
 
 
 def _by_merge(df: DataFrame, ranges: DataFrame) -> DataFrame:
-    """No broadcast: distinct addresses and range starts form one ordered axis, on which each
-    address takes the last range that started at or before it."""
-    spot = F.struct("start_ip", "end_ip", "__province", "__city")
-    starts = ranges.select(F.col("start_ip").alias("__ip"), F.lit(0).alias("__side"), spot.alias("__range"))
+    """Distinct addresses and segment starts form one ordered axis, on which each address takes the last segment that
+    started at or before it. Addresses that are none stay out of the join."""
+    spot = F.struct("start_ip", "end_ip", *PLACES)
+    starts = flat_ranges(ranges).select(F.col("start_ip").alias("__ip"), F.lit(0).alias("__side"), spot.alias("__range"))
     wanted = df.select("__ip").filter("__ip is not null").distinct().withColumn("__side", F.lit(1))
     # Three passes follow over this table of distinct addresses; the input is read once for it.
     axis = materialize(wanted.unionByName(starts, allowMissingColumns=True), "ip_axis")
     found = running(axis, [], ["__ip", "__side"], [Running("__at", "max", "__range")]).filter("__side = 1")
-    inside = F.col("__ip") <= F.col("__at.end_ip")
-    places = found.filter(inside).select("__ip", "__at.__province", "__at.__city")
-    return df.join(places, "__ip", "left")
+    places = found.filter(F.col("__ip") <= F.col("__at.end_ip")).select("__ip", "__at")
+    known = df.filter("__ip is not null").join(places, "__ip", "left")
+    return known.unionByName(df.filter("__ip is null"), allowMissingColumns=True)
 
 
 def enrich_ip(
@@ -51,21 +101,17 @@ def enrich_ip(
     ip: str = "ip",
     province: str = "province",
     city: str = "city",
-    max_broadcast: int = MAX_BROADCAST_PIECES,
+    way: str = "prefix",
 ) -> DataFrame:
     """Set ``province`` and ``city`` from ``ranges(start_ip, end_ip, province, city)``; ``-`` on a miss.
 
-    Ranges must not overlap. The range table is broadcast if it is counted to be small, and merged
-    along the address axis otherwise. A stream can only do the first; with a larger table call
-    this on each micro-batch.
+    One row out per row in, whatever ranges overlap (see :func:`flat_ranges`). ``way`` chooses the plan, not the
+    answer: ``prefix`` joins on the /16 and also serves streams, ``merge`` sorts addresses and ranges into one axis.
     """
-    renamed = ranges.select(
-        "start_ip", "end_ip", F.col("province").alias("__province"), F.col("city").alias("__city"))
-    rows = df.withColumn("__ip", ip_to_long(ip))
-    small = _pieces(ranges) <= max_broadcast
-    if df.isStreaming and not small:
-        raise ValueError("range table too large to broadcast: enrich each micro-batch instead")
-    joined = _by_broadcast(rows, renamed) if small else _by_merge(rows, renamed)
+    if way not in ("prefix", "merge"):
+        raise ValueError(f"unknown way {way}")
+    dim = ranges.select("start_ip", "end_ip", *PLACES)
+    joined = (_by_prefix if way == "prefix" else _by_merge)(df.withColumn("__ip", ip_to_long(ip)), dim)
     return joined.withColumns({
-        province: F.coalesce("__province", F.lit(UNKNOWN)), city: F.coalesce("__city", F.lit(UNKNOWN)),
-    }).drop("__ip", "__province", "__city")
+        province: F.coalesce("__at.province", F.lit(UNKNOWN)), city: F.coalesce("__at.city", F.lit(UNKNOWN)),
+    }).drop("__ip", "__at")

@@ -22,9 +22,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_CHUNKS = 4096
-# Largest integer a double holds exactly; the bucketing function works on doubles.
-EXACT_DOUBLE = 1 << 53
+ROWS_PER_CHUNK = 2_000_000
+# Quantiles taken in the pass that counts the rows; a longer history takes a second pass for more.
+FIRST_CUTS = 1_000
+# Chunk numbers hold three counters of this many bits.
+PLACE_BITS = 20
 
 _MERGE = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.sum}
 
@@ -47,43 +49,51 @@ class Running:
         return F.col(self.column)
 
 
-def _cuts(df: DataFrame, column: str, chunks: int) -> list[int]:
-    shares = [i / chunks for i in range(1, chunks)]
-    row = df.agg(
-        F.percentile_approx(F.col(column), shares, 4 * chunks).alias("cuts"), F.max(column).alias("top")
-    ).first()
-    if row["cuts"] is None or abs(row["top"]) > EXACT_DOUBLE:
-        return sorted(set(row["cuts"] or []))
-    return row["cuts"]
+def _cuts(df: DataFrame, column: str, chunks: int | None) -> list[int]:
+    """Quantiles of a column, for ``chunks`` chunks or for as many as the rows fill."""
+    def quantiles(n: int, *more: Column):
+        return df.agg(F.percentile_approx(F.col(column), [i / n for i in range(1, n)], 4 * n).alias("cuts"), *more).first()
+
+    if chunks is not None:
+        return quantiles(chunks)["cuts"] or []
+    first = quantiles(FIRST_CUTS, F.count(F.lit(1)).alias("n"))
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(2, floor, -(-first["n"] // ROWS_PER_CHUNK))
+    if chunks > FIRST_CUTS:
+        return quantiles(chunks)["cuts"] or []
+    cuts = first["cuts"] or []
+    return [cuts[i * len(cuts) // chunks] for i in range(1, chunks)] if cuts else []
 
 
 def _bucket(df: DataFrame, column: str, splits: Sequence[float], output: str) -> DataFrame:
-    """Binary search of a numeric column in sorted split points."""
+    """Binary search of a numeric column in sorted split points. The search is on doubles: integers that share one
+    share a bucket, so the bucket never decreases along the column."""
     source = f"{output}_x"
     inner = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol=source, outputCol=output,
                        handleInvalid="keep")
     return inner.transform(df.withColumn(source, F.col(column).cast("double"))).drop(source)
 
 
-def _chunk(df: DataFrame, order: Sequence[str], chunks: int) -> DataFrame:
+def _chunk(df: DataFrame, order: Sequence[str], chunks: int | None) -> DataFrame:
     """Add ``__chunk``, which never decreases along ``order``.
 
     A value that fills more than one chunk by itself gets a chunk of its own, split further along
-    the second order column.
+    the second order column. Whether a row has such a value is told by integers, not by doubles.
     """
     cuts = _cuts(df, order[0], chunks)
     if not cuts:
         return df.withColumn("__chunk", F.lit(0).cast("bigint"))
     heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-    splits = sorted({float(c) for c in cuts} | {float(h + 1) for h in heavy})
-    out = _bucket(df, order[0], splits, "__b0")
-    sub = F.lit(0)
+    out = _bucket(df, order[0], sorted({float(c) for c in cuts}), "__b0")
+    place, sub = F.lit(0).cast("bigint"), F.lit(0)
+    for value in heavy:  # before it, at it, behind it
+        place = place + (F.col(order[0]) >= value).cast("bigint") + (F.col(order[0]) > value).cast("bigint")
     if heavy and len(order) > 1:
-        inner = sorted({float(c) for c in _cuts(df.filter(F.col(order[0]).isin(heavy)), order[1], chunks)})
+        inner = sorted({float(c) for c in _cuts(df.filter(F.col(order[0]).isin(heavy)), order[1], len(cuts) + 1)})
         if inner:
             out = _bucket(out, order[1], inner, "__b1")
             sub = F.when(F.col(order[0]).isin(heavy), F.col("__b1")).otherwise(0)
-    chunk = F.col("__b0").cast("bigint") * (2 * MAX_CHUNKS) + sub.cast("bigint")
+    chunk = F.shiftleft(F.col("__b0").cast("bigint"), 2 * PLACE_BITS) + F.shiftleft(place, PLACE_BITS) + sub.cast("bigint")
     return out.withColumn("__chunk", chunk).drop("__b0", "__b1")
 
 
@@ -99,16 +109,16 @@ def running(
 
     ``order`` holds one or two integral, non-null columns that together identify a row's place
     within its key. ``initial`` gives values carried in from before the first row, by aggregate
-    name (only without keys). The input is read twice and must be repeatable.
+    name (only without keys). Without ``chunks`` their number follows from the rows, ``ROWS_PER_CHUNK``
+    each. The plan is built by reading the order column once; the input must be repeatable.
     """
     keys, order = list(keys), list(order)
     if not 1 <= len(order) <= 2:
         raise ValueError("order takes one or two columns")
     if initial and keys:
         raise ValueError("initial values need a history without keys")
-    if chunks is None:
-        chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = max(2, min(chunks, MAX_CHUNKS))
+    if chunks is not None:
+        chunks = max(2, chunks)
 
     values = [f"__v{i}" for i in range(len(aggregates))]
     rows = _chunk(df, order, chunks).withColumns({v: a.input() for v, a in zip(values, aggregates)})

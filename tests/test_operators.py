@@ -224,19 +224,34 @@ def test_late_items_are_looked_up(spark):
     assert got == [(1, 10.0, "window"), (2, 20.0, "table"), (3, 10.0, "table"), (4, None, "none")]
 
 
-@pytest.mark.parametrize("max_broadcast", [1000, 0])
-def test_enrich_ip(spark, lines, max_broadcast):
+@pytest.mark.parametrize("way", ["prefix", "merge"])
+def test_enrich_ip(spark, lines, way):
     wide = 1 << 16
     ranges = table(spark, [(10, 20, "P", "C"), (21, 40, "Q", "D"), (wide - 5, 3 * wide, "W", "E")], schemas.IP_RANGE)
     ips = lines("0.0.0.10", "0.0.0.20", "0.0.0.21", "0.0.0.41", "0.0.0.9", "0.2.7.7", "0.0.255.255", "bad", None,
                 "0.0.0.10").withColumnRenamed("value", "ip")
-    got = rows(ops.enrich_ip(ips, ranges, max_broadcast=max_broadcast), "ip", "province", "city")
+    got = rows(ops.enrich_ip(ips, ranges, way=way), "ip", "province", "city")
     assert got == sorted([
         ("0.0.0.10", "P", "C"), ("0.0.0.10", "P", "C"), ("0.0.0.20", "P", "C"), ("0.0.0.21", "Q", "D"),
         ("0.0.0.41", "-", "-"), ("0.0.0.9", "-", "-"), ("0.2.7.7", "W", "E"), ("0.0.255.255", "W", "E"),
         ("bad", "-", "-"), (None, "-", "-")], key=repr)
 
 
+@pytest.mark.parametrize("way", ["prefix", "merge"])
+def test_enrich_ip_with_overlaps_gives_one_row_and_the_innermost(spark, lines, way):
+    rng = random.Random(3)
+    ranges = [(0, 100, "A", "a"), (50, 60, "B", "b"), (50, 60, "B", "b"), (50, 55, "C", "c"), (65_000, 200_000, "D", "d"),
+              (131_000, 131_100, "E", "e"), (9, 3, "X", "x")]
+    ranges += [(s, s + rng.randrange(40), f"P{i}", f"c{i}") for i, s in enumerate(rng.choices(range(300, 500), k=25))]
+    numbers = [*range(0, 120), *range(295, 560), 64_999, 65_000, 65_535, 65_536, 131_050, 131_101, 200_000, 200_001]
+    ips = lines(*(f"0.{n >> 16}.{n >> 8 & 255}.{n & 255}" for n in numbers)).withColumnRenamed("value", "ip")
+    want = []
+    for n in numbers:
+        inside = sorted(((-s, e, p, c) for s, e, p, c in ranges if s <= n <= e))
+        want.append((f"0.{n >> 16}.{n >> 8 & 255}.{n & 255}", *(inside[0][2:] if inside else ("-", "-"))))
+    assert rows(ops.enrich_ip(ips, table(spark, ranges, schemas.IP_RANGE), way=way), "ip", "province", "city") == sorted(want, key=repr)
+
+
 def test_enrich_ip_with_empty_dimension(spark, lines):
     empty = table(spark, [], schemas.IP_RANGE)
     assert rows(ops.enrich_ip(lines("1.1.1.1").withColumnRenamed("value", "ip"), empty), "province") == [("-",)]

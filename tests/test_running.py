@@ -80,3 +80,23 @@ def test_without_keys_and_with_initial_value(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k string, a bigint, b bigint, v bigint")
     assert running(df, ["k"], ["a", "b"], ALL).count() == 0
+
+
+def test_neighbours_of_a_heavy_value_beyond_exact_doubles(spark):
+    top = -(1 << 60)
+    data = [("k", top, i, 1) for i in range(40)] + [("k", top + 1, 40, 1), ("k", 5, 41, 1), ("k", top - 1, 42, 1), ("k", (1 << 60) + 1, 43, 1)]
+    check(spark, data, 5)
+    check(spark, [("k", a, i, 1) for i, a in enumerate([top] * 30 + [top + 1] * 30 + [top + 2] * 3)], 6)
+
+
+def test_chunks_follow_the_rows(spark, monkeypatch):
+    import sys
+
+    module = sys.modules["streamlytics.operators.running"]
+
+    monkeypatch.setattr(module, "ROWS_PER_CHUNK", 10)
+    monkeypatch.setattr(module, "FIRST_CUTS", 20)
+    for n in (150, 900):
+        placed = module._chunk(spark.range(n), ["id"], None)
+        sizes = [r["count"] for r in placed.groupBy("__chunk").count().collect()]
+        assert len(sizes) >= n // 20 and max(sizes) <= 40
