@@ -12,7 +12,7 @@ from streamlytics.catalog.inputs import APP, DAY, DIM, MINUTE, SHOP
 from streamlytics.catalog.registry import query
 from streamlytics.functions import clock, delimited, guards, jsonline, udfs
 from streamlytics.plans import shopping, users
-from streamlytics.session import shared_dir
+from streamlytics.session import materialize, shared_dir
 from streamlytics.sources import csv_view, kafka_records, text_lines
 from streamlytics.streaming import sinks
 
@@ -361,27 +361,26 @@ def pv_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TUMBLE = f"""
 WITH {APP}
-SELECT time - time % {DAY} AS w_start, time - time % {DAY} + {DAY} AS w_end, device AS user_id,
+SELECT time - time % 10000 AS w_start, time - time % 10000 + 10000 AS w_end, device AS user_id,
        round(sum(value), 2) AS total
-FROM app WHERE event = 'purchase' GROUP BY 1, 2, 3
+FROM app GROUP BY 1, 2, 3
 """
 
 
 def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.events(spark, sf_dir).filter("event_type = 'purchase'")
-    return rows.select(clock.event_ts("time").alias("ts"), F.concat(F.lit("d"), "user_id").alias("user_id"),
-                       F.col("value").alias("money"))
+    return inputs.events(spark, sf_dir).select(clock.event_ts("time").alias("ts"), F.concat(F.lit("d"), "user_id").alias("user_id"),
+        F.col("value").alias("money"))
 
 
 @query(TUMBLE)
 def tumble_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = plans.tumble_purchases(_purchases(spark, sf_dir), "1 day")
+    totals = plans.tumble_purchases(_purchases(spark, sf_dir))
     return totals.withColumn("total", F.round("total", 2))
 
 
 @query(TUMBLE)
 def tumble_sum_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = plans.tumble_purchases_sql(_purchases(spark, sf_dir), "1 day")
+    totals = plans.tumble_purchases_sql(_purchases(spark, sf_dir))
     return totals.withColumn("total", F.round("total", 2))
 
 
@@ -520,7 +519,7 @@ def first_seen_nu2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- joins and unions -----------------------------------------------------------------------------
 
-@query(f"""
+ITEM_ORDERS = f"""
 WITH items AS (SELECT *, (epoch_us(l_shipdate) // 1000) AS t FROM lineitem),
      placed AS (SELECT *, (epoch_us(o_orderdate) // 1000) AS t FROM orders)
 SELECT i.t - i.t % ({30 * DAY}) AS w_start, CAST(l_partkey AS INTEGER) AS item_itemId,
@@ -529,7 +528,10 @@ SELECT i.t - i.t % ({30 * DAY}) AS w_start, CAST(l_partkey AS INTEGER) AS item_i
        CAST(o_orderkey AS VARCHAR) AS order_orderId, o.t AS order_time, o_totalprice AS order_money
 FROM items i LEFT JOIN placed o
   ON l_orderkey = o_orderkey AND i.t // ({30 * DAY}) = o.t // ({30 * DAY})
-""")
+"""
+
+
+@query(ITEM_ORDERS)
 def windowed_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.order_item_join(
         inputs.item_lines(spark, sf_dir), inputs.order_lines(spark, sf_dir), "30 days")
@@ -592,7 +594,7 @@ def coflatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- top-k, routing -------------------------------------------------------------------------------
 
-@query(f"""
+TOP = f"""
 WITH {APP}, counts AS (
   SELECT time - time % 60000 - o * 60000 AS w_start, event, category, product, count(*) AS cnt
   FROM app, (SELECT unnest(range(5)) AS o) WHERE event <> 'startup' GROUP BY ALL
@@ -602,7 +604,10 @@ ranked AS (
 )
 SELECT w_start, w_start + 300000 AS w_end, event, category, product, cnt, CAST(rank AS INTEGER) AS rank
 FROM ranked WHERE rank <= 3
-""")
+"""
+
+
+@query(TOP)
 def topn_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.top_products(inputs.app_event_lines(inputs.events(spark, sf_dir)))
 
@@ -682,15 +687,43 @@ WITH {APP}
 SELECT 'user_behavior_' || (event_id % 4) || '_' || event_id AS id, device, deviceType, os, event,
        'wifi' AS net, CAST(NULL AS VARCHAR) AS channel, CAST(user_id AS VARCHAR) AS uid, nu, ip, time,
        CAST(NULL AS VARCHAR) AS version, CAST(NULL AS VARCHAR) AS province, CAST(NULL AS VARCHAR) AS city,
-       strftime(make_timestamp(time * 1000), '%Y%m%d') AS day, strftime(make_timestamp(time * 1000), '%H') AS hour
+       strftime(make_timestamp(time * 1000), '%Y%m%d') AS day, strftime(make_timestamp(time * 1000), '%H') AS hour,
+       true AS taken_in_later
 FROM app WHERE event = 'startup'
 """
 
 
+def with_intake(rows: DataFrame) -> DataFrame:
+    """The time of intake differs from run to run; that it lies after the event does not."""
+    return rows.withColumn("taken_in_later", F.col("ingest_time") > F.col("time")).drop("ingest_time")
+
+
 @query(ETL)
 def etl_warehouse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Warehouse rows but for the time of intake, which differs from run to run."""
     lines = inputs.app_event_lines(inputs.events(spark, sf_dir))
-    return plans.etl_rows(kafka_records(inputs.kafka_rows(lines))).drop("ingest_time")
+    return with_intake(plans.etl_rows(kafka_records(inputs.kafka_rows(lines))))
+
+
+@query("SELECT count(*) AS rows_passed FROM events WHERE event_type = 'view'")
+def row_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows counted as they pass to a sink."""
+    rows, seen = udfs.counted(inputs.events(spark, sf_dir).filter("event_type = 'view'"))
+    materialize(rows, "counted")
+    return spark.createDataFrame([(seen.get["rows_passed"],)], "rows_passed bigint")
+
+
+@query("SELECT event_type, count(*) AS cnt, CAST(1 AS BIGINT) AS places FROM events GROUP BY 1")
+def hash_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of a key lie in one partition."""
+    rows = ops.hash_exchange(inputs.table(spark, sf_dir, "events").select("event_type"), "event_type", partitions=7)
+    placed = rows.withColumn("place", F.spark_partition_id()).groupBy("event_type", "place").agg(F.count(F.lit(1)).alias("n"))
+    return placed.groupBy("event_type").agg(F.sum("n").alias("cnt"), F.count(F.lit(1)).alias("places"))
+
+
+@query("SELECT count(*) AS cnt, CAST(5 AS BIGINT) AS tasks FROM events")
+def set_parallelism(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ops.set_parallelism(inputs.table(spark, sf_dir, "events").select("event_id"), 5)
+    placed = rows.groupBy(F.spark_partition_id().alias("place")).agg(F.count(F.lit(1)).alias("n"))
+    return placed.agg(F.sum("n").alias("cnt"), F.count(F.lit(1)).alias("tasks"))
 
 

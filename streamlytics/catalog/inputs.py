@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlytics.functions.text import split_parts
+from streamlytics.session import shared_dir
 
 MINUTE = 60_000
 DAY = 86_400_000
@@ -19,13 +20,49 @@ def table(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) ->
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
+class Feed:
+    """A driver table as a stream that arrives in parts, ordered by time, and ends in a row far ahead.
+
+    Each part is a set of files in the shared folder; a query is run to its end after each, from its checkpoint. The
+    last row moves the watermark past all windows and stays in one that never closes.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, name: str, time: str, marks: dict, parts: int = 2):
+        self.rows, self.time, self.marks, self.parts = table(spark, sf_dir, name), time, marks, parts
+        self.folder = shared_dir(spark, "feeds", name)
+        micros = F.unix_micros(F.col(time).cast("timestamp"))
+        ends = [i / parts for i in range(1, parts)]
+        cuts = self.rows.agg(F.percentile_approx(micros, ends).alias("c")).first()["c"] or []
+        self.part = sum([(micros > c).cast("int") for c in cuts], F.lit(0))
+        self.add(0)
+
+    def add(self, i: int) -> None:
+        """Deliver part ``i``; the one after the last is the row far ahead."""
+        if i < self.parts:
+            rows = self.rows.filter(self.part == i)
+        else:
+            ahead = self.rows.agg((F.max(self.time) + F.expr("INTERVAL 400 DAYS")).alias(self.time))
+            rows = ahead.select(*[
+                F.col(f.name) if f.name == self.time else F.lit(self.marks.get(f.name)).cast(f.dataType).alias(f.name)
+                for f in self.rows.schema])
+        rows.write.parquet(f"{self.folder}/{i}")
+
+    def stream(self) -> DataFrame:
+        session = self.rows.sparkSession
+        return session.readStream.schema(self.rows.schema).option("recursiveFileLookup", "true").parquet(self.folder)
+
+
+def event_feed(spark: SparkSession, sf_dir: str) -> Feed:
+    return Feed(spark, sf_dir, "events", "ts", {"event_id": -1, "user_id": 0, "event_type": "view", "value": 0.0, "props": '{"k": 0}'})
+
+
 def millis(column: str) -> Column:
     return F.unix_millis(F.col(column).cast("timestamp"))
 
 
-def events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    """Events with epoch time and the product number of their properties."""
-    return table(spark, sf_dir, "events", stream).select(
+def events(spark: SparkSession, sf_dir: str, feed: Feed | None = None) -> DataFrame:
+    """Events with epoch time and the product number of their properties; a stream from a feed."""
+    return (feed.stream() if feed else table(spark, sf_dir, "events")).select(
         "event_id", "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"), millis("ts").alias("time"),
     )
@@ -69,13 +106,13 @@ def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(",", F.col("page_id") * 1000, host, F.length("html")).alias("value"))
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+def order_lines(spark: SparkSession, sf_dir: str, feed: Feed | None = None) -> DataFrame:
+    return (feed.stream() if feed else table(spark, sf_dir, "orders")).select(
         F.concat_ws(",", "o_orderkey", millis("o_orderdate"), "o_totalprice").alias("value"))
 
 
-def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(F.concat_ws(
+def item_lines(spark: SparkSession, sf_dir: str, feed: Feed | None = None) -> DataFrame:
+    return (feed.stream() if feed else table(spark, sf_dir, "lineitem")).select(F.concat_ws(
         ",", "l_partkey", "l_orderkey", millis("l_shipdate"), F.concat(F.lit("s"), "l_suppkey"),
         "l_quantity", "l_extendedprice",
     ).alias("value"))

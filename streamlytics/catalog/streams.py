@@ -8,116 +8,93 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from streamlytics import plans
 from streamlytics.catalog import inputs
-from streamlytics.catalog.batch import ETL, LATE, _words
-from streamlytics.catalog.inputs import APP, DAY, SHOP
+from streamlytics.catalog.batch import ETL, FIRST, ITEM_ORDERS, LATE, TOP, _words, with_intake
+from streamlytics.catalog.inputs import APP, SHOP
 from streamlytics.catalog.registry import query
 from streamlytics.plans import shopping, users
 from streamlytics.session import shared_dir
 from streamlytics.sources import kafka_records
 from streamlytics.streaming import batches, sinks
 from streamlytics.streaming.sinks import BatchTable
+from streamlytics.streaming.stateful import average_every_stream
 
 
 def _store(spark: SparkSession, name: str) -> BatchTable:
     return BatchTable(shared_dir(spark, "streams", name))
 
 
-def _run(spark: SparkSession, name: str, writer: DataStreamWriter) -> None:
+def _run(spark: SparkSession, name: str, writer: DataStreamWriter, *feeds: inputs.Feed, ahead: bool = True) -> None:
+    """Run a query to the end of its input after each part of the feeds has come, each time from its checkpoint."""
     checkpoint = shared_dir(spark, "checkpoints", name)
-    sinks.start(writer, checkpoint, {"availableNow": True}).awaitTermination()
+    for i in range(max([1, *(f.parts + ahead for f in feeds)])):
+        for feed in feeds if i else ():
+            feed.add(i)
+        sinks.start(writer, checkpoint, {"availableNow": True}).awaitTermination()
 
 
-def _collect(spark: SparkSession, name: str, df: DataFrame, mode: str = "append") -> DataFrame:
+def _collect(spark: SparkSession, name: str, df: DataFrame, *feeds: inputs.Feed, mode: str = "append",
+             ahead: bool = True) -> DataFrame:
     """Run a stream into a table of its own and read that back."""
     store = _store(spark, name)
-    _run(spark, name, df.writeStream.outputMode(mode).foreachBatch(store.write))
+    _run(spark, name, df.writeStream.outputMode(mode).foreachBatch(store.write), *feeds, ahead=ahead)
     return store.read(spark).drop("batch")
 
 
-def _shopping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.shopping_lines(inputs.events(spark, sf_dir, stream=True))
+def _shopping(spark: SparkSession, sf_dir: str, feed: inputs.Feed) -> DataFrame:
+    return inputs.shopping_lines(inputs.events(spark, sf_dir, feed))
+
+
+def _app_lines(spark: SparkSession, sf_dir: str, feed: inputs.Feed) -> DataFrame:
+    return inputs.app_event_lines(inputs.events(spark, sf_dir, feed))
 
 
-# A window is out once the watermark, the largest event time less the delay, has reached its end.
 @query(f"""
 WITH {SHOP}
 SELECT time - time % 10000 AS w_start, time - time % 10000 + 10000 AS w_end, count(*) AS pv
 FROM shop WHERE event_type = 'view' GROUP BY 1, 2
-HAVING time - time % 10000 + 10000 <= (SELECT max(time) - 1 FROM shop)
 """)
 def stream_page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _collect(spark, "page_views", plans.page_views(_shopping(spark, sf_dir)))
+    feed = inputs.event_feed(spark, sf_dir)
+    return _collect(spark, "page_views", plans.page_views(_shopping(spark, sf_dir, feed)), feed)
 
 
 @query(f"""
 WITH {SHOP}
 SELECT time - time % 3600000 AS w_start, time - time % 3600000 + 3600000 AS w_end, count(DISTINCT user_id) AS uv
 FROM shop WHERE event_type = 'view' GROUP BY 1, 2
-HAVING time - time % 3600000 + 3600000 <= (SELECT max(time) - 1 FROM shop)
 """)
 def stream_hourly_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _collect(spark, "hourly_uv", plans.hourly_uv(_shopping(spark, sf_dir)))
+    feed = inputs.event_feed(spark, sf_dir)
+    return _collect(spark, "hourly_uv", plans.hourly_uv(_shopping(spark, sf_dir, feed)), feed)
 
 
-@query(f"""
-WITH {APP}, counts AS (
-  SELECT time - time % 60000 - o * 60000 AS w_start, event, category, product, count(*) AS cnt
-  FROM app, (SELECT unnest(range(5)) AS o) WHERE event <> 'startup' GROUP BY ALL
-),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY w_start, event, category ORDER BY cnt DESC, product) AS rank FROM counts
-)
-SELECT w_start, w_start + 300000 AS w_end, event, category, product, cnt, CAST(rank AS INTEGER) AS rank
-FROM ranked WHERE rank <= 3 AND w_start + 300000 <= (SELECT max(time) - 20000 FROM app)
-""")
+@query(TOP)
 def stream_topn_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = inputs.app_event_lines(inputs.events(spark, sf_dir, stream=True)).select("value")
-    store = _store(spark, "topn")
+    feed, store = inputs.event_feed(spark, sf_dir), _store(spark, "topn")
     writer = batches.top_n_stream(
-        users.product_counts(lines), ["w_start", "w_end", "event", "category"], "cnt", ["product"], store.write)
-    _run(spark, "topn", writer)
+        users.product_counts(_app_lines(spark, sf_dir, feed).select("value")),
+        ["w_start", "w_end", "event", "category"], "cnt", ["product"], store.write)
+    _run(spark, "topn", writer, feed)
     return store.read(spark).drop("batch")
 
 
-@query(f"""
-WITH {APP}, counts AS (
-  SELECT time - time % {5 * DAY} AS w_start, event, category, product, count(*) AS cnt
-  FROM app WHERE event <> 'startup' GROUP BY ALL
-),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY w_start, event, category ORDER BY cnt DESC, product) AS rank FROM counts
-)
-SELECT w_start, w_start + {5 * DAY} AS w_end, event, category, product, cnt, CAST(rank AS INTEGER) AS rank
-FROM ranked WHERE rank <= 3 AND w_start + {5 * DAY} <= (SELECT max(time) - 20000 FROM app)
-""")
+@query(TOP)
 def stream_topn_timer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five-day windows, ranked in keyed state and released by timers."""
-    lines = inputs.app_event_lines(inputs.events(spark, sf_dir, stream=True)).select("value")
-    return _collect(spark, "topn_timer", plans.top_products_on_timer(lines, size="5 days", slide=None))
+    """Ranked in keyed state and released by timers."""
+    feed = inputs.event_feed(spark, sf_dir)
+    lines = _app_lines(spark, sf_dir, feed).select("value")
+    return _collect(spark, "topn_timer", plans.top_products_on_timer(lines), feed)
 
 
-@query(f"""
-WITH base AS (
-  SELECT user_id, event_type, value, CAST(props->>'$.k' AS INTEGER) AS k, (epoch_us(ts) // 1000) AS t FROM events
-),
-items AS (SELECT * FROM base WHERE event_type = 'purchase'),
-placed AS (SELECT * FROM base WHERE event_type = 'signup')
-SELECT i.t - i.t % {DAY} AS w_start, i.k AS item_itemId, CAST(i.user_id AS VARCHAR) AS item_orderId,
-       i.t AS item_time, i.value AS item_money, o.t AS order_time, o.value AS order_money
-FROM items i LEFT JOIN placed o ON i.user_id = o.user_id AND i.t // {DAY} = o.t // {DAY}
-WHERE i.t - i.t % {DAY} + {DAY} <= least((SELECT max(t) FROM items), (SELECT max(t) FROM placed))
-""")
+@query(ITEM_ORDERS)
 def stream_order_item_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream-stream join; the last window, whose unmatched items are still waiting, is left out."""
-    rows = inputs.events(spark, sf_dir, stream=True)
-    orders = rows.filter("event_type = 'signup'").select(
-        F.concat_ws(",", "user_id", "time", "value").alias("value"))
-    items = inputs.purchase_item_lines(rows).select("value")
-    joined = _collect(spark, "order_item", plans.order_item_join(items, orders, "1 day"))
-    ends = inputs.events(spark, sf_dir).filter("event_type in ('purchase', 'signup')").groupBy("event_type").agg(
-        F.max("time").alias("top")).agg(F.min("top")).first()[0]
-    return joined.filter(F.col("w_start") + DAY <= ends).select(
-        "w_start", "item_itemId", "item_orderId", "item_time", "item_money", "order_time", "order_money")
+    """Stream-stream join of the whole order and item tables."""
+    orders = inputs.Feed(spark, sf_dir, "orders", "o_orderdate", {"o_orderkey": -1, "o_totalprice": 0.0})
+    items = inputs.Feed(spark, sf_dir, "lineitem", "l_shipdate", {
+        "l_orderkey": -2, "l_partkey": -1, "l_suppkey": -1, "l_quantity": 0.0, "l_extendedprice": 0.0})
+    joined = plans.order_item_join(
+        inputs.item_lines(spark, sf_dir, items), inputs.order_lines(spark, sf_dir, orders), "30 days")
+    return _collect(spark, "order_item", joined, orders, items)
 
 
 @query(f"""
@@ -134,23 +111,49 @@ def stream_word_count_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH {APP}
-SELECT deviceType, count(DISTINCT device) AS devices, count(*) AS startups
-FROM app WHERE event = 'startup' GROUP BY 1
+{FIRST} SELECT event_id, device, deviceType, CASE WHEN rn = 1 THEN 1 ELSE 0 END AS nu2 FROM starts
 """)
 def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = inputs.app_event_lines(inputs.events(spark, sf_dir, stream=True)).select("value")
-    rows = _collect(spark, "first_seen", plans.first_time_users(lines, column="nu2"))
-    return rows.groupBy("deviceType").agg(F.sum("nu2").alias("devices"), F.count(F.lit(1)).alias("startups"))
+    feed = inputs.event_feed(spark, sf_dir)
+    rows = plans.first_time_users(_app_lines(spark, sf_dir, feed), "event_id", column="nu2")
+    return _collect(spark, "first_seen", rows, feed, ahead=False).select("event_id", "device", "deviceType", "nu2")
+
+
+AVERAGES = """
+WITH numbered AS (
+  SELECT user_id, CAST(props->>'$.k' AS BIGINT) AS k,
+         (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 3 AS grp
+  FROM events
+)
+SELECT user_id, sum(k) / 3.0::DOUBLE AS avg FROM numbered GROUP BY user_id, grp HAVING count(*) = 3
+"""
+
+
+def _averages(spark: SparkSession, sf_dir: str, keep_values: bool) -> DataFrame:
+    feed = inputs.event_feed(spark, sf_dir)
+    rows = average_every_stream(inputs.events(spark, sf_dir, feed), "user_id", "k", 3, keep_values, ["time", "event_id"])
+    return _collect(spark, "averages", rows, feed, ahead=False)
+
+
+@query(AVERAGES)
+def stream_avg_every_3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _averages(spark, sf_dir, False)
+
+
+@query(AVERAGES)
+def stream_avg_every_3_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the values themselves in map state."""
+    return _averages(spark, sf_dir, True)
 
 
 @query(f"WITH {LATE} SELECT event_id, time, is_late FROM flagged")
 def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.events(spark, sf_dir, stream=True).withColumn("arrival", inputs.arrival())
+    feed = inputs.Feed(spark, sf_dir, "events", "ts", {}, parts=1)
+    rows = inputs.events(spark, sf_dir, feed).withColumn("arrival", inputs.arrival())
     on_time, late, progress = (_store(spark, f"late_{part}") for part in ("on_time", "late", "progress"))
     _run(spark, "late_split", batches.late_split_stream(
         rows.select("event_id", "time", "arrival"), ["arrival", "event_id"], 3_600_000,
-        on_time, late, progress, 20_000))
+        on_time, late, progress, 20_000), feed, ahead=False)
     kept, missed = on_time.read(spark), late.read(spark)
     return kept.withColumn("is_late", F.lit(False)).unionByName(missed.withColumn("is_late", F.lit(True))).select(
         "event_id", "time", "is_late")
@@ -158,9 +161,9 @@ def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(ETL)
 def stream_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = inputs.app_event_lines(inputs.events(spark, sf_dir, stream=True))
-    rows = plans.etl_rows(kafka_records(inputs.kafka_rows(lines)))
-    return _collect(spark, "etl", rows).drop("ingest_time")
+    feed = inputs.event_feed(spark, sf_dir)
+    rows = plans.etl_rows(kafka_records(inputs.kafka_rows(_app_lines(spark, sf_dir, feed))))
+    return with_intake(_collect(spark, "etl", rows, feed, ahead=False))
 
 
 @query(f"""
@@ -170,7 +173,28 @@ FROM shop WHERE event_type = 'view' GROUP BY 1, 2
 """)
 def stream_item_pv_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each micro-batch writes mergeable bitmaps; views and visitors are united when read."""
-    store = _store(spark, "item_pv_uv")
-    _run(spark, "item_pv_uv", shopping.dated_views(_shopping(spark, sf_dir)).writeStream.foreachBatch(
-        sinks.bitmap_sink(store, ["date", "itemId"], "user_id")))
+    feed, store = inputs.event_feed(spark, sf_dir), _store(spark, "item_pv_uv")
+    _run(spark, "item_pv_uv", shopping.dated_views(_shopping(spark, sf_dir, feed)).writeStream.foreachBatch(
+        sinks.bitmap_sink(store, ["date", "itemId"], "user_id")), feed, ahead=False)
     return sinks.read_bitmaps(spark, store, ["date", "itemId"])
+
+
+@query(f"""
+WITH {APP}
+SELECT 'hash' AS store, os || '_' || nu AS name, count(*) AS n FROM app WHERE event = 'startup' GROUP BY 2
+UNION ALL SELECT 'set', os, count(DISTINCT device) FROM app WHERE event = 'startup' GROUP BY 2
+""")
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stream to two stores, each micro-batch computed once."""
+    feed = inputs.event_feed(spark, sf_dir)
+    counted, members = _store(spark, "fan_counts"), _store(spark, "fan_members")
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        counted.write(batch.groupBy(F.concat_ws("_", "os", "nu").alias("name")).agg(F.count(F.lit(1)).alias("n")), batch_id)
+
+    rows = users.startups(_app_lines(spark, sf_dir, feed).select("value"))
+    both = sinks.fan_out(count, sinks.set_sink(members, "os", "device"))
+    _run(spark, "fan_out", rows.writeStream.foreachBatch(both), feed, ahead=False)
+    totals = counted.read(spark).groupBy("name").agg(F.sum("n").alias("n"))
+    sets = sinks.read_set(spark, members).groupBy(F.col("key").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return totals.select(F.lit("hash").alias("store"), "name", "n").union(sets.select(F.lit("set").alias("store"), "name", "n"))

@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Ids per bitmap bucket of Spark's bitmap functions.
-BITMAP_WIDTH = 32_768
-# Beyond this many buckets the ids are too scattered for 4 KB bitmaps.
-MAX_BUCKETS = 1024
 
 
 def exact_counts(df: DataFrame, keys: Sequence[str], user: str, pv: str = "pv", uv: str = "uv") -> DataFrame:
@@ -22,12 +18,6 @@ def exact_counts(df: DataFrame, keys: Sequence[str], user: str, pv: str = "pv",
     return per_user.groupBy(*keys).agg(F.sum("__n").alias(pv), F.count(user).alias(uv))
 
 
-def id_span_buckets(df: DataFrame, user: str) -> int:
-    """How many bitmap buckets the ids span (one column-pruned aggregation)."""
-    row = df.agg(F.min(user).alias("lo"), F.max(user).alias("hi")).first()
-    return 0 if row["lo"] is None else (row["hi"] - row["lo"]) // BITMAP_WIDTH + 1
-
-
 def bitmap_parts(df: DataFrame, keys: Sequence[str], user: str) -> DataFrame:
     """Mergeable partial bitmaps ``(keys, bucket, bits, pv)``; merge with ``bitmap_or_agg``."""
     return df.groupBy(*keys, F.bitmap_bucket_number(user).alias("bucket")).agg(
@@ -35,15 +25,12 @@ def bitmap_parts(df: DataFrame, keys: Sequence[str], user: str) -> DataFrame:
     )
 
 
-def bitmap_counts(df: DataFrame, keys: Sequence[str], user: str, pv: str = "pv", uv: str = "uv",
-                  max_buckets: int = MAX_BUCKETS) -> DataFrame:
+def bitmap_counts(df: DataFrame, keys: Sequence[str], user: str, pv: str = "pv", uv: str = "uv") -> DataFrame:
     """Rows and distinct integer users per key, through bitmaps.
 
-    Bitmaps pay when ids are dense. The span of the ids is checked; scattered ids take
-    :func:`exact_counts`, which gives the same numbers.
+    A bitmap takes 4 KB for each key and each stretch of 32,768 ids in which the key has a user. It pays from some
+    hundred users per key and stretch on; for hashed or scattered ids :func:`exact_counts` gives the same numbers.
     """
-    if id_span_buckets(df, user) > max_buckets:
-        return exact_counts(df, keys, user, pv, uv)
     parts = bitmap_parts(df, keys, user)
     return parts.groupBy(*keys).agg(F.sum("pv").alias(pv), F.sum(F.bitmap_count("bits")).alias(uv))
 

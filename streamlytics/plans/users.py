@@ -50,12 +50,13 @@ def first_time_users(lines: DataFrame, row_id: str | None = None, order: Sequenc
                      column: str = "nu") -> DataFrame:
     """Startups with ``column`` set to 1 where a device shows up first within its device type.
 
-    A table needs a unique ``row_id`` column next to ``value``, which breaks ties in ``order``; a
-    stream goes by order of arrival.
+    A table needs a unique ``row_id`` column next to ``value``, which breaks ties in ``order``. A stream goes by
+    micro-batch, and within one by ``order`` and ``row_id`` where that is given.
     """
     identity = ["deviceType", "device"]
     if lines.isStreaming:
-        return first_seen_stream(startups(lines), identity, column)
+        kept = (row_id,) if row_id else ()
+        return first_seen_stream(startups(lines, kept), identity, column, order=[*order, *kept])
     if row_id is None:
         raise ValueError("a table needs row_id")
     return first_seen(startups(lines, (row_id,)), identity, order, row_id, column)

@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DOMAINS = ("www.example.com", "a.com", "b.com")
-FIXED_TIME = 1234567
-BASE_TRAFFIC = 1000
-
 
 def _pick(domains: Sequence[str], unit: Column) -> Column:
     """Choose a domain with a number in [0, 1)."""
@@ -19,9 +15,9 @@ def _pick(domains: Sequence[str], unit: Column) -> Column:
 
 
 def access_stream(
-    spark: SparkSession, tasks: int = 1, domains: Sequence[str] = DOMAINS, seed: int = 7
+    spark: SparkSession, domains: Sequence[str], time: int, base: float, tasks: int = 1, seed: int = 7
 ) -> DataFrame:
-    """Ten rows every five seconds from each of ``tasks`` generator tasks."""
+    """Two rows a second from each of ``tasks`` generator tasks, all at one ``time``, with traffic from ``base`` on."""
     ticks = (
         spark.readStream.format("rate")
         .option("rowsPerSecond", 2 * tasks)
@@ -29,14 +25,14 @@ def access_stream(
         .load()
     )
     return ticks.select(
-        F.lit(FIXED_TIME).cast("bigint").alias("time"),
+        F.lit(time).cast("bigint").alias("time"),
         _pick(domains, F.rand(seed)).alias("domain"),
-        (F.rand(seed + 1) + BASE_TRAFFIC).alias("traffic"),
+        (F.rand(seed + 1) + base).alias("traffic"),
     )
 
 
 def access_rows(
-    spark: SparkSession, n: int, domains: Sequence[str] = DOMAINS, tasks: int | None = None
+    spark: SparkSession, n: int, domains: Sequence[str], time: int, base: float, tasks: int | None = None
 ) -> DataFrame:
     """``n`` rows whose values are hashes of the row number, so a recomputed task repeats them."""
 
@@ -44,7 +40,7 @@ def access_rows(
         return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1_000_000)) / 1_000_000
 
     return spark.range(0, n, 1, tasks).select(
-        F.lit(FIXED_TIME).cast("bigint").alias("time"),
+        F.lit(time).cast("bigint").alias("time"),
         _pick(domains, unit(1)).alias("domain"),
-        (unit(2) + BASE_TRAFFIC).alias("traffic"),
+        (unit(2) + base).alias("traffic"),
     )

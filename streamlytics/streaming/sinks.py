@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -17,21 +19,41 @@ BatchWriter = Callable[[DataFrame, int], None]
 
 @dataclass(frozen=True)
 class BatchTable:
-    """A Parquet table with one folder per micro-batch; one table belongs to one checkpoint."""
+    """A Parquet table with one folder per micro-batch; one table belongs to one checkpoint.
+
+    With a ``schema`` a table that no batch has written yet reads as one without rows.
+    """
 
     path: str
+    schema: str | None = None
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+        try:
+            return spark.read.parquet(self.path)
+        except AnalysisException as error:
+            if self.schema is None or error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], f"{self.schema}, {BATCH} int")
 
     def read_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The rows of one micro-batch, without looking at the others."""
         return spark.read.parquet(f"{self.path}/{BATCH}={batch_id}")
 
 
+@dataclass(frozen=True)
+class BatchRange:
+    """The batches of a table up to a number."""
+
+    table: BatchTable
+    up_to: int
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self.table.read(spark).filter(F.col(BATCH) <= self.up_to)
+
+
 def start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None = None,
           name: str | None = None) -> StreamingQuery:
     """Start a query that resumes from ``checkpoint``; the folder is kept when the query stops."""
@@ -64,7 +86,19 @@ def hash_sink(table: BatchTable, hash_name: str, field: str | Column, value: str
 
 
 def read_hash(spark: SparkSession, table: BatchTable) -> DataFrame:
-    return table.read(spark).groupBy("hash", "field").agg(F.max_by("value", BATCH).alias("value"))
+    """The newest value of each field: first the newest batch number, which needs no sort, then its row."""
+    rows = table.read(spark)
+    newest = rows.groupBy("hash", "field").agg(F.max(BATCH).alias("__newest"))
+    same = (rows["hash"].eqNullSafe(newest["hash"]) & rows["field"].eqNullSafe(newest["field"])
+            & (rows[BATCH] == newest["__newest"]))
+    return rows.join(newest, same, "left_semi").select("hash", "field", "value")
+
+
+def compact_hash(spark: SparkSession, table: BatchTable, target: BatchTable, up_to: int) -> None:
+    """Fold the batches up to one into a snapshot under that batch's number in ``target``; later batches are to be
+    written there. The old table stays until its owner drops it, so readers are not disturbed."""
+    held = BatchRange(table, up_to)
+    target.write(read_hash(spark, held), up_to)
 
 
 def set_sink(table: BatchTable, key: str | Column, member: str | Column) -> BatchWriter:
@@ -151,9 +185,23 @@ def jdbc_batch_sink(url: str, table: str, columns: Sequence[str], batch_size: in
     return write
 
 
-def merge_statement(target: str, staging: str, keys: Sequence[str], values: Sequence[str]) -> str:
-    """One set-based statement: update matched keys, insert the others."""
+def merge_statement(target: str, staging: str, keys: Sequence[str], values: Sequence[str], dialect: str = "merge") -> str:
+    """One set-based statement: update matched keys, insert the others.
+
+    ``merge`` is standard SQL; ``duplicate_key`` is for stores with ``ON DUPLICATE KEY UPDATE`` and ``conflict`` for those
+    with ``ON CONFLICT``, both of which need a unique key over ``keys``.
+    """
     columns = [*keys, *values]
+    listed = ", ".join(columns)
+    if dialect == "duplicate_key":
+        updates = ", ".join(f"{v} = s.{v}" for v in values)
+        return f"INSERT INTO {target} ({listed}) SELECT {listed} FROM {staging} s ON DUPLICATE KEY UPDATE {updates}"
+    if dialect == "conflict":
+        updates = ", ".join(f"{v} = excluded.{v}" for v in values)
+        return (f"INSERT INTO {target} ({listed}) SELECT {listed} FROM {staging} s WHERE true "
+                f"ON CONFLICT ({', '.join(keys)}) DO UPDATE SET {updates}")
+    if dialect != "merge":
+        raise ValueError(f"unknown dialect {dialect}")
     matched = " AND ".join(f"t.{k} = s.{k}" for k in keys)
     updates = ", ".join(f"{v} = s.{v}" for v in values)
     return (
@@ -164,10 +212,9 @@ def merge_statement(target: str, staging: str, keys: Sequence[str], values: Sequ
 
 
 def latest_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row of each key by ``order``, found by a pre-aggregating maximum."""
-    rest = [c for c in batch.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("__last")
-    return batch.groupBy(*keys).agg(last).select(*keys, *[F.col(f"__last.{c}").alias(c) for c in rest])
+    """The last row of each key by ``order``, ranked under a filter: each task keeps one row per key before the shuffle."""
+    last = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in order])
+    return batch.withColumn("__place", F.row_number().over(last)).filter("__place = 1").drop("__place")
 
 
 def jdbc_execute(spark: SparkSession, url: str, statement: str, connection: dict[str, str] | None = None) -> None:
@@ -192,25 +239,28 @@ def jdbc_upsert_sink(
     connection: dict[str, str] | None = None,
     execute: Callable[[SparkSession, str, str, dict | None], None] = jdbc_execute,
     stage: Callable[[DataFrame, dict[str, str]], None] | None = None,
+    dialect: str = "merge",
+    query: str = "upsert",
+    column_types: str | None = None,
 ) -> BatchWriter:
     """Upsert by key: reduce to the last row per key, stage it, merge it in one statement.
 
     Merging the same rows twice changes nothing, so a replayed batch is harmless. ``order`` tells
     which of several rows of a key is the last; an ``update`` mode aggregate has one row per key
-    and needs none.
+    and needs none. ``query`` names the staging table, so queries on one target do not share it; ``column_types`` gives
+    its column types in the target's terms where the driver's defaults do not fit the keys.
     """
-    staging = f"{table}_staging"
+    staging = f"{table}_{query}_staging"
     options = insert_options(url, staging, 1000, connection)
 
     def write_stage(rows: DataFrame, stage_options: dict[str, str]) -> None:
-        text = ", ".join(f"{f.name} VARCHAR(1024)" for f in rows.schema if f.dataType.typeName() == "string")
         writer = rows.write.format("jdbc").options(**stage_options).mode("overwrite")
-        (writer.option("createTableColumnTypes", text) if text else writer).save()
+        (writer.option("createTableColumnTypes", column_types) if column_types else writer).save()
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = latest_per_key(batch, keys, order) if order else batch
         (stage or write_stage)(rows.select(*keys, *values), options)
-        execute(batch.sparkSession, url, merge_statement(table, staging, keys, values), connection)
+        execute(batch.sparkSession, url, merge_statement(table, staging, keys, values, dialect), connection)
 
     return write
 

@@ -12,18 +12,23 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 DAY_MS = 86_400_000
 
 
+def in_order(rows: Iterator, order: Sequence[str]) -> Iterator:
+    """A key's rows of a micro-batch in order of arrival; the shuffle keeps none. They are held by one task."""
+    return iter(sorted(rows, key=lambda row: tuple(row[c] for c in order))) if order else rows
+
+
 class AverageEvery(StatefulProcessor):
     """Running (count, sum) per key; emits the mean and starts over at every ``n``-th value."""
 
-    def __init__(self, key: str, value: str, n: int):
-        self.key, self.value, self.n = key, value, n
+    def __init__(self, key: str, value: str, n: int, order: Sequence[str] = ()):
+        self.key, self.value, self.n, self.order = key, value, n, list(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("avg", "count BIGINT, total DOUBLE")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         count, total = self.state.get() if self.state.exists() else (0, 0.0)
-        for row in rows:
+        for row in in_order(rows, self.order):
             count, total = count + 1, total + row[self.value]
             if count == self.n:
                 yield Row(**{self.key: key[0], "avg": total / count})
@@ -44,8 +49,8 @@ class CollectEvery(AverageEvery):
         self.state = handle.getMapState("values", "position INT", "value DOUBLE")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = [value[0] for _, value in self.state.iterator()] if self.state.exists() else []
-        for row in rows:
+        held = [value[0] for _, value in sorted(self.state.iterator())] if self.state.exists() else []
+        for row in in_order(rows, self.order):
             held.append(float(row[self.value]))
             self.state.updateValue((len(held),), (held[-1],))
             if len(held) == self.n:
@@ -57,26 +62,28 @@ class CollectEvery(AverageEvery):
         pass
 
 
-def average_every_stream(df: DataFrame, key: str, value: str, n: int = 3, keep_values: bool = False) -> DataFrame:
-    """Mean of every ``n`` consecutive values per key, in order of arrival."""
+def average_every_stream(df: DataFrame, key: str, value: str, n: int = 3, keep_values: bool = False,
+                         order: Sequence[str] = ()) -> DataFrame:
+    """Mean of every ``n`` consecutive values per key, micro-batch by micro-batch and within one by the ``order``
+    columns; without them the order within a micro-batch is not defined."""
     schema = StructType([StructField(key, df.schema[key].dataType), StructField("avg", DoubleType())])
-    processor = (CollectEvery if keep_values else AverageEvery)(key, value, n)
-    return df.select(key, value).groupBy(key).transformWithState(
+    processor = (CollectEvery if keep_values else AverageEvery)(key, value, n, order)
+    return df.select(key, value, *[c for c in order if c not in (key, value)]).groupBy(key).transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="None")
 
 
 class FirstSeen(StatefulProcessor):
     """One flag per identity: set ``column`` on its first row, pass every row on."""
 
-    def __init__(self, column: str, ttl_ms: int | None):
-        self.column, self.ttl_ms = column, ttl_ms
+    def __init__(self, column: str, ttl_ms: int | None, order: Sequence[str] = ()):
+        self.column, self.ttl_ms, self.order = column, ttl_ms, list(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "seen BOOLEAN", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = not self.seen.exists()
-        for row in rows:
+        for row in in_order(rows, self.order if new else ()):
             values = row.asDict()
             if new:
                 values[self.column] = 1
@@ -89,8 +96,9 @@ class FirstSeen(StatefulProcessor):
 
 
 def first_seen_stream(df: DataFrame, identity: Sequence[str], column: str = "nu",
-                      ttl_ms: int | None = None) -> DataFrame:
-    """Set ``column`` to 1 on the first row of each identity, exactly, in order of arrival.
+                      ttl_ms: int | None = None, order: Sequence[str] = ()) -> DataFrame:
+    """Set ``column`` to 1 on the first row of each identity, exactly: that of the earliest micro-batch, and within it
+    the first by the ``order`` columns (any, without them).
 
     State is keyed by the whole identity (device type *and* device): one entry each, spread over
     all tasks, where a filter per device type would put a popular type into one. ``ttl_ms``
@@ -100,7 +108,7 @@ def first_seen_stream(df: DataFrame, identity: Sequence[str], column: str = "nu"
         df = df.withColumn(column, F.lit(0))
     df = df.withColumn(column, F.col(column).cast(IntegerType()))
     return df.groupBy(*identity).transformWithState(
-        statefulProcessor=FirstSeen(column, ttl_ms), outputStructType=df.schema, outputMode="Append",
+        statefulProcessor=FirstSeen(column, ttl_ms, order), outputStructType=df.schema, outputMode="Append",
         timeMode="ProcessingTime" if ttl_ms else "None")
 
 

@@ -134,7 +134,6 @@ def test_bitmap_and_exact_counts_agree(spark):
                     for k in "xy")
     assert rows(distinct_ops.exact_counts(df, ["k"], "u")) == expect
     assert rows(distinct_ops.bitmap_counts(df, ["k"], "u")) == expect
-    assert rows(distinct_ops.bitmap_counts(df, ["k"], "u", max_buckets=0)) == expect
 
 
 def test_sketch_error_stays_small(spark):

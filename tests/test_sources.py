@@ -71,14 +71,14 @@ def test_elements_and_sequence(spark):
 
 
 def test_generated_access_rows_repeat(spark):
-    one, two = (rows(sources.access_rows(spark, 500, tasks=3)) for _ in range(2))
+    one, two = (rows(sources.access_rows(spark, 500, ["x.org", "y.org"], 77, 20.0, tasks=3)) for _ in range(2))
     assert one == two and len(one) == 500
-    assert {d for _, d, _ in one} == {"www.example.com", "a.com", "b.com"}
-    assert all(t == 1234567 and 1000 <= traffic < 1001 for t, _, traffic in one)
+    assert {d for _, d, _ in one} == {"x.org", "y.org"}
+    assert all(t == 77 and 20 <= traffic < 21 for t, _, traffic in one)
 
 
 def test_generator_stream(spark):
-    df = sources.access_stream(spark, tasks=3)
+    df = sources.access_stream(spark, ["x.org", "y.org"], 77, 20.0, tasks=3)
     assert df.isStreaming and df.columns == ["time", "domain", "traffic"]
     query = df.writeStream.format("memory").queryName("generated").trigger(processingTime="500 milliseconds").start()
     try:
@@ -88,7 +88,7 @@ def test_generator_stream(spark):
                 break
     finally:
         query.stop()
-    assert spark.table("generated").filter("traffic between 1000 and 1001").count() >= 12
+    assert spark.table("generated").filter("traffic between 20 and 21").count() >= 12
 
 
 def test_jdbc_options():

@@ -272,13 +272,40 @@ def test_upsert_stages_last_rows_and_merges_once(spark):
         stage=lambda df, options: staged.append((rows(df), options["dbtable"])))
     batch = spark.createDataFrame([("a", 1.0, 1), ("a", 2.0, 5), ("b", 3.0, 2)], "domain string, traffic double, seq int")
     write(batch, 0)
-    assert staged == [([("a", 2.0), ("b", 3.0)], "traffic_staging")]
+    assert staged == [([("a", 2.0), ("b", 3.0)], "traffic_upsert_staging")]
     assert statements == [("jdbc:x", (
-        "MERGE INTO traffic t USING traffic_staging s ON t.domain = s.domain "
+        "MERGE INTO traffic t USING traffic_upsert_staging s ON t.domain = s.domain "
         "WHEN MATCHED THEN UPDATE SET traffic = s.traffic "
         "WHEN NOT MATCHED THEN INSERT (domain, traffic) VALUES (s.domain, s.traffic)"))]
 
 
+def test_upsert_dialects():
+    args = ("t", "t_s", ["a", "b"], ["v", "w"])
+    assert sinks.merge_statement(*args, "duplicate_key") == (
+        "INSERT INTO t (a, b, v, w) SELECT a, b, v, w FROM t_s s ON DUPLICATE KEY UPDATE v = s.v, w = s.w")
+    assert sinks.merge_statement(*args, "conflict") == (
+        "INSERT INTO t (a, b, v, w) SELECT a, b, v, w FROM t_s s WHERE true "
+        "ON CONFLICT (a, b) DO UPDATE SET v = excluded.v, w = excluded.w")
+    with pytest.raises(ValueError):
+        sinks.merge_statement(*args, "other")
+
+
+def test_empty_store_and_compaction(spark, tmp_path):
+    store = BatchTable(str(tmp_path / "h"), "hash string, field string, value string")
+    assert sinks.read_hash(spark, store).collect() == []
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        BatchTable(str(tmp_path / "none")).read(spark)
+    for i in range(4):
+        frame = spark.createDataFrame([("a", str(i)), (f"b{i}", "x"), (None, str(i))], "f string, v string")
+        sinks.hash_sink(store, "h", "f", "v")(frame, i)
+    folded = BatchTable(str(tmp_path / "folded"))
+    sinks.compact_hash(spark, store, folded, 2)
+    folded.write(store.read_batch(spark, 3), 3)
+    assert rows(sinks.read_hash(spark, folded)) == rows(sinks.read_hash(spark, store))
+    assert rows(sinks.read_hash(spark, store), "field", "value") == sorted(
+        [("a", "3"), (None, "3"), *((f"b{i}", "x") for i in range(4))], key=repr)
+
+
 def test_insert_options():
     assert sinks.insert_options("jdbc:x", "t", 50, {"user": "u"}) == {
         "url": "jdbc:x", "dbtable": "t", "batchsize": "50", "user": "u"}
