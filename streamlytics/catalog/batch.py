@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlytics import operators as ops
@@ -325,18 +325,41 @@ def uv_hll(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
+WITH {SHOP} SELECT date, count(DISTINCT user_id) AS uv, true AS within_bound FROM shop WHERE event_type = 'view' GROUP BY 1
+""")
+def uv_hll_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days have more visitors than a sketch holds exactly: the estimate against the exact number."""
+    views = _dated_views(spark, sf_dir)
+    exact = ops.exact_counts(views, ["date"], "user_id").select("date", "uv")
+    return exact.join(ops.hll_counts(views, ["date"], "user_id", "estimate"), "date").select(
+        "date", "uv", within_bound().alias("within_bound"))
+
+
+def within_bound(estimate: str = "estimate", exact: str = "uv") -> Column:
+    """Five standard errors of the sketch's 4096 registers."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.col(exact) * (5 * 1.04 / 64)
+
+
+ROLLING = f"""
 WITH {SHOP},
 steps AS (SELECT user_id, time // 180000 AS step FROM shop),
 placed AS (SELECT DISTINCT step + o AS last, user_id FROM steps, (SELECT unnest(range(480)) AS o))
-SELECT (last + 1) * 180000 AS window_end, count(*) AS uv FROM placed GROUP BY 1
-""")
+SELECT (last + 1) * 180000 AS window_end, count(*) AS uv @ FROM placed GROUP BY 1
+"""
+
+
+@query(ROLLING.replace("@", ""))
 def uv_rolling_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.rolling_distinct(inputs.events(spark, sf_dir), "user_id", method="exact")
 
 
-@query()
+@query(ROLLING.replace("@", ", true AS within_bound"))
 def uv_rolling_24h_hll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.rolling_distinct(inputs.events(spark, sf_dir), "user_id", method="hll")
+    """The sketches of the rolling day against the exact numbers."""
+    rows = inputs.events(spark, sf_dir)
+    exact = ops.rolling_distinct(rows, "user_id", method="exact")
+    rough = ops.rolling_distinct(rows, "user_id", method="hll").withColumnRenamed("uv", "estimate")
+    return exact.join(rough, "window_end").select("window_end", "uv", within_bound().alias("within_bound"))
 
 
 # -- windows --------------------------------------------------------------------------------------

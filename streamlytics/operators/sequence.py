@@ -31,15 +31,18 @@ def first_seen(df: DataFrame, identity: Sequence[str], order: Sequence[str], row
                column: str = "nu") -> DataFrame:
     """Set ``column`` to 1 on the first row of each identity and leave the others as they are.
 
-    First rows are found by a pre-aggregating minimum and matched back by ``row_id``, which is
-    unique, so a device with most of the traffic does not meet in one task. A target column the
-    input lacks starts at 0.
+    First rows are found by pre-aggregating minima and matched back by ``row_id``, which is
+    unique, so a device with most of the traffic does not meet in one task. ``order`` holds integral columns, nulls
+    first. A target column the input lacks starts at 0.
     """
-    firsts = (
-        df.groupBy(*identity)
-        .agg(F.min(F.struct(*order, F.col(row_id).alias("__id"))).alias("__first"))
-        .select(F.col("__first.__id").alias(row_id), F.lit(True).alias("__new"))
-    )
+    # One minimum per order column, from the last to the first: all of single numbers, so nothing has to be sorted.
+    places = [f"__o{i}" for i in range(len(order))]
+    firsts = df.select(*identity, F.col(row_id).alias("__id"), *[
+        F.coalesce(F.col(c).cast("bigint"), F.lit(-(1 << 63))).alias(p) for c, p in zip(order, places)])
+    firsts = firsts.groupBy(*identity, *places).agg(F.min("__id").alias("__id"))
+    for i in reversed(range(len(places))):
+        firsts = firsts.groupBy(*identity, *places[:i]).agg(F.min_by("__id", places[i]).alias("__id"))
+    firsts = firsts.select(F.col("__id").alias(row_id), F.lit(True).alias("__new"))
     current = F.col(column) if column in df.columns else F.lit(0)
     return (
         df.join(firsts, row_id, "left")

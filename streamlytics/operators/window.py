@@ -42,10 +42,11 @@ def sliding_count(df: DataFrame, keys: Sequence[str], size: str, slide: str, ts:
 
     Rows are first counted per pane of one slide; only pane counts are copied into the
     ``size / slide`` windows they belong to, not the rows. ``size`` must be a multiple of ``slide``.
+    On a stream the panes leave the first state as the watermark passes them, and the windows follow.
     """
     panes = df.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(F.count(F.lit(1)).alias("__n"))
-    placed = panes.select(F.window(F.col("pane.start"), size, slide).alias("w"), *keys, "__n")
-    return with_bounds(placed.groupBy("w", *keys).agg(F.sum("__n").alias(name)))
+    at = F.window_time("pane") if df.isStreaming else F.col("pane.start")
+    return with_bounds(panes.groupBy(F.window(at, size, slide).alias("w"), *keys).agg(F.sum("__n").alias(name)))
 
 
 def cumulative_pv_uv(
@@ -68,11 +69,13 @@ def cumulative_pv_uv(
     steps = df.select(F.window(ts, step)["end"].alias("__fire"), ts, *keys, F.col(user).alias("__user"))
     base = steps.select(F.window(ts, size, size, offset).alias("w"), F.unix_millis("__fire").alias("fire_time"),
                         *keys, "__user")
-    views = base.groupBy("w", *keys, "fire_time").agg(
-        F.count(F.lit(1)).alias("__pv"), F.lit(0).cast("bigint").alias("__uv"))
+    # Both branches start from one aggregate, so the source is read once and the exchange is shared.
+    seen = base.groupBy("w", *keys, "__user", "fire_time").agg(F.count(F.lit(1)).alias("__n"))
+    views = seen.groupBy("w", *keys, "fire_time").agg(
+        F.sum("__n").alias("__pv"), F.lit(0).cast("bigint").alias("__uv"))
+    first = F.min(F.when(F.col("__user").isNotNull() & (F.col("__n") > 0), F.col("fire_time")))
     arrivals = (
-        base.filter("__user is not null")
-        .groupBy("w", *keys, "__user").agg(F.min("fire_time").alias("fire_time"))
+        seen.groupBy("w", *keys, "__user").agg(first.alias("fire_time")).filter("fire_time is not null")
         .groupBy("w", *keys, "fire_time").agg(
             F.lit(0).cast("bigint").alias("__pv"), F.count(F.lit(1)).alias("__uv"))
     )

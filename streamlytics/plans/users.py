@@ -15,7 +15,7 @@ from streamlytics.operators.aggregate import count_by
 from streamlytics.operators.enrich import enrich_ip
 from streamlytics.operators.sequence import first_seen
 from streamlytics.operators.topk import top_n
-from streamlytics.operators.window import sliding_count, windowed
+from streamlytics.operators.window import sliding_count
 from streamlytics.streaming.eventtime import filter_above_watermark, with_event_time
 from streamlytics.streaming.stateful import first_seen_stream, top_n_on_timer
 
@@ -78,10 +78,7 @@ def product_events(lines: DataFrame, delay: str = "20 seconds") -> DataFrame:
 def product_counts(lines: DataFrame, size: str = "5 minutes", slide: str = "1 minute",
                    delay: str = "20 seconds") -> DataFrame:
     """Events per (event, category, product) and sliding window, startups left out."""
-    events = product_events(lines, delay)
-    if lines.isStreaming:
-        return windowed(events, PRODUCT_KEYS, [F.count(F.lit(1)).alias("cnt")], size, slide)
-    return sliding_count(events, PRODUCT_KEYS, size, slide)
+    return sliding_count(product_events(lines, delay), PRODUCT_KEYS, size, slide)
 
 
 def top_products(lines: DataFrame, n: int = 3, size: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
