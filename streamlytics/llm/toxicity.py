@@ -5,8 +5,8 @@ Inputs of a word are its own (a hashed embedding and the log-odds of the word in
 windows of words forwards and backwards, pools the states by attention and gives a log-odds for each window; a text's
 score is a calibrated logistic function of its highest window. All windows of the whole text are scored.
 
-Training uses labelled rows of the caller's choice, at most ``SAMPLE`` texts of up to ``SAMPLE_CHARS`` characters (a
-documented bound: the sample is brought to the driver; the order of a hash of the id decides). Six sevenths of
+Training uses labelled rows of the caller's choice, some ``SAMPLE`` texts of up to ``SAMPLE_CHARS`` characters (a
+documented bound: the sample is brought to the driver; a hash of the id decides). Six sevenths of
 it train the network in two folds, each with the log-odds counted in the other; the rest calibrates the score, so no text
 vouches for itself. Labels are of whole texts, so
 each round trains on the windows that the last round found highest.
@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streamlytics.llm.sampling import hashed_sample
+
 SAMPLE, SAMPLE_CHARS = 6_000, 8_000
 WINDOW, STRIDE = 24, 20
 HIDDEN, EMBED = 8, 6
@@ -349,8 +351,11 @@ def held_out(doc_id: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Scorer | None:
     """A scorer from the labelled ``docs`` that are not held out; both have ``doc_id``, ``labels`` has ``toxic``."""
     known = labels.filter(F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.filter(F.length("text") <= chars).select("doc_id", "text").join(known.alias("k"), "doc_id").orderBy(
-        F.xxhash64("doc_id"), "doc_id", "text").limit(sample).select("text", F.col("k.toxic").alias("toxic")).collect()
+    # The sample is chosen by ids alone; only its own texts are moved.
+    short = docs.filter(F.length("text") <= chars)
+    known = hashed_sample(short.select("doc_id").distinct().join(known, "doc_id"), F.col("doc_id"), sample)
+    rows = short.select("doc_id", "text").join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id", "text"]).collect()
+    rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"]))[:2 * sample]
     return fit([r["text"] for r in rows], np.array([float(r["toxic"]) for r in rows]))
 
 
