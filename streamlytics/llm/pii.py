@@ -7,8 +7,8 @@ labels, so what is marked in one place is marked in all. Loopy message passing r
 without a digit or ``@`` cannot be such data: their label is fixed, which cuts the chain around them, so only the
 other tokens need messages.
 
-The field is trained on at most ``SAMPLE`` texts of up to ``SAMPLE_CHARS`` characters (a documented bound: the sample is
-brought to the driver; the order of a hash decides), labelled by the base spans. A run of tokens of one label, each
+The field is trained on some ``SAMPLE`` texts of up to ``SAMPLE_CHARS`` characters (a documented bound: the sample is
+brought to the driver; a hash of the text decides), labelled by the base spans. A run of tokens of one label, each
 with a marginal of ``SURE`` or more, is added unless it touches a base span.
 
 Offsets are code points, the end exclusive. Null texts are empty and have no spans; every row gives a row.
@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streamlytics.llm.sampling import hashed_sample
+
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, SAMPLE_CHARS = 3_000, 8_000
 SURE = 0.95
@@ -245,8 +247,8 @@ def added_spans(texts: list[str], base: list[list[Span]], net: dict, sure: float
 
 def train(df: DataFrame, text: str = "text", sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> dict[str, np.ndarray]:
     rows = df.select(F.col(text).alias("text")).filter((F.length("text") <= chars) & F.col("text").rlike("[0-9@]"))
-    rows = rows.orderBy(F.xxhash64("text"), "text").limit(sample).collect()
-    return fit([r["text"] for r in rows])
+    rows = hashed_sample(rows, F.col("text"), sample).distinct().collect()  # copies of a text count once
+    return fit(sorted(r["text"] for r in rows)[:2 * sample])
 
 
 def find(df: DataFrame, net: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
