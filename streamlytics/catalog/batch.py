@@ -560,7 +560,7 @@ def windowed_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         inputs.item_lines(spark, sf_dir), inputs.order_lines(spark, sf_dir), "30 days")
 
 
-@query(f"""
+REPAIR = f"""
 WITH base AS (
   SELECT event_id, user_id, event_type, value, CAST(props->>'$.k' AS INTEGER) AS k, (epoch_us(ts) // 1000) AS t,
          (epoch_us(ts) // 1000) + (event_id * 37 % 100) * {MINUTE} AS arrival FROM events
@@ -579,7 +579,10 @@ SELECT event_id AS item_event_id, CAST(i.user_id AS VARCHAR) AS item_orderId, i.
        CASE WHEN o.t IS NULL THEN 'none'
             WHEN NOT is_late AND i.t // {DAY} = o.t // {DAY} THEN 'window' ELSE 'table' END AS source
 FROM items i LEFT JOIN placed o ON i.user_id = o.user_id
-""")
+"""
+
+
+@query(REPAIR)
 def late_repair_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.events(spark, sf_dir)
     repaired = plans.order_item_repair(

@@ -8,10 +8,10 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from streamlytics import plans
 from streamlytics.catalog import inputs
-from streamlytics.catalog.batch import ETL, FIRST, ITEM_ORDERS, LATE, TOP, _words, with_intake
-from streamlytics.catalog.inputs import APP, SHOP
+from streamlytics.catalog.batch import ETL, FIRST, ITEM_ORDERS, LATE, REPAIR, TOP, _words, with_intake
+from streamlytics.catalog.inputs import APP, DAY, SHOP
 from streamlytics.catalog.registry import query
-from streamlytics.plans import shopping, users
+from streamlytics.plans import orders, shopping, users
 from streamlytics.session import shared_dir
 from streamlytics.sources import kafka_records
 from streamlytics.streaming import batches, sinks
@@ -198,3 +198,66 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = counted.read(spark).groupBy("name").agg(F.sum("n").alias("n"))
     sets = sinks.read_set(spark, members).groupBy(F.col("key").alias("name")).agg(F.count(F.lit(1)).alias("n"))
     return totals.select(F.lit("hash").alias("store"), "name", "n").union(sets.select(F.lit("set").alias("store"), "name", "n"))
+
+
+HALVES = "halves AS (SELECT min(epoch_us(ts)) + (max(epoch_us(ts)) - min(epoch_us(ts))) // 2 AS cut FROM events)"
+
+
+@query(f"""
+WITH {HALVES}, v AS (
+  SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date, CAST(props->>'$.k' AS BIGINT) AS itemId, user_id,
+         epoch_us(ts) > cut AS late FROM events, halves WHERE event_type = 'view')
+SELECT date, itemId, 0 AS fire, count(*) AS pv, count(DISTINCT user_id) AS uv FROM v WHERE NOT late GROUP BY 1, 2
+UNION ALL
+SELECT date, itemId, 1, count(*), count(DISTINCT user_id) FROM v GROUP BY 1, 2 HAVING bool_or(late)
+""")
+def stream_cumulative_pv_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views and visitors so far, fired after each micro-batch."""
+    feed, parts, fired = inputs.event_feed(spark, sf_dir), _store(spark, "fire_parts"), _store(spark, "fired")
+    rows = shopping.dated_views(_shopping(spark, sf_dir, feed))
+    _run(spark, "fire", rows.writeStream.foreachBatch(sinks.firing_sink(parts, fired, ["date", "itemId"], "user_id")),
+         feed, ahead=False)
+    return fired.read(spark).select("date", "itemId", "fire", "pv", "uv")
+
+
+@query(f"""
+WITH {HALVES}, e AS (
+  SELECT user_id, CAST(props->>'$.k' AS BIGINT) AS k, epoch_us(ts) > cut AS late FROM events, halves),
+t AS (SELECT user_id, sum(k) FILTER (WHERE NOT late) AS a, sum(k) FILTER (WHERE late) AS b FROM e GROUP BY 1)
+SELECT user_id, '+I' AS kind, CAST(coalesce(a, b) AS BIGINT) AS total FROM t
+UNION ALL SELECT user_id, '-U', CAST(a AS BIGINT) FROM t WHERE a IS NOT NULL AND b IS NOT NULL
+UNION ALL SELECT user_id, '+U', CAST(a + b AS BIGINT) FROM t WHERE a IS NOT NULL AND b IS NOT NULL
+""")
+def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyed sum with its retractions, micro-batch by micro-batch."""
+    feed, parts, log = inputs.event_feed(spark, sf_dir), _store(spark, "log_parts"), _store(spark, "log")
+    rows = inputs.events(spark, sf_dir, feed).select("user_id", F.col("k").cast("bigint").alias("k"))
+    _run(spark, "log", rows.writeStream.foreachBatch(sinks.changelog_sink(parts, log, "user_id", "k")), feed, ahead=False)
+    return log.read(spark).select("user_id", "kind", "total")
+
+
+@query("""
+SELECT event_type, count(*) AS cnt, max(CAST(props->>'$.k' AS INTEGER)) AS top, true AS stamped FROM events GROUP BY 1
+""")
+def stream_proc_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of the time of arrival, which differ from run to run; over all of them the rows are the same."""
+    feed, store = inputs.event_feed(spark, sf_dir), _store(spark, "proc")
+    rows = inputs.events(spark, sf_dir, feed).withColumn("came", F.current_timestamp())
+    windows = rows.groupBy(F.window("came", "5 seconds").alias("w"), "event_type").agg(
+        F.count(F.lit(1)).alias("cnt"), F.max("k").alias("top"))
+    _run(spark, "proc", windows.writeStream.outputMode("complete").foreachBatch(store.write), feed, ahead=False)
+    last = store.read(spark)
+    last = last.join(last.agg(F.max("batch").alias("batch")), "batch")
+    stamped = F.unix_millis(F.min("w.start")) > F.unix_millis(F.lit("2025-01-01").cast("timestamp"))
+    return last.groupBy("event_type").agg(F.sum("cnt").alias("cnt"), F.max("top").alias("top"), stamped.alias("stamped"))
+
+
+@query(REPAIR)
+def stream_late_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = inputs.Feed(spark, sf_dir, "events", "ts", {}, parts=1)
+    arrival = ("arrival", "event_id")
+    items = orders.read_items(inputs.purchase_item_lines(inputs.events(spark, sf_dir, feed)), keep=arrival)
+    placed = orders.read_orders(inputs.signup_order_lines(inputs.events(spark, sf_dir)))
+    store, progress = _store(spark, "repair"), _store(spark, "repair_progress")
+    _run(spark, "repair", batches.repair_stream(items, placed, "orderId", arrival, DAY, store, progress), feed, ahead=False)
+    return store.read(spark).select("item_event_id", "item_orderId", "item_time", "order_time", "order_money", "source")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from streamlytics.operators.joins import repair_late_items
 from streamlytics.operators.late import flag_late
 from streamlytics.operators.topk import top_n
 from streamlytics.streaming.sinks import BatchTable, BatchWriter
@@ -28,6 +29,23 @@ def top_n_stream(counts: DataFrame, groups: Sequence[str], by: str, ties: Sequen
     return counts.writeStream.outputMode("append").foreachBatch(write)
 
 
+def repair_stream(items: DataFrame, orders: DataFrame, key: str, arrival: Sequence[str], size_ms: int, sink: BatchTable,
+                  progress: BatchTable, delay_ms: int = 0, ms: str = "time") -> DataStreamWriter:
+    """Late and unmatched items of a stream looked up in the order table, micro-batch by micro-batch.
+
+    ``orders`` is a table, read anew for each batch. Which items are late is told as in :func:`late_split_stream`.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = progress.read_batch(spark, batch_id - 1).first()[0] if batch_id else None
+        flagged = flag_late(batch, arrival, size_ms, delay_ms, ms, earlier)
+        sink.write(repair_late_items(flagged, orders, orders, key, f"{size_ms} milliseconds"), batch_id)
+        progress.write(batch.agg(F.greatest(F.max(ms), F.lit(earlier).cast("bigint")).alias("max_ms")), batch_id)
+
+    return items.writeStream.outputMode("append").foreachBatch(write)
+
+
 def late_split_stream(
     rows: DataFrame,
     arrival: Sequence[str],

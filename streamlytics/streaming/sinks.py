@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -149,6 +150,44 @@ def read_bitmaps(spark: SparkSession, table: BatchTable, keys: Sequence[str], pv
     return united.groupBy(*keys).agg(F.sum("__pv").alias(pv), F.sum("__n").alias(uv))
 
 
+def firing_sink(table: BatchTable, fired: BatchTable, keys: Sequence[str], member: str) -> BatchWriter:
+    """Early firing: after each micro-batch the views and exact visitors so far, as ``(keys, fire, pv, uv)``, of the keys
+    that the batch saw. ``fire`` is the batch number; a replayed batch fires the same rows again."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.write(bitmap_parts(batch, keys, member), batch_id)
+        spark = batch.sparkSession
+        so_far = BatchRange(table, batch_id)
+        changed = table.read_batch(spark, batch_id).select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+        same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+        rows = read_bitmaps(spark, so_far, keys).join(changed, same, "left_semi")
+        fired.write(rows.withColumn("fire", F.lit(batch_id)), batch_id)
+
+    return write
+
+
+def changelog_sink(table: BatchTable, log: BatchTable, key: str, value: str, name: str = "total") -> BatchWriter:
+    """A keyed sum as a changelog: for each key of a micro-batch its first total (``+I``), or the total it had (``-U``) and
+    the one it has now (``+U``)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.write(batch.groupBy(F.col(key).alias("key")).agg(F.sum(value).alias("part")), batch_id)
+        spark = batch.sparkSession
+        now = table.read_batch(spark, batch_id)
+        if batch_id:
+            before = BatchRange(table, batch_id - 1).read(spark).groupBy("key").agg(F.sum("part").alias("old"))
+        else:
+            before = now.limit(0).select("key", F.col("part").alias("old"))
+        rows = now.alias("n").join(before.alias("b"), F.expr("n.key <=> b.key"), "left").select("n.key", "part", "old")
+        fresh, total = F.col("old").isNull(), F.coalesce("old", F.lit(0)) + F.col("part")
+        changes = F.array_compact(F.array(
+            F.when(~fresh, F.struct(F.lit("-U").alias("kind"), F.col("old").alias(name))),
+            F.struct(F.when(fresh, "+I").otherwise("+U").alias("kind"), total.alias(name))))
+        log.write(rows.select(F.col("key").alias(key), F.inline(changes)), batch_id)
+
+    return write
+
+
 # -- files --------------------------------------------------------------------------------------
 
 def csv_sink(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "overwrite") -> None:
