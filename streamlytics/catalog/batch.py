@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -252,6 +254,15 @@ def keyed_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.keyed_combine(rows, "user_id", "k", lambda a, b: a + b, "total")
 
 
+@query("""
+SELECT user_id, list_reduce(list(CAST(props->>'$.k' AS BIGINT) * 6), lambda a, b: gcd(a, b)) AS divisor FROM events GROUP BY 1
+""")
+def keyed_combine_gcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A combine that no built-in aggregate does: the greatest common divisor."""
+    rows = inputs.events(spark, sf_dir).select("user_id", (F.col("k").cast("bigint") * 6).alias("k"))
+    return ops.keyed_combine(rows, "user_id", "k", math.gcd, "divisor")
+
+
 @query(f"WITH {APP} SELECT os, nu, count(*) AS cnt FROM app WHERE event = 'startup' GROUP BY 1, 2")
 def os_user_cnt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.os_users(_mixed_lines(spark, sf_dir))

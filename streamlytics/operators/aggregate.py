@@ -20,7 +20,7 @@ COMBINES = {
 
 # Keys a task holds while combining, and the salts a key's partial results are spread over.
 HELD_KEYS = 50_000
-SALTS = 32
+NAN = object()
 
 
 def word_count(words: DataFrame, word: str = "word", name: str = "n") -> DataFrame:
@@ -86,12 +86,13 @@ def keyed_reduce(df: DataFrame, keys: str | Sequence[str], value: str, combine:
 
 
 def keyed_combine(df: DataFrame, keys: str | Sequence[str], value: str,
-                  combine: Callable[[object, object], object], name: str | None = None) -> DataFrame:
+                  combine: Callable[[object, object], object], name: str | None = None, salts: int = 32) -> DataFrame:
     """Reduce per key with the caller's own associative and commutative function of two values.
 
     Values are combined where they are read, in a table of at most ``HELD_KEYS`` keys, so a hot key
     leaves a task with few rows. Those are combined per (key, salt) and at last per key, both times
-    over rows sorted by key, which holds one value at a time.
+    over rows sorted by key, which holds one value at a time. ``salts`` bounds how many tasks share a key in the middle
+    step. All NaN keys are one, as in a grouping.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     name = name or value
@@ -99,7 +100,7 @@ def keyed_combine(df: DataFrame, keys: str | Sequence[str], value: str,
     target = to_arrow_schema(pairs.schema)
 
     def emit(rows: list[tuple]) -> pa.RecordBatch:
-        columns = zip(*rows)
+        columns = zip(*[[float("nan") if x is NAN else x for x in row] for row in rows])
         return pa.RecordBatch.from_arrays(
             [pa.array(list(column), type=f.type) for column, f in zip(columns, target)], schema=target)
 
@@ -107,7 +108,7 @@ def keyed_combine(df: DataFrame, keys: str | Sequence[str], value: str,
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(len(keys) + 1)]
             for *key, item in zip(*columns):
-                yield tuple(key), item
+                yield tuple(NAN if x != x else x for x in key), item
 
     def by_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, object] = {}
@@ -134,7 +135,7 @@ def keyed_combine(df: DataFrame, keys: str | Sequence[str], value: str,
         if current is not None:
             yield emit([*done, (*current, total)])
 
-    salted = pairs.mapInArrow(by_hash, pairs.schema).withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    salted = pairs.mapInArrow(by_hash, pairs.schema).withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     middle = salted.repartition(*keys, "__salt").sortWithinPartitions(*keys).select(*keys, name)
     partial = middle.mapInArrow(by_order, pairs.schema)
     return partial.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(by_order, pairs.schema)

@@ -290,3 +290,10 @@ def test_exchange_and_parallelism(spark):
 
 def test_tagged(lines):
     assert rows(tagged(lines("a"), "x")) == [("x", "a")]
+
+
+def test_keyed_combine_takes_nan_keys_as_one(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 1), (1.0, 2), (nan, 3), (None, 4), (1.0, 5), (nan, 6), (None, 7)], "k double, v bigint").repartition(5)
+    got = ops.keyed_combine(df, "k", "v", lambda a, b: a + b, "t", salts=2)
+    assert sorted(repr(tuple(r)) for r in got.collect()) == ["(1.0, 7)", "(None, 11)", "(nan, 10)"]
