@@ -49,7 +49,7 @@ SELECT s.w, s.tok FROM step s JOIN (SELECT w, max(n) AS n FROM step GROUP BY w)
 ORDER BY s.w, s.p
 """
 _DECODE = """
-SELECT i.d, string_agg(v.hex, '' ORDER BY i.p) AS hex, count(v.hex) = count(*) AS known
+SELECT i.d, string_agg(v.bytes, '' ORDER BY i.p) AS bytes, count(v.bytes) = count(*) AS known
 FROM ids i LEFT JOIN vocabulary v USING (tok) GROUP BY i.d
 """
 
@@ -78,24 +78,24 @@ class Codec:
         self.db.register("given", pa.table({"a": a, "b": b, "tok": made}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.db.register("given", pa.table({
-            "tok": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in ranks], pa.string())}))
+            "tok": pa.array(list(ranks.values()), pa.int32()), "bytes": pa.array([t.decode("latin-1") for t in ranks], pa.string())}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.listed: list[str] = []  # the ids of each word, as text
+        self.listed = np.empty(0, object)  # the ids of each word, as text
         self.flat, self.start = np.empty(0, np.int32), np.zeros(1, np.int64)
 
-    def _contract(self, words: list[bytes]) -> list[np.ndarray]:
+    def _contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all words in order, and how many each has."""
         size = np.array([len(w) for w in words])
         raw = np.frombuffer(b"".join(words), np.uint8)
         row = np.repeat(np.arange(len(words), dtype=np.int32), size)
         at = (np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)).astype(np.int32)
         self.db.register("piece", self.arrow.table({"w": row, "p": at, "tok": self.bytes[raw]}))
         found = self.db.sql(_CONTRACT).to_arrow_table()
-        row, tokens = found["w"].to_numpy(), found["tok"].to_numpy()
-        return np.split(tokens, np.searchsorted(row, np.arange(1, len(words))))
+        return found["tok"].to_numpy(), np.bincount(found["w"].to_numpy(), minlength=len(words))
 
     def _merge_long(self, word: bytes) -> np.ndarray:
         """The same contraction for one long word: pairs in a heap, stale entries passed over."""
@@ -124,25 +124,26 @@ class Codec:
         return np.array([self.ranks[p] for p in part if p], np.int32)
 
     def _learn(self, words: set[str]) -> None:
-        if not words:
-            return
-        words, short, found = sorted(words), [], []
-        for i, word in enumerate(words):
+        """Adds words: those that are tokens, the long ones, and the others by the query."""
+        whole, long, rest = [], [], []
+        for word in sorted(words):
             raw = word.encode("utf-8", "surrogatepass")
-            if raw in self.ranks:
-                found.append(np.array([self.ranks[raw]], np.int32))
-            elif len(raw) > LONG_WORD:
-                found.append(self._merge_long(raw))
-            else:
-                found.append(None)
-                short.append((i, raw))
-        if short:
-            for (i, _), ids in zip(short, self._contract([raw for _, raw in short]), strict=True):
-                found[i] = ids
-        self.number.update(zip(words, range(len(self.listed), len(self.listed) + len(words)), strict=True))
-        self.listed += [",".join(map(str, ids.tolist())) for ids in found]
-        self.flat = np.concatenate([self.flat, *found])
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum([len(x) for x in found])])
+            (whole if raw in self.ranks else long if len(raw) > LONG_WORD else rest).append((word, raw))
+        self._add([w for w, _ in whole], np.array([self.ranks[r] for _, r in whole], np.int32), np.ones(len(whole), int))
+        for word, raw in long:
+            tokens = self._merge_long(raw)
+            self._add([word], tokens, np.array([len(tokens)]))
+        if rest:
+            self._add([w for w, _ in rest], *self._contract([r for _, r in rest]))
+
+    def _add(self, words: list[str], tokens: np.ndarray, sizes: np.ndarray) -> None:
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
+        text, end = list(map(str, tokens.tolist())), np.cumsum(sizes).tolist()
+        listed = np.empty(len(words), object)
+        listed[:] = [",".join(text[a:b]) for a, b in zip([0, *end], end)]
+        self.listed = np.concatenate([self.listed, listed])
+        self.flat = np.concatenate([self.flat, tokens.astype(np.int32)])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
 
     def _cut(self, text: str) -> Iterator[list[str]]:
         """The words of a long text, a bounded number at a time."""
@@ -174,12 +175,10 @@ class Codec:
             done += n
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, str]:
-        number = [self.number[w] for w in words]
-        at = np.array(number, np.int64)
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         start, size = self.start[at], self.start[at + 1] - self.start[at]
         spread = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        listed = self.listed
-        return self.flat[spread], ",".join([listed[i] for i in number])
+        return self.flat[spread], ",".join(self.listed[at].tolist())
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         out = [b""] * len(ids)
@@ -196,7 +195,7 @@ class Codec:
                     for d, text, known in self.db.execute(_DECODE).fetchall():
                         if not known:
                             raise ValueError("a token id is not in the vocabulary")
-                        out[d] = bytes.fromhex(text)
+                        out[d] = text.encode("latin-1")  # a character stands for a byte
                 first, total = i + 1, 0
         return out
 
