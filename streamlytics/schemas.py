@@ -38,10 +38,7 @@ SHOPPING = _schema("user_id BIGINT, itemId BIGINT, categoryId BIGINT, behavior S
 ORDER = _schema("orderId STRING, time BIGINT, money DOUBLE")
 ITEM = _schema("itemId INT, orderId STRING, time BIGINT, sku STRING, amount DOUBLE, money DOUBLE")
 PURCHASE = _schema("time BIGINT, user_id STRING, book STRING, money DOUBLE")
-TIMED_WORD = _schema("time BIGINT, word STRING, n INT")
 KEYED_NUMBER = _schema("key BIGINT, value BIGINT")
-WORD_COUNT = _schema("word STRING, n INT")
-STUDENT = _schema("id INT, name STRING, age INT")
 IP_RANGE = _schema("start_ip BIGINT, end_ip BIGINT, province STRING, city STRING")
 
 KAFKA_ROW = _schema(

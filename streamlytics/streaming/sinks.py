@@ -98,8 +98,7 @@ def read_hash(spark: SparkSession, table: BatchTable) -> DataFrame:
 def compact_hash(spark: SparkSession, table: BatchTable, target: BatchTable, up_to: int) -> None:
     """Fold the batches up to one into a snapshot under that batch's number in ``target``; later batches are to be
     written there. The old table stays until its owner drops it, so readers are not disturbed."""
-    held = BatchRange(table, up_to)
-    target.write(read_hash(spark, held), up_to)
+    target.write(read_hash(spark, BatchRange(table, up_to)), up_to)
 
 
 def set_sink(table: BatchTable, key: str | Column, member: str | Column) -> BatchWriter:
@@ -118,6 +117,11 @@ def read_set(spark: SparkSession, table: BatchTable) -> DataFrame:
     return table.read(spark).select("key", "member").distinct()
 
 
+def compact_set(spark: SparkSession, table: BatchTable, target: BatchTable, up_to: int) -> None:
+    """The same for a set store."""
+    target.write(read_set(spark, BatchRange(table, up_to)), up_to)
+
+
 def sketch_sink(table: BatchTable, keys: Sequence[str], member: str) -> BatchWriter:
     """Add members to one sketch per key: each batch writes its sketches, reading unites them."""
 
@@ -132,6 +136,12 @@ def read_sketches(spark: SparkSession, table: BatchTable, keys: Sequence[str], n
     return united.select(*keys, F.hll_sketch_estimate("sketch").alias(name))
 
 
+def compact_sketches(spark: SparkSession, table: BatchTable, target: BatchTable, keys: Sequence[str], up_to: int) -> None:
+    """The same for a sketch store."""
+    rows = BatchRange(table, up_to).read(spark)
+    target.write(rows.groupBy(*keys).agg(F.hll_union_agg("sketch").alias("sketch")), up_to)
+
+
 def bitmap_sink(table: BatchTable, keys: Sequence[str], member: str) -> BatchWriter:
     """Views and exact visitors: each batch writes mergeable bitmaps, so no state grows with the
     users, and the result so far can be read after every trigger (three minutes, say). For dense

@@ -306,6 +306,19 @@ def test_empty_store_and_compaction(spark, tmp_path):
         [("a", "3"), (None, "3"), *((f"b{i}", "x") for i in range(4))], key=repr)
 
 
+def test_compacted_sets_and_sketches_read_alike(spark, tmp_path):
+    names = ("set", "folded_set", "sketch", "folded_sketch")
+    members, folded, sketches, united = (BatchTable(str(tmp_path / n)) for n in names)
+    for i in range(3):
+        frame = spark.createDataFrame([("a", f"u{i}"), ("a", "u0"), (f"k{i}", "x")], "k string, u string")
+        sinks.set_sink(members, "k", "u")(frame, i)
+        sinks.sketch_sink(sketches, ["k"], "u")(frame, i)
+    sinks.compact_set(spark, members, folded, 2)
+    sinks.compact_sketches(spark, sketches, united, ["k"], 2)
+    assert rows(sinks.read_set(spark, folded)) == rows(sinks.read_set(spark, members))
+    assert rows(sinks.read_sketches(spark, united, ["k"])) == rows(sinks.read_sketches(spark, sketches, ["k"]))
+
+
 def test_insert_options():
     assert sinks.insert_options("jdbc:x", "t", 50, {"user": "u"}) == {
         "url": "jdbc:x", "dbtable": "t", "batchsize": "50", "user": "u"}
