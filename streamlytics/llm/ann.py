@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by cosine over balanced posting lists.
 
-Centroids are fitted on a bounded sample (``SAMPLE`` vectors at most, documented here) by k-means with a penalty on
+Centroids are fitted on a bounded sample (some ``SAMPLE`` vectors at most, documented here) by k-means with a penalty on
 large clusters. They are kept in memory as a neighbour graph, searched best-first. Every vector is written to the lists
 of its nearest centroid and of all others nearly as near (boundary vectors are replicated); a query reads the lists whose
 centroids are within a ratio of its nearest one. Lists longer than ``PART`` are dealt over several parts, all of which
@@ -21,12 +21,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from streamlytics.llm.sampling import hashed_sample
 from streamlytics.session import materialize
 
 SAMPLE = 32_768
 PER_LIST, MOST_LISTS = 200, 1024
 PART = 4096
-REPLICAS, SPREAD = 8, 1.15  # lists of a vector, and how much farther than the nearest they may be
+REPLICAS, SPREAD = 4, 1.1  # lists of a vector, and how much farther than the nearest they may be
 PROBES, RATIO = 64, 1.3  # lists of a query, likewise
 BEAM, LINKS = 96, 24
 
@@ -99,8 +100,9 @@ class Centroids:
 
 def _fit(vectors: DataFrame, n: int) -> Centroids | None:
     lists = int(np.clip(n // PER_LIST, 1, MOST_LISTS))
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(SAMPLE, 32 * lists)).select("vector").collect()
-    return Centroids(np.array([r["vector"] for r in sample]), lists) if sample else None
+    bound = min(SAMPLE, 32 * lists)
+    rows = sorted(hashed_sample(vectors, F.col("vec_id"), bound).collect(), key=lambda r: (r["vec_id"], r["vector"]))[:2 * bound]
+    return Centroids(np.array([r["vector"] for r in rows]), lists) if rows else None
 
 
 def _placed(vectors: DataFrame, centroids: Centroids, most: int, ratio: float) -> DataFrame:
