@@ -26,11 +26,12 @@ from pyspark.sql import functions as F
 
 from streamlytics.llm.sampling import hashed_sample
 
-SAMPLE, SAMPLE_CHARS = 6_000, 8_000
+SAMPLE, SAMPLE_CHARS = 4_000, 8_000
 WINDOW, STRIDE = 24, 20
 HIDDEN, EMBED = 8, 6
 BUCKETS, EMBED_BUCKETS = 1 << 18, 1 << 12
 HELD_WORDS = 250_000
+AT_ONCE = 10_000  # words whose inputs are made in one step of the training
 ROUNDS, STEPS, BATCH, RATE = 5, 800, 64, 0.01  # rounds of each fold at least, and steps in all
 _PLAIN = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -257,7 +258,8 @@ class Scorer:
 
 def fit(texts: list[str], toxic: np.ndarray, seed: int = 1) -> Scorer | None:
     """A scorer from labelled texts, or None without two classes among them."""
-    rng, cut = np.random.default_rng(seed), [words_of(t) for t in texts]
+    rng, pool = np.random.default_rng(seed), {}
+    cut = [[pool.setdefault(w, w) for w in words_of(t)] for t in texts]  # one object for all uses of a word
     toxic = np.asarray(toxic, float)
     use = np.array([i for i, words in enumerate(cut) if words], int)
     if len(use) < 6 or len(np.unique(toxic[use])) < 2:
@@ -273,11 +275,14 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 1) -> Scorer | None:
     net = initial(3 + 2 * EMBED, seed)
     listed = sorted({w for p in parts[:2] for i in p for w in cut[i]})
     number = {w: k + 1 for k, w in enumerate(listed)}
-    hashed = _hashes(listed)
+    pieces = [_hashes(listed[i:i + AT_ONCE]) for i in range(0, len(listed), AT_ONCE)]
+    offsets = np.cumsum([0, *(len(p[1]) for p in pieces)])
+    hashed = (np.concatenate([p[0] for p in pieces]), np.concatenate([p[1] for p in pieces]),
+              np.concatenate([p[2] + o for p, o in zip(pieces, offsets)]))
     ends = np.append(hashed[2], len(hashed[1]))
     folds = []
     for p in parts[:2]:
-        spread = [_spread(np.array([number[w] for w in cut[i]]), 0) for i in p]
+        spread = [_spread(np.array([number[w] for w in cut[i]], np.int32), 0) for i in p]
         folds.append((toxic[p], np.concatenate(spread), np.cumsum([0, *map(len, spread)])))
     params = net | {"embed_word": features.embed_word, "embed_gram": features.embed_gram}
     moments = {k: (np.zeros_like(p), np.zeros_like(p)) for k, p in params.items()}
@@ -286,7 +291,9 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 1) -> Scorer | None:
         # Each fold is read with the log-odds of the other.
         y, rows, first_row = folds[round_ % 2]
         features.odds = odds[round_ % 2]
-        x = np.concatenate([np.zeros((1, 3 + 2 * EMBED), np.float32), features.inputs(*hashed)[0]])
+        x = np.concatenate([np.zeros((1, 3 + 2 * EMBED), np.float32), *(
+            features.inputs(hashed[0][i:i + AT_ONCE], hashed[1][ends[i]:ends[min(i + AT_ONCE, len(listed))]],
+                            hashed[2][i:i + AT_ONCE] - ends[i])[0] for i in range(0, len(listed), AT_ONCE))])
         if round_ > 1:
             gates = {s: x @ net[f"W{s}"] + net[f"c{s}"] for s in "fb"}
             found = np.concatenate([forward(gates, rows[i:i + 1024], net) for i in range(0, len(rows), 1024)])
