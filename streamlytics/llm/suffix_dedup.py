@@ -178,15 +178,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(doc_id, text_hash, spans array<struct<s, e>>)`` for texts with repeated strings, from rows of
     ``(doc_id, text_hash, text)`` without null ids; spans may overlap."""
     runs = materialize(_runs(docs.select("doc_id", "text_hash", "text"), length), "runs")
-    shared = materialize(runs.groupBy("name").agg(
-        F.count(F.lit(1)).alias("n"), (F.min("content") < F.max("content")).alias("open")).filter("n > 1").drop("n"),
-        "shared-names")
+    shared = materialize(
+        runs.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "shared-names")
     met = materialize(runs.join(shared, "name"), "shared-runs")
-    equal = materialize(met.groupBy("name", "content").agg(
-        F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "equal-runs")
-    solid = met.join(equal, ["name", "content"]).select("doc_id", "text_hash", "s", "e")
+    sizes = materialize(met.groupBy("name", "content").agg(F.count(F.lit(1)).alias("n")), "sizes-of-runs")
+    solid = met.join(sizes.filter("n > 1").drop("n"), ["name", "content"]).select("doc_id", "text_hash", "s", "e")
+    several = materialize(
+        sizes.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "open-names")
     rep = F.min(F.struct("doc_id", "text_hash", "s", "e")).alias("rep")
-    reps = materialize(met.filter("open").groupBy("name", "content").agg(rep).select("name", "content", "rep.*"), "reps")
+    reps = materialize(met.join(several, "name").groupBy("name", "content").agg(rep).select("name", "content", "rep.*"), "reps")
     contents = materialize(_contents(reps, docs), "contents")
     part = _repeated_windows(contents, length).withColumnRenamed("s", "from").withColumnRenamed("e", "to")
     part = part.join(reps, ["name", "content"]).select(
