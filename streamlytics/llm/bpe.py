@@ -126,7 +126,7 @@ class Codec:
     def _learn(self, words: set[str]) -> None:
         """Adds words: those that are tokens, the long ones, and the others by the query."""
         whole, long, rest = [], [], []
-        for word in sorted(words):
+        for word in words:
             raw = word.encode("utf-8", "surrogatepass")
             (whole if raw in self.ranks else long if len(raw) > LONG_WORD else rest).append((word, raw))
         self._add([w for w, _ in whole], np.array([self.ranks[r] for _, r in whole], np.int32), np.ones(len(whole), int))
@@ -164,21 +164,30 @@ class Codec:
                 for words in self._cut(texts[done]):
                     if len(self.number) > HELD_WORDS:
                         self._forget()
-                    self._learn(set(words).difference(self.number))
-                    parts.append(self._ids(words))
+                    parts += self._ids([words])
                 ids = np.concatenate([p[0] for p in parts])
                 yield ids, ",".join(p[1] for p in parts if p[1])
             else:
-                cut = [self.pattern.findall(t) for t in texts[done:done + n]]
-                self._learn(set(itertools.chain.from_iterable(cut)).difference(self.number))
-                yield from map(self._ids, cut)
+                yield from self._ids([self.pattern.findall(t) for t in texts[done:done + n]])
             done += n
 
-    def _ids(self, words: list[str]) -> tuple[np.ndarray, str]:
-        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+    def _ids(self, texts: list[list[str]]) -> Iterator[tuple[np.ndarray, str]]:
+        """The ids of texts given in words."""
+        words = list(itertools.chain.from_iterable(texts))
+        at = np.fromiter(map(self.number.get, words, itertools.repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            self._learn({words[i] for i in new})
+            at[new] = [self.number[words[i]] for i in new]
         start, size = self.start[at], self.start[at + 1] - self.start[at]
-        spread = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        return self.flat[spread], ",".join(self.listed[at].tolist())
+        ends = np.cumsum(size)
+        ids = self.flat[np.repeat(start - (ends - size), size) + np.arange(size.sum())]
+        listed, first, before = self.listed[at].tolist(), 0, 0
+        for text in texts:
+            last = first + len(text)
+            until = int(ends[last - 1]) if last else 0
+            yield ids[before:until], ",".join(listed[first:last])
+            first, before = last, until
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         out = [b""] * len(ids)
