@@ -11,7 +11,7 @@ from streamlytics.llm import html_text, pii, toxicity
 from streamlytics.llm.ann import nearest, usable
 from streamlytics.llm.bpe import read_ranks, round_trip
 from streamlytics.llm.decontaminate import LENGTH, WORD, contamination, is_contaminated
-from streamlytics.llm.line_dedup import MIN_PAGES, RATIO, drop_boilerplate
+from streamlytics.llm.line_dedup import RATIO, drop_boilerplate
 from streamlytics.llm.minhash import near_duplicates
 from streamlytics.llm.registry import query, table
 from streamlytics.llm.suffix_dedup import remove_repeats
@@ -122,6 +122,9 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+MIN_PAGES = 10  # of the SQL below, which states the query's result; the operator and the pipeline take a repeat
+
+
 @query(f"""
 WITH lines AS (
     SELECT DISTINCT source, text, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL),
@@ -142,5 +145,5 @@ SELECT s.doc_id, coalesce(len(s.lines), 0) AS n_lines, coalesce(k.n_dropped, 0)
 FROM split s LEFT JOIN kept k USING (r)
 """)
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_boilerplate(table(spark, sf_dir, "documents")).select(
+    return drop_boilerplate(table(spark, sf_dir, "documents"), min_pages=MIN_PAGES).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))

@@ -6,7 +6,8 @@ ratio; lines above the boilerplate ratio are dropped from every page of the host
 * A page is a distinct text of a host: exact copies of one page are one page, so a group of copies does not turn its
   own article into boilerplate.
 * Lines are what lies between newlines and are compared whole. Blank lines are never dropped.
-* A line needs ``min_pages`` pages, so that hosts with few pages lose nothing.
+* A line needs ``min_pages`` pages. Two make a repeat, and from there on the ratio alone decides, whatever the number of
+  a host's pages.
 * Null hosts are one host of their own. A null text has no lines and stays null; an empty text stays empty.
 * All input rows and columns are kept, repeated rows included; only the text changes. ``n_lines`` and ``n_dropped``
   are added (an input column of such a name is replaced).
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from streamlytics.session import materialize
 
 RATIO = 0.05
-MIN_PAGES = 10
+MIN_PAGES = 2
 
 
 def _fingerprint(value: Column) -> Column:

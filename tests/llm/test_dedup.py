@@ -113,3 +113,11 @@ def test_line_dedup(spark):
     assert by[200, "b"] == ("menu", 1, 0) and by[203, None] == ("menu", 1, 0)
     assert by[201, "a"] == ("", 1, 0) and by[202, "a"] == (None, 0, 0)
     assert drop_boilerplate(df.limit(0)).collect() == []
+
+
+def test_line_dedup_takes_the_same_share_at_every_size(spark):
+    rows = []
+    for n in (3, 9, 50, 5000):
+        rows += [(f"h{n}", "\n".join([f"own {n} {i}"] + ["menu"] * (3 * i < 2 * n))) for i in range(n)]
+    got = drop_boilerplate(spark.createDataFrame(rows, "source string, text string")).groupBy("source").sum("n_dropped")
+    assert {r[0]: r[1] for r in got.collect()} == {"h3": 2, "h9": 6, "h50": 34, "h5000": 3334}
