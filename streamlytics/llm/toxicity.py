@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from streamlytics.llm.sampling import hashed_sample
 
 SAMPLE, SAMPLE_CHARS = 4_000, 8_000
-WINDOW, STRIDE = 24, 20
+WINDOW, STRIDE = 24, 12  # a passage of up to 13 words is whole in some window
 HIDDEN, EMBED = 8, 6
 BUCKETS, EMBED_BUCKETS = 1 << 18, 1 << 12
 HELD_WORDS = 250_000

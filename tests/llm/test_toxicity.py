@@ -48,6 +48,16 @@ def test_every_window_counts(scorer):
         assert {i for a in at for i in range(a, a + T.WINDOW)} >= set(range(n)) and all(a < n for a in at)
 
 
+def test_passages_are_whole_in_some_window_at_every_place(scorer):
+    assert 2 * T.STRIDE <= T.WINDOW
+    clean = (sample(5, 4)[1][0].split() * 20)[:200]
+    passage = ["grobzen", *clean[:9], "vlaxum"]
+    for place in range(60, 60 + T.STRIDE):
+        at = T.windows(200)
+        assert any(a <= place and place + len(passage) <= a + T.WINDOW for a in at)
+        assert scorer([" ".join(clean[:place] + passage + clean[place + len(passage):])])[0] > 0.3
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(1)
     net = {k: x.astype(float) for k, x in T.initial(5).items()}
