@@ -21,6 +21,7 @@ from streamlytics.llm.minhash import near_duplicates
 from streamlytics.llm.registry import prepared, table
 from streamlytics.session import materialize
 
+PERCENT = 80  # of their shingles that near-duplicates share
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -52,7 +53,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: that with the smallest id. Of rows that share an id one stays; rows without an id
     are in no group and stay."""
-    kept = near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    kept = near_duplicates(docs, percent=PERCENT).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi")
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text", "lang", "source", "n_chars")
     named = named.withColumn("__place", F.row_number().over(order)).filter("__place = 1")

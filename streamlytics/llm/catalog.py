@@ -112,7 +112,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 @query()

@@ -2,7 +2,7 @@
 
 Documents are sets of word shingles; two are linked when 100 * |A & B| >= percent * |A | B|. The steps:
 
-1. Every text gets the minima of ``BANDS * ROWS`` universal hash functions over its shingles, in one pass.
+1. Every text gets the minima of ``bands * rows`` universal hash functions over its shingles, in one pass.
 2. Documents with equal sets form a class, named by its smallest id; only classes go on, with the class as the member's
    link. A group of copies of any size is one row from here on.
 3. A class meets, in each band, the smallest class of its bucket; the meeting whose signatures agree most is checked on
@@ -13,9 +13,9 @@ Documents are sets of word shingles; two are linked when 100 * |A & B| >= percen
    components that the task has already joined.
 5. Components over all confirmed links, by large-star and small-star.
 
-So every pair that shares a bucket is either compared or already connected. A pair at the threshold of 0.85 shares no
-bucket with a chance of (1 - 0.85 ** 5) ** 24 < 1e-6, and is dropped by the signature check (agreement under
-``LEAST_AGREEMENT``) with a chance below 1e-5.
+So every pair that shares a bucket is either compared or already connected. The bands, their rows and the least agreement
+follow from ``percent`` (:class:`Plan`): a pair at the threshold shares no bucket with a chance of ``UNMET`` at most, and
+is dropped by the signature check with a chance of ``DROPPED`` at most.
 
 Defined results: null or empty texts and texts of blanks have 0 shingles and are linked with nothing. Rows that share a
 doc_id are one node. A null doc_id cannot be named: such rows are linked with nothing, have a null component and are
@@ -24,7 +24,9 @@ kept. Every input row gives one row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -36,19 +38,52 @@ from streamlytics.llm.shingles import Powers, mixed, shingle_numbers
 from streamlytics.session import materialize
 
 WORDS, PERCENT = 5, 85
-BANDS, ROWS = 24, 5
-LEAST_AGREEMENT = 0.68  # of BANDS * ROWS minima, of which a byte each is kept; 0.85 less 5.2 standard deviations
+UNMET, DROPPED = 1e-6, 1e-5  # chances of losing a pair at the threshold
+ROWS, MINIMA = 5, 128  # most rows of a band, and minima of all bands unless bands of one row need more
 BROADCAST_IDS = 500_000  # numbers of 8 bytes; more of them are joined by a shuffle
 BLOCK = 500_000  # shingles of the classes of a bucket that one task holds, twice
 
 
-def signatures(df: DataFrame, doc_id: str, text: str, words: int = WORDS, seed: int = 1) -> DataFrame:
+@dataclass(frozen=True)
+class Plan:
+    """Bands, rows of each, and the least share of equal minima (of which a byte each is kept) of a pair to check."""
+
+    bands: int
+    rows: int
+    least: float
+
+    @staticmethod
+    def of(percent: int) -> Plan:
+        if not 1 <= percent <= 100:
+            raise ValueError(f"percent {percent} is not in 1 to 100")
+        share = percent / 100
+        for rows in range(ROWS, 0, -1):
+            bands = math.ceil(math.log(UNMET) / math.log1p(-share ** rows)) if share < 1 else 1
+            if bands * rows <= MINIMA:
+                break
+        n = bands * rows
+        # The fewest equal minima of which fewer come with a chance of DROPPED at most; the first that exceeds it.
+        chance, least = 0.0, 0
+        while share < 1 and least <= n:
+            chance += math.exp(math.lgamma(n + 1) - math.lgamma(least + 1) - math.lgamma(n - least + 1)
+                               + least * math.log(share) + (n - least) * math.log1p(-share))
+            if chance > DROPPED:
+                break
+            least += 1
+        return Plan(bands, rows, (least if share < 1 else n) / n)
+
+
+def signatures(df: DataFrame, doc_id: str, text: str, words: int = WORDS, seed: int = 1,
+               plan: Plan | None = None) -> DataFrame:
     """``(doc_id, n_shingles, set_a, set_b, minima binary, bands array<bigint>)`` for each row."""
 
+    plan = plan or Plan.of(PERCENT)
+    n_bands, n_rows = plan.bands, plan.rows
+
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rng, powers = np.random.default_rng(seed), Powers()
-        a = rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
-        b = rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)[:, None]
+        a = rng.integers(0, 1 << 63, n_bands * n_rows, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
+        b = rng.integers(0, 1 << 63, n_bands * n_rows, dtype=np.uint64)[:, None]
 
         for batch in batches:
             out = []
@@ -57,11 +92,11 @@ def signatures(df: DataFrame, doc_id: str, text: str, words: int = WORDS, seed:
                 if not len(x):
                     out.append((key, 0, 0, 0, None, None))
                     continue
-                least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+                least = np.full(n_bands * n_rows, np.iinfo(np.uint64).max, np.uint64)
                 for i in range(0, len(x), 2048):
                     np.minimum(least, (a * x[i:i + 2048] + b).min(1), out=least)
-                rows, band = least.reshape(BANDS, ROWS), np.zeros(BANDS, np.uint64)
-                for i in range(ROWS):
+                rows, band = least.reshape(n_bands, n_rows), np.zeros(n_bands, np.uint64)
+                for i in range(n_rows):
                     band = mixed(band * np.uint64(31) + rows[:, i] + np.uint64(i))
                 out.append((key, len(x), int(x.sum().view(np.int64)), int(mixed(x + np.uint64(5)).sum().view(np.int64)),
                             (least >> np.uint64(56)).astype(np.uint8).tobytes(), band.view(np.int64)))
@@ -110,7 +145,7 @@ def _agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x == y).mean(-1)
 
 
-def _agreeing(pairs: DataFrame) -> DataFrame:
+def _agreeing(pairs: DataFrame, least: float) -> DataFrame:
     """``(a, b, agreement)`` of pairs that carry both ``minima``, if the signatures agree enough."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,12 +153,12 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
             if len(batch):
                 x, y = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(len(batch), -1) for c in ("x", "y"))
                 batch = batch[["a", "b"]].assign(agreement=_agreement(x, y))
-                yield batch[batch["agreement"] >= LEAST_AGREEMENT]
+                yield batch[batch["agreement"] >= least]
 
     return pairs.mapInPandas(compare, "a bigint, b bigint, agreement double")
 
 
-def _met_in_buckets(rows: DataFrame, signed: DataFrame, words: int, percent: int) -> DataFrame:
+def _met_in_buckets(rows: DataFrame, signed: DataFrame, words: int, percent: int, least: float) -> DataFrame:
     """Links ``(a, b)`` across components, one at least for each two components that share a bucket and are linked
     within it; from rows of ``(band, key, cls, n, component)`` and ``(cls, minima, bands, text)``."""
     own = rows.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"))
@@ -165,8 +200,8 @@ def _met_in_buckets(rows: DataFrame, signed: DataFrame, words: int, percent: int
             # A pair meets in the first band it shares.
             other = other[~(bands[other, :band] == bands[i, :band]).any(1)] if band else other
             agreement = _agreement(sign[other], sign[i])
-            near = other[agreement >= LEAST_AGREEMENT]
-            for j in near[np.argsort(-agreement[agreement >= LEAST_AGREEMENT], kind="stable")]:
+            near = other[agreement >= least]
+            for j in near[np.argsort(-agreement[agreement >= least], kind="stable")]:
                 x, y = find(component[i]), find(component[j])
                 if x != y and _linked(shingles(i), shingles(j), percent):
                     part[x] = y
@@ -179,7 +214,8 @@ def _met_in_buckets(rows: DataFrame, signed: DataFrame, words: int, percent: int
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
                     percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for each row of ``df``."""
-    signed = materialize(signatures(df, doc_id, text, words), "signatures")
+    plan = Plan.of(percent)
+    signed = materialize(signatures(df, doc_id, text, words, plan=plan), "signatures")
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     named = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
     same = ["set_a", "set_b", "n_shingles"]
@@ -196,7 +232,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
         heads.groupBy("band", "key").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).filter("a < z"), "hubs")
     met = heads.join(hubs, ["band", "key"]).filter("cls != a").select("a", F.col("cls").alias("b")).distinct()
     x, y = (signs.select(F.col("cls").alias(c), F.col("minima").alias(d)) for c, d in ("ax", "by"))
-    best = _agreeing(met.join(x, "a").join(y, "b").select("a", "b", "x", "y"))
+    best = _agreeing(met.join(x, "a").join(y, "b").select("a", "b", "x", "y"), plan.least)
     best = materialize(best.groupBy("b").agg(F.max_by("a", "agreement").alias("a")), "met")
     first = materialize(_confirmed(best, docs, words, percent), "links")
 
@@ -210,7 +246,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
         placed.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("z")).filter("x < z"),
         ["band", "key"], "left_semi")
     texts = _only(docs, shared.select(F.col("cls").alias("doc_id"))).select(F.col("doc_id").alias("cls"), "text")
-    second = _met_in_buckets(placed, signs.select("cls", "minima", "bands").join(texts, "cls"), words, percent)
+    second = _met_in_buckets(placed, signs.select("cls", "minima", "bands").join(texts, "cls"), words, percent,
+                             plan.least)
     second = materialize(second, "links")
     found = components(tied.union(first).union(second))
     named_by = members.join(found, F.col("cls") == F.col("node"), "left").groupBy(

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -7,7 +8,7 @@ import pytest
 
 from streamlytics.llm.components import components
 from streamlytics.llm.line_dedup import drop_boilerplate
-from streamlytics.llm.minhash import near_duplicates
+from streamlytics.llm.minhash import Plan, near_duplicates
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -121,3 +122,30 @@ def test_line_dedup_takes_the_same_share_at_every_size(spark):
         rows += [(f"h{n}", "\n".join([f"own {n} {i}"] + ["menu"] * (3 * i < 2 * n))) for i in range(n)]
     got = drop_boilerplate(spark.createDataFrame(rows, "source string, text string")).groupBy("source").sum("n_dropped")
     assert {r[0]: r[1] for r in got.collect()} == {"h3": 2, "h9": 6, "h50": 34, "h5000": 3334}
+
+
+@pytest.mark.parametrize("percent", [1, 40, 60, 80, 85, 95, 99, 100])
+def test_bands_and_agreement_follow_the_threshold(percent):
+    plan, share = Plan.of(percent), percent / 100
+    n = plan.bands * plan.rows
+    assert (1 - share ** plan.rows) ** plan.bands <= 1e-6
+    below = sum(math.comb(n, i) * share ** i * (1 - share) ** (n - i) for i in range(round(plan.least * n)))
+    assert below <= 1e-5
+    assert percent != 85 or (plan.bands, plan.rows) == (24, 5)
+
+
+def test_near_duplicates_at_a_lower_threshold(spark):
+    import corpus_pipeline
+
+    rng, rows = random.Random(4), []
+    for i in range(150):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(64)]
+        # Six new words at the end: 54 of 66 shingles; at 60 percent, fifteen: 45 of 75.
+        rows += [(3 * i, " ".join(words)), (3 * i + 1, " ".join(words[:-6] + [f"x{k}{i}" for k in range(6)])),
+                 (3 * i + 2, " ".join(words[:-15] + [f"y{k}{i}" for k in range(15)]))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(df, percent=60).collect()}
+    assert got == {i: i - i % 3 for i in range(450)}
+    docs = df.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+    left = dict(corpus_pipeline.STAGES)["minhash_dedup"](spark, docs, "")
+    assert left.count() == 300
