@@ -6,7 +6,8 @@ field, with weights for features and for pairs of neighbouring labels, is traine
 Viterbi decoding gives each page its most likely labelling, and the blocks of the article are its text.
 
 White space in a block becomes one space (line breaks too), blocks are trimmed and joined by newlines, character
-references are decoded. Scripts, styles, comments and what stands in the head are never blocks. A tag that is not
+references are decoded. Scripts, styles, comments and what stands in the head are never blocks; the head ends at the first
+element or text that may not stand in it. Formulas are text of their block. A tag that is not
 closed at the end of a page is dropped as markup. A null page is empty, and a page without article blocks has
 the empty text. Every row gives a row.
 """
@@ -32,9 +33,14 @@ _TAG = re.compile(
     r"<!--(?:(?s:.*?)-->|(?s:.*))|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[/!?a-zA-Z][^>]*+(?:>|\Z)")
 _MARK = re.compile(r"(?i)\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 # Elements whose text is never shown, read up to their end tag.
-_RAW = {"script", "style", "template", "noscript", "iframe", "svg", "math", "object", "title", "textarea"}
+_RAW = {"script", "style", "template", "noscript", "iframe", "svg", "object", "title", "textarea"}
 _INLINE = set("a abbr acronym b bdi bdo big cite code del dfn em font i img input kbd mark q s samp small span strike strong sub "
-              "sup time tt u var wbr br ruby rt rp picture source".split())
+              "sup time tt u var wbr br ruby rt rp picture source "
+              "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose mfenced maction "
+              "msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd semantics "
+              "annotation annotation-xml".split())
+# Elements that may stand in the head; any other one, or text, ends a head that is not closed.
+_IN_HEAD = set("html head base link meta title style script noscript template noframes".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 # An opening tag ends an open element of these names.
 _ENDS = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -72,6 +78,8 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal links
         if parts:
             words = " ".join(entities.unescape("".join(parts)).split())
+            if words and stack and stack[-1][0] == "head":
+                stack.pop()
             if words and not any(tag == "head" for tag, _ in stack):
                 out.append((words, tuple(x for _, names in stack for x in names), links))
             parts.clear()
@@ -84,11 +92,19 @@ def blocks(page: str | None) -> list[Block]:
         if not tag:
             continue
         closing = found[1] == "/"
+        if not closing and tag not in _IN_HEAD and any(name == "head" for name, _ in stack):
+            flush()
+            while stack and stack.pop()[0] != "head":
+                pass
+        if tag == "svg" and not closing and found[3].endswith("/"):
+            parts.append(" ")
+            continue
         if tag in _RAW and not closing:
             if tag != "title":
                 parts.append(" ")
             end = re.compile(rf"(?i)</{tag}\b[^>]*+(?:>|\Z)").search(page, pos)
-            pos = end.end() if end else len(page)
+            if end or tag != "svg":  # an svg without an end is dropped as markup
+                pos = end.end() if end else len(page)
             continue
         if tag in _INLINE:
             if tag == "a":

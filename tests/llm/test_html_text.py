@@ -47,6 +47,19 @@ def test_blocks(page, texts):
     assert [b[0] for b in H.blocks(page)] == texts
 
 
+@pytest.mark.parametrize("page,texts", [
+    ("<p>a <svg class='x'/> b</p><p>c</p>", ["a b", "c"]), ("<p>a<svg viewBox=\"0 0\" /></p><p>b <svg><text>no</text></svg>c</p>", ["a", "b c"]),
+    ("<p>a <svg> b</p><p>c</p>", ["a b", "c"]), ("<p>a <math/> b</p><p>c</p>", ["a b", "c"]),
+    ("<head><title>t</title><meta name=x><p>a</p><p>b", ["a", "b"]),
+    ("<html><head><title>t</title><style>no</style><article><p>a</p></article>", ["a"]),
+    ("<head><link href=x><b>a</b> b<p>c", ["a b", "c"]), ("<head><title>t</title> a <p>b", ["a", "b"]),
+    ("<head><title>t</title><svg/><p>a", ["a"]), ("<head><script>no</script></head><body><p>a", ["a"]),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> holds</p>", ["so x=12 holds"]),
+])
+def test_nothing_behind_icons_heads_and_formulas_is_lost(page, texts):
+    assert [b[0] for b in H.blocks(page)] == texts
+
+
 def test_main_text(net):
     page = ('<html><head><title>T</title></head><body><header><a href="/">Home</a></header><nav><ul><li><a href="/a">Menu item</a></li></ul>'
             '</nav><article><h1>The title of it</h1><p>First part of the text.</p><div class="ad">Buy now</div><p>Con.</p></article>'
