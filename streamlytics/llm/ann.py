@@ -5,7 +5,8 @@ large clusters. They are kept in memory as a neighbour graph, searched best-firs
 of its nearest centroid and of all others nearly as near (boundary vectors are replicated); a query reads the lists whose
 centroids are within a ratio of its nearest one. Lists longer than ``PART`` are dealt over several parts, all of which
 a query of the list reads, so no list, not even one of equal vectors, meets in one task. Parts return their best
-candidates by exact cosine in double precision; ties go to the smaller id.
+candidates by exact cosine in double precision; ties go to the smaller id. Queries that find fewer than ``k`` in their
+lists are compared with all vectors, in blocks.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without an id and
 vectors whose length is not that of most. Rows that share an id are one candidate with the nearest of their vectors, and
@@ -147,12 +148,25 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
                 out += [(query, ids[i], score[i]) for i in top[np.sort(first)[:k]]]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    found = held.select("list", "part", "vec_id", "vector").groupBy("list", "part").cogroup(
-        asked.select("list", "part", "query_id", "vector").groupBy("list", "part")).applyInPandas(
-        best, "query_id bigint, vec_id bigint, score double")
+    def met(held: DataFrame, asked: DataFrame) -> DataFrame:
+        found = held.select("list", "part", "vec_id", "vector").groupBy("list", "part").cogroup(
+            asked.select("list", "part", "query_id", "vector").groupBy("list", "part")).applyInPandas(
+            best, "query_id bigint, vec_id bigint, score double")
+        return materialize(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), "met")
+
+    found = met(held, asked)
+    # Queries whose lists hold fewer than k others meet all vectors, in blocks.
+    enough = found.groupBy("query_id").count().filter(F.col("count") >= k)
+    short = materialize(queries.withColumnRenamed("vec_id", "query_id").join(enough, "query_id", "left_anti"), "short")
+    if not short.isEmpty():
+        blocks = -(-vectors.count() // PART)
+        every = vectors.withColumn("list", F.lit(0)).withColumn(
+            "part", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+        asking = short.withColumn("list", F.lit(0)).withColumn(
+            "part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        found = found.join(short.select("query_id").distinct(), "query_id", "left_anti").unionByName(met(every, asking))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
     )

@@ -48,6 +48,17 @@ def test_hot_list_of_equal_vectors_is_split_and_ties_go_to_smaller_ids(spark, mo
     assert [got[50][r][0] for r in range(1, 6)] == [0, 1, 2, 3, 4]
 
 
+def test_isolated_vectors_that_are_centroids_find_k_others(spark, monkeypatch):
+    monkeypatch.setattr(ann, "PER_LIST", 20)
+    monkeypatch.setattr(ann, "PART", 100)
+    rng = np.random.default_rng(3)
+    rows = [(1001 + 50 * i, (np.eye(12)[0] + rng.normal(0, 0.05, 12)).tolist()) for i in range(400)]
+    alone = [(50 * i, (-np.eye(12)[i]).tolist()) for i in range(1, 8)]  # single ones, and pairs
+    pairs = [(50 * (10 + i) + k, np.eye(12)[8 + i].tolist()) for i in range(3) for k in (0, 1)]
+    share, got, want = recall(spark, spark.createDataFrame(rows + alone + pairs, "vec_id bigint, embedding array<double>"))
+    assert len(got) == 10 and share >= 0.95
+
+
 def test_what_takes_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, [None, 1.0]), (None, [1.0, 0.0]),
