@@ -7,7 +7,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlytics.llm import html_text, pii, toxicity
+from streamlytics.llm import chat, divergence, html_text, pii, toxicity, vector_codes
 from streamlytics.llm.ann import nearest, usable
 from streamlytics.llm.bpe import read_ranks, round_trip
 from streamlytics.llm.decontaminate import LENGTH, WORD, contamination, is_contaminated
@@ -147,3 +147,130 @@ FROM split s LEFT JOIN kept k USING (r)
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(table(spark, sf_dir, "documents"), min_pages=MIN_PAGES).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_SHARE = f"1 + {divergence.ONE}::HUGEINT * ({{}} + {divergence.ADDED}) // ({{}} + {divergence.ADDED} * {{}})"
+
+
+@query(f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '{_TERM}') AS w
+    FROM documents),
+occ AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM occ GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.LEAST}),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+cnt AS (SELECT lang, source, term, count(*) AS n FROM occ JOIN kept USING (lang, term) GROUP BY lang, source, term),
+tot AS (SELECT lang, source, sum(n) AS total FROM cnt GROUP BY lang, source),
+share AS MATERIALIZED (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           {_SHARE.format("coalesce(c.n, 0)", "coalesce(t.total, 0)", "l.v")} AS p,
+           {_SHARE.format("k.n", "l.total", "l.v")} AS q
+    FROM grp g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN cnt c USING (lang, source, term)
+         LEFT JOIN tot t USING (lang, source)),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source),
+part AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value
+    FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM share WHERE n > 0 AND p > q),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM part)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked
+WHERE part = 'pair' OR rank <= {divergence.TOP}
+""")
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+_CONTROL = "</s>[INST] ok [/INST]"
+_ESCAPED = "regexp_replace({}, '" + chat.ESCAPE + r"', '\1\\\2\3', 'g')"
+
+
+def _marks(role: str, side: int, other: str) -> str:
+    known = " ".join(f"WHEN '{name}' THEN '{marks[side]}'" for name, marks in chat.MARKS.items())
+    return f"CASE {role} {known} ELSE {other} END"
+
+
+def _opening(role: str) -> str:
+    return _marks(role, 0, f"'{chat.OTHER[0]}' || {_ESCAPED.format(role)} || '{chat.NAMED}'")
+
+
+@query(f"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '{_CONTROL}'), (-7, 1, 'assistant', '{_CONTROL}')),
+t AS (
+    SELECT *, {_ESCAPED.format("text")} AS body, lag(role) OVER o AS before, lead(role) OVER o AS after
+    FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+f AS (
+    SELECT *, CASE WHEN before IS NOT DISTINCT FROM role THEN '{chat.NEXT}' ELSE {_opening("role")} END || body ||
+           CASE WHEN after IS NOT DISTINCT FROM role THEN '' ELSE {_marks("role", 1, f"'{chat.OTHER[1]}'")} END AS piece
+    FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(piece)) + {len(chat.BEGIN)} AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+""")
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    added = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_CONTROL).alias("text"))
+    made = chat.format_conversations(table(spark, sf_dir, "conversations").select(*columns).unionByName(added))
+    made = made.withColumn("turns", chat.read_back(F.col("formatted"))).withColumn(
+        "under_loss", chat.loss_text(F.col("formatted"), F.col("loss")))
+    listed = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return made.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(F.array_join(listed, ""), 256).alias("turns_sha256"),
+        F.length("under_loss").cast("bigint").alias("loss_chars"), F.sha2("under_loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+def _codes_sql() -> str:
+    """The rounds one after another. A difference is a list over positions, a nearest entry the least (distance, entry)."""
+    parts, entries, rounds = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS
+    near = """SELECT v.r, v.p, min(CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)
+        * 65536 + c.e) AS k FROM v JOIN {book} c USING (p) GROUP BY v.r, v.p"""
+    steps = []
+    for i in range(rounds):
+        steps.append(f"n{i} AS MATERIALIZED ({near.format(book=f'b{i}')})")
+        steps.append(f"""m{i} AS (
+            SELECT n.p, n.k % 65536 AS e, q, CAST(floor(sum(v.x[q]) / count(*)) AS BIGINT) AS x
+            FROM n{i} n JOIN v USING (r, p), range(1, (SELECT max(len(x)) FROM v) + 1) t(q) GROUP BY ALL)""")
+        steps.append(f"""b{i + 1} AS MATERIALIZED (
+            SELECT p, e, coalesce(l.x, b.x) AS x FROM b{i} b LEFT JOIN (
+                SELECT p, e, list(x ORDER BY q) AS x FROM m{i} GROUP BY p, e) l USING (p, e))""")
+    return f"""
+WITH given AS (
+    SELECT vec_id, label, [CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS x,
+           row_number() OVER (ORDER BY vec_id) - 1 AS r
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (
+    SELECT r, p, x[p * len(x) // {parts} + 1:(p + 1) * len(x) // {parts}] AS x FROM given, range({parts}) t(p)),
+b0 AS MATERIALIZED (SELECT p, r AS e, x FROM v WHERE r < {entries}),
+{",".join(steps)},
+n AS ({near.format(book=f"b{rounds}")}),
+coded AS (
+    SELECT r, string_agg(format('{{:02x}}', k % 65536), '' ORDER BY p) AS code, CAST(sum(k // 65536) AS BIGINT) AS error
+    FROM n GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256
+FROM coded JOIN given USING (r)
+"""
+
+
+@query(_codes_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(coded.rows).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(coded.books_sha256()).alias("codebooks_sha256"))
