@@ -5,9 +5,15 @@ per byte. A recursive query joins neighbouring tokens with the merge table and c
 rank, the leftmost of equals, until no pair of the word can be merged; words that are tokens themselves need no query.
 Decoding joins token ids with the vocabulary and aggregates their bytes in order of position.
 
+Words without end, such as those of scripts without blanks, are cut first where no occurrence of any token of the
+vocabulary lies across the cut: no merge can cross it, so the parts are merged apart. A recursion step copies all rows of
+an unfinished word, so a query takes as many words as keep the sum of their squared lengths below ``SQUARES``. Parts that
+are still longer than ``LONG_PART`` bytes (runs in which token occurrences overlap all along) are merged by a heap, as
+their steps would be too many; the ids are the same.
+
 The vocabulary (ranks) is a file of public origin, read on the driver from a path given by the caller, and travels with
-the task. Words of more than ``LONG_WORD`` bytes are merged by a heap instead, as each recursion step would copy
-all their rows; the ids are the same.
+the task. What a task remembers, encodes and decodes at once is bounded; a text's own ids are held whole, and an
+uncut run takes some 60 bytes for each of its own.
 
 Null texts are empty and have no ids; no special tokens are known. Every row gives a row.
 """
@@ -15,9 +21,11 @@ Null texts are empty and have no ids; no special tokens are known. Every row giv
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import heapq
 import itertools
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +33,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LONG_WORD = 256  # bytes
-HELD_WORDS = 600_000  # words remembered by a task before it starts anew
+CUT_FROM = 16  # characters of a word that is cut
+LONG_PART = 256  # bytes
+SQUARES = 3_000_000  # rows of all steps of a query
+HELD_WORDS, HELD_CHARS = 600_000, 16_000_000  # remembered by a task before it starts anew
 CHUNK = 2_000_000  # characters encoded at once
+DECODED = 400_000  # tokens decoded at once
 
 _CONTRACT = """
 WITH RECURSIVE step(n, w, p, tok, q, nxt) AS (
@@ -72,8 +83,7 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
-        merges = [(a, b, rank) for token, rank in ranks.items() for i in range(1, len(token))
-                  if (a := ranks.get(token[:i])) is not None and (b := ranks.get(token[i:])) is not None]
+        merges = self._merges()
         a, b, made = (pa.array(x, pa.int32()) for x in (zip(*merges, strict=True) if merges else ((), (), ())))
         self.db.register("given", pa.table({"a": a, "b": b, "tok": made}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
@@ -82,8 +92,72 @@ class Codec:
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
         self._forget()
 
+    def _merges(self) -> list[tuple[int, int, int]]:
+        """(left, right, made) of all pairs of tokens that make a token."""
+        return [(a, b, rank) for token, rank in self.ranks.items() for i in range(1, len(token))
+                if (a := self.ranks.get(token[:i])) is not None and (b := self.ranks.get(token[i:])) is not None]
+
+    @functools.cached_property
+    def _made(self) -> dict[int, int]:
+        return {a << 32 | b: made for a, b, made in self._merges()}
+
+    @functools.cached_property
+    def _prefixes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The tree of all prefixes of tokens: sorted (node, byte) keys, the node each leads to, and which nodes are
+        tokens of two bytes or more."""
+        number: dict[bytes, int] = {b"": 0}
+        keys = []
+        for token in self.ranks:
+            for i in range(1, len(token) + 1):
+                if token[:i] not in number:
+                    keys.append(number[token[:i - 1]] << 8 | token[i - 1])
+                    number[token[:i]] = len(number)
+        order = np.argsort(np.array(keys, np.int64), kind="stable")
+        whole = np.zeros(len(number), bool)
+        whole[[number[t] for t in self.ranks if len(t) > 1]] = True
+        return np.array(keys, np.int64)[order], order + 1, whole
+
+    def _cuts(self, words: list[bytes]) -> np.ndarray:
+        """The places in the joined words that no occurrence of a token within a word lies across, both ends included."""
+        raw, size = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words])
+        end = np.repeat(np.cumsum(size), size)
+        keys, leads, whole = self._prefixes
+        change = np.zeros(len(raw) + 1, np.int32)
+        for first in range(0, len(raw), 1 << 20):
+            at = np.arange(first, min(first + (1 << 20), len(raw)))
+            node, depth = np.zeros(len(at), np.int64), 0
+            while len(at):
+                key = node << 8 | raw[at + depth]
+                found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                alive = keys[found] == key
+                at, node, depth = at[alive], leads[found[alive]], depth + 1
+                token = at[whole[node]]
+                change[token + 1] += 1
+                np.subtract.at(change, token + depth, 1)
+                room = at + depth < end[at]
+                at, node = at[room], node[room]
+        return np.flatnonzero(np.cumsum(change) == 0)
+
+    def _parts(self, word: str) -> Iterator[bytes]:
+        """The word's bytes, cut where no merge can cross."""
+        data = word.encode("utf-8", "surrogatepass")
+        cuts, first = self._cuts([data]), 0
+        for i in range(1, len(cuts), 4096):
+            for last in cuts[i:i + 4096].tolist():
+                yield data[first:last]
+                first = last
+
+    def _all_parts(self, words: list[str]) -> dict[str, list[bytes]]:
+        """The same for many words at once."""
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        cuts, data = self._cuts(raw), b"".join(raw)
+        parts = [data[a:b] for a, b in itertools.pairwise(cuts.tolist())]
+        at = np.searchsorted(cuts, np.cumsum([0, *map(len, raw)])).tolist()
+        return {w: parts[a:b] for w, (a, b) in zip(words, itertools.pairwise(at), strict=True)}
+
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[str | bytes, int] = {}
+        self.chars = 0
         self.listed = np.empty(0, object)  # the ids of each word, as text
         self.flat, self.start = np.empty(0, np.int32), np.zeros(1, np.int64)
 
@@ -98,46 +172,53 @@ class Codec:
         return found["tok"].to_numpy(), np.bincount(found["w"].to_numpy(), minlength=len(words))
 
     def _merge_long(self, word: bytes) -> np.ndarray:
-        """The same contraction for one long word: pairs in a heap, stale entries passed over."""
-        part = [word[i:i + 1] for i in range(len(word))]
-        after, before = list(range(1, len(part) + 1)), list(range(-1, len(part) - 1))
-        heap: list[tuple[int, int, bytes]] = []
+        """The same contraction for one long part: pairs in a heap, stale entries passed over."""
+        made, n = self._made, len(word)
+        token = array("i", self.bytes[np.frombuffer(word, np.uint8)].tolist())
+        after, before = array("i", range(1, n + 1)), array("i", range(-1, n - 1))
+        heap = [rank * n + i for i in range(n - 1) if (rank := made.get(token[i] << 32 | token[i + 1])) is not None]
+        heapq.heapify(heap)
 
         def offer(i: int) -> None:
-            if i >= 0 and after[i] < len(part):
-                both = part[i] + part[after[i]]
-                if both in self.ranks:
-                    heapq.heappush(heap, (self.ranks[both], i, both))
+            if i >= 0 and after[i] < n:
+                rank = made.get(token[i] << 32 | token[after[i]])
+                if rank is not None:
+                    heapq.heappush(heap, rank * n + i)
 
-        for i in range(len(part)):
-            offer(i)
         while heap:
-            _, i, both = heapq.heappop(heap)
+            rank, i = divmod(heapq.heappop(heap), n)
             j = after[i]
-            if not part[i] or j >= len(part) or part[i] + part[j] != both:
+            if token[i] < 0 or j >= n or made.get(token[i] << 32 | token[j]) != rank:
                 continue
-            part[i], part[j], after[i] = both, b"", after[j]
-            if after[i] < len(part):
+            token[i], token[j], after[i] = rank, -1, after[j]
+            if after[i] < n:
                 before[after[i]] = i
             offer(before[i])
             offer(i)
-        return np.array([self.ranks[p] for p in part if p], np.int32)
+        whole = np.frombuffer(token, np.int32)
+        return whole[whole >= 0]
 
-    def _learn(self, words: set[str]) -> None:
-        """Adds words: those that are tokens, the long ones, and the others by the query."""
+    def _learn(self, words: set[str | bytes]) -> None:
+        """Adds words: those that are tokens, the long ones, and the others by the query, some at a time."""
         whole, long, rest = [], [], []
         for word in words:
-            raw = word.encode("utf-8", "surrogatepass")
-            (whole if raw in self.ranks else long if len(raw) > LONG_WORD else rest).append((word, raw))
+            raw = word if isinstance(word, bytes) else word.encode("utf-8", "surrogatepass")
+            (whole if raw in self.ranks else long if len(raw) > LONG_PART else rest).append((word, raw))
         self._add([w for w, _ in whole], np.array([self.ranks[r] for _, r in whole], np.int32), np.ones(len(whole), int))
         for word, raw in long:
             tokens = self._merge_long(raw)
             self._add([word], tokens, np.array([len(tokens)]))
-        if rest:
-            self._add([w for w, _ in rest], *self._contract([r for _, r in rest]))
+        rest.sort(key=lambda x: len(x[1]))  # words of a query end after about as many steps
+        rows = np.cumsum([len(r) ** 2 for _, r in rest])
+        first = 0
+        while first < len(rest):
+            last = max(first + 1, int(np.searchsorted(rows, (rows[first - 1] if first else 0) + SQUARES, "right")))
+            self._add([w for w, _ in rest[first:last]], *self._contract([r for _, r in rest[first:last]]))
+            first = last
 
     def _add(self, words: list[str], tokens: np.ndarray, sizes: np.ndarray) -> None:
         self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
+        self.chars += sum(map(len, words))
         text, end = list(map(str, tokens.tolist())), np.cumsum(sizes).tolist()
         listed = np.empty(len(words), object)
         listed[:] = [",".join(text[a:b]) for a, b in zip([0, *end], end)]
@@ -145,9 +226,10 @@ class Codec:
         self.flat = np.concatenate([self.flat, tokens.astype(np.int32)])
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
 
-    def _cut(self, text: str) -> Iterator[list[str]]:
-        """The words of a long text, a bounded number at a time."""
-        words = (m[0] for m in self.pattern.finditer(text))
+    def _cut(self, text: str) -> Iterator[list[str | bytes]]:
+        """The words of a long text, a bounded number at a time, long ones in parts."""
+        words = itertools.chain.from_iterable(
+            self._parts(m[0]) if m.end() - m.start() > CUT_FROM else (m[0],) for m in self.pattern.finditer(text))
         while part := list(itertools.islice(words, CHUNK // 4)):
             yield part
 
@@ -157,27 +239,27 @@ class Codec:
         while done < len(texts):
             size = list(itertools.accumulate(len(t) for t in texts[done:]))
             n = max(1, int(np.searchsorted(size, CHUNK, "right")))
-            if len(self.number) > HELD_WORDS:
-                self._forget()
             if n == 1 and len(texts[done]) > CHUNK:
-                parts = []
-                for words in self._cut(texts[done]):
-                    if len(self.number) > HELD_WORDS:
-                        self._forget()
-                    parts += self._ids([words])
-                ids = np.concatenate([p[0] for p in parts])
-                yield ids, ",".join(p[1] for p in parts if p[1])
+                parts = [ids for words in self._cut(texts[done]) for ids in self._ids([words])]
+                yield np.concatenate([p[0] for p in parts]), ",".join(p[1] for p in parts if p[1])
             else:
                 yield from self._ids([self.pattern.findall(t) for t in texts[done:done + n]])
             done += n
 
-    def _ids(self, texts: list[list[str]]) -> Iterator[tuple[np.ndarray, str]]:
+    def _ids(self, texts: list[list[str | bytes]]) -> Iterator[tuple[np.ndarray, str]]:
         """The ids of texts given in words."""
+        if len(self.number) > HELD_WORDS or self.chars > HELD_CHARS:
+            self._forget()
         words = list(itertools.chain.from_iterable(texts))
         at = np.fromiter(map(self.number.get, words, itertools.repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(at < 0).tolist()
         if new:
-            self._learn({words[i] for i in new})
+            unknown = {words[i] for i in new}
+            if long := [w for w in unknown if len(w) > CUT_FROM and isinstance(w, str)]:
+                parts = self._all_parts(long)
+                yield from self._ids([[part for w in text for part in parts.get(w, (w,))] for text in texts])
+                return
+            self._learn(unknown)
             at[new] = [self.number[words[i]] for i in new]
         start, size = self.start[at], self.start[at + 1] - self.start[at]
         ends = np.cumsum(size)
@@ -190,23 +272,27 @@ class Codec:
             first, before = last, until
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        out = [b""] * len(ids)
+        """The bytes of each array of ids; long arrays are decoded in pieces, short ones together."""
+        out: list[list[bytes]] = [[] for _ in ids]
+        pieces = [(d, x[i:i + DECODED]) for d, x in enumerate(ids) for i in range(0, len(x), DECODED)]
         first, total = 0, 0
-        for i, x in enumerate(ids):
+        for i, (_, x) in enumerate(pieces):
             total += len(x)
-            if total > CHUNK or i == len(ids) - 1:
-                part = ids[first:i + 1]
-                flat = np.concatenate(part).astype(np.int32)
-                if len(flat):
-                    self.db.register("ids", self.arrow.table({
-                        "d": np.repeat(np.arange(first, i + 1, dtype=np.int32), [len(p) for p in part]),
-                        "p": np.arange(len(flat), dtype=np.int32), "tok": flat}))
-                    for d, text, known in self.db.execute(_DECODE).fetchall():
-                        if not known:
-                            raise ValueError("a token id is not in the vocabulary")
-                        out[d] = text.encode("latin-1")  # a character stands for a byte
+            if i + 1 == len(pieces) or total + len(pieces[i + 1][1]) > DECODED:
+                part = pieces[first:i + 1]
+                flat = np.concatenate([p for _, p in part]).astype(np.int32)
+                self.db.register("ids", self.arrow.table({
+                    "d": np.repeat(np.arange(len(part), dtype=np.int32), [len(p) for _, p in part]),
+                    "p": np.arange(len(flat), dtype=np.int32), "tok": flat}))
+                found: list[bytes] = [b""] * len(part)
+                for d, text, known in self.db.execute(_DECODE).fetchall():
+                    if not known:
+                        raise ValueError("a token id is not in the vocabulary")
+                    found[d] = text.encode("latin-1")  # a character stands for a byte
+                for (d, _), data in zip(part, found, strict=True):
+                    out[d].append(data)
                 first, total = i + 1, 0
-        return out
+        return [b"".join(x) for x in out]
 
 
 def _texts(column: pd.Series) -> list[str]:
