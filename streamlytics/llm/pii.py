@@ -3,9 +3,12 @@
 Base spans are the matches of four patterns (e-mail, ip, card, phone) with their checks. The field reads the tokens of a
 document (runs without white space) and adds spans the patterns miss. Its chain joins neighbouring tokens; skip edges join
 a token to the one before it with the same letters and digits, or the same run of six or more digits, and reward equal
-labels, so what is marked in one place is marked in all. Loopy message passing runs over whole documents at once. Tokens
-without a digit or ``@`` cannot be such data: their label is fixed, which cuts the chain around them, so only the
-other tokens need messages.
+labels, so what is marked in one place is marked in all. Tokens without a digit or ``@`` cannot be such data: their label
+is fixed, which cuts the chain around them, so only the other tokens need messages.
+
+Loopy message passing runs over many documents at once, forwards and backwards along the order of the tokens, so evidence
+crosses a document in one sweep. Each connected part is swept until none of its messages changes by ``STILL`` or more;
+parts that oscillate are damped more and more until they stand still.
 
 The field is trained on some ``SAMPLE`` texts of up to ``SAMPLE_CHARS`` characters (a documented bound: the sample is
 brought to the driver; a hash of the text decides), labelled by the base spans. A run of tokens of one label, each
@@ -29,7 +32,8 @@ from streamlytics.llm.sampling import hashed_sample
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, SAMPLE_CHARS = 3_000, 8_000
 SURE = 0.95
-SWEEPS, STEPS, RATE = 8, 120, 0.1
+STILL, PATIENCE = 1e-5, 20  # least change of a message; sweeps before the damping of what still moves is doubled
+STEPS, RATE = 120, 0.1
 BUCKETS = 1 << 11
 LABELS = 1 + len(KINDS)  # 0: none of them
 
@@ -142,6 +146,29 @@ class Graph:
         self.feature, self.owner = np.array(feature, int), np.array(owner, int)
         self.chain, self.skip = (np.array(sorted(set(x)), int).reshape(-1, 2) for x in (chain, skip))
         self.left, self.right = np.array(left, int), np.array(right, int)  # next to tokens fixed to label 0
+        self.edges = np.concatenate([self.chain, self.skip])
+        self.part = self._parts()
+
+    def _parts(self) -> np.ndarray:
+        """The connected part of each token, named by its first token."""
+        part, (a, b) = np.arange(len(self)), self.edges.T
+        while True:
+            least = np.minimum(part[a], part[b])
+            new = part.copy()
+            for x in (a, b, part[a], part[b]):
+                np.minimum.at(new, x, least)
+            new = new[new]
+            if (new == part).all():
+                return part
+            part = new
+
+    def levels(self) -> np.ndarray:
+        """For each edge (from an earlier token to a later one) the length of the longest way to its earlier token."""
+        depth = [0] * len(self)
+        order = np.argsort(self.edges[:, 0], kind="stable")
+        for a, b in self.edges[order].tolist():  # all edges into a token come before those out of it
+            depth[b] = max(depth[b], depth[a] + 1)
+        return np.array(depth, int)[self.edges[:, 0]]
 
     def __len__(self) -> int:
         return len(self.spans)
@@ -157,29 +184,61 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
 
 
-def infer(graph: Graph, net: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Messages:
+    """The messages along the edges of a graph, down to the later token and up to the earlier one.
+
+    ``ordered`` sends them level by level, forwards and then backwards; otherwise all are sent at once, which suits
+    small changes from messages that were still before."""
+
+    def __init__(self, graph: Graph, ordered: bool = True):
+        self.graph = graph
+        self.down, self.up = np.zeros((2, len(graph.edges), LABELS))
+        level = graph.levels() if ordered else np.zeros(len(graph.edges), int)
+        self.order = np.argsort(level, kind="stable")
+        self.level = level[self.order]
+
+    def settle(self, node: np.ndarray, weight: np.ndarray, still: float = STILL) -> np.ndarray:
+        """Sends messages until they stand still; returns the beliefs."""
+        a, b = self.graph.edges.T
+        belief = node.copy()
+        np.add.at(belief, b, self.down)
+        np.add.at(belief, a, self.up)
+        active, part = np.ones(len(a), bool), self.graph.part[a]
+        sweep = 0
+        while active.any():
+            step = 0.5 ** (sweep // PATIENCE) * (1.0 if self.level[-1] else 0.5)
+            moved = np.zeros(len(a))
+            picked = active[self.order]
+            order, level = self.order[picked], self.level[picked]
+            groups = np.split(order, np.flatnonzero(level[1:] != level[:-1]) + 1)
+            for edges, way in (*((g, 0) for g in groups), *((g, 1) for g in reversed(groups))):
+                source, target, mine, back = (a, b, self.down, self.up) if way == 0 else (b, a, self.up, self.down)
+                rest = (belief[source[edges]] - back[edges])[:, :, None] + (
+                    weight[edges] if way == 0 else weight[edges].transpose(0, 2, 1))
+                new = _log_sum(rest, 1)
+                new = step * (new - new.max(1, keepdims=True) - mine[edges])
+                moved[edges] = np.maximum(moved[edges], np.abs(new).max(1))
+                mine[edges] += new
+                np.add.at(belief, target[edges], new)
+            restless = np.zeros(len(self.graph), bool)
+            restless[part[moved >= still]] = True
+            active = restless[part]
+            sweep += 1
+        return belief
+
+
+def infer(graph: Graph, net: dict, messages: Messages | None = None, still: float = STILL) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Marginals of the tokens, and of the pairs along chain and skip edges, by loopy message passing."""
     node = np.zeros((len(graph), LABELS))
     np.add.at(node, graph.owner, net["node"][graph.feature])
     np.add.at(node, graph.left, net["chain"][0][None].repeat(len(graph.left), 0))
     np.add.at(node, graph.right, net["chain"][:, 0][None].repeat(len(graph.right), 0))
     pair = np.diag(net["skip"]) + net["differ"] * (1 - np.eye(LABELS))
-    edges = np.concatenate([graph.chain, graph.skip])
     weight = np.concatenate([net["chain"][None].repeat(len(graph.chain), 0), pair[None].repeat(len(graph.skip), 0)])
-    a, b = edges[:, 0], edges[:, 1]
-    down, up = np.zeros((2, len(edges), LABELS))
-    for _ in range(SWEEPS):
-        belief = node.copy()
-        np.add.at(belief, b, down)
-        np.add.at(belief, a, up)
-        new_down = _log_sum((belief[a] - up)[:, :, None] + weight, 1)
-        new_up = _log_sum((belief[b] - down)[:, None, :] + weight, 2)
-        down = 0.5 * (down + new_down - new_down.max(1, keepdims=True))
-        up = 0.5 * (up + new_up - new_up.max(1, keepdims=True))
-    belief = node.copy()
-    np.add.at(belief, b, down)
-    np.add.at(belief, a, up)
-    both = (belief[a] - up)[:, :, None] + weight + (belief[b] - down)[:, None, :]
+    messages = messages or Messages(graph)
+    belief = messages.settle(node, weight, still)
+    a, b = graph.edges.T
+    both = (belief[a] - messages.up)[:, :, None] + weight + (belief[b] - messages.down)[:, None, :]
     both = np.exp(both - both.max((1, 2), keepdims=True))
     both /= both.sum((1, 2), keepdims=True)
     single = np.exp(belief - belief.max(1, keepdims=True))
@@ -200,8 +259,9 @@ def fit(texts: list[str]) -> dict[str, np.ndarray]:
     seen = {"node": np.zeros_like(net["node"])}
     np.add.at(seen["node"], graph.feature, one[y][graph.owner])
     moments = {k: (np.zeros_like(p), np.zeros_like(p)) for k, p in net.items()}
+    messages = Messages(graph, ordered=False)  # those of a step are nearly those of the one before
     for step in range(1, STEPS + 1):
-        single, chain, skip = infer(graph, net)
+        single, chain, skip = infer(graph, net, messages, still=1e-3)
         grad = {"node": seen["node"].copy(), "chain": np.zeros((LABELS, LABELS)), "skip": np.zeros(LABELS)}
         np.add.at(grad["node"], graph.feature, -single[graph.owner])
         np.add.at(grad["chain"], (y[graph.chain[:, 0]], y[graph.chain[:, 1]]), 1)

@@ -71,14 +71,76 @@ def test_what_the_field_adds(net):
     assert any(kind in ("phone", "card") for _, kind in got[1])
 
 
-def test_skip_edges_carry_labels(net):
-    graph = pii.Graph(["card 4111-1111-1111-1111 then text 4111111111111111 end", "4111111111111111"])
-    assert graph.skip.tolist() == [[0, 1]] and len(graph.chain) == 0
-    strong = {k: v.copy() for k, v in net.items()}
-    strong["skip"] = pii.np.full(pii.LABELS, 4.0)
-    one = pii.infer(graph, net | {"skip": pii.np.zeros(pii.LABELS), "differ": pii.np.zeros(1)})[0]
-    two = pii.infer(graph, strong)[0]
-    assert abs(two[0] - two[1]).max() < abs(one[0] - one[1]).max() + 1e-9
+def drawn(rng, edges, n, scale=1.0):
+    """A graph of bare tokens with chain edges and random weights."""
+    graph = pii.Graph([])
+    graph.spans, graph.doc = [(i, i + 1) for i in range(n)], [0] * n
+    graph.feature, graph.owner = pii.np.arange(n), pii.np.arange(n)
+    graph.chain = pii.np.array(edges, int).reshape(-1, 2)
+    graph.skip = pii.np.empty((0, 2), int)
+    graph.edges, graph.left, graph.right = graph.chain, pii.np.empty(0, int), pii.np.empty(0, int)
+    graph.part = graph._parts()
+    net = pii.initial()
+    net["node"] = rng.normal(size=net["node"].shape)
+    net["chain"] = rng.normal(size=net["chain"].shape) * scale
+    return graph, net
+
+
+def exact(graph, net):
+    """Marginals by the sum over all labellings."""
+    import itertools
+
+    n, total = len(graph), pii.np.zeros((len(graph), pii.LABELS))
+    for y in itertools.product(range(pii.LABELS), repeat=n):
+        p = pii.np.exp(sum(net["node"][i, k] for i, k in enumerate(y)) + sum(net["chain"][y[a], y[b]] for a, b in graph.chain))
+        for i, k in enumerate(y):
+            total[i, k] += p
+    return total / total.sum(1, keepdims=True)
+
+
+@pytest.mark.parametrize("edges", [
+    [(0, 1), (1, 2), (2, 3), (3, 4)], [(0, 3), (1, 3), (2, 3), (3, 4)], [(0, 1), (0, 2), (2, 4), (3, 4)], [(0, 2), (1, 2), (1, 4)], []])
+def test_marginals_of_trees_are_exact(edges):
+    graph, net = drawn(pii.np.random.default_rng(len(edges)), edges, 5)
+    assert pii.np.allclose(pii.infer(graph, net)[0], exact(graph, net), atol=1e-4)
+
+
+@pytest.mark.parametrize("edges", [[(0, 1), (1, 2), (0, 2)], [(0, 1), (1, 2), (2, 3), (0, 3), (1, 4)], [(0, 1), (0, 2), (1, 2), (2, 3), (2, 4), (3, 4)]])
+def test_marginals_of_loops_are_near(edges):
+    graph, net = drawn(pii.np.random.default_rng(7), edges, 5, scale=0.3)
+    assert abs(pii.infer(graph, net)[0] - exact(graph, net)).max() < 0.02
+
+
+def test_messages_that_oscillate_come_to_rest():
+    graph, net = drawn(pii.np.random.default_rng(8), [(a, b) for a in range(7) for b in range(a + 1, 7)], 7)
+    net["chain"] = -8.0 * pii.np.eye(pii.LABELS)
+    assert pii.np.isfinite(pii.infer(graph, net)[0]).all()
+
+
+def test_skip_edges_carry_a_label_through_a_document(net):
+    """One strong mention among weak ones: first, last, in the middle."""
+    np = pii.np
+    net = pii.initial() | {"skip": np.full(pii.LABELS, 2.0)}
+    for n, strong in ((31, 0), (31, 30), (31, 15), (400, 399)):
+        graph = pii.Graph([" x ".join(["4111111111111111"] * n)])
+        assert len(graph.skip) == n - 1 and not len(graph.chain)
+        graph.feature, graph.owner = np.array([5]), np.array([strong])
+        net["node"][5] = [0, 0, 0, 8.0, 0]
+        got = pii.infer(graph, net)[0]
+        # By hand: on a chain of equal edges a message shrinks by the same map at each hop.
+        pair = np.exp(np.diag(net["skip"]))
+        message, want = np.exp(net["node"][5]) / np.exp(net["node"][5]).sum(), np.zeros((n, pii.LABELS))
+        for hop in range(n):
+            for place in {strong - hop, strong + hop} & set(range(n)):
+                want[place] = message
+            message = message @ pair / (message @ pair).sum()
+        assert np.allclose(got, want, atol=1e-4)
+        assert (got.argmax(1)[max(0, strong - 15):strong + 16] == 3).all()
+
+
+def test_many_equal_tokens_take_linear_time(net):
+    graph = pii.Graph([" x ".join(["4111111111111111"] * 20_000)])
+    assert len(pii.infer(graph, net)[0]) == 20_000
 
 
 def test_frames(spark, net):
