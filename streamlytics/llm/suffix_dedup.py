@@ -19,7 +19,9 @@ fifteen times the input in each round; see the README for figures.
 
 Names are compared only with names of the same least name, so two different strings count as equal only if two
 64-bit names collide at once. Every row of the input gives a row. Null texts are empty. Rows with the same id and text
-are copies of each other like any other rows, and get the same result.
+(null ids are one id) are copies of each other like any other rows: all their windows are repeated, so they need no spans
+of their own, however many they are. Names are made for ``SEGMENT`` bytes of a text at a time, in some 60 bytes for each;
+beyond that a text takes its own length a few times.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ from streamlytics.session import materialize
 LENGTH = 200
 GROUP = 10_000  # runs of a name, of some 300 bytes each, that one task ranks
 TOGETHER = 2_000  # runs ranked in one call, of as many names as it takes
+SEGMENT = 4 << 20  # bytes of a text whose windows are named at once
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -82,23 +85,25 @@ def _runs(df: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             out = []
             for key, mark, text in zip(batch["doc_id"], batch["text_hash"], batch["text"], strict=True):
-                raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
-                if len(raw) < length:
-                    continue
-                names = _names(raw, half)
-                if len(names) >= len(powers):
-                    powers, inverse = (np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(
-                        2 * len(names), x, np.uint64)))) for x in (int(_A), pow(int(_A), -1, 1 << 64)))
-                least = _least(names, length - half + 1)
-                cut = np.flatnonzero(least[1:] != least[:-1]) + 1
-                first = np.concatenate(([0], cut))
-                last = np.concatenate((cut, [len(least)])) - 1  # the last window of each run
-                total = np.zeros(len(names) + 1, np.uint64)
-                np.cumsum(names * powers[:len(names)], out=total[1:])
-                end = last + length - half + 1
-                content = _pair((total[end] - total[first]) * inverse[first], (last - first).astype(np.uint64))
-                out.append((names[least[first]].view(np.int64), content.view(np.int64), np.full(len(first), key),
-                            np.full(len(first), mark), first.astype(np.int32), (last + length).astype(np.int32)))
+                data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+                # Windows that start within a segment; a run cut by its end is two runs, which the last step compares.
+                for offset in range(0, len(data) - length + 1, SEGMENT):
+                    raw = data[offset:offset + SEGMENT + length - 1]
+                    names = _names(raw, half)
+                    if len(names) >= len(powers):
+                        powers, inverse = (np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(
+                            2 * len(names), x, np.uint64)))) for x in (int(_A), pow(int(_A), -1, 1 << 64)))
+                    least = _least(names, length - half + 1)
+                    cut = np.flatnonzero(least[1:] != least[:-1]) + 1
+                    first = np.concatenate(([0], cut))
+                    last = np.concatenate((cut, [len(least)])) - 1  # the last window of each run
+                    total = np.zeros(len(names) + 1, np.uint64)
+                    np.cumsum(names * powers[:len(names)], out=total[1:])
+                    end = last + length - half + 1
+                    content = _pair((total[end] - total[first]) * inverse[first], (last - first).astype(np.uint64))
+                    out.append((names[least[first]].view(np.int64), content.view(np.int64), np.full(len(first), key),
+                                np.full(len(first), mark), (offset + first).astype(np.int32),
+                                (offset + last + length).astype(np.int32)))
             if out:
                 found = pd.DataFrame(dict(zip(
                     ("name", "content", "doc_id", "text_hash", "s", "e"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
@@ -176,7 +181,10 @@ def _repeated_windows(contents: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(doc_id, text_hash, spans array<struct<s, e>>)`` for texts with repeated strings, from rows of
-    ``(doc_id, text_hash, text)`` without null ids; spans may overlap."""
+    ``(doc_id, text_hash, text)`` without null ids; spans may overlap. Texts in several rows of an id have null spans: all
+    of such a text is repeated if it has a window at all."""
+    key = ["doc_id", "text_hash"]
+    copied = materialize(docs.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "copied")
     runs = materialize(_runs(docs.select("doc_id", "text_hash", "text"), length), "runs")
     shared = materialize(
         runs.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "shared-names")
@@ -191,7 +199,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     part = _repeated_windows(contents, length).withColumnRenamed("s", "from").withColumnRenamed("e", "to")
     part = part.join(reps, ["name", "content"]).select(
         "doc_id", "text_hash", (F.col("s") + F.col("from")).alias("s"), (F.col("s") + F.col("to")).alias("e"))
-    return solid.union(part).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    found = solid.union(part).join(copied, key, "left_anti").groupBy(*key).agg(
+        F.collect_list(F.struct("s", "e")).alias("spans"))
+    return found.unionByName(copied, allowMissingColumns=True)
 
 
 def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -201,13 +211,15 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     given = F.col(doc_id).cast("bigint")
     docs = df.select(F.coalesce(given, F.lit(0)).alias("doc_id"), F.xxhash64(text, given.isNull()).alias("text_hash"),
                      F.col(text).alias("text"), given.cast("string").alias("given"))
-    found = materialize(repeated_spans(docs, length), "spans")
+    found = materialize(repeated_spans(docs, length).withColumn("met", F.lit(True)), "spans")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for key, text, spans in zip(batch["given"], batch["text"], batch["spans"], strict=True):
+            for key, text, spans, met in zip(batch["given"], batch["text"], batch["spans"], batch["met"], strict=True):
                 raw, merged = (text or "").encode("utf-8", "surrogatepass"), []
+                if met is True and spans is None and len(raw) >= length:
+                    merged = [[0, len(raw)]]
                 for s, e in sorted((x["s"], x["e"]) for x in (spans if spans is not None else ())):
                     if merged and s <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], e)
@@ -218,6 +230,6 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
                 out.append((key, len(raw), [{"s": s, "e": e} for s, e in merged], kept))
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "spans", "kept"])
 
-    return docs.join(found, ["doc_id", "text_hash"], "left").select("given", "text", "spans").mapInPandas(
+    return docs.join(found, ["doc_id", "text_hash"], "left").select("given", "text", "spans", "met").mapInPandas(
         cut, "doc_id string, n_bytes bigint, spans array<struct<s: int, e: int>>, kept binary"
     ).withColumn("doc_id", F.col("doc_id").cast("bigint"))

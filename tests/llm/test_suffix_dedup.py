@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from streamlytics.llm import suffix_dedup
 from streamlytics.llm.suffix_dedup import remove_repeats
@@ -22,9 +23,10 @@ def brute(texts, length):
     return [(n, len(runs), kept) for n, runs, kept in out]
 
 
-@pytest.mark.parametrize("length,group", [(200, 512), (20, 512), (20, 1), (7, 512)])
-def test_equal_to_brute_force(spark, monkeypatch, length, group):
+@pytest.mark.parametrize("length,group,segment", [(200, 512, 1 << 20), (20, 512, 1 << 20), (20, 1, 64), (7, 512, 100)])
+def test_equal_to_brute_force(spark, monkeypatch, length, group, segment):
     monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", segment)
     rng = random.Random(length)
     pool = ["".join(rng.choice("abcdefgh é") for _ in range(rng.randrange(5, 450))) for _ in range(12)]
     texts = []
@@ -50,3 +52,14 @@ def test_nulls_repeats_and_no_rows(spark):
         spark.createDataFrame(rows, schema)).collect()))
     assert got == sorted(map(repr, [(None, 300, 1, b""), (None, 300, 1, b""), (5, 0, 0, b""), (5, 1, 0, b"b")]))
     assert remove_repeats(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_ten_thousand_equal_rows(spark, doc_id):
+    text = " ".join(f"word{i * i % 7919}" for i in range(700))
+    other = "head " + text[100:400] + " tail"  # shares a passage with them, but is no copy
+    rows = spark.range(10_000).selectExpr(f"CAST({'NULL' if doc_id is None else doc_id} AS BIGINT) AS doc_id", f"'{text}' AS text").unionByName(
+        spark.createDataFrame([(8, other), (9, "short"), (9, "short")], "doc_id bigint, text string"))
+    got = {(r.doc_id, r.n_bytes, len(r.spans), bytes(r.kept)): r.n for r in remove_repeats(rows).groupBy(
+        "doc_id", "n_bytes", "spans", "kept").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {(doc_id, len(text), 1, b""): 10_000, (8, len(other), 1, b"head  tail"): 1, (9, 5, 0, b"short"): 2}
