@@ -7,7 +7,9 @@ files that nobody reads.
 
 Reading. Members and records are checked one by one (gzip checksum, version line, lengths, digests, end mark). After a
 failed check the reader searches for the next gzip member or version line, goes on there, and returns the bytes passed
-over as a gap with its reason. Plain archives, members of many records and mixtures are read alike.
+over as a gap with its reason. Plain archives, members of many records and mixtures are read alike. Each archive is a
+task of its own; a member that unpacks to more than ``HELD`` bytes (a whole archive packed at once) is checked in one pass
+and read record by record in a second one, so that a task holds a record at a time, with the length its header names.
 
 Defined results: a null html is an empty payload. Rows without an id come last in the choice of the response; rows that
 share an id and a payload are all responses or all revisits. Every row is a record, repeated rows included.
@@ -19,7 +21,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,9 +31,12 @@ from streamlytics.session import materialize, shared_dir
 
 SHARED = 100  # bytes
 FILE_BYTES = 32 << 20
+HELD = 8 << 20  # bytes of a member that are unpacked once
+HEADER = 16 << 20  # bytes that a record's header may take
 DATE = "2024-01-01T00:00:00Z"
 _MAGIC = b"\x1f\x8b\x08"
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
+_VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
 _END = b"\r\n\r\n"
 
 
@@ -123,7 +128,7 @@ class Damaged(Exception):
 
 def _parse(data: bytes, at: int) -> tuple[dict, int]:
     """The record at ``at`` and the place behind it."""
-    line = re.compile(rb"WARC/1\.[01]\r?\n").match(data, at)
+    line = _VERSION.match(data, at)
     if not line:
         raise Damaged("no version line")
     stop = data.find(_END, at)
@@ -152,25 +157,72 @@ def _parse(data: bytes, at: int) -> tuple[dict, int]:
     return {"head": head, "payload": payload}, end + 4
 
 
-def salvage_records(data: bytes) -> Iterator[tuple[dict | None, int, int, str | None]]:
-    """``(record, start, end, None)`` for each good record of plain data, ``(None, start, end, reason)`` for each gap."""
-    at, bad, reason = 0, -1, None
-    while at < len(data):
+class _Ahead:
+    """Bytes that come in pieces; those from ``base`` on are held until they are dropped."""
+
+    def __init__(self, pieces: Iterable[bytes]):
+        self.pieces, self.data, self.base, self.ended = iter(pieces), bytearray(), 0, False
+
+    def reach(self, n: int) -> None:
+        while len(self.data) < n and not self.ended:
+            piece = next(self.pieces, None)
+            if piece is None:
+                self.ended = True
+            else:
+                self.data += piece
+
+    def drop(self, n: int) -> None:
+        del self.data[:n]
+        self.base += n
+
+    def record(self) -> tuple[dict, int]:
+        """The record that starts here, and its size."""
+        stop, size = -1, 1 << 12
+        while stop < 0 and _VERSION.match(self.data):
+            self.reach(size)
+            stop = self.data.find(_END)
+            if self.ended or size > HEADER:
+                break
+            size *= 2
+        length = re.search(rb"(?im)^content-length:[ \t]*([0-9]{1,18})[ \t]*\r?$", self.data[:max(stop, 0)])
+        size = stop + 8 + int(length[1]) if length else max(stop, 0) + 8
+        self.reach(size)
+        return _parse(bytes(self.data[:size]), 0)
+
+    def next_version(self) -> None:
+        """Drops what comes before the next version line behind the first byte, or all."""
+        self.drop(1)
+        while not (found := _VERSION.search(self.data)):
+            if self.ended:
+                return self.drop(len(self.data))
+            self.drop(max(0, len(self.data) - 16))
+            self.reach(1 << 14)
+        self.drop(found.start())
+
+
+def salvage_records(pieces: Iterable[bytes]) -> Iterator[tuple[dict | None, int, int, str | None]]:
+    """``(record, start, end, None)`` for each good record of plain data that comes in pieces, ``(None, start, end,
+    reason)`` for each gap."""
+    data, bad, reason = _Ahead(pieces), -1, None
+    while True:
+        data.reach(1 << 12)
+        if not data.data:
+            break
+        at = data.base
         try:
-            found, end = _parse(data, at)
+            found, size = data.record()
         except Damaged as why:
             if bad < 0:
                 bad, reason = at, str(why)
-            again = re.compile(rb"WARC/1\.[01]\r?\n").search(data, at + 1)
-            at = again.start() if again else len(data)
+            data.next_version()
             continue
         if bad >= 0:
             yield None, bad, at, reason
             bad = -1
-        yield found, at, end, None
-        at = end
+        data.drop(size)
+        yield found, at, data.base, None
     if bad >= 0:
-        yield None, bad, len(data), reason
+        yield None, bad, data.base, reason
 
 
 class _Bytes:
@@ -201,19 +253,35 @@ class _Bytes:
         return self.size
 
 
-def _member(file: _Bytes, at: int) -> tuple[bytes, int, str | None]:
-    """What the gzip member at ``at`` unpacks to, its end, and what is wrong with it."""
-    unpack, out, place = zlib.decompressobj(31), [], at
-    try:
-        while not unpack.eof:
-            piece = file.read(place)
-            if not piece:
-                return b"".join(out), file.size, "the member is cut off"
-            out.append(unpack.decompress(piece))
-            place += len(piece)
-    except zlib.error as why:
-        return b"".join(out), place, f"the member is damaged: {str(why)[:60]}"
-    return b"".join(out), place - len(unpack.unused_data), None
+class _Member:
+    """The gzip member at a place: what it unpacks to, in pieces, then its end and what is wrong with it."""
+
+    def __init__(self, file: _Bytes, at: int):
+        self.file, self.at, self.end, self.why = file, at, at, None
+
+    def pieces(self) -> Iterator[bytes]:
+        unpack, self.end = zlib.decompressobj(31), self.at
+        try:
+            while not unpack.eof:
+                piece = self.file.read(self.end)
+                if not piece:
+                    self.end, self.why = self.file.size, "the member is cut off"
+                    return
+                self.end += len(piece)
+                while piece and not unpack.eof:
+                    yield unpack.decompress(piece, 1 << 20)
+                    piece = unpack.unconsumed_tail
+            self.end -= len(unpack.unused_data)
+        except zlib.error as why:
+            self.why = f"the member is damaged: {str(why)[:60]}"
+
+    def checked(self) -> Iterable[bytes]:
+        """Reads the member to its end; its pieces, again from the file if they are too many to hold."""
+        held, size = [], 0
+        for piece in self.pieces():
+            size += len(piece)
+            held = [*held, piece] if size <= HELD else []
+        return held if size <= HELD else _Member(self.file, self.at).pieces()
 
 
 def _plain(file: _Bytes, at: int) -> tuple[dict, int]:
@@ -236,31 +304,42 @@ def salvage(file: _Bytes) -> Iterator[tuple[dict | None, int, int, str | None]]:
     at, bad, reason = 0, -1, None
     while at < file.size:
         here = file.read(at, 3)
-        good, end, why, inner = [], at, None, []
+        end, why, good, inner = at, None, False, []
         if here == _MAGIC:
-            data, end, why = _member(file, at)
-            for found in salvage_records(data):
-                (good if found[0] else inner).append(found)
-            if why is None and not good:
-                why = inner[0][3] if inner else None
+            member = _Member(file, at)
+            pieces = member.checked()
+            end, why = member.end, member.why
+            for found, first, last, missed in salvage_records(pieces):
+                if found is None:
+                    inner.append((first, last, missed))
+                    continue
+                if bad >= 0:
+                    yield None, bad, at, reason
+                    bad = -1
+                good = True
+                yield found, at, end, None
+            if why is None and not good and inner:
+                why = inner[0][2]
         else:
             try:
                 found, end = _plain(file, at)
-                good = [(found, at, end, None)]
             except Damaged as error:
                 why = str(error)
-        if bad >= 0 and (why is None or good):
+            else:
+                if bad >= 0:
+                    yield None, bad, at, reason
+                    bad = -1
+                yield found, at, end, None
+        if bad >= 0 and why is None:
             yield None, bad, at, reason
             bad = -1
-        for found in good:
-            yield found[0], at, end, None
         if why is not None:
             if bad < 0:
                 bad, reason = at, why
             at = file.find(at + 1)
             continue
-        for found in inner:  # a gap between good records of one member
-            yield None, at, end, f"{found[3]} (bytes {found[1]} to {found[2]} of the member)"
+        for first, last, missed in inner:  # a gap between good records of one member
+            yield None, at, end, f"{missed} (bytes {first} to {last} of the member)"
         at = end
     if bad >= 0:
         yield None, bad, file.size, reason
@@ -297,5 +376,6 @@ def read_archives(files: DataFrame, payload: bool = True) -> DataFrame:
     schema = ("file string, start bigint, end bigint, gap string, page_id string, url string, record_type string, "
               "refers_to string, payload_bytes string, payload_digest string") + (", payload binary" if payload else "")
     numbers = ("page_id", "refers_to", "payload_bytes")
-    found = files.select("file").repartition("file").mapInPandas(read, schema)
+    # An archive a task: a count that is given is not folded, however short the list of names is.
+    found = files.select("file").repartition(max(1, files.count())).mapInPandas(read, schema)
     return found.select(*[F.expr(f"try_cast({c} AS bigint)").alias(c) if c in numbers else c for c in names])
