@@ -99,7 +99,7 @@ def signatures(df: DataFrame, doc_id: str, text: str, words: int = WORDS, seed:
                 for i in range(n_rows):
                     band = mixed(band * np.uint64(31) + rows[:, i] + np.uint64(i))
                 out.append((key, len(x), int(x.sum().view(np.int64)), int(mixed(x + np.uint64(5)).sum().view(np.int64)),
-                            (least >> np.uint64(56)).astype(np.uint8).tobytes(), band.view(np.int64)))
+                            mixed(least).astype(np.uint8).tobytes(), band.view(np.int64)))
             yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_a", "set_b", "minima", "bands"])
 
     # Ids pass through pandas as strings: numbers with nulls among them would become floats.

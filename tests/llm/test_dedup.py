@@ -4,11 +4,12 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 
 from streamlytics.llm.components import components
 from streamlytics.llm.line_dedup import drop_boilerplate
-from streamlytics.llm.minhash import Plan, near_duplicates
+from streamlytics.llm.minhash import Plan, near_duplicates, signatures
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -149,3 +150,12 @@ def test_near_duplicates_at_a_lower_threshold(spark):
     docs = df.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "0L AS n_chars")
     left = dict(corpus_pipeline.STAGES)["minhash_dedup"](spark, docs, "")
     assert left.count() == 300
+
+
+def test_signatures_of_unrelated_long_texts_do_not_agree(spark):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n)) for n in (60, 400, 2000, 2000, 20_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    minima = [np.frombuffer(bytes(r.minima), np.uint8) for r in signatures(df, "doc_id", "text").orderBy("doc_id").collect()]
+    share = [(x == y).mean() for i, x in enumerate(minima) for y in minima[:i]]
+    assert max(share) < 0.05 and np.mean(share) < 3 / 256
