@@ -2,8 +2,8 @@
 
 The turns of a conversation are collected as structs and sorted. Neighbouring turns of one role are merged into a block
 by an array aggregation (a fold over slices of ``SLICE`` turns, so that its cost stays linear), blocks are wrapped in the
-marks of their role, and all is concatenated. Texts that hold a mark get a backslash behind the mark's first character,
-and texts that already look like that one more, so that :func:`read_back` finds exactly the turns that went in.
+marks of their role, and all is concatenated. In texts, ``<`` or ``[`` before the rest of a mark gets a backslash behind
+it, and one more where backslashes stand there already, so that :func:`read_back` finds exactly the turns that went in.
 
 Conversations of more than ``LONG`` turns are dealt over the tasks by ranges of their order, equal turns are counted
 first, and only one formatted part for each task is gathered, so no task holds the rows of a hot conversation.

@@ -14,13 +14,13 @@ MARKS = [m for pair in (*chat.MARKS.values(), chat.OTHER) for m in pair] + [chat
 
 
 def escape(text):
-    """By hand: a backslash behind the first character of whatever is a mark once backslashes there are left out."""
+    """By hand: a backslash behind a bracket that the rest of a mark follows, once backslashes there are left out."""
     out, i = "", 0
     while i < len(text):
         j = i + 1
         while j < len(text) and text[j] == "\\":
             j += 1
-        if any(text[i] == m[0] and text.startswith(m[1:], j) for m in MARKS):
+        if text[i] in "<[" and any(text.startswith(m[1:], j) for m in MARKS):
             out += text[i] + "\\"
         else:
             out += text[i]
