@@ -11,9 +11,10 @@ from streamlytics.llm import chat, divergence, html_text, pii, toxicity, vector_
 from streamlytics.llm.ann import nearest, usable
 from streamlytics.llm.bpe import read_ranks, round_trip
 from streamlytics.llm.decontaminate import LENGTH, WORD, contamination, is_contaminated
-from streamlytics.llm.line_dedup import RATIO, drop_boilerplate
-from streamlytics.llm.minhash import near_duplicates
+from streamlytics.llm.line_dedup import MIN_PAGES, RATIO, drop_boilerplate
+from streamlytics.llm.minhash import WORDS, near_duplicates
 from streamlytics.llm.registry import query, table
+from streamlytics.llm.suffix_dedup import LENGTH as LENGTH_OF_REPEAT
 from streamlytics.llm.suffix_dedup import remove_repeats
 from streamlytics.llm.warc import read_archives, with_revisits, write_archives
 
@@ -88,7 +89,29 @@ def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
-@query()
+@query(f"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (
+    SELECT r, p, array_slice(b, p, p + {LENGTH_OF_REPEAT - 1}) AS s
+    FROM (SELECT r, b, unnest(generate_series(1, octet_length(b) - {LENGTH_OF_REPEAT - 1})) AS p FROM d)),
+hit AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY s) AS n FROM w) WHERE n > 1),
+edge AS (
+    SELECT r, p, coalesce(p - lag(p) OVER o > {LENGTH_OF_REPEAT}, true) AS first FROM hit WINDOW o AS (PARTITION BY r ORDER BY p)),
+run AS (
+    SELECT r, min(p) AS s, max(p) + {LENGTH_OF_REPEAT} AS e
+    FROM (SELECT r, p, count(*) FILTER (WHERE first) OVER (PARTITION BY r ORDER BY p) AS k FROM edge) GROUP BY r, k),
+gone AS (SELECT r, count(*) AS n_spans, sum(e - s) AS n_removed FROM run GROUP BY r),
+part AS (
+    SELECT r, coalesce(lag(e) OVER o, 1) AS s, s AS e FROM run WINDOW o AS (PARTITION BY r ORDER BY s)
+    UNION ALL SELECT d.r, coalesce(max(e), 1), any_value(octet_length(b)) + 1 FROM d LEFT JOIN run USING (r) GROUP BY d.r),
+kept AS (
+    SELECT r, string_agg(CASE WHEN part.e > part.s THEN hex(array_slice(b, part.s, part.e - 1)) ELSE '' END, '' ORDER BY part.s) AS x
+    FROM part JOIN d USING (r) GROUP BY r)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(x)) AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN gone USING (r)
+""")
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
@@ -110,7 +133,26 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query()
+_SET_WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), "
+              r"'[^\x20\x09-\x0D]+')")
+
+
+@query(f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_SET_WORDS} AS w FROM documents),
+s AS MATERIALIZED (
+    SELECT DISTINCT r, array_to_string(w[p:p + m - 1], ' ') AS x
+    FROM (SELECT r, w, least({WORDS}, len(w)) AS m, unnest(generate_series(1, len(w) - least({WORDS}, len(w)) + 1)) AS p
+          FROM d WHERE len(w) > 0)),
+size AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS n FROM s a JOIN s b ON a.x = b.x AND a.r < b.r GROUP BY a.r, b.r),
+link AS MATERIALIZED (
+    SELECT a, b FROM common JOIN size x ON x.r = a JOIN size y ON y.r = b WHERE 100 * common.n >= 85 * (x.n + y.n - common.n)
+    UNION SELECT b, a FROM common JOIN size x ON x.r = a JOIN size y ON y.r = b WHERE 100 * common.n >= 85 * (x.n + y.n - common.n)),
+reach(a, b) AS (SELECT r, r FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+named AS (SELECT reach.a AS r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY reach.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN named USING (r) LEFT JOIN size USING (r)
+""")
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
@@ -122,9 +164,6 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
-MIN_PAGES = 10  # of the SQL below, which states the query's result; the operator and the pipeline take a repeat
-
-
 @query(f"""
 WITH lines AS (
     SELECT DISTINCT source, text, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL),
@@ -145,7 +184,7 @@ SELECT s.doc_id, coalesce(len(s.lines), 0) AS n_lines, coalesce(k.n_dropped, 0)
 FROM split s LEFT JOIN kept k USING (r)
 """)
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_boilerplate(table(spark, sf_dir, "documents"), min_pages=MIN_PAGES).select(
+    return drop_boilerplate(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
