@@ -5,7 +5,7 @@ to 8 bytes become one uint64, those of up to 16 bytes two, most significant byte
 passes over 16-bit digits, equal digits passed over). Longer terms go to buckets of up to 32, 64, 128, ... bytes and are
 sorted there as bytes. As the texts stand in the order of their (language, source) group and the sorts are stable, runs of equal terms
 fall into runs of one group and one document, so that a pass over the runs gives both the occurrences and the documents of a term.
-Tasks add up what they have counted before Spark groups it.
+Tasks merge what they have counted, packed as it is, by the same sort before Spark groups it.
 
 Shares are exact integers in billionths: a group's share of a kept term with ``count`` occurrences is
 ``1 + floor(10**9 * (count + 5) / (N + 5 * V))``, N the group's occurrences of kept terms and V the language's kept
@@ -33,7 +33,8 @@ LEAST, TOP = 30, 50
 ONE = 1_000_000_000
 ADDED = 5
 CHUNK = 4 << 20  # bytes of text sorted at once
-HELD = 300_000  # counts that a task holds before it hands them on
+HELD = 1_500_000  # counts of packed terms that a task holds before it hands them on, of 28 bytes each at most
+HELD_LONG = 100_000  # likewise of long terms
 TERMS, SOURCES = 4096, 256  # of a block
 
 # The bytes of a term (all but the first 128 that are no letters), A-Z as a-z; 0 for all others.
@@ -59,21 +60,26 @@ def _packed(raw: np.ndarray, start: np.ndarray, size: np.ndarray, at: int) -> np
     return word
 
 
-def _unpacked(words: list[np.ndarray]) -> list[bytes]:
-    """The terms of packed words."""
-    width = 8 * len(words)
-    return np.stack(words, 1).astype(">u8").view(f"S{width}").ravel().tolist()
+def unpacked(words: list[np.ndarray]) -> np.ndarray:
+    """The terms of packed words, as byte strings."""
+    return np.stack(words, 1).astype(">u8").view(f"S{8 * len(words)}").ravel()
 
 
-def _runs(order: np.ndarray, keys: list[np.ndarray], group: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows sorted by (keys, group, doc): the first row of each (keys, group), its rows and its documents."""
+def _new(order: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
+    """Of rows in some order, those that differ from the one before."""
     new = np.ones(len(order), bool)
-    new[1:] = group[order[1:]] != group[order[:-1]]
+    if len(order):
+        new[1:] = False
     for key in keys:
         new[1:] |= key[order[1:]] != key[order[:-1]]
+    return new
+
+
+def _runs(order: np.ndarray, keys: list[np.ndarray], group: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows sorted by (keys, group, doc): the first row of each (keys, group), its rows and its documents."""
+    new = _new(order, [group, *keys])
     first = np.flatnonzero(new)
-    fresh = new.copy()
-    fresh[1:] |= doc[order[1:]] != doc[order[:-1]]
+    fresh = new | _new(order, [doc])
     return order[first], np.diff(np.append(first, len(order))), np.add.reduceat(fresh.astype(np.int64), first)
 
 
@@ -86,8 +92,9 @@ def _long(raw: np.ndarray, start: np.ndarray, size: np.ndarray, width: int) -> n
     return out.view(f"S{width}").ravel()
 
 
-def count_terms(texts: list[bytes], groups: np.ndarray) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]]:
-    """(groups, terms, occurrences, documents) of UTF-8 texts given in the order of their groups, a bucket at a time."""
+def count_terms(texts: list[bytes], groups: np.ndarray) -> Iterator[tuple[int, np.ndarray, list, np.ndarray, np.ndarray]]:
+    """(words, groups, terms, occurrences, documents) of UTF-8 texts given in the order of their groups, a bucket at a
+    time. Terms are arrays of their first and second word, or a list of bytes where ``words`` is 0."""
     raw = _LOWER[np.frombuffer(b"\0".join([*texts, b""]), np.uint8)]
     inside = np.concatenate(([False], raw != 0, [False]))
     edge = np.flatnonzero(inside[1:] != inside[:-1])
@@ -104,7 +111,7 @@ def count_terms(texts: list[bytes], groups: np.ndarray) -> Iterator[tuple[np.nda
             for key in reversed(keys):
                 order = _radix(order, key)
             first, count, docs = _runs(order, keys, group[pick], doc[pick])
-            yield group[pick][first], _unpacked([key[first] for key in keys]), count, docs
+            yield words, group[pick][first], [key[first] for key in keys], count, docs
     low = 16
     while low < size.max():
         # No bucket takes more than twice the bytes of its terms.
@@ -116,7 +123,61 @@ def count_terms(texts: list[bytes], groups: np.ndarray) -> Iterator[tuple[np.nda
             number = np.zeros(len(order), np.int64)
             number[order] = np.cumsum(np.concatenate(([0], terms[order[1:]] != terms[order[:-1]])))
             first, count, docs = _runs(order, [number], group[pick], doc[pick])
-            yield group[pick][first], terms[first].tolist(), count, docs
+            yield 0, group[pick][first], terms[first].tolist(), count, docs
+
+
+class Held:
+    """Counts of (group, term), merged now and then."""
+
+    def __init__(self):
+        self.packed: dict[int, list[tuple]] = {1: [], 2: []}
+        self.long: dict[tuple[int, bytes], list[int]] = {}
+        self.pending = 0
+
+    def add(self, words: int, group: np.ndarray, terms: list, n: np.ndarray, docs: np.ndarray) -> None:
+        if words:
+            self.packed[words].append((group.astype(np.int32), *terms, n, docs))
+            self.pending += len(group)
+            if self.pending > HELD:
+                self.merge()
+            return
+        for key, x, d in zip(zip(group.tolist(), terms, strict=True), n.tolist(), docs.tolist(), strict=True):
+            known = self.long.setdefault(key, [0, 0])
+            known[0] += x
+            known[1] += d
+
+    def merge(self) -> None:
+        for words, parts in self.packed.items():
+            if len(parts) > 1:
+                group, *keys, n, docs = (np.concatenate(x) for x in zip(*parts, strict=True))
+                order = np.argsort(group, kind="stable")
+                for key in reversed(keys):
+                    order = _radix(order, key)
+                new = _new(order, [group, *keys])
+                first = np.flatnonzero(new)
+                at = order[first]
+                parts[:] = [(group[at], *(k[at] for k in keys), np.add.reduceat(n[order], first), np.add.reduceat(docs[order], first))]
+        self.pending = sum(len(p[0]) for parts in self.packed.values() for p in parts)
+
+    def full(self) -> bool:
+        return self.pending > HELD // 2 or len(self.long) > HELD_LONG
+
+    def take(self) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]]:
+        """All of it as (groups, terms, occurrences, documents), some at a time; nothing is held afterwards."""
+        self.merge()
+        for parts in self.packed.values():
+            for group, *keys, n, docs in parts:
+                for i in range(0, len(group), 100_000):
+                    here = slice(i, i + 100_000)
+                    yield group[here], pa.array(unpacked([k[here] for k in keys]), pa.binary()), n[here], docs[here]
+            parts.clear()
+        keys, values = list(self.long), np.array(list(self.long.values()), np.int64).reshape(-1, 2)
+        self.long.clear()
+        self.pending = 0
+        for i in range(0, len(keys), 10_000):
+            part = keys[i:i + 10_000]
+            yield (np.array([g for g, _ in part]), pa.array([t for _, t in part], pa.binary()),
+                   values[i:i + 10_000, 0], values[i:i + 10_000, 1])
 
 
 def _segments(text: bytes) -> Iterator[bytes]:
@@ -136,47 +197,36 @@ def _counts(docs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[tuple[str, str], int] = {}
         listed: list[tuple[str, str]] = []
-        held: dict[tuple[int, bytes], list[int]] = {}
+        held = Held()
         texts: list[bytes] = []
         groups: list[int] = []
 
-        def put(key: tuple[int, bytes], n: int, docs: int) -> None:
-            known = held.get(key)
-            if known is None:
-                held[key] = [n, docs]
-            else:
-                known[0] += n
-                known[1] += docs
-
         def add() -> None:
             order = np.argsort(np.array(groups), kind="stable")
-            for of, terms, n, docs in count_terms([texts[i] for i in order], np.array(groups)[order]):
-                for key, x, d in zip(zip(of.tolist(), terms, strict=True), n.tolist(), docs.tolist(), strict=True):
-                    put(key, x, d)
+            for found in count_terms([texts[i] for i in order], np.array(groups)[order]):
+                held.add(*found)
             texts.clear()
             groups.clear()
 
         def add_long(text: bytes, group: int) -> None:
             """A text of more than a chunk: all its parts are one document."""
-            total: dict[bytes, int] = {}
+            total = Held()
             for part in _segments(text):
-                for _, terms, n, _ in count_terms([part], np.array([group])):
-                    for term, x in zip(terms, n.tolist(), strict=True):
-                        total[term] = total.get(term, 0) + x
-            for term, x in total.items():
-                put((group, term), x, 1)
+                for found in count_terms([part], np.array([group])):
+                    total.add(*found)
+            total.merge()
+            for words, parts in total.packed.items():
+                for of, *keys, n, _ in parts:
+                    held.add(words, of, keys, n, np.ones(len(of), np.int64))
+            terms, n = [t for _, t in total.long], np.array([x for x, _ in total.long.values()], np.int64)
+            held.add(0, np.full(len(terms), group), terms, n, np.ones(len(terms), np.int64))
 
         def out() -> Iterator[pa.RecordBatch]:
-            keys, values = list(held), list(held.values())
-            held.clear()
-            for i in range(0, len(keys), 50_000):
-                part = keys[i:i + 50_000]
+            lang, source = (np.array(x, object) for x in zip(*listed, strict=True))
+            for group, terms, n, docs in held.take():
                 yield pa.record_batch({
-                    "lang": pa.array([listed[g][0] for g, _ in part], pa.string()),
-                    "source": pa.array([listed[g][1] for g, _ in part], pa.string()),
-                    "term": pa.array([t for _, t in part], pa.binary()).cast(pa.string()),
-                    "n": pa.array([v[0] for v in values[i:i + 50_000]], pa.int64()),
-                    "docs": pa.array([v[1] for v in values[i:i + 50_000]], pa.int64())})
+                    "lang": pa.array(lang[group], pa.string()), "source": pa.array(source[group], pa.string()),
+                    "term": terms.cast(pa.string()), "n": pa.array(n, pa.int64()), "docs": pa.array(docs, pa.int64())})
 
         size = 0
         for batch in batches:
@@ -194,11 +244,12 @@ def _counts(docs: DataFrame) -> DataFrame:
                 if size > CHUNK:
                     add()
                     size = 0
-                if len(held) > HELD:
+                if held.full():
                     yield from out()
         if texts:
             add()
-        yield from out()
+        if listed:
+            yield from out()
 
     return docs.mapInArrow(count, "lang string, source string, term string, n bigint, docs bigint")
 

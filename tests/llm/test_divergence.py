@@ -77,7 +77,7 @@ def test_against_brute_force(spark):
 def test_blocks_chunks_and_held_counts_change_nothing(spark, monkeypatch):
     rows = corpus(2, 500, sources=9)
     want = brute(rows, least=3)
-    for name, value in (("TERMS", 4), ("SOURCES", 3), ("CHUNK", 300), ("HELD", 20)):
+    for name, value in (("TERMS", 4), ("SOURCES", 3), ("CHUNK", 300), ("HELD", 20), ("HELD_LONG", 3)):
         monkeypatch.setattr(divergence, name, value)
     assert result(audit(frame(spark, rows), least=3)) == want
 
@@ -106,11 +106,18 @@ def test_packed_counts(seed):
         n.update((g, x) for x in terms(t))
         docs.update((g, x) for x in set(terms(t)))
     got_n, got_docs = {}, {}
-    for of, found, count, seen in count_terms([t.encode() for _, t in texts], groups):
+    held = divergence.Held()
+    for words, of, found, count, seen in count_terms([t.encode() for _, t in texts], groups):
+        held.add(words, of, found, count, seen)
+        found = divergence.unpacked(found).tolist() if words else found
         for g, t, a, b in zip(of.tolist(), found, count.tolist(), seen.tolist(), strict=True):
             assert (g, t.decode()) not in got_n
             got_n[g, t.decode()], got_docs[g, t.decode()] = a, b
     assert got_n == dict(n) and got_docs == dict(docs)
+    for words, of, found, count, seen in count_terms([t.encode() for _, t in texts], groups):
+        held.add(words, of, found, count, seen)  # a second time
+    twice = {(int(g), t.as_py().decode()): (int(a), int(b)) for of, t_, n_, d_ in held.take() for g, t, a, b in zip(of, t_, n_, d_, strict=True)}
+    assert twice == {k: (2 * n[k], 2 * docs[k]) for k in n} and not list(held.take())
 
 
 def test_shares_beyond_64_bits(spark):
