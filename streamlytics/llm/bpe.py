@@ -199,22 +199,33 @@ class Codec:
         return whole[whole >= 0]
 
     def _learn(self, words: set[str | bytes]) -> None:
-        """Adds words: those that are tokens, the long ones, and the others by the query, some at a time."""
-        whole, long, rest = [], [], []
-        for word in words:
-            raw = word if isinstance(word, bytes) else word.encode("utf-8", "surrogatepass")
-            (whole if raw in self.ranks else long if len(raw) > LONG_PART else rest).append((word, raw))
-        self._add([w for w, _ in whole], np.array([self.ranks[r] for _, r in whole], np.int32), np.ones(len(whole), int))
-        for word, raw in long:
-            tokens = self._merge_long(raw)
-            self._add([word], tokens, np.array([len(tokens)]))
-        rest.sort(key=lambda x: len(x[1]))  # words of a query end after about as many steps
-        rows = np.cumsum([len(r) ** 2 for _, r in rest])
+        """Adds words: those that are tokens, those in parts, the long ones, and the others by the query, some at a time."""
+        cut = [w for w in words if len(w) > CUT_FROM and isinstance(w, str)]
+        words = list(words.difference(cut))
+        raw = [w if isinstance(w, bytes) else w.encode("utf-8", "surrogatepass") for w in words]
+        rank = list(map(self.ranks.get, raw))
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        at = np.array([r is None for r in rank], bool)
+        whole, long, rest = np.flatnonzero(~at).tolist(), np.flatnonzero(at & (size > LONG_PART)).tolist(), np.flatnonzero(at & (size <= LONG_PART))
+        self._add([words[i] for i in whole], np.array([rank[i] for i in whole], np.int32), np.ones(len(whole), int))
+        if long:
+            tokens = [self._merge_long(raw[i]) for i in long]
+            self._add([words[i] for i in long], np.concatenate(tokens), np.array(list(map(len, tokens))))
+        rows = np.cumsum(size[rest] ** 2)
+        if len(rows) and rows[-1] > SQUARES:
+            rest = rest[np.argsort(size[rest], kind="stable")]  # words of a query end after about as many steps
+            rows = np.cumsum(size[rest] ** 2)
         first = 0
         while first < len(rest):
             last = max(first + 1, int(np.searchsorted(rows, (rows[first - 1] if first else 0) + SQUARES, "right")))
-            self._add([w for w, _ in rest[first:last]], *self._contract([r for _, r in rest[first:last]]))
+            here = rest[first:last].tolist()
+            self._add([words[i] for i in here], *self._contract([raw[i] for i in here]))
             first = last
+        if cut:
+            parts = self._all_parts(cut)
+            self._learn({p for word in cut for p in parts[word]} - self.number.keys())
+            ids = [[self.flat[self.start[i]:self.start[i + 1]] for i in map(self.number.get, parts[word])] for word in cut]
+            self._add(cut, np.concatenate([x for of in ids for x in of]), np.array([sum(map(len, of)) for of in ids]))
 
     def _add(self, words: list[str], tokens: np.ndarray, sizes: np.ndarray) -> None:
         self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
@@ -254,12 +265,7 @@ class Codec:
         at = np.fromiter(map(self.number.get, words, itertools.repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(at < 0).tolist()
         if new:
-            unknown = {words[i] for i in new}
-            if long := [w for w in unknown if len(w) > CUT_FROM and isinstance(w, str)]:
-                parts = self._all_parts(long)
-                yield from self._ids([[part for w in text for part in parts.get(w, (w,))] for text in texts])
-                return
-            self._learn(unknown)
+            self._learn({words[i] for i in new})
             at[new] = [self.number[words[i]] for i in new]
         start, size = self.start[at], self.start[at + 1] - self.start[at]
         ends = np.cumsum(size)
