@@ -38,6 +38,40 @@ def test_recall_on_the_tables(spark, sf):
     assert recall(spark, spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet"))[0] >= 0.95
 
 
+@pytest.mark.parametrize("fan,levels", [(8, 2), (3, 3)])
+def test_recall_over_levels_of_centroids(spark, monkeypatch, fan, levels):
+    """2,000 vectors in 40 lists below 2 or 3 levels of cells."""
+    for name, value in (("FAN", fan), ("PER_LIST", 50 if fan == 8 else 80), ("PART", 300), ("CELLS", 2), ("PROBED", 4), ("PROBES", 5)):
+        monkeypatch.setattr(ann, name, value)
+    built = []
+    monkeypatch.setattr(ann, "_descended", lambda *a, real=ann._descended: built.append(a) or real(*a))
+    share, got, want = recall(spark, spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").filter("vec_id < 2000"))
+    assert len(built) == 2 * (levels - 1)
+    assert share >= 0.9
+
+
+def test_lists_grow_with_the_vectors(spark, monkeypatch):
+    monkeypatch.setattr(ann, "FAN", 4)
+    monkeypatch.setattr(ann, "PER_LIST", 20)
+    seen = []
+    monkeypatch.setattr(ann, "materialize", lambda df, label, real=ann.materialize: seen.append((label, real(df, label))) or seen[-1][1])
+    rng = np.random.default_rng(5)
+    for n, least in ((300, 8), (1200, 30)):
+        seen.clear()
+        rows = [(i, x.tolist()) for i, x in enumerate(rng.normal(size=(n, 8)))]
+        df = usable(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+        nearest(df, df.filter("vec_id % 50 = 0")).collect()
+        held = [t for label, t in seen if label == "lists"][-1]
+        assert held.select("list").distinct().count() >= least
+
+
+def test_components_beyond_floats_and_scaled_copies(spark):
+    rows = [(50 * i, [float(i + 1), 1e-40, 0.0]) for i in range(4)] + [(1, [1e300, 0.0, 1.0]), (2, [1e-300, 0.0, 0.0]), (3, [2e-300, 0.0, 0.0])]
+    vectors = usable(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    got = nearest(vectors, vectors.filter("vec_id = 50")).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(0, 1.0), (1, 1.0), (2, 1.0), (3, 1.0), (100, 1.0)]
+
+
 def test_hot_list_of_equal_vectors_is_split_and_ties_go_to_smaller_ids(spark, monkeypatch):
     monkeypatch.setattr(ann, "PART", 64)
     rng = np.random.default_rng(1)
