@@ -42,8 +42,7 @@ DECODED = 400_000  # tokens decoded at once
 
 _CONTRACT = """
 WITH RECURSIVE step(n, w, p, tok, q, nxt) AS (
-    SELECT 0::SMALLINT, w, p, tok, lead(p) OVER word, lead(tok) OVER word
-    FROM piece WINDOW word AS (PARTITION BY w ORDER BY p)
+    SELECT 0::SMALLINT, w, p, tok, q, nxt FROM piece
     UNION ALL
     (WITH best AS (
         SELECT s.w, min(m.tok::BIGINT * 65536 + s.p) AS k, arg_min(s.q, m.tok::BIGINT * 65536 + s.p) AS q
@@ -167,7 +166,10 @@ class Codec:
         raw = np.frombuffer(b"".join(words), np.uint8)
         row = np.repeat(np.arange(len(words), dtype=np.int32), size)
         at = (np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)).astype(np.int32)
-        self.db.register("piece", self.arrow.table({"w": row, "p": at, "tok": self.bytes[raw]}))
+        last = at + 1 == size[row]
+        after, token = self.arrow.array(at + 1, mask=last), self.bytes[raw]
+        self.db.register("piece", self.arrow.table({
+            "w": row, "p": at, "tok": token, "q": after, "nxt": self.arrow.array(np.roll(token, -1), mask=last)}))
         found = self.db.sql(_CONTRACT).to_arrow_table()
         return found["tok"].to_numpy(), np.bincount(found["w"].to_numpy(), minlength=len(words))
 
