@@ -323,6 +323,16 @@ def uv_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.bitmap_counts(_dated_views(spark, sf_dir), ["date", "itemId"], "user_id")
 
 
+@query(ITEM_UV)
+def uv_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users by a 64-bit hash of their id, in compressed sets; those of two halves of the events are merged."""
+    views = _dated_views(spark, sf_dir).withColumn("hashed", F.xxhash64("user_id"))
+    keys = ["date", "itemId"]
+    halves = [ops.containers(views.filter(F.pmod("ts", F.lit(2)) == i), keys, "hashed") for i in (0, 1)]
+    users = ops.cardinalities(ops.merge_containers(halves[0].unionByName(halves[1]), keys), keys)
+    return ops.count_by(views, *keys, name="pv").join(users, keys)
+
+
 @query(ITEM_UV)
 def uv_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.exact_counts(_dated_views(spark, sf_dir), ["date", "itemId"], "user_id")
@@ -551,6 +561,27 @@ def first_seen_nu2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "device", "deviceType", "nu", "nu2")
 
 
+BLOOM = ops.Bloom(100_000, 0.03)
+
+
+@query(f"""
+{FIRST} SELECT deviceType, count(*) AS rows, count(*) FILTER (WHERE rn = 1) AS exact, true AS within_bound
+FROM starts GROUP BY deviceType
+""")
+def first_seen_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New devices by a Bloom filter for each device type, against the exact ones: no row is marked that is not a first
+    one, and no more are missed than the filter's chance of an error allows (and five standard deviations)."""
+    lines = inputs.app_event_lines(inputs.events(spark, sf_dir))
+    starts = users.startups(lines, ("event_id",)).select("event_id", "deviceType", "device", "time")
+    marked = ops.first_seen_bloom(starts, ["deviceType"], "device", "time", "event_id", "bloom", BLOOM)
+    exact = ops.first_seen(starts, ["deviceType", "device"], ["time"], "event_id", "first").select("event_id", "first")
+    found = marked.join(exact, "event_id").groupBy("deviceType").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("first").alias("exact"),
+        F.sum((F.col("first") - F.col("bloom")).cast("bigint")).alias("missed"), F.min(F.col("first") - F.col("bloom")).alias("least"))
+    allowed = BLOOM.error * F.col("exact") + 5 * F.sqrt(BLOOM.error * F.col("exact")) + 1
+    return found.select("deviceType", "rows", "exact", ((F.col("least") >= 0) & (F.col("missed") <= allowed)).alias("within_bound"))
+
+
 # -- joins and unions -----------------------------------------------------------------------------
 
 ITEM_ORDERS = f"""
@@ -707,12 +738,15 @@ def csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_view(spark, path, schemas.T.StructType(schemas.ACCESS.fields[1:]), "access_ods")
 
 
-@query("""
+LATEST = """
 SELECT user_id, event_id, time, value FROM (
   SELECT user_id, event_id, (epoch_us(ts) // 1000) AS time, value,
          row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events
 ) WHERE rn = 1
-""")
+"""
+
+
+@query(LATEST)
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows an upsert stages: the last one of each key."""
     rows = inputs.events(spark, sf_dir).select("user_id", "event_id", "time", "value")

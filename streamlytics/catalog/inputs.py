@@ -52,8 +52,9 @@ class Feed:
         return session.readStream.schema(self.rows.schema).option("recursiveFileLookup", "true").parquet(self.folder)
 
 
-def event_feed(spark: SparkSession, sf_dir: str) -> Feed:
-    return Feed(spark, sf_dir, "events", "ts", {"event_id": -1, "user_id": 0, "event_type": "view", "value": 0.0, "props": '{"k": 0}'})
+def event_feed(spark: SparkSession, sf_dir: str, parts: int = 2) -> Feed:
+    marks = {"event_id": -1, "user_id": 0, "event_type": "view", "value": 0.0, "props": '{"k": 0}'}
+    return Feed(spark, sf_dir, "events", "ts", marks, parts)
 
 
 def millis(column: str) -> Column:

@@ -8,21 +8,27 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from streamlytics import plans
 from streamlytics.catalog import inputs
-from streamlytics.catalog.batch import ETL, FIRST, ITEM_ORDERS, LATE, REPAIR, TOP, _words, with_intake
-from streamlytics.catalog.inputs import APP, DAY, SHOP
+from streamlytics.catalog.batch import CUMULATIVE, ETL, FIRST, ITEM_ORDERS, LATE, LATEST, REPAIR, TOP, _words, with_intake
+from streamlytics.catalog.inputs import APP, DAY, MINUTE, SHOP
 from streamlytics.catalog.registry import query
 from streamlytics.plans import orders, shopping, users
 from streamlytics.session import shared_dir
 from streamlytics.sources import kafka_records
 from streamlytics.streaming import batches, sinks
+from streamlytics.streaming.eventtime import with_event_time
+from streamlytics.streaming.keyed import KeyedTable
 from streamlytics.streaming.sinks import BatchTable
-from streamlytics.streaming.stateful import average_every_stream
+from streamlytics.streaming.stateful import average_every_stream, fire_in_event_time, lives_in_event_time
 
 
 def _store(spark: SparkSession, name: str) -> BatchTable:
     return BatchTable(shared_dir(spark, "streams", name))
 
 
+def _keyed(spark: SparkSession, name: str, *keys: str) -> KeyedTable:
+    return KeyedTable(shared_dir(spark, "streams", name), keys, buckets=16)
+
+
 def _run(spark: SparkSession, name: str, writer: DataStreamWriter, *feeds: inputs.Feed, ahead: bool = True) -> None:
     """Run a query to the end of its input after each part of the feeds has come, each time from its checkpoint."""
     checkpoint = shared_dir(spark, "checkpoints", name)
@@ -213,10 +219,10 @@ SELECT date, itemId, 1, count(*), count(DISTINCT user_id) FROM v GROUP BY 1, 2 H
 """)
 def stream_cumulative_pv_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views and visitors so far, fired after each micro-batch."""
-    feed, parts, fired = inputs.event_feed(spark, sf_dir), _store(spark, "fire_parts"), _store(spark, "fired")
+    feed, fired, keys = inputs.event_feed(spark, sf_dir), _store(spark, "fired"), ["date", "itemId"]
+    state = sinks.bitmap_state(shared_dir(spark, "streams", "fire_state"), keys)
     rows = shopping.dated_views(_shopping(spark, sf_dir, feed))
-    _run(spark, "fire", rows.writeStream.foreachBatch(sinks.firing_sink(parts, fired, ["date", "itemId"], "user_id")),
-         feed, ahead=False)
+    _run(spark, "fire", rows.writeStream.foreachBatch(sinks.firing_sink(state, fired, keys, "user_id")), feed, ahead=False)
     return fired.read(spark).select("date", "itemId", "fire", "pv", "uv")
 
 
@@ -230,9 +236,10 @@ UNION ALL SELECT user_id, '+U', CAST(a + b AS BIGINT) FROM t WHERE a IS NOT NULL
 """)
 def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A keyed sum with its retractions, micro-batch by micro-batch."""
-    feed, parts, log = inputs.event_feed(spark, sf_dir), _store(spark, "log_parts"), _store(spark, "log")
+    feed, log = inputs.event_feed(spark, sf_dir), _store(spark, "log")
+    state = _keyed(spark, "log_state", "key")
     rows = inputs.events(spark, sf_dir, feed).select("user_id", F.col("k").cast("bigint").alias("k"))
-    _run(spark, "log", rows.writeStream.foreachBatch(sinks.changelog_sink(parts, log, "user_id", "k")), feed, ahead=False)
+    _run(spark, "log", rows.writeStream.foreachBatch(sinks.changelog_sink(state, log, "user_id", "k")), feed, ahead=False)
     return log.read(spark).select("user_id", "kind", "total")
 
 
@@ -261,3 +268,49 @@ def stream_late_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, progress = _store(spark, "repair"), _store(spark, "repair_progress")
     _run(spark, "repair", batches.repair_stream(items, placed, "orderId", arrival, DAY, store, progress), feed, ahead=False)
     return store.read(spark).select("item_event_id", "item_orderId", "item_time", "order_time", "order_money", "source")
+
+
+@query("""
+SELECT event_id, user_id, CAST(sum(CAST(props->>'$.k' AS BIGINT)) OVER
+         (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total
+FROM events
+""")
+def stream_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each record, in three micro-batches."""
+    feed, sums = inputs.event_feed(spark, sf_dir, parts=3), _store(spark, "running")
+    rows = inputs.events(spark, sf_dir, feed).select("event_id", "user_id", "time", F.col("k").cast("bigint").alias("k"))
+    _run(spark, "running", batches.running_stream(
+        rows, ["user_id"], ["time", "event_id"], "k", _keyed(spark, "running_state", "user_id"), sums), feed, ahead=False)
+    return sums.read(spark).select("event_id", "user_id", "total")
+
+
+@query(LATEST)
+def stream_keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last row of each user in a keyed table, from three micro-batches."""
+    feed, table = inputs.event_feed(spark, sf_dir, parts=3), _keyed(spark, "upsert", "user_id")
+    rows = inputs.events(spark, sf_dir, feed).select("user_id", "event_id", "time", "value")
+    _run(spark, "upsert", rows.writeStream.foreachBatch(sinks.upsert_sink(table, ["time", "event_id"])), feed, ahead=False)
+    return table.read(spark)
+
+
+@query(f"WITH {SHOP}, {CUMULATIVE}")
+def stream_event_time_firing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views and visitors so far every three minutes of event time, by timers."""
+    feed = inputs.event_feed(spark, sf_dir)
+    rows = fire_in_event_time(
+        shopping.dated_views(_shopping(spark, sf_dir, feed)), ["date", "itemId"], "user_id", 3 * MINUTE, DAY, 16 * 60 * MINUTE)
+    fired = _collect(spark, "event_time_firing", rows, feed)
+    return fired.select((F.col("w_end") - DAY).alias("w_start"), "w_end", "date", "itemId", "fire_time", "pv", "uv")
+
+
+@query(f"""
+WITH e AS (SELECT user_id, epoch_us(ts) // 1000 AS t, CAST(props->>'$.k' AS BIGINT) AS k FROM events),
+gap AS (SELECT *, coalesce(t - lag(t) OVER (PARTITION BY user_id ORDER BY t) >= {DAY}, true) AS new FROM e),
+life AS (SELECT *, count(*) FILTER (WHERE new) OVER (PARTITION BY user_id ORDER BY t) AS number FROM gap)
+SELECT user_id, min(t) AS born, max(t) AS last, count(*) AS n, CAST(sum(k) AS BIGINT) AS total FROM life GROUP BY user_id, number
+""")
+def stream_state_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals that expire a day of event time after their last write, each given out when it does."""
+    feed = inputs.event_feed(spark, sf_dir, parts=3)
+    rows = with_event_time(inputs.events(spark, sf_dir, feed), "time", "1 second")
+    return _collect(spark, "expiry", lives_in_event_time(rows, "user_id", "k", DAY), feed)

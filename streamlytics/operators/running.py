@@ -15,6 +15,7 @@ The cuts steer balance only; results do not depend on them.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -97,26 +98,35 @@ def _chunk(df: DataFrame, order: Sequence[str], chunks: int | None) -> DataFrame
     return out.withColumn("__chunk", chunk).drop("__b0", "__b1")
 
 
+def _carried(kind: str, merged: Column, start: Column | None) -> Column:
+    """The value at the head of a chunk: what the chunks before it make of the one carried in."""
+    if start is None:
+        return merged
+    if kind in ("max", "min"):
+        return (F.greatest if kind == "max" else F.least)(merged, start)
+    return F.when(merged.isNull(), start).when(start.isNull(), merged).otherwise(merged + start)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     aggregates: Sequence[Running],
     chunks: int | None = None,
-    initial: dict[str, object] | None = None,
+    initial: dict[str, object] | DataFrame | None = None,
 ) -> DataFrame:
     """Add running aggregates per ``keys`` along ``order``.
 
     ``order`` holds one or two integral, non-null columns that together identify a row's place
-    within its key. ``initial`` gives values carried in from before the first row, by aggregate
-    name (only without keys). Without ``chunks`` their number follows from the rows, ``ROWS_PER_CHUNK``
-    each. The plan is built by reading the order column once; the input must be repeatable.
+    within its key. ``initial`` gives values carried in from before the first row: by aggregate name where
+    there are no keys, else a table with one row for each key that has any, of the keys and the aggregates' names.
+    Without ``chunks`` their number follows from the rows, ``ROWS_PER_CHUNK`` each. The plan is built by reading the order column once; the input must be repeatable.
     """
     keys, order = list(keys), list(order)
     if not 1 <= len(order) <= 2:
         raise ValueError("order takes one or two columns")
-    if initial and keys:
-        raise ValueError("initial values need a history without keys")
+    if initial is not None and bool(keys) != isinstance(initial, DataFrame):
+        raise ValueError("initial values are a table with keys, and a dictionary without")
     if chunks is not None:
         chunks = max(2, chunks)
 
@@ -128,20 +138,18 @@ def running(
     )
     # At most `chunks` rows per key (in all, when there is no key).
     before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = {}
-    for value, agg in zip(values, aggregates):
-        merged = _MERGE[agg.kind](value).over(before)
-        start = (initial or {}).get(agg.name)
-        if start is not None:
-            first = F.lit(start)
-            if agg.kind == "max":
-                merged = F.greatest(merged, first)
-            elif agg.kind == "min":
-                merged = F.least(merged, first)
-            else:
-                merged = F.coalesce(merged, F.lit(0)) + first
-        carried[value] = merged
-    heads = totals.select(*keys, "__chunk", *[c.alias(v) for v, c in carried.items()], F.lit(0).alias("__row"))
+    heads = totals.select(*keys, "__chunk", *[
+        _MERGE[a.kind](v).over(before).alias(v) for v, a in zip(values, aggregates)], F.lit(0).alias("__row"))
+    if isinstance(initial, DataFrame):
+        same = functools.reduce(Column.__and__, [F.col(f"h.{k}").eqNullSafe(F.col(f"i.{k}")) for k in keys])
+        given = initial.select(*keys, *[a.name for a in aggregates]).alias("i")
+        heads = heads.alias("h").join(given, same, "left")
+        starts = {a.name: F.col(f"i.{a.name}") for a in aggregates}
+    else:
+        heads = heads.alias("h")
+        starts = {name: F.lit(value) for name, value in (initial or {}).items() if value is not None}
+    heads = heads.select(*[F.col(f"h.{c}") for c in (*keys, "__chunk", "__row")], *[
+        _carried(a.kind, F.col(f"h.{v}"), starts.get(a.name)).alias(v) for v, a in zip(values, aggregates)])
 
     both = rows.withColumn("__row", F.lit(1)).unionByName(heads, allowMissingColumns=True)
     along = Window.partitionBy(*keys, "__chunk").orderBy("__row", *order)

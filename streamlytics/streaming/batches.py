@@ -10,7 +10,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from streamlytics.operators.joins import repair_late_items
 from streamlytics.operators.late import flag_late
+from streamlytics.operators.running import Running, running
 from streamlytics.operators.topk import top_n
+from streamlytics.streaming.keyed import KeyedTable
 from streamlytics.streaming.sinks import BatchTable, BatchWriter
 
 
@@ -78,3 +80,26 @@ def late_split_stream(
             batch.unpersist()
 
     return rows.writeStream.outputMode("append").foreachBatch(write)
+
+
+def running_stream(rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, state: KeyedTable,
+                   sink: BatchTable, name: str = "total") -> DataStreamWriter:
+    """Every row of a stream with the sum of its key so far, micro-batch by micro-batch and within one along ``order``.
+
+    The sums carried from batch to batch are kept in ``state``, a table with the keys ``keys``; a batch reads and writes what
+    lies in the buckets of its keys. Within a batch a hot key is spread over chunks of the order, as in
+    :func:`~streamlytics.operators.running.running`.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            added = batch.groupBy(*keys).agg(F.sum(value).alias(name))
+            before = state.lookup(added, added.schema, before_batch=batch_id)
+            out = running(batch, keys, order, [Running(name, "sum", value)], initial=before)
+            sink.write(out.select(*batch.columns, name), batch_id)
+            state.upsert(added, batch_id, {name: "sum"})
+        finally:
+            batch.unpersist()
+
+    return rows.writeStream.outputMode("append").foreachBatch(write)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from streamlytics.operators.distinct import bitmap_parts
+from streamlytics.streaming.keyed import KeyedTable
 
 BATCH = "batch"
 BatchWriter = Callable[[DataFrame, int], None]
@@ -160,40 +161,68 @@ def read_bitmaps(spark: SparkSession, table: BatchTable, keys: Sequence[str], pv
     return united.groupBy(*keys).agg(F.sum("__pv").alias(pv), F.sum("__n").alias(uv))
 
 
-def firing_sink(table: BatchTable, fired: BatchTable, keys: Sequence[str], member: str) -> BatchWriter:
+def bitmap_state(path: str, keys: Sequence[str], buckets: int = 64) -> KeyedTable:
+    """A table of the bitmaps of each key so far, for :func:`firing_sink`."""
+    return KeyedTable(path, (*keys, "bucket"), buckets, by=tuple(keys))
+
+
+def firing_sink(state: KeyedTable, fired: BatchTable, keys: Sequence[str], member: str) -> BatchWriter:
     """Early firing: after each micro-batch the views and exact visitors so far, as ``(keys, fire, pv, uv)``, of the keys
-    that the batch saw. ``fire`` is the batch number; a replayed batch fires the same rows again."""
+    that the batch saw. ``fire`` is the batch number; a replayed batch fires the same rows again. The bitmaps so far are
+    kept in ``state`` (see :func:`bitmap_state`), of which a batch reads and writes what lies in the buckets of its keys."""
+
+    def merged(parts: DataFrame) -> DataFrame:
+        return parts.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"), F.sum("pv").alias("pv"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.write(bitmap_parts(batch, keys, member), batch_id)
-        spark = batch.sparkSession
-        so_far = BatchRange(table, batch_id)
-        changed = table.read_batch(spark, batch_id).select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-        same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-        rows = read_bitmaps(spark, so_far, keys).join(changed, same, "left_semi")
-        fired.write(rows.withColumn("fire", F.lit(batch_id)), batch_id)
+        parts = bitmap_parts(batch, keys, member).persist()
+        try:
+            state.upsert(parts, batch_id, merge=merged)
+            changed = parts.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+            same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+            so_far = state.lookup(parts, parts.schema).join(changed, same, "left_semi")
+            rows = so_far.groupBy(*keys).agg(
+                F.sum("pv").alias("pv"), F.sum(F.bitmap_count("bits")).alias("uv"))
+            fired.write(rows.withColumn("fire", F.lit(batch_id)), batch_id)
+        finally:
+            parts.unpersist()
 
     return write
 
 
-def changelog_sink(table: BatchTable, log: BatchTable, key: str, value: str, name: str = "total") -> BatchWriter:
+def changelog_sink(state: KeyedTable, log: BatchTable, key: str, value: str, name: str = "total") -> BatchWriter:
     """A keyed sum as a changelog: for each key of a micro-batch its first total (``+I``), or the total it had (``-U``) and
-    the one it has now (``+U``)."""
+    the one it has now (``+U``). Totals are kept in ``state``, a table with the key ``key``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        now = batch.groupBy(F.col(key).alias("key")).agg(F.sum(value).alias("total")).persist()
+        try:
+            before = state.lookup(now, now.schema, before_batch=batch_id).withColumn("there", F.lit(True))
+            rows = now.alias("n").join(before.alias("b"), F.expr("n.key <=> b.key"), "left").select(
+                "n.key", F.col("n.total").alias("part"), F.col("b.total").alias("old"), "there")
+            fresh = F.col("there").isNull()
+            total = F.when(F.col("old").isNull(), F.col("part")).when(
+                F.col("part").isNull(), F.col("old")).otherwise(F.col("old") + F.col("part"))
+            changes = F.array_compact(F.array(
+                F.when(~fresh, F.struct(F.lit("-U").alias("kind"), F.col("old").alias(name))),
+                F.struct(F.when(fresh, "+I").otherwise("+U").alias("kind"), total.alias(name))))
+            log.write(rows.select(F.col("key").alias(key), F.inline(changes)), batch_id)
+            state.upsert(now, batch_id, {"total": "sum"})
+        finally:
+            now.unpersist()
+
+    return write
+
+
+def upsert_sink(table: KeyedTable, order: Sequence[str]) -> BatchWriter:
+    """Update-then-insert into a keyed table: the last row of each key by ``order``, which also tells whether the row that
+    is there is the later one."""
+
+    def merged(rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, table.keys, order)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.write(batch.groupBy(F.col(key).alias("key")).agg(F.sum(value).alias("part")), batch_id)
-        spark = batch.sparkSession
-        now = table.read_batch(spark, batch_id)
-        if batch_id:
-            before = BatchRange(table, batch_id - 1).read(spark).groupBy("key").agg(F.sum("part").alias("old"))
-        else:
-            before = now.limit(0).select("key", F.col("part").alias("old"))
-        rows = now.alias("n").join(before.alias("b"), F.expr("n.key <=> b.key"), "left").select("n.key", "part", "old")
-        fresh, total = F.col("old").isNull(), F.coalesce("old", F.lit(0)) + F.col("part")
-        changes = F.array_compact(F.array(
-            F.when(~fresh, F.struct(F.lit("-U").alias("kind"), F.col("old").alias(name))),
-            F.struct(F.when(fresh, "+I").otherwise("+U").alias("kind"), total.alias(name))))
-        log.write(rows.select(F.col("key").alias(key), F.inline(changes)), batch_id)
+        table.upsert(latest_per_key(batch, table.keys, order), batch_id, merge=merged)
 
     return write
 

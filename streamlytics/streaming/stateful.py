@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 DAY_MS = 86_400_000
 
@@ -193,3 +194,159 @@ def top_n_on_timer(counts: DataFrame, groups: Sequence[str], by: str, tie: str,
     return counts.select(*groups, tie, by, window).groupBy(*groups).transformWithState(
         statefulProcessor=TopOnTimer(groups, end, by, tie, n, state), outputStructType=schema,
         outputMode="Append", timeMode="EventTime")
+
+
+class FireSteps(StatefulProcessor):
+    """Views and distinct users of a key's window so far, given out at the end of each step of event time that saw any.
+
+    State holds what the steps still to be fired add, the step that first saw each user, and the totals. A timer stands at
+    the end of every such step, moved on from step to step until the window ends and the state goes.
+    """
+
+    CACHED = 50_000  # users looked up in a micro-batch and not yet written
+
+    def __init__(self, keys: Sequence[str], user: str, ms: str, step_ms: int, user_type: str):
+        self.keys, self.user, self.ms, self.step_ms, self.user_type = list(keys), user, ms, step_ms, user_type
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.steps = handle.getMapState("steps", "fire BIGINT", "pv BIGINT, uv BIGINT")
+        self.users = handle.getMapState("users", f"user {self.user_type}", "fire BIGINT")
+        self.totals = handle.getValueState("totals", "pv BIGINT, uv BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        steps = {k[0]: list(v) for k, v in self.steps.iterator()} if self.steps.exists() else {}
+        known, first, changed = set(steps), {}, set()
+        for row in rows:
+            fire = row[self.ms] // self.step_ms * self.step_ms + self.step_ms
+            step = steps.setdefault(fire, [0, 0])
+            step[0] += 1
+            user = row[self.user]
+            if user is None:
+                continue
+            if user not in first:
+                first[user] = self.users.getValue((user,))[0] if self.users.containsKey((user,)) else None
+            before = first[user]
+            if before is None or fire < before:
+                if before in steps:  # not fired yet
+                    steps[before][1] -= 1
+                step[1] += 1
+                first[user] = fire
+                changed.add(user)
+            if len(first) > self.CACHED:
+                self.keep(first, changed)
+        self.keep(first, changed)
+        for fire, (pv, uv) in steps.items():
+            self.steps.updateValue((fire,), (pv, uv))
+            if fire not in known:
+                self.handle.registerTimer(fire)
+        self.handle.registerTimer(key[-1])
+        return iter(())
+
+    def keep(self, first: dict, changed: set) -> None:
+        for user in changed:
+            self.users.updateValue((user,), (first[user],))
+        first.clear()
+        changed.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        due = sorted((k[0], tuple(v)) for k, v in self.steps.iterator() if k[0] <= now) if self.steps.exists() else []
+        pv, uv = self.totals.get() if self.totals.exists() else (0, 0)
+        for fire, (views, users) in due:
+            pv, uv = pv + views, uv + users
+            self.steps.removeKey((fire,))
+            yield Row(**dict(zip(self.keys, key)), fire_time=fire, pv=pv, uv=uv)
+        if due:
+            self.totals.update((pv, uv))
+        if now >= key[-1]:
+            for state in (self.steps, self.users, self.totals):
+                state.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def fire_in_event_time(df: DataFrame, keys: Sequence[str], user: str, step_ms: int = 180_000, size_ms: int = DAY_MS,
+                       offset_ms: int = 0, ms: str = "ts", event_time: str = "event_time") -> DataFrame:
+    """``(keys, w_end, fire_time, pv, uv)``: views and exact visitors of each window so far, every ``step_ms`` of event time
+    until the window ends, as the watermark passes; one row per step in which the key saw anything.
+
+    ``df`` is watermarked on ``event_time``; windows are of ``size_ms`` and begin ``offset_ms`` after a multiple of it. A
+    key's users are in the state store, not in memory.
+    """
+    fields = {f.name: f.dataType for f in df.schema}
+    at: Column = F.col(ms).cast("bigint")
+    end = F.floor((at - offset_ms) / size_ms).cast("bigint") * size_ms + (offset_ms + size_ms)
+    schema = StructType([*[StructField(k, fields[k]) for k in keys], StructField("w_end", LongType()),
+                         *[StructField(c, LongType()) for c in ("fire_time", "pv", "uv")]])
+    rows = df.select(*keys, end.alias("w_end"), F.col(user).alias(user), at.alias("__ms"), event_time)
+    return rows.groupBy(*keys, "w_end").transformWithState(
+        statefulProcessor=FireSteps([*keys, "w_end"], user, "__ms", step_ms, fields[user].simpleString()),
+        outputStructType=schema, outputMode="Append", timeMode="EventTime")
+
+
+class Lives(StatefulProcessor):
+    """Totals per key that expire ``ttl_ms`` after their last write, in event time, and are given out then.
+
+    The timer of a total moves with each write. A total that has expired is never seen again: a later row begins a new one.
+    Rows may come in any order within what the watermark allows; a row between two totals may join them.
+    """
+
+    def __init__(self, key: str, value: str, ms: str, ttl_ms: int):
+        self.key, self.value, self.ms, self.ttl_ms = key, value, ms, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.lives = handle.getMapState("lives", "born BIGINT", "last BIGINT, n BIGINT, total BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = {k[0]: tuple(v) for k, v in self.lives.iterator()} if self.lives.exists() else {}
+        lives = sorted([born, *rest] for born, rest in before.items())  # born, last, n, total: they do not overlap
+        for row in rows:
+            at, value = row[self.ms], row[self.value] or 0
+            i = bisect.bisect_right(lives, at, key=lambda life: life[0])  # the first that is born after the row
+            if i and at - lives[i - 1][1] < self.ttl_ms:
+                life = lives[i - 1]
+                life[1], life[2], life[3] = max(life[1], at), life[2] + 1, life[3] + value
+            else:
+                life = [at, at, 1, value]
+                lives.insert(i, life)
+                i += 1
+            if i < len(lives) and lives[i][0] - life[1] < self.ttl_ms:
+                other = lives.pop(i)
+                life[1:] = [max(life[1], other[1]), life[2] + other[2], life[3] + other[3]]
+        after = {born: tuple(rest) for born, *rest in lives}
+        for born, (last, _, _) in before.items():
+            if after.get(born, (None,))[0] != last:
+                self.handle.deleteTimer(last + self.ttl_ms)
+                if born not in after:
+                    self.lives.removeKey((born,))
+        for born, rest in after.items():
+            if before.get(born) != rest:
+                self.lives.updateValue((born,), rest)
+            if before.get(born, (None,))[0] != rest[0]:
+                self.handle.registerTimer(rest[0] + self.ttl_ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        for (born,), (last, n, total) in sorted((tuple(k), tuple(v)) for k, v in self.lives.iterator()):
+            if last + self.ttl_ms <= now:
+                self.lives.removeKey((born,))
+                yield Row(**{self.key: key[0], "born": born, "last": last, "n": n, "total": total})
+
+    def close(self) -> None:
+        pass
+
+
+def lives_in_event_time(df: DataFrame, key: str, value: str, ttl_ms: int = DAY_MS, ms: str = "time",
+                        event_time: str = "ts") -> DataFrame:
+    """``(key, born, last, n, total)``: a running total per key whose state expires ``ttl_ms`` after its last write, as event
+    time goes; the total of each such life is given out when it expires. ``df`` is watermarked on ``event_time``."""
+    schema = StructType([StructField(key, df.schema[key].dataType), *[
+        StructField(c, LongType()) for c in ("born", "last", "n", "total")]])
+    rows = df.select(key, F.col(value).cast("bigint").alias("__value"), F.col(ms).cast("bigint").alias("__ms"), event_time)
+    return rows.groupBy(key).transformWithState(
+        statefulProcessor=Lives(key, "__value", "__ms", ttl_ms), outputStructType=schema, outputMode="Append",
+        timeMode="EventTime")
