@@ -574,8 +574,12 @@ def first_seen_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = inputs.app_event_lines(inputs.events(spark, sf_dir))
     starts = users.startups(lines, ("event_id",)).select("event_id", "deviceType", "device", "time")
     marked = ops.first_seen_bloom(starts, ["deviceType"], "device", "time", "event_id", "bloom", BLOOM)
-    exact = ops.first_seen(starts, ["deviceType", "device"], ["time"], "event_id", "first").select("event_id", "first")
-    found = marked.join(exact, "event_id").groupBy("deviceType").agg(
+    return against_exact(marked)
+
+
+def against_exact(marked: DataFrame) -> DataFrame:
+    exact = ops.first_seen(marked, ["deviceType", "device"], ["time"], "event_id", "first")
+    found = exact.groupBy("deviceType").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("first").alias("exact"),
         F.sum((F.col("first") - F.col("bloom")).cast("bigint")).alias("missed"), F.min(F.col("first") - F.col("bloom")).alias("least"))
     allowed = BLOOM.error * F.col("exact") + 5 * F.sqrt(BLOOM.error * F.col("exact")) + 1
@@ -603,33 +607,58 @@ def windowed_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REPAIR = f"""
-WITH base AS (
-  SELECT event_id, user_id, event_type, value, CAST(props->>'$.k' AS INTEGER) AS k, (epoch_us(ts) // 1000) AS t,
-         (epoch_us(ts) // 1000) + (event_id * 37 % 100) * {MINUTE} AS arrival FROM events
-),
-items AS (
-  SELECT *, coalesce(max(t) OVER (ORDER BY arrival, event_id
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= t - t % {DAY} + {DAY} - 1, false) AS is_late
-  FROM base WHERE event_type = 'purchase'
-),
-placed AS (
-  SELECT user_id, min(t) AS t, round(sum(value), 2) AS money FROM base
-  WHERE event_type = 'signup' GROUP BY 1
-)
-SELECT event_id AS item_event_id, CAST(i.user_id AS VARCHAR) AS item_orderId, i.t AS item_time,
+WITH items AS (
+  SELECT l_orderkey * 8 + l_linenumber AS item_id, l_orderkey, epoch_us(l_shipdate) // 1000 AS t,
+         epoch_us(l_shipdate) // 1000 + ((l_orderkey * 8 + l_linenumber) * 37 % 100) * {DAY} AS arrival FROM lineitem),
+flagged AS (
+  SELECT *, coalesce(max(t) OVER (ORDER BY arrival, item_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                     >= t - t % {30 * DAY} + {30 * DAY} - 1, false) AS is_late FROM items),
+placed AS (SELECT o_orderkey, epoch_us(o_orderdate) // 1000 AS t, o_totalprice AS money FROM orders)
+SELECT item_id AS item_item_id, CAST(l_orderkey AS VARCHAR) AS item_orderId, i.t AS item_time,
        o.t AS order_time, o.money AS order_money,
        CASE WHEN o.t IS NULL THEN 'none'
-            WHEN NOT is_late AND i.t // {DAY} = o.t // {DAY} THEN 'window' ELSE 'table' END AS source
-FROM items i LEFT JOIN placed o ON i.user_id = o.user_id
+            WHEN NOT is_late AND i.t // {30 * DAY} = o.t // {30 * DAY} THEN 'window' ELSE 'table' END AS source
+FROM flagged i LEFT JOIN placed o ON l_orderkey = o_orderkey
 """
+REPAIRED = ["item_item_id", "item_orderId", "item_time", "order_time", "order_money", "source"]
 
 
 @query(REPAIR)
 def late_repair_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.events(spark, sf_dir)
+    """All items and orders; items arrive up to 99 days after they were shipped."""
     repaired = plans.order_item_repair(
-        inputs.purchase_item_lines(rows), inputs.signup_order_lines(rows), ("arrival", "event_id"), DAY)
-    return repaired.select("item_event_id", "item_orderId", "item_time", "order_time", "order_money", "source")
+        inputs.arriving_items(spark, sf_dir), inputs.order_lines(spark, sf_dir), ("arrival", "item_id"), 30 * DAY)
+    return repaired.select(*REPAIRED)
+
+
+@query(ITEM_ORDERS)
+def co_group_left_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windowed left join by a function that gets both sides of an order and window; items of a busy order are dealt
+    over several calls."""
+    keys = ["orderId", "w_start"]
+    item, order = (
+        rows.withColumn("w_start", F.unix_millis(F.window("ts", "30 days")["start"])).drop("ts") for rows in (
+            plans.orders.read_items(inputs.item_lines(spark, sf_dir)), plans.orders.read_orders(inputs.order_lines(spark, sf_dir))))
+    columns = ["w_start", *(f"item_{c}" for c in item.columns if c != "w_start"), *(f"order_{c}" for c in order.columns if c != "w_start")]
+    types = [f.dataType.simpleString() for f in (*item.schema, *order.schema) if f.name != "w_start"]
+    schema = ", ".join(f"{c} {t}" for c, t in zip(columns, ["bigint", *types]))
+    return ops.co_group(item, order, keys, ops.left_outer("item_", "order_", columns), schema, first="right", deal="left", rows=100_000)
+
+
+@query("""
+WITH e AS (SELECT user_id, event_id, event_type, value, epoch_us(ts) // 1000 AS time FROM events WHERE event_type IN ('view', 'purchase')),
+n AS (SELECT *, count(*) FILTER (WHERE event_type = 'purchase') OVER (
+        PARTITION BY user_id ORDER BY time, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS stretch FROM e)
+SELECT user_id, max(event_id) FILTER (WHERE event_type = 'purchase') AS event_id, count(*) FILTER (WHERE event_type = 'view') AS views
+FROM n GROUP BY user_id, stretch HAVING count(*) FILTER (WHERE event_type = 'purchase') = 1
+""")
+def co_group_views_to_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many views lie between a user's purchase and the one before: both sides are merged along time, which no join
+    on a key expresses."""
+    rows = inputs.events(spark, sf_dir).select("user_id", "event_id", "time", "event_type")
+    bought, seen = (rows.filter(F.col("event_type") == t).drop("event_type") for t in ("purchase", "view"))
+    return ops.co_group(bought, seen, ["user_id"], ops.count_between("time", "event_id", "views"),
+                        "user_id bigint, event_id bigint, views bigint", order=["time", "event_id"])
 
 
 @query("SELECT event_type, count(*) * 2 AS cnt FROM events GROUP BY 1")

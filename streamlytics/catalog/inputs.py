@@ -27,13 +27,15 @@ class Feed:
     last row moves the watermark past all windows and stays in one that never closes.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, name: str, time: str, marks: dict, parts: int = 2):
+    def __init__(self, spark: SparkSession, sf_dir: str, name: str, time: str, marks: dict, parts: int = 2,
+                 arrival: Column | None = None):
+        """``arrival``, a number, cuts the parts where rows do not arrive in the order of ``time``."""
         self.rows, self.time, self.marks, self.parts = table(spark, sf_dir, name), time, marks, parts
         self.folder = shared_dir(spark, "feeds", name)
-        micros = F.unix_micros(F.col(time).cast("timestamp"))
-        low, high = self.rows.agg(F.min(micros), F.max(micros)).first()
+        at = F.unix_micros(F.col(time).cast("timestamp")) if arrival is None else arrival
+        low, high = self.rows.agg(F.min(at), F.max(at)).first()
         cuts = [low + (high - low) * i // parts for i in range(1, parts)] if low is not None else []
-        self.part = sum([(micros > c).cast("int") for c in cuts], F.lit(0))
+        self.part = sum([(at > c).cast("int") for c in cuts], F.lit(0))
         self.add(0)
 
     def add(self, i: int) -> None:
@@ -113,29 +115,34 @@ def order_lines(spark: SparkSession, sf_dir: str, feed: Feed | None = None) -> D
 
 
 def item_lines(spark: SparkSession, sf_dir: str, feed: Feed | None = None) -> DataFrame:
-    return (feed.stream() if feed else table(spark, sf_dir, "lineitem")).select(F.concat_ws(
-        ",", "l_partkey", "l_orderkey", millis("l_shipdate"), F.concat(F.lit("s"), "l_suppkey"),
-        "l_quantity", "l_extendedprice",
-    ).alias("value"))
+    return _items(spark, sf_dir, feed).select("value")
 
 
-def purchase_item_lines(rows: DataFrame) -> DataFrame:
-    """Purchases as order items of the user's order, with their order of arrival."""
-    line = F.concat_ws(",", "k", "user_id", "time", F.concat(F.lit("p"), "k"), F.lit("1.0"), "value")
-    bought = rows.filter("event_type = 'purchase'")
-    return bought.select("event_id", arrival().alias("arrival"), line.alias("value"))
+def arriving_items(spark: SparkSession, sf_dir: str, feed: Feed | None = None) -> DataFrame:
+    """Item lines with their number and their order of arrival."""
+    return _items(spark, sf_dir, feed).select("item_id", "arrival", "value")
 
 
-def signup_order_lines(rows: DataFrame) -> DataFrame:
-    """One order per user, placed at the first sign-up."""
-    orders = rows.filter("event_type = 'signup'").groupBy("user_id").agg(
-        F.min("time").alias("time"), F.round(F.sum("value"), 2).alias("money"))
-    return orders.select(F.concat_ws(",", "user_id", "time", "money").alias("value"))
+def _items(spark: SparkSession, sf_dir: str, feed: Feed | None) -> DataFrame:
+    line = F.concat_ws(",", "l_partkey", "l_orderkey", millis("l_shipdate"), F.concat(F.lit("s"), "l_suppkey"),
+                       "l_quantity", "l_extendedprice")
+    return (feed.stream() if feed else table(spark, sf_dir, "lineitem")).select(
+        item_id().alias("item_id"), item_arrival().alias("arrival"), line.alias("value"))
 
 
-def arrival() -> Column:
+def arrival(time: Column | None = None) -> Column:
     """Arrival time of an event: up to 99 minutes after it happened, out of order."""
-    return F.col("time") + (F.col("event_id") * 37 % 100) * MINUTE
+    return (F.col("time") if time is None else time) + (F.col("event_id") * 37 % 100) * MINUTE
+
+
+def item_id() -> Column:
+    """A number of an order item's own."""
+    return F.col("l_orderkey") * 8 + F.col("l_linenumber")
+
+
+def item_arrival() -> Column:
+    """Arrival time of an order item: up to 99 days after it was shipped, out of order."""
+    return millis("l_shipdate") + (item_id() * 37 % 100) * DAY
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

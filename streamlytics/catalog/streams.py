@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from streamlytics import plans
 from streamlytics.catalog import inputs
-from streamlytics.catalog.batch import CUMULATIVE, ETL, FIRST, ITEM_ORDERS, LATE, LATEST, REPAIR, TOP, _words, with_intake
+from streamlytics.catalog.batch import BLOOM, CUMULATIVE, ETL, FIRST, ITEM_ORDERS, LATE, LATEST, REPAIR, REPAIRED, TOP, _words, against_exact, with_intake
 from streamlytics.catalog.inputs import APP, DAY, MINUTE, SHOP
 from streamlytics.catalog.registry import query
 from streamlytics.plans import orders, shopping, users
 from streamlytics.session import shared_dir
 from streamlytics.sources import kafka_records
-from streamlytics.streaming import batches, sinks
+from streamlytics.streaming import batches, inserts, sinks
 from streamlytics.streaming.eventtime import with_event_time
 from streamlytics.streaming.keyed import KeyedTable
+from streamlytics.streaming.metrics import MetricsTable, observed
 from streamlytics.streaming.sinks import BatchTable
 from streamlytics.streaming.stateful import average_every_stream, fire_in_event_time, lives_in_event_time
 
@@ -29,6 +33,23 @@ def _keyed(spark: SparkSession, name: str, *keys: str) -> KeyedTable:
     return KeyedTable(shared_dir(spark, "streams", name), keys, buckets=16)
 
 
+def _run_failing(spark: SparkSession, name: str, writer: DataStreamWriter, feed: inputs.Feed) -> int:
+    """As :func:`_run`; a query that fails is started again from its checkpoint. How often it failed."""
+    checkpoint, failed = shared_dir(spark, "checkpoints", name), 0
+    for i in range(feed.parts):
+        if i:
+            feed.add(i)
+        while True:
+            try:
+                sinks.start(writer, checkpoint, {"availableNow": True}).awaitTermination()
+                break
+            except StreamingQueryException:
+                failed += 1
+                if failed > feed.parts:
+                    raise
+    return failed
+
+
 def _run(spark: SparkSession, name: str, writer: DataStreamWriter, *feeds: inputs.Feed, ahead: bool = True) -> None:
     """Run a query to the end of its input after each part of the feeds has come, each time from its checkpoint."""
     checkpoint = shared_dir(spark, "checkpoints", name)
@@ -154,7 +175,7 @@ def stream_avg_every_3_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {LATE} SELECT event_id, time, is_late FROM flagged")
 def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = inputs.Feed(spark, sf_dir, "events", "ts", {}, parts=1)
+    feed = inputs.Feed(spark, sf_dir, "events", "ts", {}, parts=3, arrival=inputs.arrival(inputs.millis("ts")))
     rows = inputs.events(spark, sf_dir, feed).withColumn("arrival", inputs.arrival())
     on_time, late, progress = (_store(spark, f"late_{part}") for part in ("on_time", "late", "progress"))
     _run(spark, "late_split", batches.late_split_stream(
@@ -261,13 +282,14 @@ def stream_proc_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(REPAIR)
 def stream_late_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = inputs.Feed(spark, sf_dir, "events", "ts", {}, parts=1)
-    arrival = ("arrival", "event_id")
-    items = orders.read_items(inputs.purchase_item_lines(inputs.events(spark, sf_dir, feed)), keep=arrival)
-    placed = orders.read_orders(inputs.signup_order_lines(inputs.events(spark, sf_dir)))
+    """All items in the order they arrive, in three micro-batches, against all orders."""
+    feed = inputs.Feed(spark, sf_dir, "lineitem", "l_shipdate", {}, parts=3, arrival=inputs.item_arrival())
+    arrival = ("arrival", "item_id")
+    items = orders.read_items(inputs.arriving_items(spark, sf_dir, feed), keep=arrival)
+    placed = orders.read_orders(inputs.order_lines(spark, sf_dir))
     store, progress = _store(spark, "repair"), _store(spark, "repair_progress")
-    _run(spark, "repair", batches.repair_stream(items, placed, "orderId", arrival, DAY, store, progress), feed, ahead=False)
-    return store.read(spark).select("item_event_id", "item_orderId", "item_time", "order_time", "order_money", "source")
+    _run(spark, "repair", batches.repair_stream(items, placed, "orderId", arrival, 30 * DAY, store, progress), feed, ahead=False)
+    return store.read(spark).select(*REPAIRED)
 
 
 @query("""
@@ -314,3 +336,98 @@ def stream_state_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = inputs.event_feed(spark, sf_dir, parts=3)
     rows = with_event_time(inputs.events(spark, sf_dir, feed), "time", "1 second")
     return _collect(spark, "expiry", lives_in_event_time(rows, "user_id", "k", DAY), feed)
+
+
+@query(f"""
+{FIRST} SELECT deviceType, count(*) AS rows, count(*) FILTER (WHERE rn = 1) AS exact, true AS within_bound
+FROM starts GROUP BY deviceType
+""")
+def stream_first_seen_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New devices by Bloom filters that are carried from micro-batch to micro-batch, against the exact ones."""
+    feed, marked = inputs.event_feed(spark, sf_dir, parts=3), _store(spark, "bloom")
+    state = KeyedTable(shared_dir(spark, "streams", "bloom_state"), ("deviceType", "bucket"), buckets=16)
+    starts = users.startups(_app_lines(spark, sf_dir, feed), ("event_id",)).select("event_id", "deviceType", "device", "time")
+    _run(spark, "bloom", batches.first_seen_bloom_stream(
+        starts, ["deviceType"], "device", "time", "event_id", state, marked, "bloom", BLOOM), feed, ahead=False)
+    return against_exact(marked.read(spark).drop("batch"))
+
+
+def _failing_once(marker: str, poison: int) -> Callable[[Iterator], Iterator]:
+    """A pass-through that fails in the middle of the batch that holds event ``poison``, after it has handed on rows, the first
+    time it meets it; ``marker`` is a file in the shared folder."""
+
+    def run(rows: Iterator) -> Iterator:
+        system, path = inserts._files(marker)
+        for batch in rows:
+            ids = batch.column("event_id").to_pylist()
+            if poison in ids and system.get_file_info(path).type.name == "NotFound":
+                yield batch.slice(0, ids.index(poison))
+                system.create_dir(path.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(path) as out:
+                    out.write(b"met")
+                raise ValueError("a poison record")
+            yield batch
+
+    return run
+
+
+def _poison(spark: SparkSession, sf_dir: str) -> int:
+    """An event of the middle of the table."""
+    return inputs.table(spark, sf_dir, "events").agg(F.percentile_approx("event_id", 0.5, 10_000)).first()[0] or 0
+
+
+@query("""
+SELECT event_id, user_id, event_type, value, epoch_us(ts) // 1000 AS time, true AS failed_once FROM events
+""")
+def stream_batched_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events inserted 50 rows at a time, with a task that fails after it has flushed: each row is there once."""
+    feed, path = inputs.event_feed(spark, sf_dir), shared_dir(spark, "streams", "inserts")
+    rows = inputs.events(spark, sf_dir, feed).select("event_id", "user_id", "event_type", "value", "time")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    failing = rows.mapInArrow(_failing_once(shared_dir(spark, "markers"), _poison(spark, sf_dir)), kinds)
+    failed = _run_failing(spark, "inserts", inserts.insert_stream(failing, path), feed)
+    return inserts.read_inserted(spark, path, rows.schema).withColumn("failed_once", F.lit(failed == 1))
+
+
+@query("SELECT user_id, count(*) AS cnt, CAST(sum(CAST(props->>'$.k' AS BIGINT)) AS BIGINT) AS total, true AS failed_once FROM events GROUP BY 1")
+def stream_poisoned_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stateful count into a keyed table; one micro-batch fails after its rows are committed there and before the
+    stream's own commit. It runs again from the checkpoint, and nothing is lost or counted twice."""
+    feed, table = inputs.event_feed(spark, sf_dir, parts=3), _keyed(spark, "poisoned", "user_id")
+    rows = inputs.events(spark, sf_dir, feed)
+    poison, met = _poison(spark, sf_dir), []
+    counts = rows.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("cnt"), F.sum("k").alias("total"), F.max(F.col("event_id") == poison).alias("poisoned"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            table.upsert(batch.select("user_id", "cnt", "total"), batch_id)
+            if not met and not batch.filter("poisoned").isEmpty():
+                met.append(batch_id)
+                raise ValueError("a poison record")
+        finally:
+            batch.unpersist()
+
+    failed = _run_failing(spark, "poisoned", counts.writeStream.outputMode("update").foreachBatch(write), feed)
+    return table.read(spark).withColumn("failed_once", F.lit(failed == 1))
+
+
+@query("SELECT count(*) AS rows_passed, max(CAST(props->>'$.k' AS INTEGER)) AS top, true AS several FROM events WHERE event_type = 'view'")
+def stream_row_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows counted as they pass, micro-batch by micro-batch, by a listener that keeps them in a table."""
+    feed, seen, passed = inputs.event_feed(spark, sf_dir, parts=3), _store(spark, "metrics"), _store(spark, "passed")
+    views = observed(inputs.events(spark, sf_dir, feed).filter("event_type = 'view'"), "views",
+                     F.count(F.lit(1)).alias("n"), F.max("k").alias("top"))
+    listener, checkpoint = MetricsTable(spark, seen, "views"), shared_dir(spark, "checkpoints", "metrics")
+    spark.streams.addListener(listener)
+    try:
+        for i in range(feed.parts):
+            if i:
+                feed.add(i)
+            run = sinks.start(views.writeStream.foreachBatch(passed.write), checkpoint, {"availableNow": True})
+            run.awaitTermination()
+            listener.wait(run.runId)
+    finally:
+        spark.streams.removeListener(listener)
+    return seen.read(spark).agg(F.sum("n").alias("rows_passed"), F.max("top").alias("top"), (F.count(F.lit(1)) > 1).alias("several"))

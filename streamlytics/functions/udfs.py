@@ -62,7 +62,8 @@ def map_with_lifecycle(
 
 @F.udtf(returnType="word string")
 class SplitWords:
-    """``split_words(text, sep)``: one row per part, for ``LATERAL`` use in SQL."""
+    """``split_words(text, sep)``: one row per part, for ``LATERAL`` use in SQL, which Spark does not allow to functions on
+    Arrow arrays; :func:`~streamlytics.functions.text.split_parts` and ``explode`` do the same without Python."""
 
     def eval(self, text: str, sep: str):
         if text is not None:

@@ -5,6 +5,7 @@ from streamlytics.operators.aggregate import (
     running_sum, salted_count, word_count,
 )
 from streamlytics.operators.bloom import Bloom, bloom_parts, first_seen_bloom
+from streamlytics.operators.cogroup import co_group, count_between, left_outer
 from streamlytics.operators.combine import connect_flat_map, connect_map, union_all
 from streamlytics.operators.containers import cardinalities, container_counts, containers, merge_containers
 from streamlytics.operators.distinct import (
@@ -21,7 +22,7 @@ from streamlytics.operators.window import cumulative_pv_uv, sliding_count, windo
 
 __all__ = [
     "Bloom", "Running", "average_every", "bitmap_counts", "bloom_parts", "cardinalities", "container_counts", "containers",
-    "first_seen_bloom", "merge_containers", "changelog", "connect_flat_map", "connect_map", "count_by",
+    "co_group", "count_between", "first_seen_bloom", "left_outer", "merge_containers", "changelog", "connect_flat_map", "connect_map", "count_by",
     "count_grouping_sets", "cumulative_pv_uv", "enrich_ip", "exact_counts", "first_seen", "flag_late",
     "hash_exchange", "hll_counts", "hll_sketches", "keyed_combine", "keyed_reduce", "keyed_sum", "latest_only",
     "repair_late_items", "rolling_distinct", "route", "running", "running_sum", "salted_count",

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import heapq
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,24 +18,33 @@ PLACES = ("province", "city")
 
 def _flat(piece: pd.DataFrame) -> pd.DataFrame:
     """Disjoint segments of the ranges within one /16: at each address the range with the largest start rules, the
-    shortest of those, and the first place by name of those."""
-    rows = piece.sort_values(["start_ip", "whole_start"]).reset_index(drop=True)
-    edges = sorted({*rows["start_ip"], *(rows["end_ip"] + 1)})
-    out, held, at = [], [], 0
-    for low, high in zip(edges, edges[1:]):
-        while at < len(rows) and rows["start_ip"][at] <= low:
-            r = rows.loc[at]
-            heapq.heappush(held, (-r["whole_start"], r["whole_end"], str(r["province"]), str(r["city"]), at))
-            at += 1
-        while held and rows["end_ip"][held[0][-1]] < low:
-            heapq.heappop(held)
-        if held:
-            r = rows.loc[held[0][-1]]
-            if out and out[-1][2] == low - 1 and out[-1][3] == held[0][-1]:
-                out[-1][2] = high - 1
-            else:
-                out.append([int(r["prefix"]), low, high - 1, held[0][-1], r["province"], r["city"]])
-    return pd.DataFrame([(p, s, e, a, b) for p, s, e, _, a, b in out], columns=["prefix", "start_ip", "end_ip", *PLACES])
+    shortest of those, and the first place by name of those.
+
+    Ranges are numbered by that rule, and each address takes the least number of those that cover it: a range is two
+    stretches of a power of two, whose numbers are handed down level by level.
+    """
+    rows = piece.assign(**{p: piece[p].map(str) for p in PLACES}).assign(at=np.arange(len(piece))).sort_values(
+        ["whole_start", "whole_end", *PLACES], ascending=[False, True, True, True])
+    start, end = ((rows[c] - rows["prefix"] * PREFIX).to_numpy() for c in ("start_ip", "end_ip"))
+    number, top = np.arange(len(rows), dtype=np.int32), np.frexp(end - start + 1)[1] - 1
+    none = len(rows)
+    least = np.full((PREFIX.bit_length(), PREFIX), none, np.int32)
+    np.minimum.at(least, (top, start), number)
+    np.minimum.at(least, (top, end - (1 << top) + 1), number)
+    for level in range(len(least) - 1, 0, -1):
+        half, wide = 1 << (level - 1), least[level, : PREFIX - (1 << level) + 1]
+        for shift in (0, half):
+            below = least[level - 1, shift:shift + len(wide)]
+            np.minimum(below, wide, out=below)
+    ruler = least[0]
+    first = np.flatnonzero(np.concatenate(([True], ruler[1:] != ruler[:-1])))
+    last = np.append(first[1:], PREFIX) - 1
+    kept = ruler[first] < none
+    first, last = first[kept], last[kept]
+    of = piece.iloc[rows["at"].to_numpy()[ruler[first]]]
+    base = of["prefix"].to_numpy() * PREFIX
+    return pd.DataFrame({"prefix": of["prefix"].to_numpy(), "start_ip": base + first, "end_ip": base + last,
+                         **{p: of[p].to_numpy() for p in PLACES}})
 
 
 def flat_ranges(ranges: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlytics.operators.running import Running, running
@@ -35,13 +36,17 @@ def first_seen(df: DataFrame, identity: Sequence[str], order: Sequence[str], row
     unique, so a device with most of the traffic does not meet in one task. ``order`` holds integral columns, nulls
     first. A target column the input lacks starts at 0.
     """
-    # One minimum per order column, from the last to the first: all of single numbers, so nothing has to be sorted.
+    # The least value of the first order column per identity, from which tasks send one row each; only the rows that
+    # have it go on to the other columns. All are minima of single numbers, so nothing has to be sorted.
     places = [f"__o{i}" for i in range(len(order))]
-    firsts = df.select(*identity, F.col(row_id).alias("__id"), *[
+    rows = df.select(*identity, F.col(row_id).alias("__id"), *[
         F.coalesce(F.col(c).cast("bigint"), F.lit(-(1 << 63))).alias(p) for c, p in zip(order, places)])
-    firsts = firsts.groupBy(*identity, *places).agg(F.min("__id").alias("__id"))
-    for i in reversed(range(len(places))):
-        firsts = firsts.groupBy(*identity, *places[:i]).agg(F.min_by("__id", places[i]).alias("__id"))
+    least = rows.groupBy(*identity).agg(F.min(places[0]).alias(places[0]))
+    same = functools.reduce(Column.__and__, [F.col(f"r.{c}").eqNullSafe(F.col(f"l.{c}")) for c in (*identity, places[0])])
+    firsts = rows.alias("r").join(least.alias("l"), same, "left_semi")
+    for i in reversed(range(1, len(places) + 1)):
+        firsts = firsts.groupBy(*identity, *places[:i]).agg(
+            (F.min("__id") if i == len(places) else F.min_by("__id", places[i])).alias("__id"))
     firsts = firsts.select(F.col("__id").alias(row_id), F.lit(True).alias("__new"))
     current = F.col(column) if column in df.columns else F.lit(0)
     return (

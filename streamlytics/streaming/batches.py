@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from streamlytics.operators.bloom import Bloom, bloom_parts, first_seen_bloom, first_sightings, merge_parts
 from streamlytics.operators.joins import repair_late_items
 from streamlytics.operators.late import flag_late
 from streamlytics.operators.running import Running, running
@@ -41,9 +42,16 @@ def repair_stream(items: DataFrame, orders: DataFrame, key: str, arrival: Sequen
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         earlier = progress.read_batch(spark, batch_id - 1).first()[0] if batch_id else None
-        flagged = flag_late(batch, arrival, size_ms, delay_ms, ms, earlier)
-        sink.write(repair_late_items(flagged, orders, orders, key, f"{size_ms} milliseconds"), batch_id)
-        progress.write(batch.agg(F.greatest(F.max(ms), F.lit(earlier).cast("bigint")).alias("max_ms")), batch_id)
+        batch.persist()
+        # The orders of the batch's items, looked up once for the window and the repair.
+        placed = orders.join(batch.select(key).distinct(), key, "left_semi").select(*orders.columns).persist()
+        try:
+            flagged = flag_late(batch, arrival, size_ms, delay_ms, ms, earlier)
+            sink.write(repair_late_items(flagged, placed, placed, key, f"{size_ms} milliseconds"), batch_id)
+            progress.write(batch.agg(F.greatest(F.max(ms), F.lit(earlier).cast("bigint")).alias("max_ms")), batch_id)
+        finally:
+            placed.unpersist()
+            batch.unpersist()
 
     return items.writeStream.outputMode("append").foreachBatch(write)
 
@@ -103,3 +111,23 @@ def running_stream(rows: DataFrame, keys: Sequence[str], order: Sequence[str], v
             batch.unpersist()
 
     return rows.writeStream.outputMode("append").foreachBatch(write)
+
+
+def first_seen_bloom_stream(rows: DataFrame, groups: Sequence[str], member: str, order: str, row_id: str, state: KeyedTable,
+                            sink: BatchTable, column: str = "nu", bloom: Bloom = Bloom()) -> DataStreamWriter:
+    """:func:`~streamlytics.operators.bloom.first_seen_bloom` micro-batch by micro-batch. The filters so far are kept in
+    ``state``, a table with the keys ``(*groups, "bucket")``, of which a batch reads and writes what its members touch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            members = first_sightings(batch, [*groups, member], order, row_id)
+            parts = bloom_parts(members, groups, member, bloom).persist()
+            filters = state.lookup(parts, parts.schema, before_batch=batch_id)
+            sink.write(first_seen_bloom(batch, groups, member, order, row_id, column, bloom, filters), batch_id)
+            state.upsert(parts, batch_id, merge=lambda both: merge_parts(both, groups))
+            parts.unpersist()
+        finally:
+            batch.unpersist()
+
+    return rows.writeStream.outputMode("append").foreachBatch(write)

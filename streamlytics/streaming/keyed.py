@@ -146,6 +146,8 @@ class KeyedTable:
         spark = rows.sparkSession
         now = self.version(spark)
         if now is not None and now.batch >= batch_id:
+            # A stateful query writes its own state as its rows are read, also those of a batch that is committed here.
+            rows.write.format("noop").mode("overwrite").save()
             return now
         values = [c for c in rows.columns if c not in self.keys]
         rows = rows.persist()
