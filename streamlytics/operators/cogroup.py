@@ -22,6 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from streamlytics.session import materialize
 
 ROWS = 1_000_000  # of a dealt side and key in a task
+TOGETHER = 4096  # rows of results that leave a task at once
 Batches = Iterator[pa.RecordBatch]
 CoFunction = Callable[[tuple, Batches, Batches], Batches]
 
@@ -101,12 +102,25 @@ def co_group(left: DataFrame, right: DataFrame, keys: Sequence[str], function: C
     both = both.select("__place", *keys, "__side", "__a", "__b")
     swapped, target = first == "right", to_arrow_schema(left.sparkSession.createDataFrame([], schema).schema)
 
+    def fitted(made: pa.RecordBatch) -> pa.RecordBatch:
+        if made.schema.equals(target):
+            return made
+        return pa.RecordBatch.from_arrays([c if c.type == f.type else c.cast(f.type) for c, f in (
+            (made.column(f.name), f) for f in target)], schema=target)
+
     def run(batches: Batches) -> Batches:
+        held, n = [], 0  # small results go on together
         for (_, *key), pieces in itertools.groupby(_pieces(batches, n_keys + 1), key=lambda piece: piece[0]):
             of_key = _OneKey(pieces)
             one, two = of_key.side(0), of_key.side(1)
             for made in function(tuple(key), *((two, one) if swapped else (one, two))):
-                yield pa.RecordBatch.from_arrays([made.column(f.name).cast(f.type) for f in target], schema=target)
+                held.append(fitted(made))
+                n += made.num_rows
+                if n >= TOGETHER:
+                    yield pa.concat_batches(held)
+                    held, n = [], 0
+        if held:
+            yield pa.concat_batches(held)
 
     return both.mapInArrow(run, schema)
 
@@ -115,22 +129,18 @@ def left_outer(left_prefix: str, right_prefix: str, columns: Sequence[str]) -> C
     """A function that gives each left row with all right rows of its key, or with nulls; right rows are held. ``columns``
     are those of the result: a prefixed name is the column of that side, any other one of the left side."""
 
-    def joined(key_of: tuple, left: Batches, right: Batches) -> Batches:
-        held = list(right)
-        table = pa.Table.from_batches(held).combine_chunks() if held else None
-        # A key with a null meets nothing.
-        n = table.num_rows if table is not None and None not in key_of else 0
+    def joined(key: tuple, left: Batches, right: Batches) -> Batches:
+        held = [] if None in key else list(right)  # a key with a null meets nothing
+        table = pa.concat_batches(held) if held else None
+        n = table.num_rows if held else 0
         for batch in left:
-            row = np.repeat(np.arange(batch.num_rows), max(n, 1))
-            place = np.tile(np.arange(n), batch.num_rows) if n else None
-            out = []
-            for c in columns:
-                if c.startswith(right_prefix):
-                    out.append(table.column(c.removeprefix(right_prefix)).combine_chunks().take(pa.array(place)) if n
-                               else pa.nulls(len(row)))
-                else:
-                    out.append(batch.column(c.removeprefix(left_prefix)).take(pa.array(row)))
-            yield pa.RecordBatch.from_arrays(out, names=list(columns))
+            if n > 1:
+                batch = batch.take(pa.array(np.repeat(np.arange(batch.num_rows), n)))
+            place = pa.array(np.arange(batch.num_rows) % n) if n else None
+            yield pa.RecordBatch.from_arrays([
+                batch.column(c.removeprefix(left_prefix)) if not c.startswith(right_prefix)
+                else table.column(c.removeprefix(right_prefix)).take(place) if n else pa.nulls(batch.num_rows) for c in columns],
+                names=list(columns))
 
     return joined
 
