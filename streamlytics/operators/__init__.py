@@ -7,7 +7,7 @@ from streamlytics.operators.aggregate import (
 from streamlytics.operators.bloom import Bloom, bloom_parts, first_seen_bloom
 from streamlytics.operators.cogroup import co_group, count_between, left_outer
 from streamlytics.operators.combine import connect_flat_map, connect_map, union_all
-from streamlytics.operators.containers import cardinalities, container_counts, containers, merge_containers
+from streamlytics.operators.sets import cardinalities, container_counts, containers, merge_containers
 from streamlytics.operators.distinct import (
     bitmap_counts, exact_counts, hll_counts, hll_sketches, rolling_distinct,
 )

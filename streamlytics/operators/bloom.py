@@ -66,25 +66,24 @@ def _is_set(bits: Column, bit: Column) -> Column:
     return F.coalesce(F.call_function("getbit", byte, F.pmod(bit, F.lit(8)).cast("int")) == 1, F.lit(False))
 
 
-def unknown(members: DataFrame, filters: DataFrame, groups: Sequence[str], member: str, bloom: Bloom) -> DataFrame:
-    """The ``members``, of ``(groups, member, ...)`` with each member once, that the filters do not hold."""
-    keys = [*groups, member]
-    placed = members.select(*keys, F.explode(bloom.positions(member)).alias("__at"))
+def placed(members: DataFrame, groups: Sequence[str], member: str, bloom: Bloom, *keep: str) -> DataFrame:
+    """``(groups, keep, __at)``: a row for each position of a member."""
+    return members.select(*groups, *keep, F.explode(bloom.positions(member)).alias("__at"))
+
+
+def unset(positions: DataFrame, filters: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The rows whose position ``__at`` the filters do not have set."""
     bucket, bit = _bit(F.col("__at"))
-    placed = placed.select(*keys, bucket.alias("bucket"), bit.alias("__bit")).alias("m")
-    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"f.{c}")) for c in (*groups, "bucket")]
-    met = placed.join(filters.select(*groups, "bucket", "bits").alias("f"), same, "left")
-    new = met.filter(~_is_set(F.col("f.bits"), F.col("m.__bit"))).select(*[F.col(f"m.{c}").alias(c) for c in keys]).distinct()
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in keys]
-    return members.alias("a").join(new.alias("b"), same, "left_semi")
+    asked = positions.withColumns({"__bucket": bucket, "__bit": bit}).alias("m")
+    same = [*(F.col(f"m.{c}").eqNullSafe(F.col(f"f.{c}")) for c in groups), F.col("m.__bucket") == F.col("f.bucket")]
+    met = asked.join(filters.select(*groups, "bucket", "bits").alias("f"), same, "left")
+    return met.filter(~_is_set(F.col("f.bits"), F.col("m.__bit"))).select(*[F.col(f"m.{c}") for c in positions.columns])
 
 
-def first_setters(members: DataFrame, groups: Sequence[str], member: str, order: str, row_id: str, bloom: Bloom) -> DataFrame:
+def first_setters(positions: DataFrame, groups: Sequence[str], order: str, row_id: str) -> DataFrame:
     """``(row_id)`` of the members that a filter takes for new when they come one by one along ``order``, ties by
-    ``row_id``: those that are the first at one of their positions. From ``members`` of ``(groups, member, order, row_id)``,
-    each member once."""
-    placed = members.select(*groups, order, row_id, F.explode(bloom.positions(member)).alias("__at"))
-    at_once = placed.groupBy(*groups, "__at", order).agg(F.min(row_id).alias(row_id))
+    ``row_id``: those that are the first at one of their unset positions. From rows of ``(groups, __at, order, row_id)``."""
+    at_once = positions.groupBy(*groups, "__at", order).agg(F.min(row_id).alias(row_id))
     return at_once.groupBy(*groups, "__at").agg(F.min_by(row_id, order).alias(row_id)).select(row_id).distinct()
 
 
@@ -102,9 +101,10 @@ def first_seen_bloom(df: DataFrame, groups: Sequence[str], member: str, order: s
     Rows so marked are first rows. First rows that are not marked are the filter's errors.
     """
     members = first_sightings(df, [*groups, member], order, row_id)
+    positions = placed(members, groups, member, bloom, order, row_id)
     if filters is not None:
-        members = unknown(members, filters, groups, member, bloom)
-    new = first_setters(members, groups, member, order, row_id, bloom).withColumn("__new", F.lit(True))
+        positions = unset(positions, filters, groups)
+    new = first_setters(positions, groups, order, row_id).withColumn("__new", F.lit(True))
     current = F.col(column) if column in df.columns else F.lit(0)
     return df.join(new, row_id, "left").withColumn(
         column, F.when(F.col("__new"), 1).otherwise(current).cast("int")).drop("__new")

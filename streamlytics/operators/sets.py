@@ -61,7 +61,7 @@ def cardinalities(parts: DataFrame, keys: Sequence[str], name: str = "uv") -> Da
     return parts.groupBy(*keys).agg(F.sum("n").alias(name))
 
 
-def container_bytes(parts: DataFrame) -> Column:
+def container_bytes() -> Column:
     """The size of a container: 8 bytes of its name, and its array or bitmap."""
     return F.lit(8) + F.coalesce(2 * F.size("entries"), F.length("bits"))
 
