@@ -141,6 +141,20 @@ def stream_word_count_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 {FIRST} SELECT event_id, device, deviceType, CASE WHEN rn = 1 THEN 1 ELSE 0 END AS nu2 FROM starts
 """)
 def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The devices so far are carried in a keyed table."""
+    feed, store = inputs.event_feed(spark, sf_dir), _store(spark, "first_seen")
+    starts = users.startups(_app_lines(spark, sf_dir, feed), ("event_id",)).select("event_id", "deviceType", "device", "time")
+    _run(spark, "first_seen", batches.first_seen_batches(
+        starts, ["deviceType", "device"], ["time"], "event_id", _keyed(spark, "first_seen_state", "deviceType", "device"),
+        store, "nu2"), feed, ahead=False)
+    return store.read(spark).select("event_id", "device", "deviceType", "nu2")
+
+
+@query(f"""
+{FIRST} SELECT event_id, device, deviceType, CASE WHEN rn = 1 THEN 1 ELSE 0 END AS nu2 FROM starts
+""")
+def stream_first_seen_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a flag in keyed state."""
     feed = inputs.event_feed(spark, sf_dir)
     rows = plans.first_time_users(_app_lines(spark, sf_dir, feed), "event_id", column="nu2")
     return _collect(spark, "first_seen", rows, feed, ahead=False).select("event_id", "device", "deviceType", "nu2")
@@ -156,21 +170,22 @@ SELECT user_id, sum(k) / 3.0::DOUBLE AS avg FROM numbered GROUP BY user_id, grp
 """
 
 
-def _averages(spark: SparkSession, sf_dir: str, keep_values: bool) -> DataFrame:
-    feed = inputs.event_feed(spark, sf_dir)
-    rows = average_every_stream(inputs.events(spark, sf_dir, feed), "user_id", "k", 3, keep_values, ["time", "event_id"])
-    return _collect(spark, "averages", rows, feed, ahead=False)
-
-
 @query(AVERAGES)
 def stream_avg_every_3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _averages(spark, sf_dir, False)
+    """Counts and open sums are carried in a keyed table."""
+    feed, store = inputs.event_feed(spark, sf_dir, parts=3), _store(spark, "averages")
+    rows = inputs.events(spark, sf_dir, feed).select("user_id", "k", "time", "event_id")
+    _run(spark, "averages", batches.average_every_batches(
+        rows, "user_id", "k", ["time", "event_id"], _keyed(spark, "averages_state", "user_id"), store), feed, ahead=False)
+    return store.read(spark).select("user_id", "avg")
 
 
 @query(AVERAGES)
 def stream_avg_every_3_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with the values themselves in map state."""
-    return _averages(spark, sf_dir, True)
+    feed = inputs.event_feed(spark, sf_dir)
+    rows = average_every_stream(inputs.events(spark, sf_dir, feed), "user_id", "k", 3, True, ["time", "event_id"])
+    return _collect(spark, "averages", rows, feed, ahead=False)
 
 
 @query(f"WITH {LATE} SELECT event_id, time, is_late FROM flagged")

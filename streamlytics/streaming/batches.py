@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -12,6 +13,7 @@ from streamlytics.operators.bloom import Bloom, bloom_parts, first_seen_bloom, f
 from streamlytics.operators.joins import repair_late_items
 from streamlytics.operators.late import flag_late
 from streamlytics.operators.running import Running, running
+from streamlytics.operators.sequence import first_seen
 from streamlytics.operators.topk import top_n
 from streamlytics.streaming.keyed import KeyedTable
 from streamlytics.streaming.sinks import BatchTable, BatchWriter
@@ -131,3 +133,61 @@ def first_seen_bloom_stream(rows: DataFrame, groups: Sequence[str], member: str,
             batch.unpersist()
 
     return rows.writeStream.outputMode("append").foreachBatch(write)
+
+
+def average_every_batches(rows: DataFrame, key: str, value: str, order: Sequence[str], state: KeyedTable, sink: BatchTable,
+                          n: int = 3) -> DataStreamWriter:
+    """Mean of every ``n`` consecutive values per key, ``(key, avg)``, micro-batch by micro-batch and within one along
+    ``order``. Of a key only the number of its values and the sum of those not averaged yet are carried, in ``state`` (a
+    table with the key ``key``); within a batch its values are numbered as in
+    :func:`~streamlytics.operators.running.running`, so no task holds those of a hot key."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            counted = batch.groupBy(key).agg(F.count(F.lit(1)).alias("cnt"), F.lit(0.0).alias("part"))
+            before = state.lookup(counted, counted.schema, before_batch=batch_id).persist()
+            numbered = running(batch, [key], order, [Running("__rn", "count")], initial=before.select(key, F.col("cnt").alias("__rn")))
+            group = F.floor((F.col("__rn") - 1) / n).alias("__group")
+            here = numbered.groupBy(key, group).agg(F.count(F.lit(1)).alias("__n"), F.sum(F.col(value).cast("double")).alias("__sum"))
+            # The first group of a key may have begun in an earlier batch.
+            same = F.col(f"h.{key}").eqNullSafe(F.col(f"b.{key}")) & (F.col("__group") == F.floor(F.col("b.cnt") / n))
+            whole = here.alias("h").join(before.alias("b"), same, "left").select(
+                f"h.{key}", (F.col("__n") + F.coalesce(F.col("b.cnt") % n, F.lit(0))).alias("__n"),
+                (F.col("__sum") + F.coalesce("b.part", F.lit(0.0))).alias("__sum")).persist()
+            sink.write(whole.filter(F.col("__n") == n).select(key, (F.col("__sum") / n).alias("avg")), batch_id)
+            open_ = whole.filter(F.col("__n") < n).select(key, F.col("__sum").alias("part")).alias("o")
+            left = counted.drop("part").alias("c").join(open_, F.col(f"c.{key}").eqNullSafe(F.col(f"o.{key}")), "left")
+            left = left.select(f"c.{key}", "cnt", F.coalesce("part", F.lit(0.0)).alias("part"))
+            state.upsert(left, batch_id, {"cnt": "sum"})
+            whole.unpersist()
+            before.unpersist()
+        finally:
+            batch.unpersist()
+
+    return rows.writeStream.outputMode("append").foreachBatch(write)
+
+
+def first_seen_batches(rows: DataFrame, identity: Sequence[str], order: Sequence[str], row_id: str, state: KeyedTable,
+                       sink: BatchTable, column: str = "nu") -> DataStreamWriter:
+    """Set ``column`` to 1 on the first row of each identity, that of the earliest micro-batch and within it the first along
+    ``order``. The identities so far are kept in ``state``, a table with the keys ``identity``; a batch reads and writes
+    what lies in the buckets of its own, and a busy identity is one row of it."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            here = batch.select(*identity).distinct().withColumn("seen", F.lit(True))
+            known = state.lookup(here, here.schema, before_batch=batch_id).alias("k")
+            marked = first_seen(batch.withColumn("__first", F.lit(0)), identity, order, row_id, "__first").alias("m")
+            same = functools.reduce(Column.__and__, [F.col(f"m.{c}").eqNullSafe(F.col(f"k.{c}")) for c in identity])
+            new = (F.col("m.__first") == 1) & F.col("k.seen").isNull()
+            current = F.col(f"m.{column}") if column in batch.columns else F.lit(0)
+            sink.write(marked.join(known, same & (F.col("m.__first") == 1), "left").select(
+                *[F.col(f"m.{c}") for c in batch.columns if c != column],
+                F.when(new, 1).otherwise(current).cast("int").alias(column)), batch_id)
+            state.upsert(here, batch_id)
+        finally:
+            batch.unpersist()
+
+    return rows.writeStream.outputMode("append").foreachBatch(write)

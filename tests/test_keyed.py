@@ -152,17 +152,39 @@ def test_running_totals_carried_by_key(spark):
         running(df, ["k"], ["i"], [Running("total", "sum", "x")], initial={"total": 1})
 
 
-def test_running_stream_with_replays(spark, tmp_path):
-    out, state = BatchTable(str(tmp_path / "out")), KeyedTable(str(tmp_path / "s"), ("k",), 4)
-    held = []
+class Rows:
+    """Stands for a stream: hands the function of foreachBatch back."""
+
+    writeStream = property(lambda self: self)
+
+    def outputMode(self, mode):
+        return self
+
+    def foreachBatch(self, write):
+        return write
 
-    class Rows:  # stands for a stream: hands the function of foreachBatch back
-        writeStream = property(lambda self: self)
-        outputMode = lambda self, mode: self
-        foreachBatch = lambda self, write: held.append(write)
 
-    batches.running_stream(Rows(), ["k"], ["n"], "n", state, out)
-    replayed(held[0], frame(spark, [(1, "", 1), (1, "", 3), (2, "", 2)]), frame(spark, [(1, "", 5), (None, "", 4)]),
+def test_running_stream_with_replays(spark, tmp_path):
+    out, state = BatchTable(str(tmp_path / "out")), KeyedTable(str(tmp_path / "s"), ("k",), 4)
+    replayed(batches.running_stream(Rows(), ["k"], ["n"], "n", state, out),
+             frame(spark, [(1, "", 1), (1, "", 3), (2, "", 2)]), frame(spark, [(1, "", 5), (None, "", 4)]),
              frame(spark, [(1, "", 7), (None, "", 8)]))
     assert rows(out.read(spark), "k", "n", "total") == sorted(
         [(1, 1, 1), (1, 3, 4), (2, 2, 2), (1, 5, 9), (None, 4, 4), (1, 7, 16), (None, 8, 12)], key=repr)
+
+
+def test_averages_and_first_sightings_with_replays(spark, tmp_path):
+    rng, n = random.Random(6), 0
+    parts = []
+    for size_ in (40, 1, 25, 34):
+        parts.append([(rng.choice([None, 1, 1, 1, 2, 3 + n]), "", n := n + 1) for _ in range(size_)])
+    out, first = BatchTable(str(tmp_path / "out")), BatchTable(str(tmp_path / "first"))
+    frames = [frame(spark, p) for p in parts]
+    replayed(batches.average_every_batches(Rows(), "k", "n", ["n"], KeyedTable(str(tmp_path / "s"), ("k",), 4), out, 3), *frames)
+    replayed(batches.first_seen_batches(Rows(), ["k"], ["n"], "n", KeyedTable(str(tmp_path / "f"), ("k",), 4), first), *frames)
+    by = {}
+    for k, _, x in (r for p in parts for r in p):
+        by.setdefault(k, []).append(x)
+    assert rows(out.read(spark), "k", "avg") == sorted(
+        ((k, sum(v[i:i + 3]) / 3) for k, v in by.items() for i in range(0, len(v) - 2, 3)), key=repr)
+    assert rows(first.read(spark), "k", "n", "nu") == sorted(((k, x, int(x == v[0])) for k, v in by.items() for x in v), key=repr)
