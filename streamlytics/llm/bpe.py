@@ -209,10 +209,10 @@ class Codec:
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         at = np.array([r is None for r in rank], bool)
         whole, long, rest = np.flatnonzero(~at).tolist(), np.flatnonzero(at & (size > LONG_PART)).tolist(), np.flatnonzero(at & (size <= LONG_PART))
-        self._add([words[i] for i in whole], np.array([rank[i] for i in whole], np.int32), np.ones(len(whole), int))
-        if long:
-            tokens = [self._merge_long(raw[i]) for i in long]
-            self._add([words[i] for i in long], np.concatenate(tokens), np.array(list(map(len, tokens))))
+        merged = [self._merge_long(raw[i]) for i in long]
+        found = [*whole, *long]  # in the order of the tokens, which are added together
+        tokens = [np.array([rank[i] for i in whole], np.int32), *merged]
+        sizes = [np.ones(len(whole), np.int64), np.array(list(map(len, merged)), np.int64)]
         rows = np.cumsum(size[rest] ** 2)
         if len(rows) and rows[-1] > SQUARES:
             rest = rest[np.argsort(size[rest], kind="stable")]  # words of a query end after about as many steps
@@ -221,8 +221,12 @@ class Codec:
         while first < len(rest):
             last = max(first + 1, int(np.searchsorted(rows, (rows[first - 1] if first else 0) + SQUARES, "right")))
             here = rest[first:last].tolist()
-            self._add([words[i] for i in here], *self._contract([raw[i] for i in here]))
+            made, counts = self._contract([raw[i] for i in here])
+            found += here
+            tokens.append(made)
+            sizes.append(counts)
             first = last
+        self._add([words[i] for i in found], np.concatenate(tokens), np.concatenate(sizes))
         if cut:
             parts = self._all_parts(cut)
             self._learn({p for word in cut for p in parts[word]} - self.number.keys())
