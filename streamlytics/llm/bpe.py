@@ -3,7 +3,8 @@
 Texts are cut into words by a pattern. The words a partition has not met yet become rows (word, position, token), one
 per byte. A recursive query joins neighbouring tokens with the merge table and contracts each word's pair of least
 rank, the leftmost of equals, until no pair of the word can be merged; words that are tokens themselves need no query.
-Decoding joins token ids with the vocabulary and aggregates their bytes in order of position.
+Decoding joins token ids with the vocabulary, sorts by position once and aggregates the bytes in that order, which the
+database's one thread keeps.
 
 Words without end, such as those of scripts without blanks, are cut first where no occurrence of any token of the
 vocabulary lies across the cut: no merge can cross it, so the parts are merged apart. A recursion step copies all rows of
@@ -59,8 +60,8 @@ SELECT s.w, s.tok FROM step s JOIN (SELECT w, max(n) AS n FROM step GROUP BY w)
 ORDER BY s.w, s.p
 """
 _DECODE = """
-SELECT i.d, string_agg(v.bytes, '' ORDER BY i.p) AS bytes, count(v.bytes) = count(*) AS known
-FROM ids i LEFT JOIN vocabulary v USING (tok) GROUP BY i.d
+SELECT d, string_agg(bytes, '') AS bytes, count(bytes) = count(*) AS known
+FROM (SELECT i.d, v.bytes FROM ids i LEFT JOIN vocabulary v USING (tok) ORDER BY i.p) GROUP BY d
 """
 
 
