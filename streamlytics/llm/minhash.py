@@ -37,7 +37,7 @@ from streamlytics.llm.components import components
 from streamlytics.llm.shingles import Powers, mixed, shingle_numbers
 from streamlytics.session import materialize
 
-WORDS, PERCENT = 5, 85
+WORDS, PERCENT = 5, 80
 UNMET, DROPPED = 1e-6, 1e-5  # chances of losing a pair at the threshold
 ROWS, MINIMA = 5, 128  # most rows of a band, and minima of all bands unless bands of one row need more
 BROADCAST_IDS = 500_000  # numbers of 8 bytes; more of them are joined by a shuffle

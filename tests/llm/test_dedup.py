@@ -59,7 +59,7 @@ def test_near_duplicates_equal_brute_force(spark):
              (n + 6, "x " * 20000), (n + 7, "Été noir"), (n + 8, "été noir")]
     rng.shuffle(rows)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in
-           near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+           near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), percent=85).collect()}
     assert got == brute(rows)
 
 
@@ -71,7 +71,7 @@ def test_near_duplicates_over_a_hot_bucket_in_blocks(spark, monkeypatch):
     words = [f"w{i}" for i in range(120)]
     rows = [(i, varied(rng, words, rng.randrange(0, 9))) for i in range(150)]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in
-           near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+           near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), percent=85).collect()}
     assert got == brute(rows)
 
 
@@ -148,6 +148,7 @@ def test_near_duplicates_at_a_lower_threshold(spark):
     got = {r.doc_id: r.component_id for r in near_duplicates(df, percent=60).collect()}
     assert got == {i: i - i % 3 for i in range(450)}
     docs = df.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+    assert {r.doc_id: r.component_id for r in near_duplicates(df).collect()} == {i: i - (i % 3 == 1) for i in range(450)}
     left = dict(corpus_pipeline.STAGES)["minhash_dedup"](spark, docs, "")
     assert left.count() == 300
 

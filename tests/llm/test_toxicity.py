@@ -58,6 +58,47 @@ def test_passages_are_whole_in_some_window_at_every_place(scorer):
         assert scorer([" ".join(clean[:place] + passage + clean[place + len(passage):])])[0] > 0.3
 
 
+def plain_score(scorer, text):
+    """The score of a text by plain loops: window by window, word by word, one gate at a time."""
+    words, net = T.words_of(text), {k: x.astype(float) for k, x in scorer.net.items()}
+    if not words:
+        return 0.0
+
+    def states(inputs, s):
+        h, out = np.zeros(T.HIDDEN), []
+        for x in inputs:
+            gate, before = x @ net[f"W{s}"] + net[f"c{s}"], h @ net[f"U{s}"]
+            new_h = np.empty(T.HIDDEN)
+            for k in range(T.HIDDEN):
+                z = 1 / (1 + np.exp(-(gate[k] + before[k])))
+                r = 1 / (1 + np.exp(-(gate[T.HIDDEN + k] + before[T.HIDDEN + k])))
+                new_h[k] = (1 - z) * np.tanh(gate[2 * T.HIDDEN + k] + r * before[2 * T.HIDDEN + k]) + z * h[k]
+            h = new_h
+            out.append(h)
+        return out
+
+    logits, first = [], 0
+    while True:
+        inputs = [scorer.features([w])[0][0].astype(float) for w in words[first:first + T.WINDOW]]
+        both = [np.concatenate(x) for x in zip(states(inputs, "f"), states(inputs[::-1], "b")[::-1], strict=True)]
+        weight = np.exp([x @ net["v"] for x in both])
+        logits.append(sum(a * x for a, x in zip(weight / weight.sum(), both, strict=True)) @ net["w"] + net["b"][0])
+        first += T.STRIDE
+        if first >= max(1, len(words) - T.WINDOW + T.STRIDE):
+            break
+    return 1 / (1 + np.exp(-(scorer.scale[0] * max(logits) + scorer.scale[1])))
+
+
+def test_scores_equal_plain_loops(spark, scorer):
+    words = " ".join(t for t, _ in sample(12, 6)).split()
+    texts = [" ".join(words[:n]) for n in (1, 2, 12, 23, 24, 25, 36, 37, 200)] + [t for t, _ in sample(14, 7)] + [
+        "", None, " \n", "?!", "Ünïcode grobzen 12 漢字", "grobzen " * 90, "x" * 5000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.score for r in T.score(df, scorer).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == pytest.approx(plain_score(scorer, text), abs=1e-4), text
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(1)
     net = {k: x.astype(float) for k, x in T.initial(5).items()}
