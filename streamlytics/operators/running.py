@@ -15,6 +15,7 @@ The cuts steer balance only; results do not depend on them.
 
 from __future__ import annotations
 
+import bisect
 import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -85,10 +86,17 @@ def _chunk(df: DataFrame, order: Sequence[str], chunks: int | None) -> DataFrame
     if not cuts:
         return df.withColumn("__chunk", F.lit(0).cast("bigint"))
     heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-    out = _bucket(df, order[0], sorted({float(c) for c in cuts}), "__b0")
+    splits = sorted({float(c) for c in cuts})
+    out = _bucket(df, order[0], splits, "__b0")
     place, sub = F.lit(0).cast("bigint"), F.lit(0)
-    for value in heavy:  # before it, at it, behind it
-        place = place + (F.col(order[0]) >= value).cast("bigint") + (F.col(order[0]) > value).cast("bigint")
+    if heavy:
+        # A heavy value is a cut, so a row is compared with those of its own bucket only: one, or the few that share a double.
+        own: list[list[int]] = [[] for _ in range(len(splits) + 2)]  # the last is that of nulls
+        for value in heavy:
+            own[bisect.bisect_right(splits, float(value))].append(value)
+        here = F.element_at(F.lit([x or [heavy[0]] for x in own]), F.col("__b0").cast("int") + 1)
+        place = F.aggregate(here, place, lambda n, value: (  # before it, at it, behind it
+            n + (F.col(order[0]) >= value).cast("bigint") + (F.col(order[0]) > value).cast("bigint")))
     if heavy and len(order) > 1:
         inner = sorted({float(c) for c in _cuts(df.filter(F.col(order[0]).isin(heavy)), order[1], len(cuts) + 1)})
         if inner:

@@ -89,6 +89,16 @@ def test_neighbours_of_a_heavy_value_beyond_exact_doubles(spark):
     check(spark, [("k", a, i, 1) for i, a in enumerate([top] * 30 + [top + 1] * 30 + [top + 2] * 3)], 6)
 
 
+def test_many_heavy_values_make_a_small_plan(spark):
+    data = [("k", a * 10 + b % 2, a * 30 + b, 1) for a in range(40) for b in range(30)]
+    check(spark, data, 200)
+    df = spark.createDataFrame(data, "k string, a bigint, b bigint, v bigint")
+    made = _chunk(df, ["a", "b"], 200)
+    placed = sorted((r.a, r.b, r["__chunk"]) for r in made.collect())
+    assert [c for *_, c in placed] == sorted(c for *_, c in placed) and len({c for *_, c in placed}) > 60
+    assert made._jdf.queryExecution().optimizedPlan().toString().count(">=") < 5
+
+
 def test_chunks_follow_the_rows(spark, monkeypatch):
     import sys
 
