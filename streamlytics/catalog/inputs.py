@@ -17,7 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) ->
     if not stream:
         return spark.read.parquet(path)
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    # As a pattern the path may be a file or a folder of files; plain, a stream takes a folder only.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 class Feed:

@@ -200,6 +200,19 @@ def test_hash_sink_restarts_without_loss_or_repeat(feed, spark, tmp_path):
     assert rows(sinks.read_hash(spark, store)) == [("wc", "a", "3"), ("wc", "b", "1"), ("wc", "c", "1")]
 
 
+def test_word_count_hash_reads_a_file_and_a_folder(spark, tmp_path):
+    from streamlytics.catalog import streams
+
+    docs = spark.createDataFrame([(i, "a b" if i % 2 else "a  c") for i in range(10)], "doc_id bigint, text string")
+    docs.repartition(3).write.parquet(str(tmp_path / "folder" / "documents.parquet"))
+    docs.coalesce(1).write.parquet(str(tmp_path / "one"))
+    (tmp_path / "file").mkdir()
+    next((tmp_path / "one").glob("*.parquet")).rename(tmp_path / "file" / "documents.parquet")
+    for kind in ("folder", "file"):
+        got = rows(streams.stream_word_count_hash(spark, str(tmp_path / kind)))
+        assert got == [("wc", "a", "10"), ("wc", "b", "5"), ("wc", "c", "5")], kind
+
+
 def test_failed_batch_is_taken_again(feed, spark, tmp_path):
     store = BatchTable(str(tmp_path / "set"))
     feed.add("k,m1", "k,m1")
