@@ -23,6 +23,7 @@ from streamlytics.session import materialize
 
 ROWS = 1_000_000  # of a dealt side and key in a task
 TOGETHER = 4096  # rows of results that leave a task at once
+MANY = 100_000  # rows of a key from which on it has a call of its own, where a function takes many keys at once
 Batches = Iterator[pa.RecordBatch]
 CoFunction = Callable[[tuple, Batches, Batches], Batches]
 
@@ -49,6 +50,19 @@ def _pieces(batches: Batches, n_keys: int) -> Iterator[tuple[tuple, int, pa.Reco
             yield tuple(c[a].as_py() for c in heads[:-1]), side, rows
 
 
+def _key_edges(batch: pa.RecordBatch, n_keys: int) -> list[int]:
+    """Where the keys of a sorted batch begin, and its end."""
+    cuts = functools.reduce(np.union1d, [_changes(batch.column(i)) for i in range(n_keys)]) if batch.num_rows > 1 else []
+    return [0, *map(int, cuts), batch.num_rows]
+
+
+def _of_side(batch: pa.RecordBatch, n_keys: int, edges: list[int], side: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The rows of a side and the number of the key of each."""
+    at = np.flatnonzero(batch.column(n_keys).to_numpy() == side)
+    rows = pa.RecordBatch.from_struct_array(batch.column(n_keys + 1 + side).take(pa.array(at)))
+    return rows, np.searchsorted(edges, at, "right") - 1
+
+
 class _OneKey:
     """The two sides of a key; the first has to be read before the second, and what is left of it is passed over."""
 
@@ -72,6 +86,10 @@ def co_group(left: DataFrame, right: DataFrame, keys: Sequence[str], function: C
     sides) if there are any. The side ``first`` is to be read before the other; the function holds what it needs of it.
     ``deal`` names a side whose rows the function treats one by one: for a key with more than ``rows`` of them, they are
     dealt over several calls, each with all rows of the other side, which must then come first. Null keys are a key.
+
+    A function may have an attribute ``many(nulls, left, left_key, right, right_key)`` that gives the same for many keys at
+    once: all rows of a side, the number of the key of each, ascending, and whether a key has a null. Keys of fewer than
+    ``MANY`` rows then go through it, some thousand rows together.
     """
     if first not in ("left", "right") or deal not in (None, "left", "right") or deal == first:
         raise ValueError("first and deal name different sides")
@@ -108,7 +126,7 @@ def co_group(left: DataFrame, right: DataFrame, keys: Sequence[str], function: C
         return pa.RecordBatch.from_arrays([c if c.type == f.type else c.cast(f.type) for c, f in (
             (made.column(f.name), f) for f in target)], schema=target)
 
-    def run(batches: Batches) -> Batches:
+    def by_key(batches: Batches) -> Batches:
         held, n = [], 0  # small results go on together
         for (_, *key), pieces in itertools.groupby(_pieces(batches, n_keys + 1), key=lambda piece: piece[0]):
             of_key = _OneKey(pieces)
@@ -122,6 +140,49 @@ def co_group(left: DataFrame, right: DataFrame, keys: Sequence[str], function: C
         if held:
             yield pa.concat_batches(held)
 
+    def whole_keys(batch: pa.RecordBatch) -> Batches:
+        edges = _key_edges(batch, n_keys + 1)
+        heads = batch.take(pa.array(edges[:-1]))
+        nulls = functools.reduce(np.logical_or, [pc.is_null(heads.column(1 + i)).to_numpy(zero_copy_only=False) for i in range(n_keys)])
+        one, two = (_of_side(batch, n_keys + 1, edges, side) for side in (0, 1))
+        for made in function.many(nulls, *(*two, *one) if swapped else (*one, *two)):
+            yield fitted(made)
+
+    def by_many(batches: Batches) -> Batches:
+        ahead = None  # the last key so far, which may go on
+
+        def of_first(batch: pa.RecordBatch) -> Batches:
+            """``batch``, all of one key, and what follows of that key; the rest is left in ``ahead``."""
+            nonlocal ahead
+            first = batch.slice(0, 1)
+            yield batch
+            for batch in batches:
+                if batch.num_rows:
+                    edges = _key_edges(pa.concat_batches([first, batch]), n_keys + 1)
+                    if edges[1] > 1:
+                        yield batch.slice(0, edges[1] - 1)
+                    if len(edges) > 2:
+                        ahead = batch.slice(edges[1] - 1)
+                        return
+
+        batches = iter(batches)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            batch = pa.concat_batches([ahead, batch]) if ahead is not None else batch
+            last = _key_edges(batch, n_keys + 1)[-2]
+            if last:
+                yield from whole_keys(batch.slice(0, last))
+            ahead = batch.slice(last)
+            if not last and batch.num_rows >= MANY:
+                ahead, rows_of_key = None, of_first(batch)
+                yield from by_key(rows_of_key)
+                for _ in rows_of_key:  # what the function did not read
+                    pass
+        if ahead is not None:
+            yield from whole_keys(ahead)
+
+    run = by_many if hasattr(function, "many") else by_key
     return both.mapInArrow(run, schema)
 
 
@@ -142,6 +203,24 @@ def left_outer(left_prefix: str, right_prefix: str, columns: Sequence[str]) -> C
                 else table.column(c.removeprefix(right_prefix)).take(place) if n else pa.nulls(batch.num_rows) for c in columns],
                 names=list(columns))
 
+    def many(nulls: np.ndarray, left: pa.RecordBatch, left_key: np.ndarray, right: pa.RecordBatch, right_key: np.ndarray) -> Batches:
+        met = np.bincount(right_key, minlength=len(nulls))
+        met[nulls] = 0
+        n, start = met[left_key], np.searchsorted(right_key, left_key)
+        ends = np.cumsum(np.maximum(n, 1))
+        a = 0
+        while a < left.num_rows:  # some thousand rows of the result at once, and all of a left row
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + 16 * TOGETHER, "right")))
+            times = np.maximum(n[a:b], 1)
+            at = np.repeat(np.arange(a, b), times)
+            place = start[at] + np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+            one, two = pa.array(at), pa.array(place, mask=n[at] == 0)
+            yield pa.RecordBatch.from_arrays([
+                right.column(c.removeprefix(right_prefix)).take(two) if c.startswith(right_prefix)
+                else left.column(c.removeprefix(left_prefix)).take(one) for c in columns], names=list(columns))
+            a = b
+
+    joined.many = many
     return joined
 
 

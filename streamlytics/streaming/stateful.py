@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import zlib
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Row
@@ -146,31 +147,42 @@ def expiring_totals(df: DataFrame, key: str, value: str, ttl_ms: int = DAY_MS) -
 
 
 class TopOnTimer(StatefulProcessor):
-    """The ``n`` best rows of a group in list state, given out by an event-time timer."""
+    """The ``n`` best rows of each group of a window's bucket in list state, given out by an event-time timer."""
 
     def __init__(self, groups: Sequence[str], end: str, by: str, tie: str, n: int, state: str):
         self.groups, self.end, self.by, self.tie, self.n, self.state = list(groups), end, by, tie, n, state
+        self.others = [g for g in groups if g != end]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.best = handle.getListState("best", self.state)
 
+    def held(self) -> dict[tuple, list]:
+        best = {}
+        for *group, tie, by in self.best.get() if self.best.exists() else ():
+            best.setdefault(tuple(group), []).append((tie, by))
+        return best
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        best = [tuple(item) for item in self.best.get()] if self.best.exists() else []
+        best = self.held()
         for row in rows:
-            best.append((row[self.tie], row[self.by]))
-            if len(best) > 64 * self.n:
-                best = self.ranked(best)
-        self.best.put(self.ranked(best))
-        self.handle.registerTimer(key[self.groups.index(self.end)] + 1)
+            group = tuple(row[g] for g in self.others)
+            items = best.setdefault(group, [])
+            items.append((row[self.tie], row[self.by]))
+            if len(items) > 64 * self.n:
+                best[group] = self.ranked(items)
+        self.best.put([(*group, *item) for group, items in best.items() for item in self.ranked(items)])
+        self.handle.registerTimer(key[0] + 1)
         return iter(())
 
     def ranked(self, items: list[tuple]) -> list[tuple]:
         return sorted(items, key=lambda item: (-item[1], item[0] is not None, item[0] or ""))[: self.n]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        for rank, (tie, by) in enumerate([tuple(item) for item in self.best.get()], start=1):
-            yield Row(**dict(zip(self.groups, key)), **{self.tie: tie, self.by: by, "rank": rank})
+        for group, items in self.held().items():
+            names = {**dict(zip(self.others, group)), self.end: key[0]}
+            for rank, (tie, by) in enumerate(items, start=1):
+                yield Row(**{g: names[g] for g in self.groups}, **{self.tie: tie, self.by: by, "rank": rank})
         self.best.clear()
 
     def close(self) -> None:
@@ -178,20 +190,23 @@ class TopOnTimer(StatefulProcessor):
 
 
 def top_n_on_timer(counts: DataFrame, groups: Sequence[str], by: str, tie: str, n: int = 3,
-                   end: str = "w_end", window: str = "w") -> DataFrame:
+                   end: str = "w_end", window: str = "w", buckets: int = 8) -> DataFrame:
     """Top rows per group of a windowed count stream, released one millisecond after the window's end.
 
     ``groups`` contains ``end``, the window's end in epoch milliseconds; ``window`` is the window
-    column itself, by which the watermark travels. A group's counts pass through one task, ``n`` of
-    them held: for groups with very many products rank per micro-batch (``top_n_stream``).
+    column itself, by which the watermark travels. The groups of a window's end share ``buckets`` states, as a call and a
+    timer for each group cost more than its rows. A bucket's counts pass through one task, ``n`` of
+    a group held: for groups with very many products rank per micro-batch (``top_n_stream``).
     """
     fields = {f.name: f.dataType for f in counts.schema}
     schema = StructType([
         *[StructField(g, fields[g]) for g in groups], StructField(tie, fields[tie]), StructField(by, fields[by]),
         StructField("rank", IntegerType()),
     ])
-    state = f"`{tie}` {fields[tie].simpleString()}, `{by}` {fields[by].simpleString()}"
-    return counts.select(*groups, tie, by, window).groupBy(*groups).transformWithState(
+    others = [g for g in groups if g != end]
+    state = ", ".join(f"`{c}` {fields[c].simpleString()}" for c in (*others, tie, by))
+    bucket = F.pmod(F.xxhash64(*others), F.lit(buckets)).cast("int") if others else F.lit(0)
+    return counts.select(*groups, tie, by, window, bucket.alias("__bucket")).groupBy(end, "__bucket").transformWithState(
         statefulProcessor=TopOnTimer(groups, end, by, tie, n, state), outputStructType=schema,
         outputMode="Append", timeMode="EventTime")
 
@@ -199,69 +214,116 @@ def top_n_on_timer(counts: DataFrame, groups: Sequence[str], by: str, tie: str,
 class FireSteps(StatefulProcessor):
     """Views and distinct users of a key's window so far, given out at the end of each step of event time that saw any.
 
-    State holds what the steps still to be fired add, the step that first saw each user, and the totals. A timer stands at
-    the end of every such step, moved on from step to step until the window ends and the state goes.
+    State holds what the steps still to be fired add, the totals, and the step that first saw each user. A micro-batch gathers
+    its rows and then looks users up by the bucket, not one by one; a key's buckets are split in two as its users grow. A
+    timer stands at the end of the first step to be fired; it gives out all that the watermark has passed and moves on to the
+    next, and one at the end of the window drops the state.
     """
 
-    CACHED = 50_000  # users looked up in a micro-batch and not yet written
+    CACHED = 50_000  # users gathered in a micro-batch before they are looked up
+    BUCKET = 1024  # users of a bucket, on average at most
 
     def __init__(self, keys: Sequence[str], user: str, ms: str, step_ms: int, user_type: str):
         self.keys, self.user, self.ms, self.step_ms, self.user_type = list(keys), user, ms, step_ms, user_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.steps = handle.getMapState("steps", "fire BIGINT", "pv BIGINT, uv BIGINT")
-        self.users = handle.getMapState("users", f"user {self.user_type}", "fire BIGINT")
-        self.totals = handle.getValueState("totals", "pv BIGINT, uv BIGINT")
+        self.open = handle.getValueState(
+            "open", "fires ARRAY<BIGINT>, views ARRAY<BIGINT>, news ARRAY<BIGINT>, pv BIGINT, uv BIGINT, users BIGINT, buckets INT")
+        self.users = handle.getMapState("users", "bucket INT", f"users ARRAY<{self.user_type}>, fires ARRAY<BIGINT>")
+
+    def held(self) -> tuple[dict, list] | None:
+        """``({fire: [views, new users]}, [pv, uv, users, buckets])``"""
+        if not (state := self.open.get()):
+            return None
+        fires, views, news, *rest = state
+        return {fire: [v, n] for fire, v, n in zip(fires, views, news, strict=True)}, rest
+
+    def hold(self, steps: dict, rest: list) -> None:
+        self.open.update(([*steps], [s[0] for s in steps.values()], [s[1] for s in steps.values()], *rest))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        steps = {k[0]: list(v) for k, v in self.steps.iterator()} if self.steps.exists() else {}
-        known, first, changed = set(steps), {}, set()
+        before = self.held()
+        steps, rest = before or ({}, [0, 0, 0, 0])
+        timer, first = min(steps, default=None), {}
         for row in rows:
             fire = row[self.ms] // self.step_ms * self.step_ms + self.step_ms
-            step = steps.setdefault(fire, [0, 0])
-            step[0] += 1
+            steps.setdefault(fire, [0, 0])[0] += 1
             user = row[self.user]
             if user is None:
                 continue
-            if user not in first:
-                first[user] = self.users.getValue((user,))[0] if self.users.containsKey((user,)) else None
-            before = first[user]
-            if before is None or fire < before:
-                if before in steps:  # not fired yet
-                    steps[before][1] -= 1
-                step[1] += 1
+            if fire < first.get(user, fire + 1):
                 first[user] = fire
-                changed.add(user)
-            if len(first) > self.CACHED:
-                self.keep(first, changed)
-        self.keep(first, changed)
-        for fire, (pv, uv) in steps.items():
-            self.steps.updateValue((fire,), (pv, uv))
-            if fire not in known:
-                self.handle.registerTimer(fire)
-        self.handle.registerTimer(key[-1])
+            if len(first) >= self.CACHED:
+                self.meet(first, steps, rest)
+        self.meet(first, steps, rest)
+        self.hold(steps, rest)
+        if timer is None or min(steps) < timer:
+            self.handle.registerTimer(min(steps))
+        if before is None:
+            self.handle.registerTimer(key[-1])
         return iter(())
 
-    def keep(self, first: dict, changed: set) -> None:
-        for user in changed:
-            self.users.updateValue((user,), (first[user],))
+    def meet(self, first: dict, steps: dict, rest: list) -> None:
+        """Add users with the first step that saw each, and move those who were known from a later one."""
+        by_bucket = {}
+        rest[3] = rest[3] or 1
+        for user, fire in first.items():
+            by_bucket.setdefault(self.place(user) % rest[3], []).append((user, fire))
+        for bucket, here in by_bucket.items():
+            known = self.bucket(bucket) if rest[2] else {}
+            n = len(known)
+            changed = False
+            for user, fire in here:
+                before = known.get(user)
+                if before is None or fire < before:
+                    if before in steps:  # not fired yet
+                        steps[before][1] -= 1
+                    steps[fire][1] += 1
+                    known[user], changed = fire, True
+            if changed:
+                self.keep(bucket, known)
+            by_bucket[bucket] = len(known) - n
+        rest[2] += sum(by_bucket.values())
         first.clear()
-        changed.clear()
+        while rest[2] > self.BUCKET * rest[3]:
+            n = rest[3]
+            for bucket in range(n):
+                parts = {}, {}
+                for user, fire in self.bucket(bucket).items():
+                    parts[self.place(user) % (2 * n) != bucket][user] = fire
+                for i, part in enumerate(parts):
+                    self.keep(bucket + i * n, part)
+            rest[3] = 2 * n
+
+    @staticmethod
+    def place(user) -> int:
+        return zlib.crc32(repr(user).encode("utf-8", "surrogatepass"))
+
+    def bucket(self, number: int) -> dict:
+        held = self.users.getValue((number,))
+        return dict(zip(*held, strict=True)) if held else {}
+
+    def keep(self, number: int, known: dict) -> None:
+        self.users.updateValue((number,), ([*known], [*known.values()]))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        due = sorted((k[0], tuple(v)) for k, v in self.steps.iterator() if k[0] <= now) if self.steps.exists() else []
-        pv, uv = self.totals.get() if self.totals.exists() else (0, 0)
-        for fire, (views, users) in due:
-            pv, uv = pv + views, uv + users
-            self.steps.removeKey((fire,))
-            yield Row(**dict(zip(self.keys, key)), fire_time=fire, pv=pv, uv=uv)
-        if due:
-            self.totals.update((pv, uv))
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        if not (held := self.held()):
+            return
+        steps, rest = held
+        due = sorted(fire for fire in steps if fire <= now)
+        for fire in due:
+            views, users = steps.pop(fire)
+            rest[0], rest[1] = rest[0] + views, rest[1] + users
+            yield Row(**dict(zip(self.keys, key)), fire_time=fire, pv=rest[0], uv=rest[1])
         if now >= key[-1]:
-            for state in (self.steps, self.users, self.totals):
-                state.clear()
+            self.open.clear()
+            self.users.clear()
+        elif due:
+            self.hold(steps, rest)
+            if steps:
+                self.handle.registerTimer(min(steps))
 
     def close(self) -> None:
         pass
