@@ -147,66 +147,87 @@ def expiring_totals(df: DataFrame, key: str, value: str, ttl_ms: int = DAY_MS) -
 
 
 class TopOnTimer(StatefulProcessor):
-    """The ``n`` best rows of each group of a window's bucket in list state, given out by an event-time timer."""
+    """The ``n`` best rows of each group of a bucket in keyed state, one value of columns, given out by an event-time timer.
+
+    The timer stands behind the first window's end that is held; it gives out all groups whose end the watermark has passed
+    and moves on to the next end.
+    """
 
     def __init__(self, groups: Sequence[str], end: str, by: str, tie: str, n: int, state: str):
-        self.groups, self.end, self.by, self.tie, self.n, self.state = list(groups), end, by, tie, n, state
-        self.others = [g for g in groups if g != end]
+        self.groups, self.by, self.tie, self.n, self.state = list(groups), by, tie, n, state
+        self.end = self.groups.index(end)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.best = handle.getListState("best", self.state)
+        self.best = handle.getValueState("best", self.state)
 
     def held(self) -> dict[tuple, list]:
         best = {}
-        for *group, tie, by in self.best.get() if self.best.exists() else ():
+        for *group, tie, by in zip(*(self.best.get() or ()), strict=True):
             best.setdefault(tuple(group), []).append((tie, by))
         return best
 
+    def hold(self, best: dict[tuple, list]) -> None:
+        self.best.update(tuple(map(list, zip(*((*group, *item) for group, items in best.items() for item in items), strict=True))))
+
+    def first_end(self, best: dict[tuple, list]) -> int | None:
+        return min((group[self.end] for group in best), default=None)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         best = self.held()
+        timer = self.first_end(best)
         for row in rows:
-            group = tuple(row[g] for g in self.others)
+            group = tuple(row[g] for g in self.groups)
             items = best.setdefault(group, [])
             items.append((row[self.tie], row[self.by]))
             if len(items) > 64 * self.n:
                 best[group] = self.ranked(items)
-        self.best.put([(*group, *item) for group, items in best.items() for item in self.ranked(items)])
-        self.handle.registerTimer(key[0] + 1)
+        self.hold({group: self.ranked(items) for group, items in best.items()})
+        first = self.first_end(best)
+        if timer is None or first < timer:
+            self.handle.registerTimer(first + 1)
         return iter(())
 
     def ranked(self, items: list[tuple]) -> list[tuple]:
         return sorted(items, key=lambda item: (-item[1], item[0] is not None, item[0] or ""))[: self.n]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        left = {}
         for group, items in self.held().items():
-            names = {**dict(zip(self.others, group)), self.end: key[0]}
+            if group[self.end] + 1 > now:
+                left[group] = items
+                continue
             for rank, (tie, by) in enumerate(items, start=1):
-                yield Row(**{g: names[g] for g in self.groups}, **{self.tie: tie, self.by: by, "rank": rank})
-        self.best.clear()
+                yield Row(**dict(zip(self.groups, group)), **{self.tie: tie, self.by: by, "rank": rank})
+        if left:
+            self.hold(left)
+            self.handle.registerTimer(self.first_end(left) + 1)
+        else:
+            self.best.clear()
 
     def close(self) -> None:
         pass
 
 
 def top_n_on_timer(counts: DataFrame, groups: Sequence[str], by: str, tie: str, n: int = 3,
-                   end: str = "w_end", window: str = "w", buckets: int = 8) -> DataFrame:
+                   end: str = "w_end", window: str = "w", buckets: int = 256) -> DataFrame:
     """Top rows per group of a windowed count stream, released one millisecond after the window's end.
 
     ``groups`` contains ``end``, the window's end in epoch milliseconds; ``window`` is the window
-    column itself, by which the watermark travels. The groups of a window's end share ``buckets`` states, as a call and a
-    timer for each group cost more than its rows. A bucket's counts pass through one task, ``n`` of
-    a group held: for groups with very many products rank per micro-batch (``top_n_stream``).
+    column itself, by which the watermark travels. Groups are dealt into ``buckets`` states by their hash, as a call and a
+    timer for each group cost far more than its rows. A task holds ``n`` rows of each group of a bucket at once; more groups
+    than memory allows take more buckets. A group's counts pass through one task: for groups with very many products rank
+    per micro-batch (``top_n_stream``).
     """
     fields = {f.name: f.dataType for f in counts.schema}
     schema = StructType([
         *[StructField(g, fields[g]) for g in groups], StructField(tie, fields[tie]), StructField(by, fields[by]),
         StructField("rank", IntegerType()),
     ])
-    others = [g for g in groups if g != end]
-    state = ", ".join(f"`{c}` {fields[c].simpleString()}" for c in (*others, tie, by))
-    bucket = F.pmod(F.xxhash64(*others), F.lit(buckets)).cast("int") if others else F.lit(0)
-    return counts.select(*groups, tie, by, window, bucket.alias("__bucket")).groupBy(end, "__bucket").transformWithState(
+    state = ", ".join(f"`{c}` ARRAY<{fields[c].simpleString()}>" for c in (*groups, tie, by))
+    bucket = F.pmod(F.xxhash64(*groups), F.lit(buckets)).cast("int").alias("__bucket")
+    return counts.select(*groups, tie, by, window, bucket).groupBy("__bucket").transformWithState(
         statefulProcessor=TopOnTimer(groups, end, by, tie, n, state), outputStructType=schema,
         outputMode="Append", timeMode="EventTime")
 

@@ -78,6 +78,84 @@ def test_lives_expire_in_event_time(spark, feed, tmp_path):
     assert [g for g in got if g[1] < AHEAD] == sorted(map(tuple, want), key=repr)
 
 
+class Handle:
+    """States and timers of one key in memory, with the number of calls."""
+
+    def __init__(self):
+        self.calls, self.timers, self.value, self.map = 0, set(), None, {}
+
+    def getValueState(self, name, schema):
+        return self
+
+    def getMapState(self, name, *schemas):
+        return Users(self)
+
+    def called(self, value=None):
+        self.calls += 1
+        return value
+
+    def get(self):
+        return self.called(self.value)
+
+    def update(self, value):
+        self.value = self.called(value)
+
+    def clear(self):
+        self.value = self.called()
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+
+class Users:
+    def __init__(self, handle):
+        self.handle = handle
+
+    def getValue(self, key):
+        return self.handle.called(self.handle.map.get(key))
+
+    def updateValue(self, key, value):
+        self.handle.map[self.handle.called(key)] = value
+
+    def clear(self):
+        self.handle.map.clear()
+
+
+class Now:
+    def __init__(self, at):
+        self.getExpiryTimeInMs = self.getCurrentWatermarkInMs = lambda: at
+
+
+def test_firing_looks_users_up_by_the_bucket(spark):
+    rng, handle, seen, fired = random.Random(5), Handle(), [], []
+    steps = stateful.FireSteps(["k", "w_end"], "user", "ms", 10, "bigint")
+    steps.BUCKET, steps.CACHED = 64, 500
+    steps.init(handle)
+    for batch in range(4):
+        here = [{"ms": rng.randrange(100 * batch, 100 * batch + 100), "user": rng.choice([None, *range(3000)])} for _ in range(2000)]
+        seen += here
+        list(steps.handleInputRows((1, 1000), iter(here), Now(100 * batch)))
+        fired += steps.handleExpiredTimer((1, 1000), Now(100 * batch + 95), Now(min(handle.timers)))
+    fired += steps.handleExpiredTimer((1, 1000), Now(1000), Now(1000))
+    want = [(fire, len(so_far := [r["user"] for r in seen if r["ms"] < fire]), len({*so_far} - {None})) for fire in range(10, 401, 10)]
+    assert [(r.fire_time, r.pv, r.uv) for r in fired] == want
+    assert handle.value is None and not handle.map
+    assert handle.calls < 2500  # three for each user and micro-batch would be 24,000
+
+
+def test_timer_holds_many_groups_in_a_state(spark):
+    handle = Handle()
+    top = stateful.TopOnTimer(["w_end", "g"], "w_end", "n", "tie", 2, "")
+    top.init(handle)
+    given = [{"w_end": end, "g": g, "tie": t, "n": n} for end in (10, 20, 30) for g in range(50) for t, n in (("b", 1), ("a", 1), (None, 1), ("c", 5))]
+    for part in (given[::2], given[1::2]):
+        list(top.handleInputRows((0,), iter(part), Now(0)))
+    assert handle.timers == {11} and handle.calls == 4
+    got = [*top.handleExpiredTimer((0,), Now(25), Now(11)), *top.handleExpiredTimer((0,), Now(31), Now(31))]
+    assert [tuple(r) for r in got if r.g == 7] == [(end, 7, t, n, i) for end in (10, 20, 30) for t, n, i in (("c", 5, 1), (None, 1, 2))]
+    assert len(got) == 300 and handle.timers == {11, 31} and handle.value is None
+
+
 # -- co-group -------------------------------------------------------------------------------------
 
 def sides(spark, seed=3):
@@ -108,6 +186,28 @@ def test_left_outer_by_function(spark, monkeypatch, rows_):
         assert len(of_two) > 5 and sum(of_two) == sum(k == 2 for k, _ in left)
 
 
+@pytest.mark.parametrize("many,size", [(1, 3), (20, 7), (10 ** 5, 7), (10 ** 5, 1000)])
+def test_left_outer_of_many_keys_at_once(spark, monkeypatch, many, size):
+    monkeypatch.setattr(cogroup, "MANY", many)
+    left, right, a, b = sides(spark)
+    more = [(k, k) for k in range(10, 300)], [(k, f"m{k}") for k in range(11, 300, 3)] * 2
+    a, b = a.union(spark.createDataFrame(more[0], a.schema)), b.union(spark.createDataFrame(more[1], b.schema))
+    function, calls = cogroup.left_outer("l_", "r_", ["l_k", "l_a", "r_b"]), spark.sparkContext.accumulator(0)
+
+    def one(*args):
+        calls.add(1)
+        return function(*args)
+
+    one.many = function.many
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    try:
+        got = rows(cogroup.co_group(a, b, ["k"], one, "l_k bigint, l_a bigint, r_b string", first="right", deal="left"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == outer(left + more[0], right + more[1])
+    assert calls.value <= 4 or many == 1  # a call for each of the 290 keys before
+
+
 def test_every_key_of_either_side_once_and_sides_in_order(spark):
     left, right, a, b = sides(spark, 4)
 
