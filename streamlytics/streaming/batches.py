@@ -18,6 +18,9 @@ from streamlytics.operators.topk import top_n
 from streamlytics.streaming.keyed import KeyedTable
 from streamlytics.streaming.sinks import BatchTable, BatchWriter
 
+# A micro-batch of up to this many rows has its keys sent to the tasks that read the table it is joined with.
+LOOKED_UP = 100_000
+
 
 def top_n_stream(counts: DataFrame, groups: Sequence[str], by: str, ties: Sequence[str], sink: BatchWriter,
                  n: int = 3) -> DataStreamWriter:
@@ -45,14 +48,16 @@ def repair_stream(items: DataFrame, orders: DataFrame, key: str, arrival: Sequen
         spark = batch.sparkSession
         earlier = progress.read_batch(spark, batch_id - 1).first()[0] if batch_id else None
         batch.persist()
-        # The orders of the batch's items, looked up once for the window and the repair.
-        placed = orders.join(batch.select(key).distinct(), key, "left_semi").select(*orders.columns).persist()
         try:
             flagged = flag_late(batch, arrival, size_ms, delay_ms, ms, earlier)
+            placed = orders
+            if batch.count() <= LOOKED_UP:
+                # Only the orders of these items leave their tasks.
+                keys = batch.select(F.col(key).alias("__key")).distinct()
+                placed = orders.join(F.broadcast(keys), F.col(key) == F.col("__key"), "left_semi")
             sink.write(repair_late_items(flagged, placed, placed, key, f"{size_ms} milliseconds"), batch_id)
             progress.write(batch.agg(F.greatest(F.max(ms), F.lit(earlier).cast("bigint")).alias("max_ms")), batch_id)
         finally:
-            placed.unpersist()
             batch.unpersist()
 
     return items.writeStream.outputMode("append").foreachBatch(write)

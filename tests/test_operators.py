@@ -185,6 +185,27 @@ def test_late_flags_against_brute_force(spark):
         top = t if top is None else max(top, t)
 
 
+@pytest.mark.parametrize("delay, initial", [(0, None), (3000, None), (0, 31_000)])
+def test_late_flags_with_shared_arrival_numbers(spark, delay, initial):
+    """Two arrival columns, the first with few values; times at the last millisecond of a window among them."""
+    rng = random.Random(28)
+    data = [(rng.randrange(6), i, rng.choice([rng.randrange(0, 60_000), 5000 * rng.randrange(1, 12) - 1])) for i in range(300)]
+    data.append((3, 1000, None))
+    df = table(spark, data, "day bigint, seq bigint, time bigint")
+    got = {r.seq: r.is_late for r in ops.flag_late(df, ["day", "seq"], 5000, delay, initial_max=initial).collect()}
+    top = initial
+    for _, seq, t in sorted(data, key=lambda x: x[:2]):
+        assert got[seq] == (t is not None and top is not None and top - delay >= t - t % 5000 + 4999)
+        top = max((x for x in (top, t) if x is not None), default=None)
+    assert len(got) == 301
+
+
+def test_late_flags_leave_rows_in_their_tasks(spark):
+    df = spark.range(1000).select("id", (F.col("id") * 700 % 90_001).alias("time"))
+    plan = ops.flag_late(df, ["id"], 5000)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Sort [" not in plan
+
+
 # -- sequences ------------------------------------------------------------------------------------
 
 NUMBERS = [(1, 3), (1, 7), (2, 4), (1, 5), (2, 2), (2, 5)]
@@ -223,6 +244,41 @@ def test_late_items_are_looked_up(spark):
     assert got == [(1, 10.0, "window"), (2, 20.0, "table"), (3, 10.0, "table"), (4, None, "none")]
 
 
+@pytest.mark.parametrize("one_table", [True, False])
+def test_repair_with_repeated_and_missing_keys(spark, one_table):
+    """Against plain loops: keys that come more than once, in one window or several, or are null on either side."""
+    rng = random.Random(30)
+    keys = [None, "a", "b", "c", "d"]
+    item = [(i, rng.choice([*keys, "e"]), rng.randrange(20_000), rng.random() < 0.4) for i in range(60)]
+    seen, kept = ([(n + j, rng.choice(keys), rng.randrange(20_000), j / 2) for j in range(12)] for n in (0, 100))
+    order_type = "no bigint, orderId string, time bigint, money double"
+    items = table(spark, item, "id bigint, orderId string, time bigint, is_late boolean").withColumn("ts", event_ts("time"))
+    orders, order_table = (table(spark, x, order_type).withColumn("ts", event_ts("time")) for x in (seen, kept))
+    if one_table:
+        kept, order_table = seen, orders
+    got = ops.repair_late_items(items, orders, order_table, "orderId")
+    want = []
+    for i, key, t, late in item:
+        here = [o for o in seen if key is not None and o[1] == key and o[2] // 5000 == t // 5000 and not late]
+        found = here or [o for o in kept if key is not None and o[1] == key]
+        source = "window" if here else "table" if found else "none"
+        want += [(i, key, t, *o, source) for o in found or [(None,) * 4]]
+    assert rows(got) == sorted(want, key=repr)
+    assert got.columns == ["item_id", "item_orderId", "item_time", "order_no", "order_orderId", "order_time", "order_money", "source"]
+
+
+def test_repair_moves_items_once(spark):
+    items = spark.range(1000).selectExpr(
+        "id", "cast(id % 50 as string) orderId", "id * 100 time", "false is_late", "timestamp_millis(id * 100) ts")
+    orders = spark.range(50).selectExpr("cast(id as string) orderId", "id * 900 time", "timestamp_millis(id * 900) ts")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ops.repair_late_items(items, orders, orders, "orderId")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("SortMergeJoin") == 1
+
+
 @pytest.mark.parametrize("way", ["prefix", "merge"])
 def test_enrich_ip(spark, lines, way):
     wide = 1 << 16

@@ -110,6 +110,25 @@ def test_late_split_over_batches_equals_one_pass(feed, spark, tmp_path):
     assert rows(tables[1].read(spark), "seq", "time") == rows(late) != []
 
 
+@pytest.mark.parametrize("looked_up", [0, 100_000])
+def test_repair_over_batches_equals_one_pass(feed, spark, tmp_path, monkeypatch, looked_up):
+    """Batches above and below the size whose keys are sent to the order table."""
+    monkeypatch.setattr(batches, "LOOKED_UP", looked_up)
+    rng = random.Random(29)
+    data = [(i, rng.randrange(12), max(0, i * 300 - rng.randrange(12_000))) for i in range(90)]
+    for i in range(0, 90, 30):
+        feed.add(*[f"{seq},{order},{t}" for seq, order, t in data[i:i + 30]])
+    schema = schemas._schema("seq BIGINT, orderId STRING, time BIGINT")
+    orders = spark.range(10).selectExpr("cast(id as string) orderId", "id * 2500 time", "timestamp_millis(id * 2500) ts")
+    items = [parse_delimited(x, schema).withColumn("ts", F.timestamp_millis("time"))
+             for x in (feed.stream(), spark.read.text(str(feed.root)))]
+    store, progress = BatchTable(str(tmp_path / "repaired")), BatchTable(str(tmp_path / "progress"))
+    run(batches.repair_stream(items[0], orders, "orderId", ["seq"], 5000, store, progress), tmp_path / "cp")
+    whole = ops.repair_late_items(ops.flag_late(items[1], ["seq"], 5000), orders, orders, "orderId", "5000 milliseconds")
+    assert rows(store.read(spark).drop("batch")) == rows(whole)
+    assert {r.source for r in whole.select("source").collect()} == {"window", "table", "none"}
+
+
 def test_top_products_stream_equals_batch(feed, spark, tmp_path):
     rng = random.Random(13)
     for start in range(0, 600_000, 200_000):
