@@ -31,17 +31,18 @@ def windowed_left_join(
     """
     lhs = _windowed_side(left, key, size, ts, prefixes[0])
     rhs = _windowed_side(right, key, size, ts, prefixes[1]).withColumnRenamed("__w", "__rw")
-    if not (left.isStreaming or right.isStreaming):
-        # Streams need the whole window struct to expire state; on tables its start is a cheaper key.
-        lhs = lhs.withColumn("__w", F.unix_millis("__w.start"))
-        rhs = rhs.withColumn("__rw", F.unix_millis("__rw.start"))
+    lhs = lhs.withColumn("__start", F.unix_millis("__w.start"))
+    if left.isStreaming or right.isStreaming:
+        # Streams expire state by the event time of the window; its last moment is a quarter of the struct in every key and row.
+        lhs, rhs = lhs.withColumn("__w", F.window_time("__w")), rhs.withColumn("__rw", F.window_time("__rw"))
+    else:
+        lhs, rhs = lhs.withColumn("__w", F.col("__start")), rhs.withColumn("__rw", F.unix_millis("__rw.start"))
     same = (lhs[f"{prefixes[0]}{key}"] == rhs[f"{prefixes[1]}{key}"]) & (lhs["__w"] == rhs["__rw"])
     if eligible:
         same = same & lhs[f"{prefixes[0]}{eligible}"]
     joined = lhs.join(rhs, same, "left_outer")
-    start = F.unix_millis("__w.start") if joined.isStreaming else F.col("__w")
-    rest = [c for c in joined.columns if c not in ("__w", "__rw")]
-    return joined.select(start.alias("w_start"), *rest)
+    rest = [c for c in joined.columns if c not in ("__w", "__rw", "__start")]
+    return joined.select(F.col("__start").alias("w_start"), *rest)
 
 
 def _order_lists(orders: DataFrame, order_table: DataFrame, key: str, size: str, ts: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import random
 import uuid
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from streamlytics import operators as ops
 from streamlytics import plans, schemas
+from streamlytics.catalog import inputs, streams
 from streamlytics.functions import not_equal
 from streamlytics.functions.delimited import parse_delimited
 from streamlytics.plans import users
@@ -110,6 +112,29 @@ def test_late_split_over_batches_equals_one_pass(feed, spark, tmp_path):
     assert rows(tables[1].read(spark), "seq", "time") == rows(late) != []
 
 
+def test_order_item_stream_keys_are_narrow(feed, spark, tmp_path):
+    """State is kept by the key and one moment of the window, not by both of its ends."""
+    feed.add("1,o1,1000,s,1,2")
+    orders = feed.stream().select(F.lit("o1,4000,10").alias("value"))
+    joined = plans.order_item_join(feed.stream(), orders)
+    left = joined._jdf.queryExecution().analyzed().toString()
+    assert "window_time" in left and joined.columns[0] == "w_start"
+    assert dict(joined.dtypes)["w_start"] == "bigint"
+
+
+def test_far_row_comes_with_the_last_part(spark, tmp_path):
+    """One run for each part, and the same rows as with a run for the row far ahead."""
+    path = tmp_path / "data"
+    spark.range(20).selectExpr("id", "timestamp_millis(id * 1000) ts").coalesce(1).write.parquet(str(path / "t.parquet"))
+    got = []
+    for together in (False, True):
+        numbers = inputs.Feed(spark, str(path), "t", "ts", {"id": -1})
+        counts = numbers.stream().withWatermark("ts", "0 seconds").groupBy(F.window("ts", "4 seconds").alias("w")).agg(F.sum("id").alias("n"))
+        got.append(rows(streams._collect(spark, "far", counts, numbers, together=together)))
+    assert got[0] == got[1] and len(got[0]) == 5
+    assert sorted(int(x) for x in os.listdir(numbers.folder)) == [0, 1, 2]
+
+
 @pytest.mark.parametrize("looked_up", [0, 100_000])
 def test_repair_over_batches_equals_one_pass(feed, spark, tmp_path, monkeypatch, looked_up):
     """Batches above and below the size whose keys are sent to the order table."""
